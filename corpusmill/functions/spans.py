@@ -32,14 +32,18 @@ def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
     gaps = F.split(t, pattern, -1)
     # One zip, so no array is referenced from inside a lambda (a lambda body
     # is evaluated per element and is not de-duplicated by Catalyst).
-    items = F.arrays_zip(m0.alias("m"), mg.alias("g"), gaps.alias("gap"))
+    if group:
+        items = F.arrays_zip(m0.alias("m"), mg.alias("g"), gaps.alias("gap"))
+    else:
+        items = F.arrays_zip(m0.alias("m"), gaps.alias("gap"))
     init = F.struct(F.lit(0).cast("bigint").alias("pos"),
                     F.array().cast(f"array<{SPAN_TYPE}>").alias("out"))
 
     def step(acc, x):
+        g = x["g"] if group else x["m"]
         end = acc["pos"] + F.length(x["gap"]).cast("bigint") + F.length(x["m"]).cast("bigint")
-        span = F.struct((end - F.length(x["g"]).cast("bigint")).alias("start"),
-                        end.alias("end"), x["g"].alias("text"), F.lit(tag).alias("tag"))
+        span = F.struct((end - F.length(g).cast("bigint")).alias("start"),
+                        end.alias("end"), g.alias("text"), F.lit(tag).alias("tag"))
         return F.when(x["m"].isNull(), acc).otherwise(
             F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out")))
 

@@ -8,7 +8,7 @@ from ..functions import patterns as P
 from ..functions import spans as SP
 from ..functions.text import lang_base
 from ..operators import pii as PII
-from ..sources.tables import table
+from ..sources.tables import table, text_table
 from . import oracle_pii as OP
 from .build_splits import TEST_BUDGETS, build_splits
 from .queries_splits import SEED, _articles, _split_sql
@@ -19,7 +19,7 @@ WINDOW = 20
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text", "lang")
 
 
 def _explode(df, spans, extra=()):

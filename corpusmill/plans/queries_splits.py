@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sampling as R
 from ..operators import sentences as S
-from ..sources.tables import table
+from ..sources.tables import table, text_table
 from . import oracle_text as O
 from .build_splits import TEST_BUDGETS, build_splits
 from .registry import register
@@ -17,7 +17,8 @@ SAMPLE_K = 10
 
 
 def _articles(spark, sf_dir):
-    return S.articles_from_documents(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return S.articles_from_documents(
+        text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "source", "text"))
 
 
 def _build(spark, sf_dir):

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import sentences as S
-from ..sources.tables import table
+from ..sources.tables import table, text_table
 from . import oracle_text as O
 from .registry import register
 
 
 def _docs(spark, sf_dir, *cols):
+    if "text" in cols and "doc_id" in cols:
+        return text_table(spark, sf_dir, "documents", "doc_id", *cols)
     return table(spark, sf_dir, "documents", *cols)
 
 
