@@ -77,6 +77,6 @@ def sort_spans(spans, priority: dict[str, int]) -> Column:
     prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
     keyed = F.transform(F.array_distinct(_col(spans)), lambda s: F.struct(
         s["start"].alias("k1"), (-s["end"]).alias("k2"),
-        F.coalesce(F.element_at(prio, s["tag"]), F.lit(99)).alias("k3"),
+        F.coalesce(F.try_element_at(prio, s["tag"]), F.lit(99)).alias("k3"),
         s["text"].alias("k4"), s.alias("s")))
     return F.transform(F.array_sort(keyed), lambda k: k["s"])
