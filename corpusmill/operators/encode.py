@@ -11,6 +11,7 @@ row's words).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +31,11 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
                   max_chars: int = MAX_CHARS_PER_WORD) -> DataFrame:
     """``(word, ids array<int>, toks array<string>)`` for each distinct word."""
     lmax = max_piece_chars(vocab)
+    # used twice below (candidates and the walk), so computed once
     w = (distinct_words.select("word")
          .withColumn("chars", F.regexp_extract_all("word", F.lit(CHAR), 0))
-         .withColumn("nc", F.size("chars")))
+         .withColumn("nc", F.size("chars"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
     cand = (w.where((F.col("nc") > 0) & (F.col("nc") <= max_chars))
             .select("word", "chars", "nc", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("i"))
             .select("word", "i", "chars",
@@ -43,22 +46,28 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
                              F.array_join(F.slice("chars", F.col("i") + 1, F.col("l")), ""))
                     .alias("token")))
     v = F.broadcast(vocab.select("token", "id"))          # size bounded by vocab_size
+    # (length, id) packed in one bigint keeps the aggregate a hash aggregate
+    packed = F.col("l").cast("bigint") * F.lit(1 << 32) + F.col("id").cast("bigint")
     best = (cand.join(v, "token")
-            .groupBy("word", "i").agg(F.max(F.struct("l", "id", "token")).alias("b"))
+            .groupBy("word", "i").agg(F.max(packed).alias("b"))
             .groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("i", "b"))).alias("bm")))
-    j = w.select("word", "nc").join(best, "word", "left")
+    j = w.join(best, "word", "left")
     init = F.struct(F.lit(0).alias("pos"), F.lit(True).alias("ok"),
                     F.array().cast("array<int>").alias("ids"),
                     F.array().cast("array<string>").alias("toks"))
 
     def step(acc, i):
         b = F.try_element_at(F.col("bm"), i)
+        ln = F.floor(b / F.lit(1 << 32)).cast("int")
+        tid = (b % F.lit(1 << 32)).cast("int")
+        tok = F.concat(F.when(i > 0, F.lit(CONT)).otherwise(F.lit("")),
+                       F.array_join(F.slice(F.col("chars"), i + 1, ln), ""))
         at = (i == acc["pos"]) & acc["ok"]
         return (F.when(at & b.isNull(), F.struct(acc["pos"].alias("pos"), F.lit(False).alias("ok"),
                                                  acc["ids"].alias("ids"), acc["toks"].alias("toks")))
-                .when(at, F.struct((i + b["l"]).alias("pos"), F.lit(True).alias("ok"),
-                                   F.concat(acc["ids"], F.array(b["id"])).alias("ids"),
-                                   F.concat(acc["toks"], F.array(b["token"])).alias("toks")))
+                .when(at, F.struct((i + ln).alias("pos"), F.lit(True).alias("ok"),
+                                   F.concat(acc["ids"], F.array(tid)).alias("ids"),
+                                   F.concat(acc["toks"], F.array(tok)).alias("toks")))
                 .otherwise(acc))
 
     walk = F.aggregate(F.sequence(F.lit(0), F.greatest(F.col("nc") - 1, F.lit(0))), init, step)
@@ -80,21 +89,23 @@ def word_pieces(df: DataFrame, id_cols: list[str], word_array: Column, vocab: Da
                 max_chars: int = MAX_CHARS_PER_WORD, check_size: bool = True) -> DataFrame:
     """K4: ``(ids..., pieces array<array<int>>, piece_toks array<array<string>>)``
     for an array of words per row, in word order.  Rows without words keep
-    empty arrays.
+    empty arrays (``posexplode_outer``), so no join back to ``df`` is needed.
+
+    The occurrence table feeds both the distinct-word segmentation and the
+    join, so it is persisted once instead of re-running the word regex.
     """
-    occ = df.select(*id_cols, F.posexplode(word_array).alias("widx", "word"))
-    dw = occ.select("word").distinct()
-    seg = segment_words(dw, vocab, max_chars)
+    occ = (df.select(*id_cols, F.posexplode_outer(word_array).alias("widx", "word"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    dw = occ.where(F.col("word").isNotNull()).select("word").distinct()
+    seg = segment_words(dw, vocab, max_chars).persist(StorageLevel.MEMORY_AND_DISK)
     n_words = seg.count() if check_size else None
-    j = _join_segments(occ, seg, n_words)
-    per = (j.groupBy(*id_cols)
-           .agg(F.array_sort(F.collect_list(F.struct("widx", "ids", "toks"))).alias("ws"))
-           .select(*id_cols, F.transform("ws", lambda x: x["ids"]).alias("pieces"),
-                   F.transform("ws", lambda x: x["toks"]).alias("piece_toks")))
-    return (df.select(*id_cols).join(per, id_cols, "left")
-            .select(*id_cols,
-                    F.coalesce("pieces", F.array().cast("array<array<int>>")).alias("pieces"),
-                    F.coalesce("piece_toks", F.array().cast("array<array<string>>")).alias("piece_toks")))
+    j = occ.join(F.broadcast(seg) if n_words is not None and n_words <= BROADCAST_WORDS else seg,
+                 "word", "left")
+    item = F.when(F.col("word").isNotNull(), F.struct("widx", "ids", "toks"))
+    return (j.groupBy(*id_cols)
+            .agg(F.array_sort(F.collect_list(item)).alias("ws"))
+            .select(*id_cols, F.transform("ws", lambda x: x["ids"]).alias("pieces"),
+                    F.transform("ws", lambda x: x["toks"]).alias("piece_toks")))
 
 
 def encode(df: DataFrame, id_cols: list[str], vocab: DataFrame, text_col: str = "text",

@@ -139,7 +139,7 @@ def fixed_vocab(df: DataFrame, text_col: str = "text", top_words: int = 500) ->
     """A vocabulary made by rule (for checks): specials, every character in
     both forms, then the ``top_words`` most frequent words of 2+ characters.
     """
-    wc = word_counts(df, text_col)
+    wc = word_counts(df, text_col).persist(StorageLevel.MEMORY_AND_DISK)   # read twice below
     chars = (wc.select(F.explode(F.regexp_extract_all("word", F.lit(CHAR), 0)).alias("c"))
              .distinct())
     specials = df.sparkSession.createDataFrame(

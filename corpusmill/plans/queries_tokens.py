@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import align as AL
@@ -23,8 +24,9 @@ IDS = ["article_id", "sent_idx"]
 
 
 def _sentences(spark, sf_dir):
+    """Kept sentences, persisted: vocabulary and encoding both read them."""
     docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "source", "text")
-    return S.sentences(S.articles_from_documents(docs), 5, 200)
+    return S.sentences(S.articles_from_documents(docs), 5, 200).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _vocab(spark, sf_dir, sents=None):
