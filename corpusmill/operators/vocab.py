@@ -6,8 +6,9 @@ row per task before the shuffle.  Each merge round explodes adjacent symbol
 pairs of every distinct word, sums their counts, and brings only the top
 candidates (a bounded list) to the driver; the chosen merges go back as a
 literal map and are applied by one left-to-right fold per word.  Merges
-chosen in one round share no symbol, so their order inside the round does
-not matter; ``merges_per_round=1`` is exact sequential BPE.
+chosen in one round can be applied in one pass with the same result as
+applying them one by one (see ``choose_merges``); ``merges_per_round=1`` is
+exact sequential BPE.
 """
 
 from __future__ import annotations
@@ -79,15 +80,22 @@ def apply_merges(symbols: Column, merges: dict[tuple[str, str], str]) -> Column:
 
 
 def choose_merges(cands: list, m: int, taken: set) -> list[tuple[str, str, int]]:
-    """Greedy non-conflicting choice from candidates sorted by priority."""
-    used, out = set(), []
+    """Greedy choice from candidates sorted by priority (count desc).
+
+    One left-to-right pass applies the chosen pairs exactly as sequential
+    application in priority order would, unless a lower-ranked pair ends on
+    the left symbol of a higher-ranked one (``w x`` before ``x y`` in
+    ``w x y``).  Such pairs, and pairs whose merged token exists, wait for a
+    later round, where their counts are recomputed.
+    """
+    lefts, out = set(), []
     for left, right, n in cands:
         if len(out) >= m:
             break
         tok = merged_token(left, right)
-        if left in used or right in used or tok in taken:
+        if right in lefts or tok in taken:
             continue
-        used.update((left, right))
+        lefts.add(left)
         out.append((left, right, n))
         taken.add(tok)
     return out
@@ -105,7 +113,11 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
     spark = df.sparkSession
     checkpoint_dir(spark)
     wc = word_counts(df, text_col).withColumn("syms", initial_symbols("word")).select("syms", "n")
-    wc = wc.groupBy("syms").agg(F.sum("n").alias("n")).checkpoint()
+    wc = wc.groupBy("syms").agg(F.sum("n").alias("n"))
+    par = spark.sparkContext.defaultParallelism
+    if wc.rdd.getNumPartitions() < par:          # small tables: use every core per round
+        wc = wc.repartition(par)
+    wc = wc.checkpoint()
     alphabet = sorted(r[0] for r in wc.select(F.explode("syms").alias("s")).distinct().collect())
     # alphabet is bounded by the character set, not by the data size
     vocab = list(SPECIALS) + sorted(a for a in alphabet if not a.startswith(CONT)) \
