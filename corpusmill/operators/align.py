@@ -31,12 +31,12 @@ def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col
     first piece only (K9), CLS/SEP added, then padded to or cut at
     ``max_length`` (K10; a cut may drop SEP, as in the reference).
     """
-    wp = word_pieces(df, id_cols, F.col(tokens_col), vocab)
-    x = wp.join(df.select(*id_cols, tokens_col, tags_col), id_cols)
+    # tags travel with their words, so the rows need no join back
+    x = word_pieces(df, id_cols, F.col(tokens_col), vocab, tag_array=F.col(tags_col))
     pieces = F.col("pieces")
     wid = F.flatten(F.transform(pieces, lambda p, i: F.array_repeat(i, F.size(p))))
     lab = F.flatten(F.transform(pieces, lambda p, i: F.concat(
-        F.array(F.element_at(F.col(tags_col), i + 1)),
+        F.array(F.element_at(F.col("tags"), i + 1)),
         F.array_repeat(F.lit(null_label), F.size(p) - 1))))
     ids = F.flatten(pieces)
     toks = F.flatten("piece_toks")
@@ -57,6 +57,6 @@ def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col
         if max_length is not None:
             v = pad_or_cut(v, max_length, F.lit(pad).cast(typ))
         out.append(v.alias(name))
-    return (x.select(*id_cols, *out, F.col(tokens_col).alias("words"))
+    return (x.select(*id_cols, *out, "words")
             .withColumn("text", tokens_to_text("toks", skip_special_tokens=True))
             .drop("toks"))

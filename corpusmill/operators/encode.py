@@ -36,14 +36,15 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
          .withColumn("chars", F.regexp_extract_all("word", F.lit(CHAR), 0))
          .withColumn("nc", F.size("chars"))
          .persist(StorageLevel.MEMORY_AND_DISK))
+    # (start, length) candidates; substring counts code points like ``chars``
     cand = (w.where((F.col("nc") > 0) & (F.col("nc") <= max_chars))
-            .select("word", "chars", "nc", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("i"))
-            .select("word", "i", "chars",
+            .select("word", "nc", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("i"))
+            .select("word", "i",
                     F.explode(F.sequence(F.lit(1), F.least(F.lit(lmax), F.col("nc") - F.col("i"))))
                     .alias("l"))
             .select("word", "i", "l",
                     F.concat(F.when(F.col("i") > 0, F.lit(CONT)).otherwise(F.lit("")),
-                             F.array_join(F.slice("chars", F.col("i") + 1, F.col("l")), ""))
+                             F.substring("word", F.col("i") + 1, F.col("l")))
                     .alias("token")))
     v = F.broadcast(vocab.select("token", "id"))          # size bounded by vocab_size
     # (length, id) packed in one bigint keeps the aggregate a hash aggregate
@@ -86,26 +87,39 @@ def _join_segments(occ: DataFrame, seg: DataFrame, n_words: int | None) -> DataF
 
 
 def word_pieces(df: DataFrame, id_cols: list[str], word_array: Column, vocab: DataFrame,
-                max_chars: int = MAX_CHARS_PER_WORD, check_size: bool = True) -> DataFrame:
-    """K4: ``(ids..., pieces array<array<int>>, piece_toks array<array<string>>)``
-    for an array of words per row, in word order.  Rows without words keep
-    empty arrays (``posexplode_outer``), so no join back to ``df`` is needed.
+                max_chars: int = MAX_CHARS_PER_WORD, check_size: bool = True,
+                tag_array: Column | None = None) -> DataFrame:
+    """K4: ``(ids..., pieces array<array<int>>, piece_toks array<array<string>>,
+    words array<string>[, tags array<int>])`` for an array of words per row,
+    in word order.  Rows without words keep empty arrays
+    (``posexplode_outer``), so no join back to ``df`` is needed; a per-word
+    ``tag_array`` travels with its word for the same reason.
 
     The occurrence table feeds both the distinct-word segmentation and the
     join, so it is persisted once instead of re-running the word regex.
     """
-    occ = (df.select(*id_cols, F.posexplode_outer(word_array).alias("widx", "word"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    if tag_array is None:
+        occ = df.select(*id_cols, F.posexplode_outer(word_array).alias("widx", "word"),
+                        F.lit(None).cast("int").alias("tag"))
+    else:
+        occ = (df.select(*id_cols, F.posexplode_outer(F.arrays_zip(word_array.alias("w"),
+                                                                   tag_array.alias("t")))
+                         .alias("widx", "z"))
+               .select(*id_cols, "widx", F.col("z.w").alias("word"), F.col("z.t").alias("tag")))
+    occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
     dw = occ.where(F.col("word").isNotNull()).select("word").distinct()
     seg = segment_words(dw, vocab, max_chars).persist(StorageLevel.MEMORY_AND_DISK)
     n_words = seg.count() if check_size else None
     j = occ.join(F.broadcast(seg) if n_words is not None and n_words <= BROADCAST_WORDS else seg,
                  "word", "left")
-    item = F.when(F.col("word").isNotNull(), F.struct("widx", "ids", "toks"))
-    return (j.groupBy(*id_cols)
-            .agg(F.array_sort(F.collect_list(item)).alias("ws"))
-            .select(*id_cols, F.transform("ws", lambda x: x["ids"]).alias("pieces"),
-                    F.transform("ws", lambda x: x["toks"]).alias("piece_toks")))
+    item = F.when(F.col("word").isNotNull(), F.struct("widx", "ids", "toks", "word", "tag"))
+    out = (j.groupBy(*id_cols)
+           .agg(F.array_sort(F.collect_list(item)).alias("ws"))
+           .select(*id_cols, F.transform("ws", lambda x: x["ids"]).alias("pieces"),
+                   F.transform("ws", lambda x: x["toks"]).alias("piece_toks"),
+                   F.transform("ws", lambda x: x["word"]).alias("words"),
+                   F.transform("ws", lambda x: x["tag"]).alias("tags")))
+    return out if tag_array is not None else out.drop("tags")
 
 
 def encode(df: DataFrame, id_cols: list[str], vocab: DataFrame, text_col: str = "text",
