@@ -173,3 +173,11 @@ def save_vocab(vocab: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def load_vocab(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def load_or_build_vocab(spark, path: str, build) -> DataFrame:
+    """Reuse a saved vocabulary, else build, save and return it."""
+    from ..sources.files import _fs_exists
+    if not _fs_exists(spark, path):
+        save_vocab(build(), path)
+    return load_vocab(spark, path)

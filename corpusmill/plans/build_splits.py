@@ -67,3 +67,29 @@ def build_splits(articles: DataFrame, budgets_mib: dict[str, float] = TEST_BUDGE
                   sent_min_spaces=min_spaces, sent_max_spaces=max_spaces,
                   use_transliteration=use_transliteration)
     return SplitBuild(sents, manifest, stats, bounds, config)
+
+
+def write_build(b: SplitBuild, out_dir: str, fmt: str = "parquet", compress: bool = True,
+                force_rebuild: bool = True) -> None:
+    """Sentences per split, the article manifest and the config.
+
+    With ``force_rebuild=False`` existing outputs are kept (write mode
+    ``ignore``), the reuse policy of the reference's loader.
+    """
+    from ..sources import files
+    mode = files.reload_mode(force_rebuild)
+    spark = b.sentences.sparkSession
+    files.write_sentences(b.sentences.select("split", "article_id", "sent_idx", "text"),
+                          f"{out_dir}/sentences", fmt, compress, mode)
+    files.write_manifest(b.manifest, f"{out_dir}/articles", compress, mode)
+    files.write_config(spark, b.config, f"{out_dir}/config", mode)
+
+
+def build_and_reload(articles: DataFrame, out_dir: str, budgets_mib: dict[str, float] = TEST_BUDGETS,
+                     fmt: str = "parquet", **kw) -> DataFrame:
+    """Build, write, and return the splits read back from storage (the
+    written table also cuts the lineage of the build)."""
+    from ..sources import files
+    b = build_splits(articles, budgets_mib, **kw)
+    write_build(b, out_dir, fmt)
+    return files.read_sentences(articles.sparkSession, f"{out_dir}/sentences", fmt)
