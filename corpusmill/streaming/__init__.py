@@ -1,0 +1 @@
+"""Structured Streaming entry points for the stateless text operators."""
