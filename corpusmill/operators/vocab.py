@@ -5,7 +5,7 @@ word count is one aggregate with map-side combine, so a hot word costs one
 row per task before the shuffle.  Each merge round explodes adjacent symbol
 pairs of every distinct word, sums their counts, and brings only the top
 candidates (a bounded list) to the driver; the chosen merges go back as a
-literal map and are applied by one left-to-right fold per word.  Merges
+literal key set and are applied by one left-to-right fold per word.  Merges
 chosen in one round can be applied in one pass with the same result as
 applying them one by one (see ``choose_merges``); ``merges_per_round=1`` is
 exact sequential BPE.
@@ -60,18 +60,25 @@ def merged_token(left: str, right: str) -> str:
 
 
 def apply_merges(symbols: Column, merges: dict[tuple[str, str], str]) -> Column:
-    """One left-to-right pass merging chosen adjacent pairs."""
+    """One left-to-right pass merging chosen adjacent pairs.
+
+    The merged token follows from the pair (``merged_token``), so the pass
+    only tests membership; an ``IN`` over many literals is planned as a hash
+    set (InSet), so a round costs O(1) per symbol whatever its merge count.
+    """
     if not merges:
         return symbols
-    m = F.create_map(*[x for (a, b), t in merges.items() for x in (F.lit(a + "\x00" + b), F.lit(t))])
+    keys = [a + "\x00" + b for (a, b) in merges]
     init = F.struct(F.array().cast("array<string>").alias("out"),
                     F.lit(None).cast("string").alias("prev"))
 
     def step(acc, x):
-        hit = F.try_element_at(m, F.concat(acc["prev"], F.lit("\x00"), x))
+        hit = F.concat(acc["prev"], F.lit("\x00"), x).isin(keys)
+        merged = F.concat(acc["prev"], F.when(x.startswith(CONT), F.substring(x, len(CONT) + 1, 1 << 30))
+                          .otherwise(x))
         return (F.when(acc["prev"].isNull(), F.struct(acc["out"].alias("out"), x.alias("prev")))
-                .when(hit.isNotNull(), F.struct(F.concat(acc["out"], F.array(hit)).alias("out"),
-                                                F.lit(None).cast("string").alias("prev")))
+                .when(hit, F.struct(F.concat(acc["out"], F.array(merged)).alias("out"),
+                                    F.lit(None).cast("string").alias("prev")))
                 .otherwise(F.struct(F.concat(acc["out"], F.array(acc["prev"])).alias("out"),
                                     x.alias("prev"))))
 
@@ -103,9 +110,16 @@ def choose_merges(cands: list, m: int, taken: set) -> list[tuple[str, str, int]]
 
 def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
                 merges_per_round: int = 500, min_pair_count: int = 2,
-                checkpoint_every: int = 5, max_rounds: int | None = None) -> DataFrame:
+                checkpoint_every: int = 5, max_rounds: int | None = None,
+                growth: float = 0.25) -> DataFrame:
     """K1: ``(token, id, kind)`` with specials, alphabet, then merges in order.
 
+    A round takes up to ``max(merges_per_round, growth * current size)``
+    merges from one pair count, so the number of rounds grows with the log
+    of ``vocab_size``; ``merges_per_round=1, growth=0`` is exact sequential
+    BPE.  Late merges are rare pairs, where counts taken one round earlier
+    differ least.
+
     ``kind`` is ``special`` / ``char`` / ``merge``.  The alphabet is every
     character of the train words (initial and ``##`` forms).
     """
@@ -126,7 +140,7 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
     taken = set(vocab)
     rounds = 0
     while len(vocab) < vocab_size and (max_rounds is None or rounds < max_rounds):
-        m = min(merges_per_round, vocab_size - len(vocab))
+        m = min(max(merges_per_round, int(growth * len(vocab))), vocab_size - len(vocab))
         top = (pair_counts(wc).where(F.col("n") >= min_pair_count)
                .orderBy(F.col("n").desc(), "left", "right").limit(4 * m + 16).collect())
         chosen = choose_merges([(r.left, r.right, r.n) for r in top], m, taken)
@@ -141,6 +155,7 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
             nxt = nxt.checkpoint()          # reliable, in the shared checkpoint folder
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            nxt.count()                     # materialize before the previous round is dropped
         wc.unpersist()
         wc = nxt
     rows = [(t, i, k) for i, (t, k) in enumerate(zip(vocab, kinds))]

@@ -125,7 +125,7 @@ def test_train_vocab_exact_mode_matches_brute_force(spark):
     wc = Counter({r.word: r.n for r in V.word_counts(sents).collect()})
     n_alpha = len({c for w in wc for c in [w[0]] + ["##" + x for x in w[1:]]})
     size = len(V.SPECIALS) + n_alpha + 25
-    got = [r.token for r in V.train_vocab(sents, vocab_size=size, merges_per_round=1)
+    got = [r.token for r in V.train_vocab(sents, vocab_size=size, merges_per_round=1, growth=0.0)
            .orderBy("id").collect()]
     assert got == _brute_bpe(wc, size)
 
