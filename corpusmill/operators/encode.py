@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import posexplode_rows
 from .vocab import CHAR, CLS_ID, CONT, PAD_ID, SEP_ID, SPECIALS, UNK_ID, words
 
 # Fixed value: words longer than this many characters become [UNK].
@@ -151,8 +152,9 @@ def encode_pairs(df: DataFrame, id_cols: list[str], vocab: DataFrame, a_col: str
                  b_col: str = "sentence2", max_length: int = 128) -> DataFrame:
     """K3: ``[CLS] a [SEP] b [SEP]`` with segment ids 0/1 and longest-first cut."""
     both = df.select(*id_cols, F.array(F.col(a_col), F.col(b_col)).alias("_ab"))
-    occ = (both.select(*id_cols, F.posexplode("_ab").alias("side", "_t"))
-           .select(*id_cols, "side", F.posexplode(words("_t")).alias("widx", "word")))
+    sides = posexplode_rows(both, id_cols, F.col("_ab"), "side", "_t")
+    occ = posexplode_rows(sides, [*id_cols, "side"], words("_t"), "widx", "word").persist(
+        StorageLevel.MEMORY_AND_DISK)
     seg = segment_words(occ.select("word").distinct(), vocab)
     j = _join_segments(occ, seg, seg.count())
     per = (j.groupBy(*id_cols)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import posexplode_rows
 from .align import NULL_LABEL
 
 
@@ -56,9 +57,9 @@ def entities(df: DataFrame, id_cols: list[str], pred_col: str = "pred", mask_col
     last_wid = F.try_element_at(F.col(word_ids_col), F.greatest(F.size(mask), F.lit(1)))
     cut = last_wid.isNotNull() if not strict_compat else F.lit(False)
     valid = F.when(cut, total - 1).otherwise(total - 2)
-    z = df.select(*id_cols, F.posexplode(F.arrays_zip(F.col(pred_col).alias("p"),
-                                                      F.col(word_ids_col).alias("w"))).alias("pos", "z"),
-                  F.col(words_col).alias("_words"), valid.alias("_valid"))
+    z = posexplode_rows(df, [*id_cols, F.col(words_col).alias("_words"), valid.alias("_valid")],
+                        F.arrays_zip(F.col(pred_col).alias("p"), F.col(word_ids_col).alias("w")),
+                        "pos", "z")
     z = z.where((F.col("pos") >= 1) & (F.col("pos") <= F.col("_valid")) & (F.col("z.p") != 0))
     word = F.coalesce(F.try_element_at("_words", F.col("z.w") + 1), F.lit("[INV]"))
     z = z.select(*id_cols, word.alias("word"), (F.col("pos") - 1).cast("bigint").alias("pos"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import spans as SP
+from ..functions.arrays import posexplode_rows
 from ..functions.text import lang_base
 from .sampling import hash_int
 
@@ -215,13 +216,13 @@ def anonymize_lines(df: DataFrame, group_cols: list[str], order_col: str, text_c
          .withColumn("_joined", F.array_join(F.transform("_lines", lambda x: x[text_col]), "\n")))
     lang = F.col(lang_col) if lang_col else None
     doc = anonymize_column("_joined", lang, **kw)
-    return (g.select(*group_cols, F.posexplode(splitlines(doc["text"])).alias("line_idx", text_col))
+    return (posexplode_rows(g, group_cols, splitlines(doc["text"]), "line_idx", text_col)
             .withColumn("line_idx", F.col("line_idx").cast("bigint")))
 
 
 def mentions_long(df: DataFrame, id_cols: list[str], spans_col: str) -> DataFrame:
     """Long form ``(ids..., idx, start, end, mention, tag)`` of a span array."""
-    return (df.select(*id_cols, F.posexplode(spans_col).alias("idx", "s"))
+    return (posexplode_rows(df, id_cols, F.col(spans_col), "idx", "s")
             .select(*id_cols, F.col("idx").cast("bigint").alias("idx"),
                     F.col("s.start").alias("start"), F.col("s.end").alias("end"),
                     F.col("s.text").alias("mention"), F.col("s.tag").alias("tag")))

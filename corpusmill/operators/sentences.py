@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import posexplode_rows
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:
@@ -45,6 +46,5 @@ def sentences(articles: DataFrame, min_spaces: int | None = 5, max_spaces: int |
     """P5: ``(article_id, sent_idx, text)``, one row per kept sentence."""
     s = T.keep_sentences(T.extract_sentences(text_col, use_transliteration),
                          min_spaces, max_spaces)
-    return (articles.select(F.col(id_col).alias("article_id"), s.alias("sents"))
-            .select("article_id", F.posexplode("sents").alias("sent_idx", "text"))
+    return (posexplode_rows(articles, [F.col(id_col).alias("article_id")], s, "sent_idx", "text")
             .withColumn("sent_idx", F.col("sent_idx").cast("bigint")))

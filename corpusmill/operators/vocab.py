@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..functions.arrays import explode_rows
 
 # Special tokens and their ids (BERT order).
 SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
@@ -34,7 +35,7 @@ def words(text) -> Column:
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word, n)`` over all rows (map-side combined)."""
-    return (df.select(F.explode(words(text_col)).alias("word"))
+    return (explode_rows(df, [], words(text_col), "word")
             .groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
@@ -167,8 +168,7 @@ def fixed_vocab(df: DataFrame, text_col: str = "text", top_words: int = 500) ->
     both forms, then the ``top_words`` most frequent words of 2+ characters.
     """
     wc = word_counts(df, text_col).persist(StorageLevel.MEMORY_AND_DISK)   # read twice below
-    chars = (wc.select(F.explode(F.regexp_extract_all("word", F.lit(CHAR), 0)).alias("c"))
-             .distinct())
+    chars = explode_rows(wc, [], F.regexp_extract_all("word", F.lit(CHAR), 0), "c").distinct()
     specials = df.sparkSession.createDataFrame(
         [(t, 0, i) for i, t in enumerate(SPECIALS)], "token string, grp int, k bigint")
     c0 = chars.select(F.col("c").alias("token"), F.lit(1).alias("grp"), F.lit(0).cast("bigint").alias("k"))

@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import posexplode_rows
 from ..operators import sampling as R
 from ..operators import sentences as S
 
@@ -44,9 +45,8 @@ def build_splits(articles: DataFrame, budgets_mib: dict[str, float] = TEST_BUDGE
     manifest = assigned.select(F.col("article_id").alias("id"), "title", "dataset_id",
                                "split", "seq")
     chosen = assigned.select("article_id", "split", "seq")
-    sents = (chosen.join(sized.select("article_id", "sents"), "article_id")
-             .select("split", "article_id", "seq",
-                     F.posexplode("sents").alias("sent_idx", "text"))
+    sents = (posexplode_rows(chosen.join(sized.select("article_id", "sents"), "article_id"),
+                             ["split", "article_id", "seq"], F.col("sents"), "sent_idx", "text")
              .withColumn("sent_idx", F.col("sent_idx").cast("bigint")))
     budgets = articles.sparkSession.createDataFrame(
         [(k, int(float(v) * R.MIB)) for k, v in budgets_mib.items()],

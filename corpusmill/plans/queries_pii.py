@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions import spans as SP
 from ..functions.text import lang_base
+from ..functions.arrays import explode_rows, posexplode_rows
 from ..operators import pii as PII
 from ..sources.tables import table, text_table
 from . import oracle_pii as OP
@@ -23,7 +24,7 @@ def _docs(spark, sf_dir):
 
 
 def _explode(df, spans, extra=()):
-    return (df.select("doc_id", F.explode(spans).alias("s"))
+    return (explode_rows(df, ["doc_id"], spans, "s")
             .select("doc_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
                     F.col("s.text").alias("mention"), *extra))
 
@@ -116,8 +117,8 @@ SELECT _k AS doc_id, idx, tag, mention, start, "end", sur AS surrogate, new_star
        CAST(new_start + length(sur) AS BIGINT) AS new_end FROM rep""")
 def q_anonymize_mentions(spark, sf_dir):
     out = PII.anonymize(_docs(spark, sf_dir), "text", "lang", WINDOW, True, P.DEFAULT_TAGS, SEED)
-    z = out.select("doc_id", F.posexplode(F.arrays_zip(F.col("doc.orig_ner").alias("o"),
-                                                       F.col("doc.ner").alias("n"))).alias("idx", "p"))
+    z = posexplode_rows(out, ["doc_id"], F.arrays_zip(F.col("doc.orig_ner").alias("o"),
+                                                      F.col("doc.ner").alias("n")), "idx", "p")
     return z.select("doc_id", F.col("idx").cast("bigint").alias("idx"),
                     F.col("p.o.tag").alias("tag"), F.col("p.o.text").alias("mention"),
                     F.col("p.o.start").alias("start"), F.col("p.o.end").alias("end"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import posexplode_rows
 from ..operators import sentences as S
 from ..sources.tables import table, text_table
 from . import oracle_text as O
@@ -44,9 +45,8 @@ SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_idx,
        unnest(ls) AS line
 FROM l""")
 def q_extract_lines(spark, sf_dir):
-    return (_docs(spark, sf_dir, "doc_id", "text")
-            .select("doc_id", F.posexplode(T.extract_lines(T.clean_ascii("text")))
-                    .alias("line_idx", "line"))
+    return (posexplode_rows(_docs(spark, sf_dir, "doc_id", "text"), ["doc_id"],
+                            T.extract_lines(T.clean_ascii("text")), "line_idx", "line")
             .withColumn("line_idx", F.col("line_idx").cast("bigint")))
 
 

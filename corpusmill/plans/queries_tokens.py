@@ -12,6 +12,7 @@ from ..operators import pad as PD
 from ..operators import sampling as R
 from ..operators import sentences as S
 from ..operators import vocab as V
+from ..functions.arrays import explode_rows
 from ..sources.tables import table, text_table
 from . import oracle_tokens as OT
 from .oracle_text import q
@@ -256,7 +257,7 @@ def q_tagged_tokens(spark, sf_dir):
 SELECT CAST(count(DISTINCT t) AS BIGINT) AS num_classes FROM (SELECT unnest(tags) AS t FROM tt2)""")
 def q_num_classes(spark, sf_dir):
     t = AL.tagged_tokens(_sentences(spark, sf_dir), IDS)
-    return t.select(F.explode("ner_tags").alias("t")).agg(
+    return explode_rows(t, [], F.col("ner_tags"), "t").agg(
         F.countDistinct("t").cast("bigint").alias("num_classes"))
 
 
