@@ -24,56 +24,63 @@ MAX_CHARS_PER_WORD = 100
 BROADCAST_WORDS = 2_000_000
 
 
-def max_piece_chars(vocab: DataFrame) -> int:
-    return vocab.agg(F.max(F.length(F.regexp_replace("token", "^##", "")))).first()[0] or 1
+def max_piece_chars(vocab: DataFrame) -> tuple[int, int]:
+    """Longest initial piece and longest ``##`` piece (characters after ``##``)."""
+    cont = F.col("token").startswith(CONT)
+    r = vocab.agg(F.max(F.when(~cont, F.length("token"))).alias("a"),
+                  F.max(F.when(cont, F.length("token") - len(CONT))).alias("b")).first()
+    return int(r["a"] or 0), int(r["b"] or 0)
 
 
 def segment_words(distinct_words: DataFrame, vocab: DataFrame,
                   max_chars: int = MAX_CHARS_PER_WORD) -> DataFrame:
-    """``(word, ids array<int>, toks array<string>)`` for each distinct word."""
-    lmax = max_piece_chars(vocab)
-    # used twice below (candidates and the walk), so computed once
+    """``(word, ids array<int>, toks array<string>)`` for each distinct word.
+
+    Candidates are (start, length) pieces up to the longest vocabulary piece
+    of their form; one broadcast hash join keeps those in the vocabulary;
+    one ordered collect per word (start ascending, length descending) feeds
+    a linear greedy walk.  The words arrive hash-partitioned by ``word``
+    (they are distinct), so the collect needs no further exchange.
+    """
+    l0, l1 = max_piece_chars(vocab)
     w = (distinct_words.select("word")
-         .withColumn("chars", F.regexp_extract_all("word", F.lit(CHAR), 0))
-         .withColumn("nc", F.size("chars"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    # (start, length) candidates; substring counts code points like ``chars``
+         .withColumn("nc", F.length("word"))
+         .persist(StorageLevel.MEMORY_AND_DISK))         # read by the candidates and the walk
+    lmax = F.when(F.col("i") == 0, F.lit(l0)).otherwise(F.lit(l1))
     cand = (w.where((F.col("nc") > 0) & (F.col("nc") <= max_chars))
             .select("word", "nc", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("i"))
+            .where(lmax > 0)
             .select("word", "i",
-                    F.explode(F.sequence(F.lit(1), F.least(F.lit(lmax), F.col("nc") - F.col("i"))))
-                    .alias("l"))
+                    F.explode(F.sequence(F.lit(1), F.least(lmax, F.col("nc") - F.col("i")))).alias("l"))
             .select("word", "i", "l",
                     F.concat(F.when(F.col("i") > 0, F.lit(CONT)).otherwise(F.lit("")),
-                             F.substring("word", F.col("i") + 1, F.col("l")))
-                    .alias("token")))
+                             F.substring("word", F.col("i") + 1, F.col("l"))).alias("token")))
     v = F.broadcast(vocab.select("token", "id"))          # size bounded by vocab_size
-    # (length, id) packed in one bigint keeps the aggregate a hash aggregate
-    packed = F.col("l").cast("bigint") * F.lit(1 << 32) + F.col("id").cast("bigint")
-    best = (cand.join(v, "token")
-            .groupBy("word", "i").agg(F.max(packed).alias("b"))
-            .groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("i", "b"))).alias("bm")))
-    j = w.join(best, "word", "left")
+    hits = (cand.join(v, "token")
+            .groupBy("word")
+            .agg(F.array_sort(F.collect_list(F.struct("i", (-F.col("l")).alias("nl"), "id")))
+                 .alias("hs")))
+    j = w.join(hits, "word", "left")
     init = F.struct(F.lit(0).alias("pos"), F.lit(True).alias("ok"),
                     F.array().cast("array<int>").alias("ids"),
                     F.array().cast("array<string>").alias("toks"))
 
-    def step(acc, i):
-        b = F.try_element_at(F.col("bm"), i)
-        ln = F.floor(b / F.lit(1 << 32)).cast("int")
-        tid = (b % F.lit(1 << 32)).cast("int")
-        tok = F.concat(F.when(i > 0, F.lit(CONT)).otherwise(F.lit("")),
-                       F.array_join(F.slice(F.col("chars"), i + 1, ln), ""))
-        at = (i == acc["pos"]) & acc["ok"]
-        return (F.when(at & b.isNull(), F.struct(acc["pos"].alias("pos"), F.lit(False).alias("ok"),
-                                                 acc["ids"].alias("ids"), acc["toks"].alias("toks")))
-                .when(at, F.struct((i + ln).alias("pos"), F.lit(True).alias("ok"),
-                                   F.concat(acc["ids"], F.array(tid)).alias("ids"),
-                                   F.concat(acc["toks"], F.array(tok)).alias("toks")))
-                .otherwise(acc))
-
-    walk = F.aggregate(F.sequence(F.lit(0), F.greatest(F.col("nc") - 1, F.lit(0))), init, step)
-    good = walk["ok"] & F.col("bm").isNotNull() & (F.col("nc") <= max_chars) & (F.col("nc") > 0)
+    def step(acc, h):
+        ln = -h["nl"]
+        tok = F.concat(F.when(h["i"] > 0, F.lit(CONT)).otherwise(F.lit("")),
+                       F.substring(F.col("word"), h["i"] + 1, ln))
+        take = F.struct((h["i"] + ln).alias("pos"), F.lit(True).alias("ok"),
+                        F.concat(acc["ids"], F.array(h["id"])).alias("ids"),
+                        F.concat(acc["toks"], F.array(tok)).alias("toks"))
+        fail = F.struct(acc["pos"].alias("pos"), F.lit(False).alias("ok"),
+                        acc["ids"].alias("ids"), acc["toks"].alias("toks"))
+        return (F.when(~acc["ok"] | (h["i"] < acc["pos"]), acc)
+                .when(h["i"] == acc["pos"], take)
+                .otherwise(fail))                       # nothing starts at pos
+
+    walk = F.aggregate(F.coalesce("hs", F.array().cast("array<struct<i:int,nl:int,id:int>>")),
+                       init, step)
+    good = walk["ok"] & (walk["pos"] == F.col("nc")) & (F.col("nc") <= max_chars) & (F.col("nc") > 0)
     return j.select("word",
                     F.when(good, walk["ids"]).otherwise(F.array(F.lit(UNK_ID))).alias("ids"),
                     F.when(good, walk["toks"]).otherwise(F.array(F.lit(SPECIALS[UNK_ID]))).alias("toks"))
