@@ -68,14 +68,14 @@ DETECTORS = {
     "USER": r"(^|[ (])(@[A-Za-z0-9_]{2,30})<E>",
     "LICENSE_PLATE": r"<B>[A-Z]{1,3}[ -][0-9]{1,4}<E>",
     # group 1 is the honorific; the mention (the name) is group 2
-    "PERSON": r"<B>(?:Dr|Mr|Mrs|Ms|Prof|Sr|Sra|Mme|Herr|Frau)\.? "
+    "PERSON": r"<B>((?:Dr|Mr|Mrs|Ms|Prof|Sr|Sra|Mme|Herr|Frau)\.? )"
               r"([A-Z][a-z]+(?: [A-Z][a-z]+)*)<E>",
 }
 
 # Detectors whose mention is a capture group after a consumed prefix.
-PREFIX_GROUP = {"USER"}
+PREFIX_GROUP = {"USER", "PERSON"}
 # Detectors whose mention is group 1 *inside* the match (prefix = text before).
-INNER_GROUP = {"PERSON"}
+INNER_GROUP: set = set()
 
 # Default tag set (all eight types).
 DEFAULT_TAGS = ("IP_ADDRESS", "KEY", "ID", "PHONE", "USER", "EMAIL", "LICENSE_PLATE", "PERSON")

@@ -19,13 +19,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
-    """array<struct<start,end,text,tag>> of the matches of ``pattern``.
+MARK = "\x00"
 
-    With ``group > 0`` the mention is that group, which must end where the
-    match ends (a consumed prefix such as an honorific or a leading space).
-    """
-    t = _col(text)
+
+def _two_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
+    """Matches from ``regexp_extract_all`` and gaps from ``split``."""
     p = F.lit(pattern)
     m0 = F.regexp_extract_all(t, p, 0)
     mg = F.regexp_extract_all(t, p, group) if group else m0
@@ -50,6 +48,37 @@ def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
     return F.aggregate(items, init, step, lambda acc: acc["out"])
 
 
+def _one_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
+    """One regex pass: mark each mention with ``\x00`` on both sides, split
+    on the mark (a literal), and walk the pieces; odd pieces are mentions."""
+    repl = f"{MARK}$0{MARK}" if not group else f"$1{MARK}${group}{MARK}"
+    parts = F.split(F.regexp_replace(t, pattern, repl), MARK, -1)
+    init = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(False).alias("odd"),
+                    F.array().cast(f"array<{SPAN_TYPE}>").alias("out"))
+
+    def step(acc, x):
+        ln = F.length(x).cast("bigint")
+        span = F.struct(acc["pos"].alias("start"), (acc["pos"] + ln).alias("end"), x.alias("text"),
+                        F.lit(tag).alias("tag"))
+        out = F.when(acc["odd"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        return F.struct((acc["pos"] + ln).alias("pos"), (~acc["odd"]).alias("odd"), out.alias("out"))
+
+    return F.aggregate(parts, init, step, lambda acc: acc["out"])
+
+
+def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
+    """array<struct<start,end,text,tag>> of the matches of ``pattern``.
+
+    With ``group > 0`` the match must be group 1 followed by group ``group``
+    (a consumed prefix such as a leading space or an honorific) and the
+    mention is group ``group``.  Texts without ``\x00`` take one regex pass;
+    the rare text that contains the marker takes the two-pass form.
+    """
+    t = _col(text)
+    return F.when(F.instr(t, MARK) > 0, _two_pass_spans(t, pattern, tag, group)) \
+        .otherwise(_one_pass_spans(t, pattern, tag, group))
+
+
 def context_of(text, span, window: int) -> Column:
     """``window`` characters on each side of a span, lower-cased."""
     t = _col(text)

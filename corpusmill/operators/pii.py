@@ -66,7 +66,7 @@ def detect_type(text, lang, tag: str, context_window: int = 20) -> Column:
 
 def detect_person_names(text) -> Column:
     """F4 (re-aimed): ``Given Surname`` pairs from a fixed given-name list."""
-    return SP.regex_spans(_col(text), P.name_list_pattern("java"), "PERSON", 1)
+    return SP.regex_spans(_col(text), P.name_list_pattern("java"), "PERSON", 0)
 
 
 def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,

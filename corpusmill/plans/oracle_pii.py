@@ -55,7 +55,7 @@ def type_sql(tag: str, window: int = 20, src: str = "src") -> str:
 
 def person_sql(src: str = "src") -> str:
     return (f"(SELECT * FROM {type_sql('PERSON', src=src)} UNION "
-            f"SELECT * FROM {spans_sql('PERSON', P.name_list_pattern('re2'), 1, src)})")
+            f"SELECT * FROM {spans_sql('PERSON', P.name_list_pattern('re2'), 0, src)})")
 
 
 def candidates_sql(tags=P.DEFAULT_TAGS, window: int = 20, src: str = "src") -> str:
