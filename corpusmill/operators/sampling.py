@@ -67,9 +67,13 @@ def prefix_positions(df: DataFrame, order_cols: list, bucket: Column,
     return out.drop("_bucket", "_size", "_lseq", "_lcum", "_noff", "_soff")
 
 
-def hash_bucket(key_col: str, hex_digits: int = 3) -> Column:
+def hash_bucket_of(key: Column, hex_digits: int = 3) -> Column:
     """Monotone bucket of an md5 hex key: its first ``hex_digits`` digits."""
-    return F.conv(F.substring(F.col(key_col), 1, hex_digits), 16, 10).cast("int")
+    return F.conv(F.substring(key, 1, hex_digits), 16, 10).cast("int")
+
+
+def hash_bucket(key_col: str, hex_digits: int = 3) -> Column:
+    return hash_bucket_of(F.col(key_col), hex_digits)
 
 
 def seeded_order(df: DataFrame, id_col: str, seed: int | None = 0,
@@ -121,7 +125,7 @@ def split_label(bounds: list[tuple[str, int, int]], seq: str = "seq") -> Column:
 
 def budget_split(sized: DataFrame, budgets_mib: dict[str, float], seed: int | None = 0,
                  id_col: str = "article_id", size_col: str = "size_bytes",
-                 hex_digits: int = 3) -> tuple[DataFrame, list]:
+                 hex_digits: int = 3, return_positions: bool = False):
     """R2: assign articles to size-budgeted, disjoint splits.
 
     ``sized`` has one row per article with its kept size.  Returns the
@@ -132,7 +136,7 @@ def budget_split(sized: DataFrame, budgets_mib: dict[str, float], seed: int | No
     bounds = split_boundaries(pos, budgets_mib)
     last = max([hi for _, lo, hi in bounds if hi >= lo], default=-1)
     assigned = pos.where(F.col("seq") <= last).withColumn("split", split_label(bounds))
-    return assigned, bounds
+    return (assigned, bounds, pos) if return_positions else (assigned, bounds)
 
 
 def cap_first_n(df: DataFrame, n: int | None, order_cols: list, split_col: str = "split",

@@ -32,16 +32,55 @@ class SplitBuild:
     config: dict
 
 
+def _sized(articles: DataFrame, min_spaces, max_spaces, use_transliteration) -> DataFrame:
+    return (S.sentence_arrays(articles, min_spaces, max_spaces, use_transliteration)
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
 def build_splits(articles: DataFrame, budgets_mib: dict[str, float] = TEST_BUDGETS,
                  shuffle: bool = True, seed: int = 0, min_spaces: int | None = 5,
                  max_spaces: int | None = 200, use_transliteration: bool = False,
-                 hex_digits: int = 3) -> SplitBuild:
-    sized = (S.sentence_arrays(articles, min_spaces, max_spaces, use_transliteration)
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    narrow = sized.select("article_id", "title", "dataset_id", "n_sent", "size_bytes")
-    assigned, bounds = R.budget_split(narrow, budgets_mib, seed if shuffle else None,
-                                      id_col="article_id" if shuffle else "dataset_id",
-                                      hex_digits=hex_digits)
+                 hex_digits: int = 3, early_stop: bool = True,
+                 first_fraction: float = 1 / 16) -> SplitBuild:
+    """Sentences of seeded, size-budgeted, disjoint splits.
+
+    With ``early_stop`` (shuffled order only) sentences are extracted for a
+    prefix of the hash order (the first buckets), and the prefix doubles
+    until the last split closes inside it.  Boundaries depend only on the
+    order prefix, so the result equals the full walk; a small budget over a
+    huge corpus then extracts only the articles it needs.
+    """
+    id_col = "article_id" if shuffle else "dataset_id"
+    n_b = 16 ** hex_digits
+    if not (early_stop and shuffle):
+        sized = _sized(articles, min_spaces, max_spaces, use_transliteration)
+        narrow = sized.select("article_id", "title", "dataset_id", "n_sent", "size_bytes")
+        assigned, bounds = R.budget_split(narrow, budgets_mib, seed if shuffle else None,
+                                          id_col=id_col, hex_digits=hex_digits)
+    else:
+        need = sum(float(v) for v in budgets_mib.values()) * R.MIB
+        bucket = R.hash_bucket_of(R.shuffle_key("article_id", seed), hex_digits)
+        parts, lo, hi = [], 0, max(1, int(n_b * first_fraction))
+        while True:
+            # extract only the new bucket range; earlier ranges stay persisted
+            part = articles.where((bucket >= F.lit(lo)) & (bucket < F.lit(hi)))
+            parts.append(_sized(part, min_spaces, max_spaces, use_transliteration))
+            sized = parts[0]
+            for x in parts[1:]:
+                sized = sized.unionByName(x)
+            narrow = sized.select("article_id", "title", "dataset_id", "n_sent", "size_bytes")
+            assigned, bounds, pos = R.budget_split(narrow, budgets_mib, seed, id_col=id_col,
+                                                   hex_digits=hex_digits, return_positions=True)
+            if hi >= n_b:
+                break
+            n_rows, kept = pos.agg(F.count(F.lit(1)), F.sum("size_bytes")).first()
+            split, first, last = bounds[-1]
+            if last >= first and last + 1 < n_rows:
+                break                                # the last split closed inside the prefix
+            pos.unpersist()
+            # extrapolate the prefix from the kept bytes seen so far (at least double it)
+            guess = int(hi * 1.25 * need / kept) + 1 if kept else 2 * hi
+            lo, hi = hi, min(n_b, max(2 * hi, guess))
     manifest = assigned.select(F.col("article_id").alias("id"), "title", "dataset_id",
                                "split", "seq")
     chosen = assigned.select("article_id", "split", "seq")

@@ -52,3 +52,19 @@ def test_splits_disjoint_and_budget_bound(spark):
         size = stats[split].size_bytes
         assert size > budget * R.MIB
         assert size - last.sz <= budget * R.MIB
+
+
+def test_early_stop_equals_full_walk(spark):
+    from corpusmill.plans.build_splits import build_splits
+    from corpusmill.operators.sentences import articles_from_documents
+    from corpusmill.sources.tables import table
+    from conftest import SF01
+    arts = articles_from_documents(table(spark, SF01, "documents", "doc_id", "source", "text"))
+    budgets = {"train": 0.2, "val": 0.05, "test": 0.05}
+    fast = build_splits(arts, budgets, early_stop=True, first_fraction=1 / 64)
+    full = build_splits(arts, budgets, early_stop=False)
+    assert fast.bounds == full.bounds
+    cols = ["split", "article_id", "sent_idx", "text"]
+    assert sorted(map(tuple, fast.sentences.select(cols).collect())) == \
+        sorted(map(tuple, full.sentences.select(cols).collect()))
+    assert sorted(map(tuple, fast.manifest.collect())) == sorted(map(tuple, full.manifest.collect()))
