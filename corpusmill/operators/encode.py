@@ -24,6 +24,15 @@ MAX_CHARS_PER_WORD = 100
 BROADCAST_WORDS = 2_000_000
 
 
+# A vocabulary is broadcast into lookups only up to this many tokens.
+BROADCAST_VOCAB = 1_000_000
+
+
+def _small(vocab: DataFrame) -> DataFrame:
+    """Broadcast hint for a vocabulary whose size was checked."""
+    return F.broadcast(vocab) if vocab.count() <= BROADCAST_VOCAB else vocab
+
+
 def max_piece_chars(vocab: DataFrame) -> tuple[int, int]:
     """Longest initial piece and longest ``##`` piece (characters after ``##``)."""
     cont = F.col("token").startswith(CONT)
@@ -55,7 +64,7 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
             .select("word", "i", "l",
                     F.concat(F.when(F.col("i") > 0, F.lit(CONT)).otherwise(F.lit("")),
                              F.substring("word", F.col("i") + 1, F.col("l"))).alias("token")))
-    v = F.broadcast(vocab.select("token", "id"))          # size bounded by vocab_size
+    v = _small(vocab.select("token", "id"))          # checked: bounded by vocab_size
     hits = (cand.join(v, "token")
             .groupBy("word")
             .agg(F.array_sort(F.collect_list(F.struct("i", (-F.col("l")).alias("nl"), "id")))
@@ -183,7 +192,7 @@ def encode_pairs(df: DataFrame, id_cols: list[str], vocab: DataFrame, a_col: str
 def ids_to_tokens(df: DataFrame, id_cols: list[str], ids_col: str, vocab: DataFrame) -> DataFrame:
     """K6: ``tokens`` for an id array (explode, broadcast vocab, re-collect)."""
     occ = df.select(*id_cols, F.posexplode(ids_col).alias("pos", "id"))
-    j = occ.join(F.broadcast(vocab.select("id", "token")), "id", "left")   # vocab is bounded
+    j = occ.join(_small(vocab.select("id", "token")), "id", "left")
     per = (j.groupBy(*id_cols)
            .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("token", F.lit(SPECIALS[UNK_ID]))
                                                                 .alias("token")))).alias("ts"))

@@ -168,9 +168,19 @@ def sample_k(df: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:
     return top.withColumn("sample_rank", (F.row_number().over(w) - 1).cast("bigint")).drop("_k")
 
 
+BROADCAST_IDS = 1_000_000
+
+
 def rows_by_index(df: DataFrame, index: DataFrame, on: str) -> DataFrame:
-    """Rows whose index appears in ``index`` (a bounded id list)."""
-    return df.join(F.broadcast(index.select(on).distinct()), on, "left_semi")
+    """Rows whose index appears in ``index``.
+
+    The id list is broadcast only after a count shows it is small; a large
+    list takes a shuffle semi join.
+    """
+    ids = index.select(on).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, on, "left_semi")
 
 
 def ids_in_all_splits(data: DataFrame, id_col: str = "article_id", split_col: str = "split",
