@@ -40,7 +40,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached in local runs (tests, bench); a cluster names its own.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: iterative operators "
+                               "cut their lineage there")
+        # Local runs only (tests, bench): a machine-local folder is fine there.
         d = tempfile.mkdtemp(prefix="corpusmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d
