@@ -25,7 +25,8 @@ def tagged_tokens(df: DataFrame, id_cols: list[str], text_col: str = "text") ->
 
 def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col: str = "tokens",
                  tags_col: str = "ner_tags", max_length: int | None = 128,
-                 add_special_tokens: bool = True, null_label: int = NULL_LABEL) -> DataFrame:
+                 add_special_tokens: bool = True, null_label: int = NULL_LABEL,
+                 check_lengths: bool = False) -> DataFrame:
     """``input_ids, token_type_ids, attention_mask, word_ids, labels,
     words, text`` per row; word id repeated per piece (K8), label on the
     first piece only (K9), CLS/SEP added, then padded to or cut at
@@ -57,6 +58,14 @@ def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col
         if max_length is not None:
             v = pad_or_cut(v, max_length, F.lit(pad).cast(typ))
         out.append(v.alias(name))
-    return (x.select(*id_cols, *out, "words")
-            .withColumn("text", tokens_to_text("toks", skip_special_tokens=True))
-            .drop("toks"))
+    res = (x.select(*id_cols, *out, "words")
+           .withColumn("text", tokens_to_text("toks", skip_special_tokens=True))
+           .drop("toks"))
+    if check_lengths:
+        # Every per-token array has one length (max_length when padding)
+        want = F.lit(max_length) if max_length is not None else F.size("input_ids")
+        ok = F.lit(True)
+        for c in ("input_ids", "token_type_ids", "attention_mask", "word_ids", "labels"):
+            ok = ok & (F.size(c) == want)
+        res = res.withColumn("_ok", F.assert_true(ok, "aligned arrays differ in length")).drop("_ok")
+    return res

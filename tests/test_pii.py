@@ -77,3 +77,15 @@ def test_splitlines(spark):
     df = spark.createDataFrame([("a\nb\r\nc\rd\x0be\n",), ("",), ("x",)], "t string")
     got = [r.l for r in df.select(pii.splitlines("t").alias("l")).collect()]
     assert got == ["a\nb\r\nc\rd\x0be\n".splitlines(), "".splitlines(), ["x"]]
+
+
+def test_plugin_detector(spark):
+    """An extra detector returning spans is merged, sorted and replaced."""
+    from corpusmill.functions.spans import regex_spans
+
+    def city(text, lang):
+        return regex_spans(text, "Reykjavik", "LOCATION")
+    df = spark.createDataFrame([(1, "Ann wrote from Reykjavik to a@b.org")], "id int, text string")
+    doc = pii.anonymize(df, lang_col=None, extra_detectors=[city]).first().doc
+    assert [(m.tag, m.start, m.end) for m in doc.orig_ner] == [("LOCATION", 15, 24), ("EMAIL", 28, 35)]
+    assert "Reykjavik" not in doc.text and "[REDACTED]" in doc.text

@@ -153,3 +153,10 @@ def test_batched_merges_equal_sequential_application(spark):
             q = out
         return q
     assert got == [seq(q) for q, _ in rows]
+
+
+def test_length_checks(spark, small_vocab):
+    df = spark.createDataFrame([(1, ["Ann", "visited"], [1, 0])],
+                               "id int, tokens array<string>, ner_tags array<int>")
+    r = AL.align_labels(df, ["id"], small_vocab, max_length=8, check_lengths=True).first()
+    assert len(r.input_ids) == len(r.labels) == len(r.word_ids) == 8
