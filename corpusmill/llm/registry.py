@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-MODULES = ("q_dedup",)
+MODULES = ("q_dedup", "q_scan")
 
 
 def register(name: str, sql: str | None = None):
