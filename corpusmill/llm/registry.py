@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-MODULES = ("q_dedup", "q_scan")
+MODULES = ("q_dedup", "q_scan", "q_layout", "q_text")
 
 
 def register(name: str, sql: str | None = None):
