@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import chat
+from corpusmill.llm import chat, decontam
 from corpusmill.llm.common import read
 from corpusmill.llm.registry import register
 
@@ -25,3 +25,9 @@ FROM c GROUP BY conv_id
 def op5(spark, sf_dir):
     rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return chat.digest_columns(chat.format_log(chat.events_of(rows.unionByName(chat.probe(spark)))))
+
+
+@register("op6_decontam")
+def op6(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
