@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import chat, decontam
+from corpusmill.llm import chat, decontam, quality
 from corpusmill.llm.common import read
 from corpusmill.llm.registry import register
 
@@ -31,3 +31,10 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return decontam.contaminated(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@register("op8_quality")
+def op8(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.classify(docs, model)
