@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import exact_dedup
+from corpusmill.llm import exact_dedup, ngram_join
 from corpusmill.llm.common import read
 from corpusmill.llm.registry import register
 
@@ -23,3 +23,8 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
 @register("op9_exact_dedup", SQL9)
 def op9(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"), hash_all=True)
+
+
+@register("op4_ngram_join")
+def op4(spark, sf_dir):
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
