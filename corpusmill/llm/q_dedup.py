@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import exact_dedup, ngram_join
+from corpusmill.llm import exact_dedup, ngram_join, repeats
 from corpusmill.llm.common import read
 from corpusmill.llm.registry import register
 
@@ -28,3 +28,8 @@ def op9(spark, sf_dir):
 @register("op4_ngram_join")
 def op4(spark, sf_dir):
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op7_substring_dedup")
+def op7(spark, sf_dir):
+    return repeats.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
