@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-MODULES = ("q_dedup", "q_scan", "q_layout", "q_text")
+MODULES = ("q_dedup", "q_scan", "q_layout", "q_text", "q_pipeline")
 
 
 def register(name: str, sql: str | None = None):
