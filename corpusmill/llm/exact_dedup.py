@@ -46,11 +46,13 @@ def surviving_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hash_all: bool = False) -> DataFrame:
+                hash_all: bool = False, with_place: bool = False) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     ``text_sha256`` is null for rows that the refinement settles without
     their full content, unless ``hash_all`` asks for every row's digest.
+    ``with_place`` adds ``place``, the row's number in the scan of ``docs``
+    (``monotonically_increasing_id``), which tells repeated rows apart.
     """
     slot = F.pmod(F.xxhash64("len", "prefix"), F.lit(FLAG_ROWS * FLAG_SLOTS))
     flags = (surviving_keys(docs, id_col, text_col).select(slot.alias("slot")).distinct()
@@ -78,4 +80,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("pos") == F.col("best_pos"))).alias("kept"), "text_sha256")
+        (alone | (F.col("pos") == F.col("best_pos"))).alias("kept"), "text_sha256",
+        *([F.col("pos").alias("place")] if with_place else []))
