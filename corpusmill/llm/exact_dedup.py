@@ -40,7 +40,8 @@ def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def surviving_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(len, prefix) keys that more than one row has, refined in two steps."""
     f = _features(docs, id_col, text_col).select("len", F.xxhash64(F.substring("norm", 1, PREFIX)).alias("prefix"))
-    by_prefix = f.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    # Written once: both steps read it, and the texts are scanned once for both.
+    by_prefix = materialize(f.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")), "prefixes")
     by_len = by_prefix.groupBy("len").agg(F.sum("n").alias("n_len")).filter("n_len > 1")
     return by_prefix.join(by_len, "len", "left_semi").filter("n > 1").select("len", "prefix")
 
