@@ -63,9 +63,9 @@ DETECTORS = {
                   r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])<E>",
     "PHONE": r"(?:\+[0-9]{1,3}[ -])?(?:\([0-9]{3}\) |[0-9]{3}-)[0-9]{3}-[0-9]{4}<E>",
     "KEY": r"<B>[A-Fa-f0-9]{32,}<E>",
-    "ID": r"<B>[0-9]{9,19}<E>",
+    "ID": r"<B>[0-9]{9,}<E>",
     # group 1 is a consumed prefix; the mention is group 2
-    "USER": r"(^|[ (])(@[A-Za-z0-9_]{2,30})<E>",
+    "USER": r"(^|[ (])(@[A-Za-z0-9_]{2,})<E>",
     "LICENSE_PLATE": r"<B>[A-Z]{1,3}[ -][0-9]{1,4}<E>",
     # group 1 is the honorific; the mention (the name) is group 2
     "PERSON": r"<B>((?:Dr|Mr|Mrs|Ms|Prof|Sr|Sra|Mme|Herr|Frau)\.? )"
@@ -74,8 +74,6 @@ DETECTORS = {
 
 # Detectors whose mention is a capture group after a consumed prefix.
 PREFIX_GROUP = {"USER", "PERSON"}
-# Detectors whose mention is group 1 *inside* the match (prefix = text before).
-INNER_GROUP: set = set()
 
 # Default tag set (all eight types).
 DEFAULT_TAGS = ("IP_ADDRESS", "KEY", "ID", "PHONE", "USER", "EMAIL", "LICENSE_PLATE", "PERSON")

@@ -88,17 +88,36 @@ def context_of(text, span, window: int) -> Column:
     return F.lower(F.concat(left, F.lit(" "), right))
 
 
-def non_overlapping(spans) -> Column:
-    """Greedy left-to-right choice over spans sorted by (start, end desc, ...)."""
-    init = F.struct(F.lit(0).cast("bigint").alias("last"),
+def covering_spans(spans, priority: dict[str, int]) -> Column:
+    """Overlapping spans become one span that covers them all.
+
+    ``spans`` are sorted by start (``sort_spans``).  The cover takes the tag
+    of highest priority among its parts, so no character of any mention is
+    left outside the result.
+    """
+    prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
+
+    def rank(tag):
+        return F.coalesce(F.try_element_at(prio, tag), F.lit(99))
+
+    init = F.struct(F.lit(None).cast(SPAN_TYPE).alias("cur"),
                     F.array().cast(f"array<{SPAN_TYPE}>").alias("out"))
 
     def step(acc, x):
-        take = x["start"] >= acc["last"]
-        return F.when(take, F.struct(x["end"].alias("last"),
-                                     F.concat(acc["out"], F.array(x)).alias("out"))).otherwise(acc)
-
-    return F.aggregate(_col(spans), init, step, lambda acc: acc["out"])
+        cur = acc["cur"]
+        longer = F.concat(cur["text"], F.substring(x["text"], (cur["end"] - x["start"] + 1).cast("int"),
+                                                   F.length(x["text"])))
+        merged = F.struct(
+            cur["start"].alias("start"), F.greatest(cur["end"], x["end"]).alias("end"),
+            F.when(x["end"] > cur["end"], longer).otherwise(cur["text"]).alias("text"),
+            F.when(rank(x["tag"]) < rank(cur["tag"]), x["tag"]).otherwise(cur["tag"]).alias("tag"))
+        done = F.when(cur.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(cur)))
+        return F.when(cur.isNotNull() & (x["start"] < cur["end"]),
+                      F.struct(merged.alias("cur"), acc["out"].alias("out"))) \
+            .otherwise(F.struct(x.alias("cur"), done.alias("out")))
+
+    return F.aggregate(_col(spans), init, step, lambda acc: F.when(acc["cur"].isNull(), acc["out"]).otherwise(
+        F.concat(acc["out"], F.array(acc["cur"]))))
 
 
 def sort_spans(spans, priority: dict[str, int]) -> Column:

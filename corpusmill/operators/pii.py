@@ -2,8 +2,8 @@
 
 Every step is a Column expression over one row's text: per-type regex spans,
 a context-word check for types that need one, person names by honorific or
-a given-name list, distinct union, a total order, greedy removal of
-overlaps, and one left-to-right replacement that also moves the offsets.
+a given-name list, distinct union, a total order, covers of overlapping
+mentions, and one left-to-right replacement that also moves the offsets.
 The surrogate of a mention is a pure function of ``(seed, tag, mention)``,
 so the same mention gets the same value in every row and every task.
 """
@@ -55,7 +55,7 @@ def has_context(text, span, lang, tag: str, window: int) -> Column:
 def detect_type(text, lang, tag: str, context_window: int = 20) -> Column:
     """F1a-g: spans of one regex type (context-filtered where required)."""
     t = _col(text)
-    group = 2 if tag in P.PREFIX_GROUP else (1 if tag in P.INNER_GROUP else 0)
+    group = 2 if tag in P.PREFIX_GROUP else 0
     spans = SP.regex_spans(t, P.detector_pattern(tag, "java"), tag, group)
     if tag in P.CONTEXT_WORDS:
         spans = F.filter(spans, lambda s: has_context(t, s, lang, tag, context_window))
@@ -72,7 +72,7 @@ def detect_person_names(text) -> Column:
 def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
            context_window: int = 20,
            extra_detectors: Iterable[Callable[[Column, Column], Column]] = ()) -> Column:
-    """sorted, distinct, non-overlapping mentions.
+    """sorted, distinct mentions; overlapping ones become one cover.
 
     ``tags=None`` means every known type.  ``extra_detectors`` are plug-ins
     (U2) returning ``array<struct<start,end,text,tag>>`` for ``(text, lang)``,
@@ -88,7 +88,7 @@ def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
     if not parts:
         return _empty_spans()
     union = F.concat(*parts) if len(parts) > 1 else parts[0]
-    return SP.non_overlapping(SP.sort_spans(union, P.TAG_PRIORITY))
+    return SP.covering_spans(SP.sort_spans(union, P.TAG_PRIORITY), P.TAG_PRIORITY)
 
 
 def surrogate(tag, mention, seed: int = 0) -> Column:

@@ -1,13 +1,15 @@
 """DuckDB SQL for detection and replacement, from the shared patterns.
 
 The Spark side folds over arrays; this side unnests, takes window sums for
-offsets, walks the sorted candidates with a recursive CTE for the greedy
-overlap rule, and re-assembles the text with ``string_agg``.  A source CTE
+offsets, merges overlapping candidates as islands of their running maximum
+end, and re-assembles the text with ``string_agg``.  A source CTE
 named ``src`` must provide a unique key ``_k``, ``text`` and ``lang``.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions import patterns as P
 from ..operators import pii as PII
 from .oracle_text import q
@@ -16,7 +18,7 @@ TAGS = list(P.DETECTORS)
 
 
 def _group(tag: str) -> int:
-    return 2 if tag in P.PREFIX_GROUP else (1 if tag in P.INNER_GROUP else 0)
+    return 2 if tag in P.PREFIX_GROUP else 0
 
 
 def spans_sql(tag: str, pattern: str | None = None, group: int | None = None,
@@ -89,20 +91,21 @@ def surrogate_sql(seed: int = 0) -> str:
 
 
 def anonymize_ctes(tags=P.DEFAULT_TAGS, window: int = 20, seed: int = 0) -> str:
-    """CTEs after ``src``: cand, ranked, walk, kept, rep, anon(_k, text, n_mentions)."""
+    """CTEs after ``src``: cand, ranked, reached, islands, cover, kept, rep, anon(_k, text, n_mentions)."""
     return f"""
 cand AS {candidates_sql(tags, window)},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY _k ORDER BY start, "end" DESC, {_prio()}, mention) AS r
            FROM cand),
-walk AS (
-  SELECT _k, r, start, "end", tag, mention, TRUE AS keep, "end" AS last FROM ranked WHERE r = 1
-  UNION ALL
-  SELECT c._k, c.r, c.start, c."end", c.tag, c.mention, c.start >= w.last AS keep,
-         CASE WHEN c.start >= w.last THEN c."end" ELSE w.last END AS last
-  FROM walk w JOIN ranked c ON c._k = w._k AND c.r = w.r + 1),
-kept AS (SELECT _k, start, "end", tag, mention,
-                CAST(row_number() OVER (PARTITION BY _k ORDER BY start) - 1 AS BIGINT) AS idx
-         FROM walk WHERE keep),
+reached AS (SELECT *, max("end") OVER (PARTITION BY _k ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING
+                                       AND 1 PRECEDING) AS upto FROM ranked),
+islands AS (SELECT *, sum(CASE WHEN upto IS NULL OR start >= upto THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY _k ORDER BY r) AS island FROM reached),
+cover AS (SELECT _k, min(start) AS start, max("end") AS "end", arg_min(tag, {_prio()}) AS tag
+          FROM islands GROUP BY _k, island),
+kept AS (SELECT c._k, c.start, c."end", c.tag,
+                substr(s.text, CAST(c.start + 1 AS BIGINT), CAST(c."end" - c.start AS BIGINT)) AS mention,
+                CAST(row_number() OVER (PARTITION BY c._k ORDER BY c.start) - 1 AS BIGINT) AS idx
+         FROM cover c JOIN (SELECT DISTINCT _k, text FROM src) s ON s._k = c._k),
 sur AS (SELECT *, {surrogate_sql(seed)} AS sur FROM kept),
 rep AS (SELECT *, coalesce(lag("end") OVER (PARTITION BY _k ORDER BY idx), 0) AS prev,
                CAST(start + coalesce(sum(length(sur) - length(mention)) OVER (PARTITION BY _k ORDER BY idx
@@ -116,6 +119,20 @@ anon AS (SELECT s._k,
          FROM src s LEFT JOIN rep r ON r._k = s._k GROUP BY s._k, s.text)"""
 
 
-def documents_src(cond: str | None = None) -> str:
-    return ("src AS (SELECT doc_id AS _k, doc_id, text, split_part(lang, '_', 1) AS lang"
+# A rule that gives every document a handle, a plate with its context word, two
+# names, and mentions that overlap; the supplied texts hold none of these.
+MARKED_SQL = ("text || ' by @reader_with_a_long_handle_name_' || doc_id || ', plate ABC ' || (doc_id % 9000 + 1000)"
+              " || ' of Dr. Ana Silva; write Anna Smith@example.com or 1234567890123456789012' || doc_id || ' now'")
+
+
+def marked_text(text, doc_id):
+    """The Spark side of ``MARKED_SQL``."""
+    n = F.col(doc_id)
+    return F.concat(F.col(text), F.lit(" by @reader_with_a_long_handle_name_"), n.cast("string"), F.lit(", plate ABC "),
+                    (n % 9000 + 1000).cast("string"), F.lit(" of Dr. Ana Silva; write Anna Smith@example.com or "
+                                                            "1234567890123456789012"), n.cast("string"), F.lit(" now"))
+
+
+def documents_src(cond: str | None = None, text: str = "text") -> str:
+    return (f"src AS (SELECT doc_id AS _k, doc_id, {text} AS text, split_part(lang, '_', 1) AS lang"
             + (f", {cond} AS cond" if cond else "") + " FROM documents)")

@@ -14,7 +14,7 @@ from . import oracle_pii as OP
 from .build_splits import TEST_BUDGETS, build_splits
 from .queries_splits import SEED, _articles, _split_sql
 from .oracle_text import kept_sentences
-from .registry import ORACLE, register
+from .registry import register
 
 WINDOW = 20
 
@@ -23,6 +23,14 @@ def _docs(spark, sf_dir):
     return text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text", "lang")
 
 
+def _marked(spark, sf_dir):
+    """Documents with a handle, a plate, names and overlapping mentions added."""
+    return _docs(spark, sf_dir).withColumn("text", OP.marked_text("text", "doc_id"))
+
+
+_MARKED = OP.documents_src(text=OP.MARKED_SQL)
+
+
 def _explode(df, spans, extra=()):
     return (explode_rows(df, ["doc_id"], spans, "s")
             .select("doc_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"),
@@ -35,33 +43,36 @@ _TYPE_QUERIES = {"pii_email": "EMAIL", "pii_ip": "IP_ADDRESS", "pii_phone": "PHO
                  "pii_plate": "LICENSE_PLATE"}
 
 
+_ADDED = ("USER", "LICENSE_PLATE")          # the supplied texts hold none
+
+
 def _type_query(tag):
     def run(spark, sf_dir):
-        d = _docs(spark, sf_dir)
+        d = (_marked if tag in _ADDED else _docs)(spark, sf_dir)
         return _explode(d, PII.detect_type("text", lang_base("lang"), tag, WINDOW))
     return run
 
 
 for _name, _tag in _TYPE_QUERIES.items():
-    register(_name, f"""WITH {OP.documents_src()}
+    register(_name, f"""WITH {_MARKED if _tag in _ADDED else OP.documents_src()}
 SELECT _k AS doc_id, start, "end", mention FROM {OP.type_sql(_tag, WINDOW)}""")(_type_query(_tag))
 
 
-@register("pii_person", f"""WITH {OP.documents_src()}
+@register("pii_person", f"""WITH {_MARKED}
 SELECT _k AS doc_id, start, "end", mention FROM {OP.person_sql()}""")
 def q_pii_person(spark, sf_dir):
-    d = _docs(spark, sf_dir)
+    d = _marked(spark, sf_dir)
     spans = F.array_distinct(F.concat(PII.detect_type("text", lang_base("lang"), "PERSON"),
                                       PII.detect_person_names("text")))
     return _explode(d, spans)
 
 
-@register("pii_context", f"""WITH {OP.documents_src()}
+@register("pii_context", f"""WITH {_MARKED}
 SELECT _k AS doc_id, start, "end", mention,
        CAST(CASE WHEN {OP.context_sql('LICENSE_PLATE', WINDOW)} THEN 1 ELSE 0 END AS BIGINT) AS has_context
 FROM {OP.spans_sql('LICENSE_PLATE')}""")
 def q_pii_context(spark, sf_dir):
-    d = _docs(spark, sf_dir).withColumn("lb", lang_base("lang"))
+    d = _marked(spark, sf_dir).withColumn("lb", lang_base("lang"))
     spans = SP.regex_spans("text", P.detector_pattern("LICENSE_PLATE"), "LICENSE_PLATE")
     flagged = F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text"),
@@ -112,6 +123,14 @@ def q_anonymize(spark, sf_dir):
                       F.size("doc.ner").cast("bigint").alias("n_mentions"))
 
 
+@register("anonymize_overlaps", f"""WITH {_MARKED}, {OP.anonymize_ctes(P.DEFAULT_TAGS, WINDOW, SEED)}
+SELECT _k AS doc_id, text, n_mentions FROM anon""")
+def q_anonymize_overlaps(spark, sf_dir):
+    out = PII.anonymize(_marked(spark, sf_dir), "text", "lang", WINDOW, True, P.DEFAULT_TAGS, SEED)
+    return out.select("doc_id", F.col("doc.text").alias("text"),
+                      F.size("doc.ner").cast("bigint").alias("n_mentions"))
+
+
 @register("anonymize_mentions", f"""WITH {OP.documents_src()}, {OP.anonymize_ctes(P.DEFAULT_TAGS, WINDOW, SEED)}
 SELECT _k AS doc_id, idx, tag, mention, start, "end", sur AS surrogate, new_start,
        CAST(new_start + length(sur) AS BIGINT) AS new_end FROM rep""")
@@ -168,12 +187,3 @@ def q_anonymize_grouped(spark, sf_dir):
     return PII.anonymize_lines(sents, ["article_id"], "sent_idx", "text", None,
                                context_window=WINDOW, seed=SEED)
 
-
-def _recursive(sql: str) -> str:
-    """The overlap walk is a recursive CTE; DuckDB wants ``WITH RECURSIVE``."""
-    s = sql.lstrip()
-    return "WITH RECURSIVE " + s[len("WITH "):] if s.startswith("WITH ") and "walk AS (" in s else sql
-
-
-for _n in list(ORACLE):
-    ORACLE[_n] = _recursive(ORACLE[_n])

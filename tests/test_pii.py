@@ -89,3 +89,29 @@ def test_plugin_detector(spark):
     doc = pii.anonymize(df, lang_col=None, extra_detectors=[city]).first().doc
     assert [(m.tag, m.start, m.end) for m in doc.orig_ner] == [("LOCATION", 15, 24), ("EMAIL", 28, 35)]
     assert "Reykjavik" not in doc.text and "[REDACTED]" in doc.text
+
+
+LEAKS = ["write Anna Smith@example.com now", "ask Mr. Bob Lee.roe@corp.org ok",
+         "id 12345678901234567890123 and @" + "h" * 40, "plate ABC 1234567890 x", "call 555-123-4567@host.org",
+         "Dr. Ana Silva 10.0.0.25@x.org, 123456789012345678901234567890123456"]
+
+
+def test_no_character_of_a_detected_mention_survives(spark):
+    """Every raw detection lies inside a final span, and final spans are replaced whole."""
+    df = spark.createDataFrame(list(enumerate(LEAKS)), "id int, text string")
+    lang = F.lit("en")
+    raw = [pii.detect_type("text", lang, t) for t in pii.P.DEFAULT_TAGS] + [pii.detect_person_names("text")]
+    rows = pii.anonymize(df.withColumn("raw", F.concat(*raw)), lang_col=None).collect()
+    for r in rows:
+        assert r.raw
+        covers = [(m.start, m.end) for m in r.doc.orig_ner]
+        assert covers == sorted(covers) and all(a[1] <= b[0] for a, b in zip(covers, covers[1:]))
+        for m in r.raw:
+            assert any(s <= m.start and m.end <= e for s, e in covers), (r.text, m)
+            assert m.text not in r.doc.text
+        for m in r.doc.orig_ner:
+            assert r.text[m.start:m.end] == m.text
+        outside = "".join(r.text[a:b] for a, b in zip([0] + [e for _, e in covers], [s for s, _ in covers] + [len(r.text)]))
+        new = [(m.start, m.end) for m in r.doc.ner]
+        assert outside == "".join(r.doc.text[a:b] for a, b in zip([0] + [e for _, e in new], [s for s, _ in new] + [len(r.doc.text)]))
+    assert [r.doc.text for r in rows][0].endswith("@example.com now") and "Smith@" not in rows[0].doc.text
