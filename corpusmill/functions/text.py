@@ -75,13 +75,29 @@ def extract_lines(text) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(P.LINE), 1)
 
 
+def _marked_split(line, abbreviations, dot: str) -> Column:
+    c = F.regexp_replace(line, P.abbreviation_pattern(abbreviations), "$1$2" + dot)
+    return F.regexp_replace(c, P.SENT_END, "$1" + P.END_MARK + "$2")
+
+
 def split_sentences(line, abbreviations=P.ABBREVIATIONS) -> Column:
-    """T5: rule-based sentence split of one line -> array<string>."""
-    c = F.translate(_col(line), P.END_MARK + P.ABBR_MARK, "")
-    c = F.regexp_replace(c, P.abbreviation_pattern(abbreviations), "$1$2" + P.ABBR_MARK)
-    c = F.regexp_replace(c, P.SENT_END, "$1" + P.END_MARK + "$2")
-    c = F.translate(c, P.ABBR_MARK, ".")
-    return F.split(c, P.END_MARK)
+    """T5: rule-based sentence split of one line -> array<string>.
+
+    The two marks used on the way may themselves occur in a line; such lines
+    write them as escapes (mark 2 and a letter) first and get them back.
+    """
+    c = _col(line)
+    plain = F.split(F.translate(_marked_split(c, abbreviations, P.ABBR_MARK), P.ABBR_MARK, "."), P.END_MARK)
+    esc = P.ABBR_MARK
+    safe = F.replace(F.replace(c, F.lit(esc), F.lit(esc + "b")), F.lit(P.END_MARK), F.lit(esc + "a"))
+
+    def restored(x):
+        for code, char in (("c", "."), ("a", P.END_MARK), ("b", esc)):
+            x = F.replace(x, F.lit(esc + code), F.lit(char))
+        return x
+
+    escaped = F.transform(F.split(_marked_split(safe, abbreviations, esc + "c"), P.END_MARK), restored)
+    return F.when(c.rlike(f"[{P.END_MARK}{P.ABBR_MARK}]"), escaped).otherwise(plain)
 
 
 def extract_sentences(text, use_transliteration: bool = False,

@@ -36,9 +36,10 @@ def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col
     x = word_pieces(df, id_cols, F.col(tokens_col), vocab, tag_array=F.col(tags_col))
     pieces = F.col("pieces")
     wid = F.flatten(F.transform(pieces, lambda p, i: F.array_repeat(i, F.size(p))))
-    lab = F.flatten(F.transform(pieces, lambda p, i: F.concat(
+    # A NULL token has no pieces, so no label either; word ids still count it.
+    lab = F.flatten(F.transform(pieces, lambda p, i: F.slice(F.concat(
         F.array(F.element_at(F.col("tags"), i + 1)),
-        F.array_repeat(F.lit(null_label), F.size(p) - 1))))
+        F.array_repeat(F.lit(null_label), F.size(p))), F.lit(1), F.size(p))))
     ids = F.flatten(pieces)
     toks = F.flatten("piece_toks")
     n = F.size(ids)

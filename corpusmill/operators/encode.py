@@ -15,22 +15,24 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import posexplode_rows
 from .vocab import CHAR, CLS_ID, CONT, PAD_ID, SEP_ID, SPECIALS, UNK_ID, words
 
-# Fixed value: words longer than this many characters become [UNK].
-MAX_CHARS_PER_WORD = 100
-# Segmentation tables up to this many words are broadcast into the join.
-BROADCAST_WORDS = 2_000_000
+# Tells rows with equal ids apart while their words are taken apart.
+ROW_KEY = "_row_key"
+# Lookup tables up to this many bytes of text and ids are broadcast into joins.
+BROADCAST_BYTES = 64 << 20
 
 
-# A vocabulary is broadcast into lookups only up to this many tokens.
-BROADCAST_VOCAB = 1_000_000
+def _small(vocab: DataFrame, token: str = "token") -> DataFrame:
+    """Broadcast hint for a vocabulary whose size in bytes was checked."""
+    size = vocab.agg(F.sum(F.octet_length(token) + 16)).first()[0] or 0
+    return F.broadcast(vocab) if size <= BROADCAST_BYTES else vocab
 
 
-def _small(vocab: DataFrame) -> DataFrame:
-    """Broadcast hint for a vocabulary whose size was checked."""
-    return F.broadcast(vocab) if vocab.count() <= BROADCAST_VOCAB else vocab
+def _small_segments(seg: DataFrame) -> DataFrame:
+    """Broadcast hint for segmented words, by their bytes (a word may be long)."""
+    size = seg.agg(F.sum(F.octet_length("word") * 2 + F.size("ids") * 12 + 64)).first()[0] or 0
+    return F.broadcast(seg) if size <= BROADCAST_BYTES else seg
 
 
 def max_piece_chars(vocab: DataFrame) -> tuple[int, int]:
@@ -41,8 +43,7 @@ def max_piece_chars(vocab: DataFrame) -> tuple[int, int]:
     return int(r["a"] or 0), int(r["b"] or 0)
 
 
-def segment_words(distinct_words: DataFrame, vocab: DataFrame,
-                  max_chars: int = MAX_CHARS_PER_WORD) -> DataFrame:
+def segment_words(distinct_words: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(word, ids array<int>, toks array<string>)`` for each distinct word.
 
     Candidates are (start, length) pieces up to the longest vocabulary piece
@@ -56,7 +57,7 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
          .withColumn("nc", F.length("word"))
          .persist(StorageLevel.MEMORY_AND_DISK))         # read by the candidates and the walk
     lmax = F.when(F.col("i") == 0, F.lit(l0)).otherwise(F.lit(l1))
-    cand = (w.where((F.col("nc") > 0) & (F.col("nc") <= max_chars))
+    cand = (w.where(F.col("nc") > 0)
             .select("word", "nc", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("i"))
             .where(lmax > 0)
             .select("word", "i",
@@ -89,48 +90,44 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
 
     walk = F.aggregate(F.coalesce("hs", F.array().cast("array<struct<i:int,nl:int,id:int>>")),
                        init, step)
-    good = walk["ok"] & (walk["pos"] == F.col("nc")) & (F.col("nc") <= max_chars) & (F.col("nc") > 0)
+    good = walk["ok"] & (walk["pos"] == F.col("nc")) & (F.col("nc") > 0)
     return j.select("word",
                     F.when(good, walk["ids"]).otherwise(F.array(F.lit(UNK_ID))).alias("ids"),
                     F.when(good, walk["toks"]).otherwise(F.array(F.lit(SPECIALS[UNK_ID]))).alias("toks"))
 
 
-def _join_segments(occ: DataFrame, seg: DataFrame, n_words: int | None) -> DataFrame:
-    """Occurrences x segmented words: broadcast when the word table is
-    checked small, else a shuffle join (AQE splits hot words)."""
-    if n_words is not None and n_words <= BROADCAST_WORDS:
-        seg = F.broadcast(seg)
-    return occ.join(seg, "word")
-
-
 def word_pieces(df: DataFrame, id_cols: list[str], word_array: Column, vocab: DataFrame,
-                max_chars: int = MAX_CHARS_PER_WORD, check_size: bool = True,
                 tag_array: Column | None = None) -> DataFrame:
     """K4: ``(ids..., pieces array<array<int>>, piece_toks array<array<string>>,
     words array<string>[, tags array<int>])`` for an array of words per row,
-    in word order.  Rows without words keep empty arrays
-    (``posexplode_outer``), so no join back to ``df`` is needed; a per-word
-    ``tag_array`` travels with its word for the same reason.
+    in word order.
+
+    One row in, one row out: a generated row key keeps rows apart whose
+    ``id_cols`` are equal, and ``id_cols`` may name any columns to carry
+    along.  Rows without words keep empty arrays (``posexplode_outer``), so no
+    join back to ``df`` is needed; a per-word ``tag_array`` travels with its
+    word for the same reason.  A NULL word keeps its slot, with no pieces.
 
     The occurrence table feeds both the distinct-word segmentation and the
     join, so it is persisted once instead of re-running the word regex.
     """
+    keyed = df.withColumn(ROW_KEY, F.monotonically_increasing_id())
     if tag_array is None:
-        occ = df.select(*id_cols, F.posexplode_outer(word_array).alias("widx", "word"),
-                        F.lit(None).cast("int").alias("tag"))
+        occ = keyed.select(*id_cols, ROW_KEY, F.posexplode_outer(word_array).alias("widx", "word"),
+                           F.lit(None).cast("int").alias("tag"))
     else:
-        occ = (df.select(*id_cols, F.posexplode_outer(F.arrays_zip(word_array.alias("w"),
-                                                                   tag_array.alias("t")))
-                         .alias("widx", "z"))
-               .select(*id_cols, "widx", F.col("z.w").alias("word"), F.col("z.t").alias("tag")))
+        occ = (keyed.select(*id_cols, ROW_KEY, F.posexplode_outer(F.arrays_zip(word_array.alias("w"),
+                                                                               tag_array.alias("t")))
+                            .alias("widx", "z"))
+               .select(*id_cols, ROW_KEY, "widx", F.col("z.w").alias("word"), F.col("z.t").alias("tag")))
     occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
     dw = occ.where(F.col("word").isNotNull()).select("word").distinct()
-    seg = segment_words(dw, vocab, max_chars).persist(StorageLevel.MEMORY_AND_DISK)
-    n_words = seg.count() if check_size else None
-    j = occ.join(F.broadcast(seg) if n_words is not None and n_words <= BROADCAST_WORDS else seg,
-                 "word", "left")
-    item = F.when(F.col("word").isNotNull(), F.struct("widx", "ids", "toks", "word", "tag"))
-    out = (j.groupBy(*id_cols)
+    seg = segment_words(dw, vocab).persist(StorageLevel.MEMORY_AND_DISK)
+    j = occ.join(_small_segments(seg), "word", "left")
+    item = F.when(F.col("widx").isNotNull(), F.struct(
+        "widx", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
+        F.coalesce("toks", F.array().cast("array<string>")).alias("toks"), "word", "tag"))
+    out = (j.groupBy(ROW_KEY, *id_cols)
            .agg(F.array_sort(F.collect_list(item)).alias("ws"))
            .select(*id_cols, F.transform("ws", lambda x: x["ids"]).alias("pieces"),
                    F.transform("ws", lambda x: x["toks"]).alias("piece_toks"),
@@ -167,19 +164,12 @@ def truncate_pair(la: Column, lb: Column, budget: int) -> tuple[Column, Column]:
 def encode_pairs(df: DataFrame, id_cols: list[str], vocab: DataFrame, a_col: str = "sentence1",
                  b_col: str = "sentence2", max_length: int = 128) -> DataFrame:
     """K3: ``[CLS] a [SEP] b [SEP]`` with segment ids 0/1 and longest-first cut."""
-    both = df.select(*id_cols, F.array(F.col(a_col), F.col(b_col)).alias("_ab"))
-    sides = posexplode_rows(both, id_cols, F.col("_ab"), "side", "_t")
-    occ = posexplode_rows(sides, [*id_cols, "side"], words("_t"), "widx", "word").persist(
-        StorageLevel.MEMORY_AND_DISK)
-    seg = segment_words(occ.select("word").distinct(), vocab)
-    j = _join_segments(occ, seg, seg.count())
-    per = (j.groupBy(*id_cols)
-           .agg(F.array_sort(F.collect_list(F.struct("side", "widx", "ids"))).alias("ws")))
-    a = F.flatten(F.transform(F.filter("ws", lambda x: x["side"] == 0), lambda x: x["ids"]))
-    b = F.flatten(F.transform(F.filter("ws", lambda x: x["side"] == 1), lambda x: x["ids"]))
-    x = (df.select(*id_cols).join(per, id_cols, "left")
-         .select(*id_cols, F.coalesce(a, F.array().cast("array<int>")).alias("a"),
-                 F.coalesce(b, F.array().cast("array<int>")).alias("b")))
+    # The words of both sides as one array; the first side's count splits it again.
+    wa, wb = (F.coalesce(words(c), F.array().cast("array<string>")) for c in (a_col, b_col))
+    sides = df.select(*id_cols, F.size(wa).alias("_na"), F.concat(wa, wb).alias("_w"))
+    wp = word_pieces(sides, [*id_cols, "_na"], F.col("_w"), vocab)
+    x = wp.select(*id_cols, F.flatten(F.slice("pieces", F.lit(1), F.col("_na"))).alias("a"),
+                  F.flatten(F.slice("pieces", F.col("_na") + 1, F.size("pieces"))).alias("b"))
     na, nb = truncate_pair(F.size("a"), F.size("b"), max_length - 3)
     x = x.select(*id_cols, F.slice("a", 1, na).alias("a"), F.slice("b", 1, nb).alias("b"))
     ids = F.concat(F.array(F.lit(CLS_ID)), F.col("a"), F.array(F.lit(SEP_ID)), F.col("b"),
@@ -190,15 +180,16 @@ def encode_pairs(df: DataFrame, id_cols: list[str], vocab: DataFrame, a_col: str
 
 
 def ids_to_tokens(df: DataFrame, id_cols: list[str], ids_col: str, vocab: DataFrame) -> DataFrame:
-    """K6: ``tokens`` for an id array (explode, broadcast vocab, re-collect)."""
-    occ = df.select(*id_cols, F.posexplode(ids_col).alias("pos", "id"))
-    j = occ.join(_small(vocab.select("id", "token")), "id", "left")
-    per = (j.groupBy(*id_cols)
-           .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("token", F.lit(SPECIALS[UNK_ID]))
-                                                                .alias("token")))).alias("ts"))
-           .select(*id_cols, F.transform("ts", lambda x: x["token"]).alias("tokens")))
-    return (df.select(*id_cols).join(per, id_cols, "left")
-            .select(*id_cols, F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")))
+    """K6: ``tokens`` for an id array; the input is read once, one row in, one out."""
+    occ = (df.withColumn(ROW_KEY, F.monotonically_increasing_id())
+           .select(*id_cols, ROW_KEY, F.posexplode_outer(ids_col).alias("_pos", "_id")))
+    names = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    j = occ.join(_small(names, "_token"), "_id", "left")
+    item = F.when(F.col("_pos").isNotNull(),
+                  F.struct("_pos", F.coalesce("_token", F.lit(SPECIALS[UNK_ID])).alias("token")))
+    return (j.groupBy(ROW_KEY, *id_cols)
+            .agg(F.array_sort(F.collect_list(item)).alias("_ts"))
+            .select(*id_cols, F.transform("_ts", lambda x: x["token"]).alias("tokens")))
 
 
 def tokens_to_text(tokens, skip_special_tokens: bool = True) -> Column:

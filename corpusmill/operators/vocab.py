@@ -129,11 +129,13 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
     checkpoint_dir(spark)
     wc = word_counts(df, text_col).withColumn("syms", initial_symbols("word")).select("syms", "n")
     wc = wc.groupBy("syms").agg(F.sum("n").alias("n"))
-    par = spark.sparkContext.defaultParallelism
-    if wc.rdd.getNumPartitions() < par:          # small tables: use every core per round
-        wc = wc.repartition(par)
-    wc = wc.checkpoint()
-    alphabet = sorted(r[0] for r in wc.select(F.explode("syms").alias("s")).distinct().collect())
+    # Every core works in every round, whatever the partitions of the counts.
+    par = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wc = wc.repartition(par).checkpoint()
+    used = wc.select(F.explode("syms").alias("s"), "n").groupBy("s").agg(F.sum("n").alias("n")).collect()
+    # Where even the alphabet is too large, its most frequent characters stay.
+    room = max(0, vocab_size - len(SPECIALS))
+    alphabet = sorted(r.s for r in sorted(used, key=lambda r: (-r.n, r.s))[:room])
     # alphabet is bounded by the character set, not by the data size
     vocab = list(SPECIALS) + sorted(a for a in alphabet if not a.startswith(CONT)) \
         + sorted(a for a in alphabet if a.startswith(CONT))
@@ -142,9 +144,14 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
     rounds = 0
     while len(vocab) < vocab_size and (max_rounds is None or rounds < max_rounds):
         m = min(max(merges_per_round, int(growth * len(vocab))), vocab_size - len(vocab))
-        top = (pair_counts(wc).where(F.col("n") >= min_pair_count)
-               .orderBy(F.col("n").desc(), "left", "right").limit(4 * m + 16).collect())
-        chosen = choose_merges([(r.left, r.right, r.n) for r in top], m, taken)
+        pairs = pair_counts(wc).where(F.col("n") >= min_pair_count).orderBy(F.col("n").desc(), "left", "right")
+        look, chosen = 4 * m + 16, []
+        while not chosen:
+            top = pairs.limit(look).collect()
+            chosen = choose_merges([(r.left, r.right, r.n) for r in top], m, taken)
+            if len(top) < look:
+                break
+            look *= 4          # all of these are blocked: look further down
         if not chosen:
             break
         merges = {(a, b): merged_token(a, b) for a, b, _ in chosen}

@@ -7,7 +7,6 @@ and ``seg(word, ids, toks)`` (greedy longest match by a recursive walk).
 from __future__ import annotations
 
 from ..functions import patterns as P
-from ..operators.encode import MAX_CHARS_PER_WORD
 from ..operators.vocab import CHAR, CONT, SPECIALS, UNK_ID
 from .oracle_text import kept_sentences, q
 
@@ -39,14 +38,14 @@ def seg_ctes(words_src: str) -> str:
 wch AS (SELECT word, regexp_extract_all(word, {q(CHAR)}, 0) AS chars FROM wds),
 lmax AS (SELECT max(length(regexp_replace(token, '^##', ''))) AS lm FROM vocab),
 c1 AS (SELECT word, chars, unnest(range(len(chars))) AS i FROM wch
-       WHERE len(chars) BETWEEN 1 AND {MAX_CHARS_PER_WORD}),
+       WHERE len(chars) >= 1),
 c2 AS (SELECT word, chars, i, unnest(range(1, least((SELECT lm FROM lmax), len(chars) - i) + 1)) AS l FROM c1),
 cand AS (SELECT word, i, l, (CASE WHEN i > 0 THEN '{CONT}' ELSE '' END)
                 || array_to_string(chars[i + 1:i + l], '') AS token FROM c2),
 best AS (SELECT c.word, c.i, max(c.l) AS l, arg_max(v.id, c.l) AS id, arg_max(v.token, c.l) AS tok
          FROM cand c JOIN vocab v ON v.token = c.token GROUP BY c.word, c.i),
 walk AS (SELECT word, 0 AS pos, 0 AS k, CAST(NULL AS INTEGER) AS id, CAST(NULL AS VARCHAR) AS tok
-         FROM wch WHERE len(chars) BETWEEN 1 AND {MAX_CHARS_PER_WORD}
+         FROM wch WHERE len(chars) >= 1
          UNION ALL
          SELECT w.word, w.pos + b.l, w.k + 1, b.id, b.tok
          FROM walk w JOIN best b ON b.word = w.word AND b.i = w.pos),

@@ -53,3 +53,12 @@ def test_sentences_posexplode_matches_arrays(spark):
     rows = S.sentences(df, 5, 200).orderBy("sent_idx").collect()
     assert [r.text for r in rows] == ["Another sentence comes right here now."]
     assert [r.sent_idx for r in rows] == [0]
+
+
+def test_marks_in_a_line_survive_sentence_splitting(spark):
+    line = "One\x01 two\x02a. Dr. Who came\x02.  \x01Next one. And\x02c\x01"
+    df = spark.createDataFrame([(line,), (line.replace("\x01", "").replace("\x02", ""),)], "t string")
+    marked, plain = (r.s for r in df.select(T.split_sentences("t").alias("s")).collect())
+    strip = str.maketrans("", "", "\x01\x02")
+    assert [x.translate(strip) for x in marked] == plain and len(plain) == 4
+    assert "".join(marked).replace(" ", "") == line.replace(" ", "")

@@ -45,10 +45,44 @@ def test_align_golden(spark, small_vocab):
     assert [(e.word, e.tags) for e in ents] == [("Ann", [1]), ("Reykjavik", [5, 5, 5])]
 
 
-def test_unknown_and_long_words(spark, small_vocab):
-    df = spark.createDataFrame([(1, "Ann zzz " + "a" * 101)], "id int, text string")
-    r = E.encode(df, ["id"], small_vocab, max_length=None).first()
-    assert r.input_ids == [V.CLS_ID, _id(small_vocab, "Ann"), V.UNK_ID, V.UNK_ID, V.SEP_ID]
+def _vocab_of(spark, *tokens):
+    rows = [(t, i) for i, t in enumerate([*V.SPECIALS, *tokens])]
+    return spark.createDataFrame(rows, "token string, id int")
+
+
+def test_unknown_and_long_words(spark):
+    vocab = _vocab_of(spark, "Ann", "a", "##a", "##aaaa")
+    df = spark.createDataFrame([(1, "Ann zzz " + "a" * 501)], "id int, text string")
+    r = E.encode(df, ["id"], vocab, max_length=None).first()
+    n = len(V.SPECIALS)
+    assert r.input_ids == [V.CLS_ID, n, V.UNK_ID, n + 1] + [n + 3] * 125 + [V.SEP_ID]
+
+
+def test_repeated_ids_and_null_tokens_keep_rows_and_slots(spark):
+    vocab = _vocab_of(spark, "ab", "ef", "x")
+    df = spark.createDataFrame([(1, "ab x", 7), (1, "ef", 8), (1, "ef", 8), (2, "", 9), (3, None, 9)], "id int, text string, label int")
+    n = len(V.SPECIALS)
+    got = sorted((r.id, r.label, r.input_ids) for r in E.encode(df, ["id", "label"], vocab).collect())
+    assert got == [(1, 7, [V.CLS_ID, n, n + 2, V.SEP_ID]), (1, 8, [V.CLS_ID, n + 1, V.SEP_ID]), (1, 8, [V.CLS_ID, n + 1, V.SEP_ID]),
+                   (2, 9, [V.CLS_ID, V.SEP_ID]), (3, 9, [V.CLS_ID, V.SEP_ID])]
+    tok = spark.createDataFrame([(1, ["ab", None, "ef"], [4, 5, 6]), (1, ["x"], [3])], "id int, tokens array<string>, ner_tags array<int>")
+    a = sorted((r.words, r.word_ids, r.labels) for r in AL.align_labels(tok, ["id"], vocab, max_length=5).collect())
+    assert a[0] == (["ab", None, "ef"], [None, 0, 2, None, None], [-100, 4, 6, -100, -100])
+    assert a[1] == (["x"], [None, 0, None, None, None], [-100, 3, -100, -100, -100])
+    pairs = spark.createDataFrame([(1, "ab", "ef x", 0), (1, "x", None, 1)], "id int, sentence1 string, sentence2 string, label int")
+    p = sorted((r.label, r.input_ids, r.token_type_ids) for r in E.encode_pairs(pairs, ["id", "label"], vocab).collect())
+    assert p == [(0, [V.CLS_ID, n, V.SEP_ID, n + 1, n + 2, V.SEP_ID], [0, 0, 0, 1, 1, 1]),
+                 (1, [V.CLS_ID, n + 2, V.SEP_ID, V.SEP_ID], [0, 0, 0, 1])]
+    ids = spark.createDataFrame([(1, [n, 99]), (1, []), (1, None)], "id int, ids array<int>")
+    assert sorted(r.tokens for r in E.ids_to_tokens(ids, ["id"], "ids", vocab).collect()) == [[], [], ["ab", "[UNK]"]]
+
+
+def test_vocabulary_never_exceeds_its_size(spark):
+    df = spark.createDataFrame([("abab abab cd",), ("ab cd ef",)], "text string")
+    for size in (6, 8, 14):
+        assert V.train_vocab(df, vocab_size=size).count() <= size
+    # All first candidates blocked: the search widens instead of stopping.
+    assert V.choose_merges([("a", "##b", 3)], 5, {"ab"}) == []
 
 
 def test_pad_batches(spark):
