@@ -8,12 +8,16 @@ reachable by links.
    class (64-bit hash of the sorted set, with its size); copies go no further.
    The scan also reports shingles that several documents of a window of the
    scan share; the ``COMMON`` most frequent are broadcast (a fixed bound).
-2. A second scan posts, per class, the shingles that a partner must meet: of n
-   shingles the first n - ceil(0.75 n) + 1 in a global order, rare before
-   common.  Any order is exact; this one keeps the lists short.
-3. Every inverted list with two classes or more names its smallest class as its
-   centre.  A block is a centre with all classes of its lists, so every pair
-   that shares a posted shingle meets in a block.  Blocks above
+2. A second scan posts, per class, the shingles that a partner must meet.  Of n
+   shingles these are the first n - ceil(0.75 n) + c in a global order, rare
+   before common, with c = 0.15 n: two linked classes share at least the
+   smaller c of their posted shingles.  Any order and c are exact; these keep
+   the lists short and their number telling.
+3. A class with fewer shared lists than the least c of any partner has no link
+   and leaves.  In each remaining list, classes in order of size form chains
+   in which sizes stay within the ratio 0.75 of the next; every chain of two
+   or more names its smallest class as its centre.  A block is a centre with all classes of its
+   chains, so every pair that may link meets in a block.  Blocks above
    ``BLOCK_SHINGLES`` are cut into parts, and pairs of parts become blocks.
 4. In a block each class is a T-occurrence query against an inverted index of
    the block: with T = ceil(0.75 n), the lists of its shingles are sorted by
@@ -47,7 +51,8 @@ from corpusmill.llm.words import column_bytes, runs, words_of
 
 SHINGLE = 5
 PERCENT = 75
-COMMON = 1 << 19
+EXTRA = 15
+COMMON = 1 << 18
 WINDOW_SHINGLES = 4_000_000
 BLOCK_SHINGLES = 2_000_000
 MU = 1.0
@@ -68,6 +73,11 @@ def required(n) -> int:
     return (PERCENT * n + 99) // 100
 
 
+def surplus(n):
+    """c: how many posted shingles two linked classes must share."""
+    return max(1, EXTRA * n // 100)
+
+
 def linked(overlap, a, b):
     return 100 * overlap >= PERCENT * (a + b - overlap)
 
@@ -114,7 +124,7 @@ def _features(batches):
 
 def prefix(s: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The posted shingles of a set: rare ones by hash, then common by rank."""
-    p = len(s) - required(len(s)) + 1
+    p = len(s) - required(len(s)) + surplus(len(s))
     if len(common):
         at = np.minimum(np.searchsorted(common, s), len(common) - 1)
         s = s[np.argsort(np.where(common[at] == s, rank[at], 0), kind="stable")]
@@ -227,7 +237,7 @@ def spanning_links(sets: list) -> list:
 
 
 def _search(batches):
-    """Streams rows sorted by block; links of each block."""
+    """Streams rows sorted by block; the components of each block's links."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     key, members = None, {}
 
@@ -254,7 +264,19 @@ def _search(batches):
 def _blocks(postings: DataFrame) -> DataFrame:
     """(centre, part, cls): the blocks every class belongs to."""
     w = Window.partitionBy("hash")
-    lists = postings.withColumn("centre", F.min("cls").over(w)).withColumn("last", F.max("cls").over(w))
+    lists = postings.withColumn("low", F.min("cls").over(w)).withColumn("high", F.max("cls").over(w))
+    lists = materialize(lists.filter("low != high").select("hash", "cls", "n").distinct(), "lists")
+    # The least c of any partner: that of a partner of size ceil(0.75 n).
+    smallest = F.floor((PERCENT * F.col("n") + 99) / 100)
+    enough = (lists.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("shared"))
+              .filter(F.col("shared") >= F.greatest(F.lit(1), F.floor(EXTRA * smallest / 100))))
+    lists = lists.join(enough.select("cls"), "cls", "left_semi")
+    by_size = w.orderBy("n", "cls")
+    breaks = F.coalesce(PERCENT * F.col("n") > 100 * F.lag("n").over(by_size), F.lit(True)).cast("int")
+    chain = Window.partitionBy("hash", "chain")
+    lists = (lists.withColumn("breaks", breaks)
+             .withColumn("chain", F.sum("breaks").over(by_size.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("centre", F.min("cls").over(chain)).withColumn("last", F.max("cls").over(chain)))
     pairs = lists.filter("centre != last").select("centre", "cls", "n").distinct()
     pairs = materialize(pairs, "blocks")
     parts = (pairs.groupBy("centre").agg(F.sum("n").alias("total"))
@@ -268,6 +290,25 @@ def _blocks(postings: DataFrame) -> DataFrame:
                                                    .otherwise(meets)).alias("part"))
 
 
+def _common(repeated: DataFrame):
+    """At most ``COMMON`` most repeated shingles: sorted hashes, their ranks."""
+    freq = materialize(repeated.groupBy("hash").agg(F.sum("times").alias("times")), "repeated")
+    least, held = None, 0
+    for r in sorted(freq.groupBy("times").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        if held + r.n > COMMON:
+            break
+        least, held = r.times, held + r.n
+    if least is None:
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    top = freq.filter(F.col("times") >= least).toArrow()
+    h, times = top["hash"].to_numpy().view(np.uint64), top["times"].to_numpy()
+    order = np.argsort(h)
+    h, times = h[order], times[order]
+    rank = np.empty(len(h), np.int32)
+    rank[np.lexsort((h, times))] = np.arange(1, len(h) + 1, dtype=np.int32)
+    return h, rank
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, component_size."""
     spark = docs.sparkSession
@@ -275,12 +316,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scan = materialize(src.mapInArrow(_features, FEATURES), "features")
     feats = scan.filter("cls IS NOT NULL").select("doc_id", "n_shingles", "cls")
 
-    top = (scan.filter("cls IS NULL").groupBy("hash").agg(F.sum("times").alias("times"))
-           .orderBy(F.desc("times"), "hash").limit(COMMON).select("hash").toPandas())
-    common = top["hash"].to_numpy(np.int64).view(np.uint64)
-    by_hash = np.argsort(common)
-    rank = np.argsort(np.argsort(np.arange(len(common))[::-1]))[by_hash] + 1  # most frequent last
-    shared = spark.sparkContext.broadcast((common[by_hash].tobytes(), rank.astype(np.int32).tobytes()))
+    common, rank = _common(scan.filter("cls IS NULL"))
+    shared = spark.sparkContext.broadcast((common.tobytes(), rank.tobytes()))
 
     postings = src.select("text").mapInArrow(_postings(shared), "hash long, cls long, n int")
     blocks = materialize(_blocks(postings), "parts")
