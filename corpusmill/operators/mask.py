@@ -1,7 +1,7 @@
 """Masked-language-model masking (K14) and the side-by-side view.
 
-Each position draws two uniforms from ``md5(seed:row:pos:*)``, so masking is
-reproducible for any partitioning and on task retry.  Special tokens are
+Each position draws its uniforms from the hex digits of one
+``md5(seed:row:pos)``, so masking is reproducible for any partitioning and on task retry.  Special tokens are
 never chosen.  A chosen position is replaced by [MASK] 80%, a hashed random
 token 10%, and kept 10% of the time; its label is the original id, all other
 labels are -100.
@@ -18,26 +18,27 @@ from .vocab import MASK_ID, SPECIALS
 SCALE = float(2 ** 32)
 
 
-def _u(row_key: Column, pos: Column, salt: str, seed: int) -> Column:
-    key = F.concat_ws(":", F.lit(str(seed)), row_key, pos.cast("string"), F.lit(salt))
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+def _u(digest: Column, nth: int) -> Column:
+    """The ``nth`` 32-bit uniform of a digest."""
+    return F.conv(F.substring(digest, 8 * nth + 1, 8), 16, 10).cast("bigint")
 
 
 def mlm_mask(df: DataFrame, row_key: Column, ids_col: str = "input_ids", vocab_size: int = 20000,
              probability: float = 0.15, seed: int = 0, n_special: int = len(SPECIALS)) -> DataFrame:
-    """Adds ``masked_ids`` and ``mlm_labels``."""
-    ids = F.col(ids_col)
-
-    def choose(x, i):
-        return (x >= n_special) & (_u(row_key, i, "p", seed) < F.lit(probability * SCALE))
-
-    def replace(x, i):
-        v = _u(row_key, i, "r", seed)
-        rnd = (_u(row_key, i, "t", seed) % F.lit(vocab_size - n_special) + F.lit(n_special)).cast("int")
-        new = (F.when(v < F.lit(0.8 * SCALE), F.lit(MASK_ID))
-               .when(v < F.lit(0.9 * SCALE), rnd).otherwise(x))
-        return F.when(choose(x, i), new).otherwise(x)
-
-    return (df.withColumn("masked_ids", F.transform(ids, replace))
-            .withColumn("mlm_labels", F.transform(ids, lambda x, i: F.when(choose(x, i), x)
-                                                  .otherwise(F.lit(NULL_LABEL)))))
+    """Adds ``masked_ids`` and ``mlm_labels``, both from one walk over the ids."""
+    drawn = F.transform(F.col(ids_col), lambda x, i: F.struct(
+        x.alias("x"), F.when(x >= n_special, F.md5(F.concat_ws(
+            ":", F.lit(str(seed)), row_key, i.cast("string")))).alias("h")))
+
+    def decide(d):
+        x, h = d["x"], d["h"]
+        chosen = F.coalesce(_u(h, 0) < F.lit(probability * SCALE), F.lit(False))
+        rnd = (_u(h, 2) % F.lit(vocab_size - n_special) + F.lit(n_special)).cast("int")
+        new = (F.when(_u(h, 1) < F.lit(0.8 * SCALE), F.lit(MASK_ID))
+               .when(_u(h, 1) < F.lit(0.9 * SCALE), rnd).otherwise(x))
+        return F.when(chosen, F.struct(new.alias("m"), x.alias("l"))) \
+            .otherwise(F.struct(x.alias("m"), F.lit(NULL_LABEL).alias("l")))
+
+    return (df.withColumn("_decided", F.transform(drawn, decide))
+            .withColumn("masked_ids", F.col("_decided")["m"])
+            .withColumn("mlm_labels", F.col("_decided")["l"]).drop("_decided"))

@@ -211,12 +211,12 @@ def anonymize_lines(df: DataFrame, group_cols: list[str], order_col: str, text_c
     """
     agg = [F.array_sort(F.collect_list(F.struct(order_col, text_col))).alias("_lines")]
     if lang_col:
-        agg.append(F.first(lang_col).alias(lang_col))
+        agg.append(F.min_by(lang_col, order_col).alias(lang_col))
     g = (df.groupBy(*group_cols).agg(*agg)
          .withColumn("_joined", F.array_join(F.transform("_lines", lambda x: x[text_col]), "\n")))
-    lang = F.col(lang_col) if lang_col else None
-    doc = anonymize_column("_joined", lang, **kw)
-    return (posexplode_rows(g, group_cols, splitlines(doc["text"]), "line_idx", text_col)
+    # A column of its own: ``splitlines`` names its argument several times.
+    g = anonymize(g, "_joined", lang_col, out_col="_doc", **kw).withColumn("_text", F.col("_doc.text"))
+    return (posexplode_rows(g, group_cols, splitlines(F.col("_text")), "line_idx", text_col)
             .withColumn("line_idx", F.col("line_idx").cast("bigint")))
 
 

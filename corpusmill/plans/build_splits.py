@@ -20,7 +20,6 @@ from ..operators import sentences as S
 
 # The reference's test-mode budgets (MiB) and sentence bounds.
 TEST_BUDGETS = {"train": 1.0, "val": 0.1, "test": 0.1}
-FULL_BUDGETS = {"train": 1024.0, "val": 128.0, "test": 128.0}
 
 
 @dataclass
@@ -41,16 +40,24 @@ def build_splits(articles: DataFrame, budgets_mib: dict[str, float] = TEST_BUDGE
                  shuffle: bool = True, seed: int = 0, min_spaces: int | None = 5,
                  max_spaces: int | None = 200, use_transliteration: bool = False,
                  hex_digits: int = 3, early_stop: bool = True,
-                 first_fraction: float = 1 / 16) -> SplitBuild:
+                 first_fraction: float | None = None, kept_share: float = 0.3) -> SplitBuild:
     """Sentences of seeded, size-budgeted, disjoint splits.
 
     With ``early_stop`` (shuffled order only) sentences are extracted for a
-    prefix of the hash order (the first buckets), and the prefix doubles
-    until the last split closes inside it.  Boundaries depend only on the
-    order prefix, so the result equals the full walk; a small budget over a
-    huge corpus then extracts only the articles it needs.
+    prefix of the hash order (the first buckets), and the prefix grows until
+    the last split closes inside it.  The first prefix comes from the budget
+    and the table's bytes, as if ``kept_share`` of them became sentences;
+    ``hex_digits`` grows until a bucket is a small part of it.  Boundaries
+    depend only on the order prefix, so the result equals the full walk.
     """
     id_col = "article_id" if shuffle else "dataset_id"
+    if early_stop and shuffle and first_fraction is None:
+        total, rows = articles.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+        budget = sum(float(v) for v in budgets_mib.values()) * R.MIB
+        first_fraction = min(1.0, budget / (kept_share * (total or 1)))
+        # At least 16 buckets in the prefix, but no finer than about an article each.
+        while 16 ** hex_digits * first_fraction < 16 and 16 ** hex_digits < rows and hex_digits < 7:
+            hex_digits += 1
     n_b = 16 ** hex_digits
     if not (early_stop and shuffle):
         sized = _sized(articles, min_spaces, max_spaces, use_transliteration)

@@ -144,16 +144,16 @@ def q_pad_batch(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- K14, K15
-def _u_sql(salt):
+def _u_sql(nth):
     return (f"CAST(('0x' || substr(md5('{SEED}:' || CAST(article_id AS VARCHAR) || ':' || CAST(sent_idx AS VARCHAR)"
-            f" || ':' || CAST(i - 1 AS VARCHAR) || ':{salt}'), 1, 8)) AS BIGINT)")
+            f" || ':' || CAST(i - 1 AS VARCHAR)), {8 * nth + 1}, 8)) AS BIGINT)")
 
 
-_CHOSEN = f"(x >= {len(V.SPECIALS)} AND {_u_sql('p')} < {0.15 * M.SCALE!r})"
+_CHOSEN = f"(x >= {len(V.SPECIALS)} AND {_u_sql(0)} < {0.15 * M.SCALE!r})"
 _MASKED = f"""list_transform(input_ids, lambda x, i: CASE WHEN {_CHOSEN} THEN
-      (CASE WHEN {_u_sql('r')} < {0.8 * M.SCALE!r} THEN {V.MASK_ID}
-            WHEN {_u_sql('r')} < {0.9 * M.SCALE!r}
-            THEN CAST({_u_sql('t')} % (nv - {len(V.SPECIALS)}) + {len(V.SPECIALS)} AS INTEGER)
+      (CASE WHEN {_u_sql(1)} < {0.8 * M.SCALE!r} THEN {V.MASK_ID}
+            WHEN {_u_sql(1)} < {0.9 * M.SCALE!r}
+            THEN CAST({_u_sql(2)} % (nv - {len(V.SPECIALS)}) + {len(V.SPECIALS)} AS INTEGER)
             ELSE x END) ELSE x END)"""
 _LABELS = f"list_transform(input_ids, lambda x, i: CASE WHEN {_CHOSEN} THEN x ELSE -100 END)"
 

@@ -8,6 +8,7 @@ setting is missing (local tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,7 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: iterative operators "
                                "cut their lineage there")
         # Local runs only (tests, bench): a machine-local folder is fine there.

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SENTENCE_SCHEMA = "article_id bigint, text string"
+# What ``write_sentences`` adds: the place of a sentence in its article.
+ORDERED_SCHEMA = "article_id bigint, sent_idx bigint, text string"
 MANIFEST_SCHEMA = "id bigint, title string, dataset_id bigint, split string, seq bigint"
 
 
@@ -76,9 +78,16 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_sentences(df: DataFrame, path: str, fmt: str = "parquet", compress: bool = True,
                     mode: str = "overwrite") -> None:
-    """One output per split (``partitionBy('split')``), CSV or parquet."""
+    """One output per split (``partitionBy('split')``), CSV or parquet.
+
+    Sentences keep their place in the article (``sent_idx``, null if ``df``
+    has none), and files are sorted by article and place.
+    """
+    if "sent_idx" not in df.columns:
+        df = df.withColumn("sent_idx", F.lit(None).cast("bigint"))
+    df = df.sortWithinPartitions("split", "article_id", "sent_idx")
     if fmt == "csv":
-        csv_writer(df.select("split", "article_id", "text"), compress, mode).partitionBy("split").csv(path)
+        csv_writer(df.select("split", "article_id", "sent_idx", "text"), compress, mode).partitionBy("split").csv(path)
     else:
         df.write.mode(mode).partitionBy("split").parquet(path)
 
@@ -86,7 +95,7 @@ def write_sentences(df: DataFrame, path: str, fmt: str = "parquet", compress: bo
 def read_sentences(spark: SparkSession, path: str, fmt: str = "parquet", splits=None) -> DataFrame:
     """Reader of ``write_sentences`` output; ``splits`` prunes partitions."""
     if fmt == "csv":
-        df = csv_reader(spark, SENTENCE_SCHEMA + ", split string").csv(path)
+        df = csv_reader(spark, ORDERED_SCHEMA + ", split string").csv(path)
     else:
         df = spark.read.parquet(path)
     return df.where(F.col("split").isin(list(splits))) if splits else df

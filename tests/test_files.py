@@ -14,12 +14,13 @@ TRICKY = ['He said "hi", ok', "a\rb", 'back\\slash "q\\" x', "plain"]
 
 @pytest.mark.parametrize("compress", [False, True])
 def test_csv_round_trip(spark, tmp_path, compress):
-    df = spark.createDataFrame([("train", i, t) for i, t in enumerate(TRICKY)],
-                               "split string, article_id long, text string")
+    df = spark.createDataFrame([("train", i, 0, t) for i, t in enumerate(TRICKY)] + [("train", 9, 1, "b"), ("train", 9, 0, "a")],
+                               "split string, article_id long, sent_idx long, text string")
     path = str(tmp_path / "s")
     files.write_sentences(df, path, fmt="csv", compress=compress)
     back = files.read_sentences(spark, path, fmt="csv")
-    assert sorted((r.article_id, r.text) for r in back.collect()) == list(enumerate(TRICKY))
+    got = sorted((r.article_id, r.sent_idx, r.text) for r in back.collect())
+    assert got == [(i, 0, t) for i, t in enumerate(TRICKY)] + [(9, 0, "a"), (9, 1, "b")]
 
 
 def test_split_files_plain_or_gzip(spark, tmp_path):
