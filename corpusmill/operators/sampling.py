@@ -67,6 +67,10 @@ def prefix_positions(df: DataFrame, order_cols: list, bucket: Column,
     return out.drop("_bucket", "_size", "_lseq", "_lcum", "_noff", "_soff")
 
 
+# Quantile ranges of the natural order; a row compares its id with each cut.
+NATURAL_BUCKETS = 256
+
+
 def hash_bucket_of(key: Column, hex_digits: int = 3) -> Column:
     """Monotone bucket of an md5 hex key: its first ``hex_digits`` digits."""
     return F.conv(F.substring(key, 1, hex_digits), 16, 10).cast("int")
@@ -80,13 +84,14 @@ def seeded_order(df: DataFrame, id_col: str, seed: int | None = 0,
                  size_col: str | None = None, hex_digits: int = 3) -> DataFrame:
     """Positions in seeded-shuffle order, or natural order (``seed=None``).
 
-    Natural order buckets the id range evenly; the id is a dense row index.
+    Natural order cuts the ids at their approximate quantiles, so ids with
+    gaps or clusters still fill the buckets evenly.
     """
     if seed is None:
-        lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
-        n_b = 16 ** hex_digits
-        width = max(1, ((hi or 0) - (lo or 0)) // n_b + 1)
-        bucket = ((F.col(id_col) - F.lit(lo or 0)) / F.lit(width)).cast("int")
+        cuts = df.where(F.col(id_col).isNotNull()).approxQuantile(
+            id_col, [i / NATURAL_BUCKETS for i in range(1, NATURAL_BUCKETS)], 0.25 / NATURAL_BUCKETS)
+        cuts = F.array(*[F.lit(c) for c in sorted({int(c) for c in cuts})]).cast("array<bigint>")
+        bucket = F.size(F.filter(cuts, lambda c: c <= F.col(id_col)))
         return prefix_positions(df, [id_col], bucket, size_col)
     keyed = df.withColumn("shuffle_key", shuffle_key(id_col, seed))
     return prefix_positions(keyed, ["shuffle_key", id_col], hash_bucket("shuffle_key", hex_digits),

@@ -67,6 +67,18 @@ def q_seeded_shuffle(spark, sf_dir):
         "article_id", "seq", "size_bytes", "before")
 
 
+@register("natural_order", "WITH " + _positions_sql() + """
+SELECT article_id * article_id AS article_id,
+       CAST(row_number() OVER (ORDER BY article_id) - 1 AS BIGINT) AS seq, size_bytes,
+       CAST(sum(size_bytes) OVER (ORDER BY article_id) - size_bytes AS BIGINT) AS before FROM q""")
+def q_natural_order(spark, sf_dir):
+    """Ids with growing gaps, in their own order."""
+    sized = S.sentence_arrays(_articles(spark, sf_dir)).select(
+        (F.col("article_id") * F.col("article_id")).alias("article_id"), "size_bytes")
+    return R.seeded_order(sized, "article_id", None, "size_bytes").select(
+        "article_id", "seq", "size_bytes", "before")
+
+
 @register("budget_split", _split_sql() + "SELECT split, article_id, sent_idx, text FROM d")
 def q_budget_split(spark, sf_dir):
     return _build(spark, sf_dir).sentences.select("split", "article_id", "sent_idx", "text")
