@@ -43,8 +43,8 @@ from corpusmill.llm.words import column_bytes, runs, words_of
 WINDOW = 35
 GRAM = 10
 SPREAD = WINDOW - GRAM + 1  # grams in a window
-HOT = 4096
-SHARD = 4096
+HOT = 2048
+SHARD = 2048
 SALTS = 64
 
 
@@ -149,8 +149,10 @@ def _surroundings(hot: bool):
     return run
 
 
-def locate(pieces: list, confirmed: list) -> list:
-    """(piece, first word, words) of each occurrence of a recurring passage.
+def locate(pieces: list, confirmed: list) -> tuple:
+    """(pieces, first words, numbers of words) where recurring passages occur.
+
+    Occurrences that overlap in a piece are reported as one run of words.
 
     ``pieces`` are word sequences joined by one space.  ``confirmed`` holds,
     per piece, the numbers of its recurring windows, or None where the pieces
@@ -173,20 +175,35 @@ def locate(pieces: list, confirmed: list) -> list:
             again[first[p] + np.array(known, np.int64)] = True
     # Maximal runs of recurring windows in a piece are the passages.
     edge = np.flatnonzero(np.diff(np.concatenate([[False], again, [False]]).astype(np.int8)))
-    automaton, flat = ahocorasick.Automaton(), text.decode("latin-1")
+    automaton, flat, shape = ahocorasick.Automaton(), text.decode("latin-1"), []
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
         while a < b:  # windows of neighbouring pieces are never one passage
             stop = min(b, int(first[owner[a] + 1]) - WINDOW + 1)
             passage = flat[start[a] - 1:end[stop + WINDOW - 2] + 1]
-            automaton.add_word(passage, (len(passage), stop - a + WINDOW - 1))
+            if passage not in automaton:
+                automaton.add_word(passage, len(shape))
+                shape.append((len(passage), stop - a + WINDOW - 1))
             a = stop
-    if not len(automaton):
-        return []
+    none = np.empty(0, np.int64)
+    if not shape:
+        return none, none, none
     automaton.make_automaton()
-    found = np.array([(at - n + 2, w) for at, (n, w) in automaton.iter(flat)], dtype=np.int64).reshape(-1, 2)
-    word = np.searchsorted(start, found[:, 0])
-    piece = np.searchsorted(first, word, side="right") - 1
-    return list(zip(piece.tolist(), (word - first[piece]).tolist(), found[:, 1].tolist()))
+    # Periodic texts match in very many ways: one number per match, no list.
+    kinds = len(shape)
+    found = np.fromiter((at * kinds + k for at, k in automaton.iter(flat)), np.int64)
+    shape = np.array(shape, np.int64)[found % kinds]
+    word = np.searchsorted(start, found // kinds - shape[:, 0] + 2)
+    cover = np.zeros(first[-1] + 1, np.int64)
+    np.add.at(cover, word, 1)
+    np.add.at(cover, word + shape[:, 1], -1)
+    covered = np.cumsum(cover)[:-1] > 0
+    opens = covered & ~np.concatenate([[False], covered[:-1]])
+    opens[first[:-1]] |= covered[first[:-1]]
+    closes = covered & ~np.concatenate([covered[1:], [False]])
+    closes[first[1:] - 1] |= covered[first[1:] - 1]
+    lo, hi = np.flatnonzero(opens), np.flatnonzero(closes)
+    piece = np.searchsorted(first, lo, side="right") - 1
+    return piece, lo - first[piece], hi - lo + 1
 
 
 def _shards(batches):
@@ -194,23 +211,9 @@ def _shards(batches):
     schema = pa.schema([("cls", pa.int64()), ("first", pa.int64()), ("words", pa.int64())])
 
     def spans(rows):
-        hits = locate([r[4] for r in rows], [r[3] for r in rows])
-        # Of nested occurrences in a piece the union is enough.
-        best = {}
-        for p, a, n in hits:
-            best.setdefault(p, set()).add((a, a + n))
-        out = []
-        for p, own in best.items():
-            upto = -1
-            for a, b in sorted(own):
-                if a > upto:
-                    out.append([rows[p][1], rows[p][2] + a, b - a])
-                    upto = b
-                elif b > upto:
-                    out[-1][2] += b - upto
-                    upto = b
-        cols = list(zip(*out)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+        piece, first, words = locate([r[4] for r in rows], [r[3] for r in rows])
+        cls, at = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[piece], at[piece] + first, words)], schema=schema)
 
     rows, key = [], None
     for batch in batches:

@@ -42,14 +42,15 @@ def test_shared_passages(spark, hot):
     _check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, hot=hot)
 
 
-@pytest.mark.parametrize("shard", [1, 7])
-def test_location_does_not_depend_on_the_shard_size(spark, shard):
+def test_location_in_overlapping_and_periodic_pieces():
     rng = np.random.default_rng(1)
     words = [b"w%d" % x for x in rng.integers(0, 9, 200)]
     pieces = [b" ".join(words[a:a + n]) for a, n in ((0, 60), (5, 40), (20, 35), (100, 50))]
-    hits = rp.locate(pieces, [None] * 4)
-    assert (0, 20, 35) in hits and (2, 0, 35) in hits and not any(p == 3 for p, _, _ in hits)
-    assert (0, 5, 40) in hits and (1, 0, 40) in hits
+    pieces.append(b" ".join([b"a", b"b"] * 30))
+    got = list(zip(*(x.tolist() for x in rp.locate(pieces, [None] * 5))))
+    assert got == [(0, 5, 50), (1, 0, 40), (2, 0, 35), (4, 0, 60)]
+    assert [x.tolist() for x in rp.locate(pieces[3:4], [None])] == [[], [], []]
+    assert [x.tolist() for x in rp.locate(pieces[3:4], [[2, 3]])] == [[0], [2], [36]]
 
 
 def test_generated_documents(spark):
