@@ -37,9 +37,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir()
+    if d:
+        return d          # set before: setting it again would nest a folder in it
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: iterative operators "
@@ -47,4 +48,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
         # Local runs only (tests, bench): a machine-local folder is fine there.
         d = tempfile.mkdtemp(prefix="corpusmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir()
