@@ -242,10 +242,13 @@ def _search(batches):
     key, members = None, {}
 
     def links():
-        ids = sorted(members)
-        pairs = spanning_links([members[i] for i in ids]) if len(ids) > 1 else []
-        return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in pairs], pa.int64()),
-                                           pa.array([ids[b] for _, b in pairs], pa.int64())], schema=schema)
+        ids = np.array(sorted(members), np.int64)
+        forest = Forest(len(ids))
+        for a, b in spanning_links([members[i] for i in ids.tolist()]):
+            forest.join(a, b)
+        # As stars around the smallest class, which settle fastest.
+        linked_to = np.flatnonzero(forest.root != np.arange(len(ids)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[forest.root[linked_to]]), pa.array(ids[linked_to])], schema=schema)
 
     for batch in batches:
         cols = [batch.column(i).to_numpy() for i in range(3)]
