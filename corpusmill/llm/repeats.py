@@ -9,7 +9,8 @@ sequence also starts elsewhere are removed.
    word in 13 is an anchor.  Texts with equal words form a class; each
    window of a class of several recurs, and copies go no further.
 2. Anchors that start at two places or more send their surroundings (the words
-   of the windows they anchor, 60 at most) to the shard of the anchor.
+   of the windows they anchor, 60 or, where the text is periodic, more) to the
+   shard of the anchor.
 3. A shard confirms recurring windows by counting them, compiles the
    passages they make up into an Aho-Corasick automaton (pyahocorasick), and
    streams the surroundings through it to locate every occurrence.  A shard
@@ -72,6 +73,19 @@ def anchors_of(hashes: np.ndarray):
     return g, at
 
 
+def anchor_runs(g: np.ndarray, at: np.ndarray):
+    """(first window, end window) of runs of windows with one anchor hash.
+
+    In periodic texts neighbouring windows have equal anchors at different
+    places; such a run is one surrounding, however long the text repeats.
+    """
+    if not len(at):
+        return at, at
+    value = g[at]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    return first, np.append(first[1:], len(at))
+
+
 def joined_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list:
     raw = data.tobytes()
     return [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
@@ -94,8 +108,10 @@ def _scan(batches):
             s, e, h = words_of(data)
             c = class_of(h)
             g, at = anchors_of(h)
+            # A run names its first place, and its last if it has several.
+            a, b = anchor_runs(g, at)
             # A copy that this task has seen before brings no new place.
-            at = np.unique(at) if c not in done else at[:0]
+            at = np.unique(np.concatenate([at[a], at[b - 1]])) if c not in done else at[:0]
             done.add(c)
             n.append(len(h))
             cls.append(c)
@@ -128,15 +144,12 @@ def _surroundings(hot: bool):
                 if class_of(h) != c or not marks:
                     continue
                 g, at = anchors_of(h)
-                words, marks = joined_words(data, s, e), np.array(sorted(marks))
-                # The windows of one anchor are neighbours.
-                lo = np.searchsorted(at, marks, side="left").tolist()
-                hi = np.searchsorted(at, marks, side="right").tolist()
+                words = joined_words(data, s, e)
+                lo, hi = anchor_runs(g, at)
+                ours = np.isin(at[lo], np.array(marks))
                 full = runs(h, WINDOW).view(np.int64) if hot else None
-                for m, a, b in zip(marks.tolist(), lo, hi):
-                    if a == b:
-                        continue
-                    out[0].append(int(g[m].astype(np.int64)))
+                for a, b in zip(lo[ours].tolist(), hi[ours].tolist()):
+                    out[0].append(int(g[at[a]].astype(np.int64)))
                     out[1].append(c)
                     out[2].append(a)
                     out[3].append(full[a:b].tolist() if hot else None)
@@ -177,8 +190,10 @@ def locate(pieces: list, confirmed: list) -> tuple:
     edge = np.flatnonzero(np.diff(np.concatenate([[False], again, [False]]).astype(np.int8)))
     automaton, flat, shape = ahocorasick.Automaton(), text.decode("latin-1"), []
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        while a < b:  # windows of neighbouring pieces are never one passage
-            stop = min(b, int(first[owner[a] + 1]) - WINDOW + 1)
+        # Neighbouring pieces never share a passage.  Long passages are compiled in
+        # parts, so that periodic ones of many lengths have few patterns.
+        while a < b:
+            stop = min(b, int(first[owner[a] + 1]) - WINDOW + 1, a + SPREAD)
             passage = flat[start[a] - 1:end[stop + WINDOW - 2] + 1]
             if passage not in automaton:
                 automaton.add_word(passage, len(shape))
