@@ -10,8 +10,8 @@ return the columns of ``documents``.
 4. decontamination: documents that hold benchmark passages go.
 5. packing: length buckets and token-budget batches of what is left.
 
-Rows are told apart by their position in the stage's input, so repeated rows
-and ids are judged one by one.  Null and empty texts are judged like others;
+Rows are told apart by a number that is written once with the stage's input, so
+repeated rows and ids are judged one by one, however later scans are cut.  Null and empty texts are judged like others;
 an empty table passes through all stages.
 """
 
@@ -29,15 +29,15 @@ ROW = "_row_in_stage"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows of a table read from files, numbered by place; equal in every scan."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """``docs`` with a row number that is written, and so equal in every scan."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the numbered rows in ``gone``."""
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered ``rows`` without those in ``gone``, as columns of ``documents``."""
     gone = materialize(gone.select(ROW).distinct(), "dropped")
     few = gone.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    return _numbered(docs).join(F.broadcast(gone) if few else gone, ROW, "left_anti").drop(ROW)
+    return rows.join(F.broadcast(gone) if few else gone, ROW, "left_anti").drop(ROW)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,23 +46,26 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = exact_dedup.exact_dedup(docs, with_place=True)
-    return _without(docs, judged.filter("NOT kept").select(F.col("place").alias(ROW)))
+    rows = _numbered(docs)
+    judged = exact_dedup.exact_dedup(rows, place_col=ROW)
+    return _without(rows, judged.filter("NOT kept").select(F.col("place").alias(ROW)))
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = (ngram_join.jaccard_components(_numbered(docs), id_col=ROW).filter("component_size > 1")
+    rows = _numbered(docs)
+    groups = (ngram_join.jaccard_components(rows, id_col=ROW).filter("component_size > 1")
               .select(F.col("doc_id").alias(ROW), "component_id"))
-    groups = materialize(groups.join(_numbered(docs).select(ROW, "doc_id"), ROW), "near-copies")
+    groups = materialize(groups.join(rows.select(ROW, "doc_id"), ROW), "near-copies")
     # The smallest doc_id of a group stays; null ids come last.
     best = groups.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias("stays"))
-    return _without(docs, groups.join(best, "component_id").filter(F.col(ROW) != F.col("stays")))
+    return _without(rows, groups.join(best, "component_id").filter(F.col(ROW) != F.col("stays")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = decontam.contaminated(_numbered(docs), read(spark, sf_dir, "benchmark", "item_id", "text"), id_col=ROW)
-    return _without(docs, hits.select(F.col("doc_id").alias(ROW)))
+    rows = _numbered(docs)
+    hits = decontam.contaminated(rows, read(spark, sf_dir, "benchmark", "item_id", "text"), id_col=ROW)
+    return _without(rows, hits.select(F.col("doc_id").alias(ROW)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

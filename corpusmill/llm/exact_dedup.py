@@ -30,10 +30,11 @@ FLAG_ROWS = 1024
 FLAG_SLOTS = 1024
 
 
-def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _features(docs: DataFrame, id_col: str, text_col: str, place_col: str | None = None) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     norm = F.regexp_replace(text, SPACE + "+", "")
-    return (docs.select(F.col(id_col).alias("doc_id"), F.length(text).alias("chars"), norm.alias("norm"))
+    return (docs.select(F.col(id_col).alias("doc_id"), F.length(text).alias("chars"), norm.alias("norm"),
+                        *([F.col(place_col).alias("place")] if place_col else []))
             .withColumn("len", F.length("norm")))
 
 
@@ -47,26 +48,27 @@ def surviving_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hash_all: bool = False, with_place: bool = False) -> DataFrame:
+                hash_all: bool = False, place_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     ``text_sha256`` is null for rows that the refinement settles without
     their full content, unless ``hash_all`` asks for every row's digest.
-    ``with_place`` adds ``place``, the row's number in the scan of ``docs``
-    (``monotonically_increasing_id``), which tells repeated rows apart.
+    ``place_col`` names a column of ``docs`` that numbers its rows; it tells
+    repeated rows apart and is returned as ``place``.  Without it they are
+    numbered in the one scan that writes the judged rows.
     """
     slot = F.pmod(F.xxhash64("len", "prefix"), F.lit(FLAG_ROWS * FLAG_SLOTS))
     flags = (surviving_keys(docs, id_col, text_col).select(slot.alias("slot")).distinct()
              .groupBy((F.col("slot") % FLAG_ROWS).alias("flag_row"))
              .agg(F.collect_set((F.col("slot") / FLAG_ROWS).cast("int")).alias("slots")))
-    f = (_features(docs, id_col, text_col)
+    f = (_features(docs, id_col, text_col, place_col)
          .withColumn("prefix", F.xxhash64(F.substring("norm", 1, PREFIX)))
          .withColumn("slot", slot))
     f = f.join(F.broadcast(flags), F.col("slot") % FLAG_ROWS == F.col("flag_row"), "left")
     hit = F.coalesce(F.array_contains("slots", (F.col("slot") / FLAG_ROWS).cast("int")), F.lit(False))
     full = F.sha2(F.col("norm"), 256)
     rows = materialize(f.withColumn("hit", hit).select(
-        "doc_id", "chars", F.monotonically_increasing_id().alias("pos"), "hit",
+        "doc_id", "chars", (F.col("place") if place_col else F.monotonically_increasing_id()).alias("pos"), "hit",
         (full if hash_all else F.when(F.col("hit"), full)).alias("text_sha256")), "exact")
 
     groups = (rows.filter("hit").groupBy("text_sha256")
@@ -82,4 +84,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("pos") == F.col("best_pos"))).alias("kept"), "text_sha256",
-        *([F.col("pos").alias("place")] if with_place else []))
+        *([F.col("pos").alias("place")] if place_col else []))

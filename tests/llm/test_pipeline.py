@@ -1,11 +1,13 @@
 """The pipeline's stages against plain Python on the stage's own input."""
 
+import itertools
+import random
 import re
 
 import pytest
 
 import corpus_pipeline as cp
-from corpusmill.llm import decontam, packing, quality
+from corpusmill.llm import decontam, exact_dedup, ngram_join, packing, quality
 from tests.llm import brute
 from tests.llm.conftest import make_rows
 
@@ -86,3 +88,43 @@ def test_run_and_empty_table(spark, results, tmp_path):
     for _, stage in cp.STAGES:
         empty = stage(spark, empty, SF01)
         assert empty.collect() == []
+
+
+def test_scans_cut_differently_drop_the_same_rows(spark, tmp_path, monkeypatch):
+    """Between two scans of a stage the files are packed into other partitions."""
+    rng = random.Random(5)
+
+    def text(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+
+    texts = [text(40 + 5 * i) for i in range(60)]
+    rows = list(enumerate(texts)) + [(100 + i, t) for i, t in enumerate(texts[:20])]      # copies
+    rows += [(200 + i, t + " changed") for i, t in enumerate(texts[20:40])]               # near copies
+    rows += [(300 + i, text(30 + i) + " " + texts[0][:200]) for i in range(5)]            # benchmark passages
+    sf = str(tmp_path)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rng.shuffle(rows)
+    spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], schema).repartition(25).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, texts[0][:200])], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")}
+    calls = itertools.count()
+
+    def recut(write):
+        def run(df, label):
+            out = write(df, label)
+            spark.conf.set("spark.sql.files.minPartitionNum", (1, 3, 40)[next(calls) % 3])
+            return out
+        return run
+
+    for module in (cp, exact_dedup, ngram_join):
+        monkeypatch.setattr(module, "materialize", recut(module.materialize))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        left = [sorted(r.doc_id for r in stage(spark, docs, sf).collect())
+                for stage in (cp.exact_dedup_stage, cp.ngram_join_stage, cp.decontamination_stage)]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    own, copies, near, leaks = (set(range(a, b)) for a, b in ((0, 60), (100, 120), (200, 220), (300, 305)))
+    assert left == [sorted(own | near | leaks), sorted(own | leaks), sorted((own | copies | near) - {0, 100})]
