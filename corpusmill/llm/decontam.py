@@ -10,7 +10,8 @@ one with other numbers, names or units are both caught; words that merely
 share a shape are not.
 
 An item shorter than a window is one window of its own length.  Windows with
-fewer than ``MIN_LITERALS`` literal tokens carry no template and are skipped.
+fewer than ``MIN_LITERALS`` literal tokens carry no template: they match only
+with the same slot values (an exact copy), which are part of their hash.
 
 The benchmark side is broadcast while its windows number at most
 ``MAX_BROADCAST`` (checked by a count); beyond that the documents' windows are
@@ -121,7 +122,10 @@ class Encoded:
         return s
 
     def hashes(self, size: int):
-        """(hashes, start words, first-is-name) of all windows, both variants."""
+        """(hashes, start words, first-is-name) of all windows, both variants.
+
+        The hash of a window with few literals covers its slot values too.
+        """
         n = self.n - size + 1
         if n <= 0 or size <= 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
@@ -135,7 +139,17 @@ class Encoded:
                 h ^= h >> np.uint64(29)
                 part = self.tokens[i:i + n]
                 h = (h ^ np.concatenate([part, part[cap]])) * _P
-        return h ^ (h >> np.uint64(32)), start, as_name
+            h ^= h >> np.uint64(32)
+            first = np.concatenate([self.slot[:n], self.name_slot[cap]])
+            until = np.concatenate([[0], np.cumsum(self.slots == 0)])
+            few = np.flatnonzero(until[start + size] - until[start + 1] + (first == 0) < min(MIN_LITERALS, size))
+            if len(few):
+                x, at = (h[few] ^ first[few]) * _P, start[few]
+                for i in range(1, size):
+                    x ^= x >> np.uint64(29)
+                    x = (x ^ self.slots[at + i]) * _P
+                h[few] = x ^ (x >> np.uint64(32))
+        return h, start, as_name
 
 
 def consistent(a: np.ndarray, b: np.ndarray) -> bool:
@@ -147,6 +161,13 @@ def consistent(a: np.ndarray, b: np.ndarray) -> bool:
     return True
 
 
+def same_passage(a: np.ndarray, b: np.ndarray) -> bool:
+    """Slots of two joined windows agree: renamed, or equal where literals are few."""
+    if np.count_nonzero(a == 0) < min(MIN_LITERALS, len(a)):
+        return np.array_equal(a, b)
+    return consistent(a, b)
+
+
 WINDOWS_SCHEMA = "item_id long, size int, hash long, slots binary"
 
 
@@ -162,9 +183,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                 e = Encoded(text, coder)
                 size = min(window, e.n)
                 for h, i, as_name in zip(*e.hashes(size)):
-                    s = e.window_slots(i, size, as_name)
-                    if np.count_nonzero(s == 0) >= min(MIN_LITERALS, size):
-                        out.append((item, size, int(h.astype(np.int64)), s.tobytes()))
+                    out.append((item, size, int(h.astype(np.int64)), e.window_slots(i, size, as_name).tobytes()))
             yield pd.DataFrame(out, columns=["item_id", "size", "hash", "slots"])
 
     return src.mapInPandas(run, WINDOWS_SCHEMA).distinct()
@@ -193,7 +212,7 @@ class _Lookup:
                 i = int(start[j])
                 mine = e.window_slots(i, size, bool(as_name[j]))
                 for item, slots in self.items[(size, int(h[j]))]:
-                    if consistent(slots, mine):
+                    if same_passage(slots, mine):
                         found.setdefault(item, {})[i] = i + size
         return found
 
@@ -243,7 +262,7 @@ def _shuffled(src: DataFrame, wins: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def same(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([consistent(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)])
+        return pd.Series([same_passage(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)])
 
     hits = doc_wins.join(wins, ["size", "hash"]).filter(same("slots", "doc_slots"))
     return (hits.groupBy("row", "doc_id", "item_id")

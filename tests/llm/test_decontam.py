@@ -65,3 +65,26 @@ def test_every_verbatim_window_is_found(spark):
             want |= {(r.doc_id, x) for x in grams.get(tuple(w[i:i + decontam.WINDOW]), ())}
     got = set(_pairs(decontam.contaminated(docs, items)))
     assert want <= got and len(got - want) <= 0.1 * len(want)
+
+
+def _both_ways(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    both = [decontam.contaminated(docs, items, max_broadcast=n) for n in (0, 10_000)]
+    assert sorted(both[0].collect()) == sorted(both[1].collect())
+    return _pairs(both[1])
+
+
+def test_passages_of_names_and_figures_match_as_they_are(spark):
+    title = "The Old Man And The Sea By Ernest Hemingway Won The Prize In 1953 For Fiction"
+    names = "Anna Berta Clara Dora Emma Frieda Greta Hanna Ida Johanna Klara Lena"
+    figures = "3 1 4 1 5 9 2 6 5 3 5 8 9 7 9"
+    short = "In 1953 Ernest Hemingway"
+    items = list(enumerate((title, names, figures, short)))
+    rows = [(10, f"They said: {title}. So it was"), (11, f"with {names} and others"), (12, f"digits {figures} of pi"),
+            (13, f"it was {short} who won"),
+            # Other names or figures in the same places are no copy.
+            (20, "The Old Dog And The Hut By Maria Sanders Won The Prize In 1961 For Drama"),
+            (21, "with Nora Olga Paula Rosa Sara Tina Ulla Vera Wilma Xenia Yvonne Zoe and others"),
+            (22, "digits 2 7 1 8 2 8 1 8 2 8 4 5 9 0 4 of e"), (23, "it was In 1961 Maria Sanders who won")]
+    assert _both_ways(spark, rows, items) == [(10, 0), (11, 1), (12, 2), (13, 3)]
