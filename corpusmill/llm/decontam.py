@@ -7,9 +7,12 @@ hash-joined between benchmark items and documents; for each joined pair of
 windows the slots are checked for consistency: equal slot values on one side
 must be equal on the other (a one-to-one renaming).  A copied question and
 one with other numbers, names or units are both caught; words that merely
-share a shape are not.
+share a shape are not.  A figure with an attached unit ("120km") counts as the
+two tokens it holds.  Item windows are also hashed with their names in lower
+case, which is how names look in a lower-case or shouted copy.
 
-An item shorter than a window is one window of its own length.  Windows with
+An item shorter than a window is one window of its own length; one of fewer
+than ``MIN_CONTAINED`` tokens matches only a document that holds nothing else.  Windows with
 fewer than ``MIN_LITERALS`` literal tokens carry no template: they match only
 with the same slot values (an exact copy), which are part of their hash.
 
@@ -24,6 +27,7 @@ ignored.  Long texts are read whole, window by window.
 
 from __future__ import annotations
 
+import copy
 import re
 
 import numpy as np
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 10
 MIN_LITERALS = 4
+MIN_CONTAINED = 3
 MAX_BROADCAST = 200_000
 
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
@@ -43,7 +48,8 @@ UNITS = frozenset("""mm cm m km in ft yd mi mg g kg t oz lb ml l gal s sec min h
     cents meter meters metre metres kilometer kilometers mile miles inch inches foot feet yard yards gram grams
     kilogram kilograms pound pounds ounce ounces liter liters litre litres second seconds minute minutes hour
     hours day days week weeks month months year years percent degree degrees""".split())
-_NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?$")
+_NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?$", re.IGNORECASE)
+_WITH_UNIT = re.compile(r"([+-]?\d[\d.,:/]*)([a-z]+)$", re.IGNORECASE)
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 
 
@@ -54,15 +60,21 @@ def template_token(word: str) -> tuple:
     if not core:
         return (UNIT, word, False, ends) if word in ("%", "$") else (word, None, False, ends)
     if _NUMBER.match(core):
-        return NUM, core, False, ends
+        return NUM, core.lower(), False, ends
     if core.lower() in UNITS:
         return UNIT, core.lower(), False, ends
     # Capitalised, not all capitals: shouted text is lower-cased like any other.
     return core.lower(), None, core[0].isupper() and core[1:] != core[1:].upper(), ends
 
 
+def with_unit(word: str) -> tuple | None:
+    """(figure, unit) of a word like "120km"."""
+    m = _WITH_UNIT.match(word.strip(_EDGES))
+    return m.groups() if m and not _NUMBER.match(m[0]) and m[2].lower() in UNITS else None
+
+
 class _Coder(dict):
-    """word -> row of ``table``: literal, slot, name slot, ends a sentence.
+    """word -> row of ``table``: literal, slot, name slot, ends a sentence, attached unit's slot.
 
     Codes are 64-bit hashes; slot 0 means "no slot".  The word cache is
     emptied at ``LIMIT`` words, so memory stays bounded on any corpus.
@@ -71,17 +83,21 @@ class _Coder(dict):
     LIMIT = 400_000
 
     def __init__(self):
-        self.table = np.zeros((1024, 4), np.uint64)
+        self.table = np.zeros((1024, 5), np.uint64)
 
     def __missing__(self, word):
         text = word.decode("utf-8", "replace")
-        token, slot, name, ends = template_token(text)
+        parts = with_unit(text)
+        token, slot, name, ends = template_token(parts[0] if parts else text)
+        if parts:
+            ends = template_token(text)[3]
         n = len(self)
         if n == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         own = xxhash.xxh64_intdigest(text.strip(_EDGES)) | 1
         self.table[n] = (xxhash.xxh64_intdigest(token), 0 if slot is None else xxhash.xxh64_intdigest(slot) | 1,
-                         own if name else 0, ends)
+                         own if name else 0, ends,
+                         xxhash.xxh64_intdigest(parts[1].lower()) | 1 if parts else 0)
         self[word] = n
         return n
 
@@ -95,7 +111,7 @@ class _Coder(dict):
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-_NAME_CODE = np.uint64(xxhash.xxh64_intdigest(NAME))
+_NAME_CODE, _UNIT_CODE = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (NAME, UNIT))
 
 
 class Encoded:
@@ -110,19 +126,32 @@ class Encoded:
         # bytes.split() splits at exactly [\x20\x09-\x0D].
         words = (text or "").encode("utf-8", "surrogatepass").split()
         t = coder.rows(words)
-        self.n = len(words)
+        self.word = np.arange(len(words))  # the word that holds a token
+        if t[:, 4].any():
+            split = t[:, 4] != 0
+            self.word = np.repeat(self.word, 1 + split)
+            unit = np.flatnonzero(np.diff(self.word, prepend=-1) == 0)
+            t = t[self.word]
+            t[unit, 0], t[unit, 1], t[unit - 1, 3] = _UNIT_CODE, t[unit, 4], 0
+        self.n = len(t)
         self.literal, self.slot, self.name_slot = t[:, 0], t[:, 1], t[:, 2]
         named = (self.name_slot != 0) & np.concatenate([[False], t[:-1, 3] == 0])[:self.n]
         self.tokens = np.where(named, _NAME_CODE, self.literal)
         self.slots = np.where(named, self.name_slot, self.slot)
 
+    def lowered(self) -> Encoded:
+        """The same text with its names as lower-case literals."""
+        e = copy.copy(self)
+        e.tokens, e.slots, e.name_slot = self.literal, self.slot, np.zeros_like(self.name_slot)
+        return e
+
     def window_slots(self, i: int, size: int, as_name: bool) -> np.ndarray:
         s = self.slots[i:i + size].copy()
         s[0] = self.name_slot[i] if as_name else self.slot[i]
         return s
 
     def hashes(self, size: int):
-        """(hashes, start words, first-is-name) of all windows, both variants.
+        """(hashes, start tokens, first-is-name) of all windows, both variants.
 
         The hash of a window with few literals covers its slot values too.
         """
@@ -182,8 +211,9 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
             for item, text in zip(pdf["item_id"], pdf["text"]):
                 e = Encoded(text, coder)
                 size = min(window, e.n)
-                for h, i, as_name in zip(*e.hashes(size)):
-                    out.append((item, size, int(h.astype(np.int64)), e.window_slots(i, size, as_name).tobytes()))
+                for x in (e, e.lowered()) if e.name_slot.any() else (e,):
+                    for h, i, as_name in zip(*x.hashes(size)):
+                        out.append((item, size, int(h.astype(np.int64)), x.window_slots(i, size, as_name).tobytes()))
             yield pd.DataFrame(out, columns=["item_id", "size", "hash", "slots"])
 
     return src.mapInPandas(run, WINDOWS_SCHEMA).distinct()
@@ -201,9 +231,11 @@ class _Lookup:
         self.known = {s: np.sort(np.array(list(k), dtype=np.uint64)) for s, k in keys.items()}
 
     def hits(self, e: Encoded) -> dict:
-        """item -> start words of its consistent windows."""
+        """item -> first and end words of its matching windows."""
         found = {}
         for size, known in self.known.items():
+            if size < MIN_CONTAINED and size != e.n:
+                continue
             h, start, as_name = e.hashes(size)
             if not len(h):
                 continue
@@ -213,7 +245,9 @@ class _Lookup:
                 mine = e.window_slots(i, size, bool(as_name[j]))
                 for item, slots in self.items[(size, int(h[j]))]:
                     if same_passage(slots, mine):
-                        found.setdefault(item, {})[i] = i + size
+                        ends = found.setdefault(item, {})
+                        first, end = int(e.word[i]), int(e.word[i + size - 1]) + 1
+                        ends[first] = max(end, ends.get(first, 0))
         return found
 
 
@@ -250,15 +284,18 @@ def _shuffled(src: DataFrame, wins: DataFrame) -> DataFrame:
             for row, doc, text in zip(pdf["row"], pdf["doc_id"], pdf["text"]):
                 e = Encoded(text, coder)
                 for s in sizes:
+                    if s < MIN_CONTAINED and s != e.n:
+                        continue
                     h, start, as_name = e.hashes(s)
                     for lo in range(0, len(h), 4096):
                         part = slice(lo, lo + 4096)
                         yield pd.DataFrame({
-                            "row": row, "doc_id": doc, "size": s, "hash": h[part].astype(np.int64), "word": start[part],
+                            "row": row, "doc_id": doc, "size": s, "hash": h[part].astype(np.int64),
+                            "word": e.word[start[part]], "end": e.word[start[part] + s - 1] + 1,
                             "doc_slots": [e.window_slots(i, s, a).tobytes() for i, a in zip(start[part], as_name[part])]})
 
     doc_wins = (src.withColumn("row", F.monotonically_increasing_id())
-                .mapInPandas(explode, "row long, doc_id long, size int, hash long, word long, doc_slots binary"))
+                .mapInPandas(explode, "row long, doc_id long, size int, hash long, word long, end long, doc_slots binary"))
 
     @F.pandas_udf("boolean")
     def same(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -267,4 +304,4 @@ def _shuffled(src: DataFrame, wins: DataFrame) -> DataFrame:
     hits = doc_wins.join(wins, ["size", "hash"]).filter(same("slots", "doc_slots"))
     return (hits.groupBy("row", "doc_id", "item_id")
             .agg(F.countDistinct("word").alias("n_windows"), F.min("word").alias("first_word"),
-                 F.max(F.col("word") + F.col("size")).alias("end_word")).drop("row"))
+                 F.max("end").alias("end_word")).drop("row"))

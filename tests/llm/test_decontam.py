@@ -88,3 +88,28 @@ def test_passages_of_names_and_figures_match_as_they_are(spark):
             (21, "with Nora Olga Paula Rosa Sara Tina Ulla Vera Wilma Xenia Yvonne Zoe and others"),
             (22, "digits 2 7 1 8 2 8 1 8 2 8 4 5 9 0 4 of e"), (23, "it was In 1961 Maria Sanders who won")]
     assert _both_ways(spark, rows, items) == [(10, 0), (11, 1), (12, 2), (13, 3)]
+
+
+def test_lower_case_and_shouted_copies_of_passages_with_names(spark):
+    text = "On monday Anna Weber met Carl Stone in Vienna and Paul Kern sang for Rosa Lind at noon."
+    rows = [(10, "so " + text.lower()), (11, "SO " + text.upper()), (12, "so " + text.replace("On", "on")),
+            (13, "so on monday someone met another in a town and nobody sang for anyone at noon")]
+    assert _both_ways(spark, rows, [(1, text)]) == [(10, 1), (11, 1), (12, 1)]
+
+
+def test_figures_with_attached_units(spark):
+    items = [(1, "the parcel of 5kg went 120km by road before the 2nd driver took over")]
+    rows = [(10, "the parcel of 7kg went 90km by road before the 3rd driver took over"),
+            (11, "the parcel of 7 kg went 90 km by road before the 3RD driver took over"),
+            (12, "the parcel of xkg went zkm by road before the 3rd driver took over")]
+    assert _both_ways(spark, rows, items) == [(10, 1), (11, 1)]
+    docs = spark.createDataFrame(rows[:1], "doc_id long, text string")
+    got = decontam.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r.first_word, r.end_word) for r in got] == [(0, 14)]
+
+
+def test_items_of_one_or_two_words_match_whole_texts(spark):
+    items = [(1, "yes"), (2, "New York"), (3, "7"), (4, "three words here")]
+    rows = [(10, "yes"), (11, " Yes. "), (12, "he said yes and went"), (13, "New York"), (14, "a day in New York"),
+            (15, "7"), (16, "8"), (17, "7 of them"), (18, "we have three words here too")]
+    assert _both_ways(spark, rows, items) == [(10, 1), (11, 1), (13, 2), (15, 3), (18, 4)]
