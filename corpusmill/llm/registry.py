@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-MODULES = ("q_dedup", "q_scan", "q_layout", "q_text", "q_vectors", "q_pipeline")
+MODULES = ("q_dedup", "q_scan", "q_layout", "q_text", "q_vectors", "q_manifest", "q_license", "q_pipeline")
 
 
 def register(name: str, sql: str | None = None):
