@@ -9,6 +9,8 @@ RE2's is ASCII) both spellings live next to each other.
 
 from __future__ import annotations
 
+from .rules import NAME_ROWS
+
 # ---------------------------------------------------------------------------
 # Sentence extraction
 # ---------------------------------------------------------------------------
@@ -82,31 +84,29 @@ DEFAULT_TAGS = ("IP_ADDRESS", "KEY", "ID", "PHONE", "USER", "EMAIL", "LICENSE_PL
 TAG_PRIORITY = {t: i for i, t in enumerate(
     ("EMAIL", "KEY", "IP_ADDRESS", "PHONE", "ID", "USER", "LICENSE_PLATE", "PERSON"))}
 
-# Context words that must appear within the context window of a mention for
-# the types listed here; keyed by base language code, "*" applies to all.
-CONTEXT_WORDS = {
-    "LICENSE_PLATE": {
-        "*": ("plate", "license", "licence", "registration"),
-        "de": ("kennzeichen", "nummernschild"),
-        "fr": ("immatriculation", "plaque"),
-        "es": ("matricula", "placa"),
-    },
-}
+# Tags whose mentions need a context word nearby (``rules``), and weaker patterns that
+# count as their tag only with one.
+NEEDS_CONTEXT = {"LICENSE_PLATE"}
+WITH_CONTEXT = {"KEY": r"<B>[A-Fa-f0-9]{16,31}<E>"}
 
-# Given names used by the name-list person detector (``Name Surname``).
-GIVEN_NAMES = ("Ana", "Anna", "John", "Maria", "Peter", "Paul", "Marie", "Jean",
-               "Hans", "Juan", "Carlos", "Sofia", "Laura", "David", "Michael")
+# Given names of the name-list detector (``Name Surname``): the first words of the packaged
+# table that hold in every language.
+GIVEN_NAMES = tuple(name for name, lang in NAME_ROWS if lang == "*")
 
 
-def detector_pattern(tag: str, dialect: str = "java") -> str:
-    p = DETECTORS[tag]
+def _spelled(p: str, dialect: str) -> str:
     for k, v in (_JAVA_B if dialect == "java" else _RE2_B).items():
         p = p.replace(k, v)
     return p
 
 
+def detector_pattern(tag: str, dialect: str = "java") -> str:
+    return _spelled(DETECTORS[tag], dialect)
+
+
+def weak_pattern(tag: str, dialect: str = "java") -> str:
+    return _spelled(WITH_CONTEXT[tag], dialect)
+
+
 def name_list_pattern(dialect: str = "java") -> str:
-    p = "<B>((?:" + "|".join(GIVEN_NAMES) + r") [A-Z][a-z]+)<E>"
-    for k, v in (_JAVA_B if dialect == "java" else _RE2_B).items():
-        p = p.replace(k, v)
-    return p
+    return _spelled("<B>((?:" + "|".join(GIVEN_NAMES) + r") [A-Z][a-z]+)<E>", dialect)

@@ -2,8 +2,8 @@
 
 ``regexp_extract_all`` gives the matches and ``split`` with the same pattern
 gives the text between them; match ``i`` starts after all earlier gaps and
-matches.  One ``aggregate`` carries the running position, so the cost is
-linear in the number of matches.  Offsets are 0-based code points, end
+matches.  One ``scan_array`` carries the running position, so the cost is
+near linear in the number of matches.  Offsets are 0-based code points, end
 exclusive (what ``length``/``substring`` count).
 """
 
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let, scan_array
+
 SPAN_TYPE = "struct<start:bigint,end:bigint,text:string,tag:string>"
 
 
@@ -34,18 +36,16 @@ def _two_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
         items = F.arrays_zip(m0.alias("m"), mg.alias("g"), gaps.alias("gap"))
     else:
         items = F.arrays_zip(m0.alias("m"), gaps.alias("gap"))
-    init = F.struct(F.lit(0).cast("bigint").alias("pos"),
-                    F.array().cast(f"array<{SPAN_TYPE}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN_TYPE}>")
 
-    def step(acc, x):
+    def step(pos, x):
         g = x["g"] if group else x["m"]
-        end = acc["pos"] + F.length(x["gap"]).cast("bigint") + F.length(x["m"]).cast("bigint")
+        end = pos + F.coalesce(F.length(x["gap"]).cast("bigint") + F.length(x["m"]).cast("bigint"), F.lit(0))
         span = F.struct((end - F.length(g).cast("bigint")).alias("start"),
                         end.alias("end"), g.alias("text"), F.lit(tag).alias("tag"))
-        return F.when(x["m"].isNull(), acc).otherwise(
-            F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out")))
+        return end, F.when(x["m"].isNull(), none).otherwise(F.array(span))
 
-    return F.aggregate(items, init, step, lambda acc: acc["out"])
+    return scan_array(items, F.lit(0).cast("bigint"), step, SPAN_TYPE)
 
 
 def _one_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
@@ -53,17 +53,17 @@ def _one_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
     on the mark (a literal), and walk the pieces; odd pieces are mentions."""
     repl = f"{MARK}$0{MARK}" if not group else f"$1{MARK}${group}{MARK}"
     parts = F.split(F.regexp_replace(t, pattern, repl), MARK, -1)
-    init = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(False).alias("odd"),
-                    F.array().cast(f"array<{SPAN_TYPE}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN_TYPE}>")
+    init = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(False).alias("odd"))
 
-    def step(acc, x):
+    def step(st, x):
         ln = F.length(x).cast("bigint")
-        span = F.struct(acc["pos"].alias("start"), (acc["pos"] + ln).alias("end"), x.alias("text"),
+        span = F.struct(st["pos"].alias("start"), (st["pos"] + ln).alias("end"), x.alias("text"),
                         F.lit(tag).alias("tag"))
-        out = F.when(acc["odd"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-        return F.struct((acc["pos"] + ln).alias("pos"), (~acc["odd"]).alias("odd"), out.alias("out"))
+        return (F.struct((st["pos"] + ln).alias("pos"), (~st["odd"]).alias("odd")),
+                F.when(st["odd"], F.array(span)).otherwise(none))
 
-    return F.aggregate(parts, init, step, lambda acc: acc["out"])
+    return scan_array(parts, init, step, SPAN_TYPE)
 
 
 def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
@@ -100,31 +100,33 @@ def covering_spans(spans, priority: dict[str, int]) -> Column:
     def rank(tag):
         return F.coalesce(F.try_element_at(prio, tag), F.lit(99))
 
-    init = F.struct(F.lit(None).cast(SPAN_TYPE).alias("cur"),
-                    F.array().cast(f"array<{SPAN_TYPE}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN_TYPE}>")
 
-    def step(acc, x):
-        cur = acc["cur"]
+    def step(cur, x):
         longer = F.concat(cur["text"], F.substring(x["text"], (cur["end"] - x["start"] + 1).cast("int"),
                                                    F.length(x["text"])))
         merged = F.struct(
             cur["start"].alias("start"), F.greatest(cur["end"], x["end"]).alias("end"),
             F.when(x["end"] > cur["end"], longer).otherwise(cur["text"]).alias("text"),
             F.when(rank(x["tag"]) < rank(cur["tag"]), x["tag"]).otherwise(cur["tag"]).alias("tag"))
-        done = F.when(cur.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(cur)))
-        return F.when(cur.isNotNull() & (x["start"] < cur["end"]),
-                      F.struct(merged.alias("cur"), acc["out"].alias("out"))) \
-            .otherwise(F.struct(x.alias("cur"), done.alias("out")))
+        inside = cur.isNotNull() & (x["start"] < cur["end"])
+        return (F.when(inside, merged).otherwise(x),
+                F.when(cur.isNull() | inside, none).otherwise(F.array(cur)))
 
-    return F.aggregate(_col(spans), init, step, lambda acc: F.when(acc["cur"].isNull(), acc["out"]).otherwise(
-        F.concat(acc["out"], F.array(acc["cur"]))))
+    return scan_array(_col(spans), F.lit(None).cast(SPAN_TYPE), step, SPAN_TYPE, lambda cur, out: F.when(
+        cur.isNull(), out).otherwise(F.concat(out, F.array(cur))))
 
 
 def sort_spans(spans, priority: dict[str, int]) -> Column:
-    """Total order (start, end desc, tag priority, text); duplicates removed."""
+    """Total order (start, end desc, tag priority, text); duplicates removed.
+
+    Equal spans are neighbours after sorting, so one pass drops them (comparing all
+    pairs, as ``array_distinct`` does for structs, would be quadratic).
+    """
     prio = F.create_map(*[x for k, v in priority.items() for x in (F.lit(k), F.lit(v))])
-    keyed = F.transform(F.array_distinct(_col(spans)), lambda s: F.struct(
+    keyed = F.transform(_col(spans), lambda s: F.struct(
         s["start"].alias("k1"), (-s["end"]).alias("k2"),
         F.coalesce(F.try_element_at(prio, s["tag"]), F.lit(99)).alias("k3"),
         s["text"].alias("k4"), s.alias("s")))
-    return F.transform(F.array_sort(keyed), lambda k: k["s"])
+    return let(F.array_sort(keyed), lambda a: F.transform(
+        F.filter(a, lambda k, i: (i == 0) | (k != F.get(a, i - 1))), lambda k: k["s"]))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .encode import pad_or_cut, tokens_to_text, word_pieces
-from .vocab import CLS_ID, PAD_ID, SEP_ID, SPECIALS, words
+from .encode import ids_to_tokens, pad_or_cut, tokens_to_text, word_pieces
+from .vocab import CLS_ID, PAD_ID, SEP_ID, words
 
 NULL_LABEL = -100
 
@@ -26,22 +26,21 @@ def tagged_tokens(df: DataFrame, id_cols: list[str], text_col: str = "text") ->
 def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col: str = "tokens",
                  tags_col: str = "ner_tags", max_length: int | None = 128,
                  add_special_tokens: bool = True, null_label: int = NULL_LABEL,
-                 check_lengths: bool = False) -> DataFrame:
+                 check_lengths: bool = False, keep_tags: bool = False) -> DataFrame:
     """``input_ids, token_type_ids, attention_mask, word_ids, labels,
     words, text`` per row; word id repeated per piece (K8), label on the
     first piece only (K9), CLS/SEP added, then padded to or cut at
-    ``max_length`` (K10; a cut may drop SEP, as in the reference).
+    ``max_length`` (K10; a cut may drop SEP, as in the reference).  With
+    ``keep_tags`` also ``ner_tags``, the tag of each word.
     """
     # tags travel with their words, so the rows need no join back
     x = word_pieces(df, id_cols, F.col(tokens_col), vocab, tag_array=F.col(tags_col))
     pieces = F.col("pieces")
     wid = F.flatten(F.transform(pieces, lambda p, i: F.array_repeat(i, F.size(p))))
     # A NULL token has no pieces, so no label either; word ids still count it.
-    lab = F.flatten(F.transform(pieces, lambda p, i: F.slice(F.concat(
-        F.array(F.element_at(F.col("tags"), i + 1)),
-        F.array_repeat(F.lit(null_label), F.size(p))), F.lit(1), F.size(p))))
+    lab = F.flatten(F.zip_with(pieces, F.col("tags"), lambda p, t: F.slice(F.concat(
+        F.array(t), F.array_repeat(F.lit(null_label), F.size(p))), F.lit(1), F.coalesce(F.size(p), F.lit(0)))))
     ids = F.flatten(pieces)
-    toks = F.flatten("piece_toks")
     n = F.size(ids)
     cols = {
         "input_ids": (ids, CLS_ID, SEP_ID, PAD_ID),
@@ -49,19 +48,18 @@ def align_labels(df: DataFrame, id_cols: list[str], vocab: DataFrame, tokens_col
         "attention_mask": (F.array_repeat(F.lit(1), n), 1, 1, 0),
         "word_ids": (wid, None, None, None),
         "labels": (lab, null_label, null_label, null_label),
-        "toks": (toks, SPECIALS[CLS_ID], SPECIALS[SEP_ID], SPECIALS[PAD_ID]),
     }
     out = []
     for name, (v, cls, sep, pad) in cols.items():
-        typ = "string" if name == "toks" else "int"
         if add_special_tokens:
-            v = F.concat(F.array(F.lit(cls).cast(typ)), v, F.array(F.lit(sep).cast(typ)))
+            v = F.concat(F.array(F.lit(cls).cast("int")), v, F.array(F.lit(sep).cast("int")))
         if max_length is not None:
-            v = pad_or_cut(v, max_length, F.lit(pad).cast(typ))
+            v = pad_or_cut(v, max_length, F.lit(pad).cast("int"))
         out.append(v.alias(name))
-    res = (x.select(*id_cols, *out, "words")
-           .withColumn("text", tokens_to_text("toks", skip_special_tokens=True))
-           .drop("toks"))
+    res = x.select(*id_cols, *out, "words", *([F.col("tags").alias("ner_tags")] if keep_tags else []))
+    # The text comes from the ids that were kept, in the same row.
+    named = ids_to_tokens(res, res.columns, "input_ids", vocab)
+    res = named.withColumn("text", tokens_to_text("tokens", skip_special_tokens=True)).drop("tokens")
     if check_lengths:
         # Every per-token array has one length (max_length when padding)
         want = F.lit(max_length) if max_length is not None else F.size("input_ids")

@@ -1,22 +1,156 @@
-"""Greedy longest-match subword encoding (K2-K7), per *distinct word*.
-
-Segmenting a word needs, for every start position, the longest vocabulary
-piece there.  Those lookups are one explode of (start, length) candidates
-and one broadcast hash join against the vocabulary (bounded by
-``vocab_size``); the greedy walk is then a linear fold per word.  Text rows
-are encoded by exploding their words, joining to the segmented distinct
-words, and re-collecting the pieces in word order per row (a group is one
-row's words).
+"""Greedy longest-match subword encoding (K2-K7).
+
+The vocabulary, once its bytes are checked, is broadcast and built into a trie once
+per Python worker.  An Arrow UDF walks it for the distinct words of each batch
+and puts the pieces back in place of every occurrence with array
+arithmetic: one row in, one row out, no exchange, whatever the number of words.
+Ids become token texts by a lookup in one literal array, inside the JVM.
+
+A vocabulary beyond ``BROADCAST_BYTES`` is looked up by joins instead: the distinct
+words are segmented as rows and joined back to their occurrences.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .vocab import CHAR, CLS_ID, CONT, PAD_ID, SEP_ID, SPECIALS, UNK_ID, words
 
+# Distinct words whose pieces a worker remembers; beyond it, it starts anew.
+MEMO_WORDS = 1 << 18
+_CODE_POINTS = 0x110000
+
+
+class WordPieces:
+    """A vocabulary as a trie: node and character give the next node.
+
+    Node 0 starts a word and knows every token as it stands; node 1 continues
+    one and knows the tokens that start with ``##``, without that mark.
+    """
+
+    def __init__(self, tokens: list, ids: list):
+        self.tokens, self.ids = tokens, ids
+        self._edges = None
+
+    def __getstate__(self):
+        return {"tokens": self.tokens, "ids": self.ids, "_edges": None}
+
+    def _build(self):
+        edges, ends = {}, [-1, -1]
+
+        def add(node, chars, number):
+            for c in chars:
+                key = node * _CODE_POINTS + ord(c)
+                nxt = edges.get(key)
+                if nxt is None:
+                    nxt = edges[key] = len(ends)
+                    ends.append(-1)
+                node = nxt
+            ends[node] = number
+
+        for token, number in zip(self.tokens, self.ids):
+            if token:
+                add(0, token, number)
+            if token.startswith(CONT) and len(token) > len(CONT):
+                add(1, token[len(CONT):], number)
+        self._edges, self._ends, self._memo = edges, ends, {}
+
+    def pieces(self, word: str) -> tuple:
+        """Ids of the longest pieces from left to right; UNK where none fits."""
+        edges, ends = self._edges, self._ends
+        out, at, n = [], 0, len(word)
+        while at < n:
+            node, j, best = (1 if at else 0), at, -1
+            while j < n:
+                node = edges.get(node * _CODE_POINTS + ord(word[j]))
+                if node is None:
+                    break
+                j += 1
+                if ends[node] >= 0:
+                    best, stop = ends[node], j
+            if best < 0:
+                return (UNK_ID,)
+            out.append(best)
+            at = stop
+        return tuple(out) if out else (UNK_ID,)
+
+    def segment(self, column: pa.Array) -> pa.Array:
+        """list<string> -> list<list<int>>: the pieces of every word of a batch."""
+        if self._edges is None:
+            self._build()
+        rows = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = column.flatten().dictionary_encode()
+        memo = self._memo
+        found = []
+        for w in coded.dictionary.to_pylist():
+            p = memo.get(w)
+            if p is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                p = memo[w] = self.pieces(w)
+            found.append(p)
+        found.append(())                            # a NULL word has no pieces
+        size = np.array([len(p) for p in found], np.int64)
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        flat = np.array([i for p in found for i in p], np.int32)
+        which = pc.fill_null(coded.indices, len(found) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+        inner = np.concatenate([[0], np.cumsum(size[which])])
+        take = np.repeat(start[which] - inner[:-1], size[which]) + np.arange(inner[-1])
+        outer = np.concatenate([[0], np.cumsum(rows)])
+        lists = pa.ListArray.from_arrays(pa.array(inner.astype(np.int32)), pa.array(flat[take]))
+        return pa.ListArray.from_arrays(pa.array(outer.astype(np.int32)), lists)
+
+
+def _vocab_rows(vocab: DataFrame) -> list | None:
+    """``(token, id)`` rows at the driver, or None if they pass ``BROADCAST_BYTES``."""
+    size = vocab.agg(F.sum(F.octet_length("token") + 16)).first()[0] or 0
+    return vocab.select("token", "id").collect() if size <= BROADCAST_BYTES else None
+
+
+def segmenter(vocab: DataFrame):
+    """A function array<string> Column -> array<array<int>> Column, or None for a
+    vocabulary that is too large to broadcast."""
+    rows = _vocab_rows(vocab)
+    if rows is None:
+        return None
+    trie = vocab.sparkSession.sparkContext.broadcast(WordPieces([r.token for r in rows], [r.id for r in rows]))
+
+    @F.arrow_udf("array<array<int>>")
+    def pieces_of(column: pa.Array) -> pa.Array:
+        return trie.value.segment(column)
+
+    return pieces_of
+
+
+def token_names(vocab: DataFrame):
+    """A function array<int> Column -> array<string> Column (UNK for unknown ids),
+    or None where the tokens cannot be one literal array."""
+    rows = _vocab_rows(vocab)
+    if rows is None or any(r.id < 0 for r in rows) or max((r.id for r in rows), default=0) > 4 * len(rows) + 64:
+        return None
+    names = [SPECIALS[UNK_ID]] * (max((r.id for r in rows), default=0) + 1)
+    for r in rows:
+        names[r.id] = r.token
+    text = "".join(names)
+    mark = next((m for m in "\x1f\x1e\x1d\x1c\x01\x02" if m not in text), None)
+    if mark is None:
+        return None
+    # A literal split into an array is folded to one literal when the query is planned.
+    known = F.split(F.lit(mark.join(names)), mark, -1)
+
+    def names_of(ids) -> Column:
+        c = F.col(ids) if isinstance(ids, str) else ids
+        return F.coalesce(F.transform(c, lambda x: F.coalesce(F.get(known, x), F.lit(SPECIALS[UNK_ID]))),
+                          F.array().cast("array<string>"))
+
+    return names_of
+
+
 # Tells rows with equal ids apart while their words are taken apart.
 ROW_KEY = "_row_key"
 # Lookup tables up to this many bytes of text and ids are broadcast into joins.
@@ -96,20 +230,11 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame) -> DataFrame:
                     F.when(good, walk["toks"]).otherwise(F.array(F.lit(SPECIALS[UNK_ID]))).alias("toks"))
 
 
-def word_pieces(df: DataFrame, id_cols: list[str], word_array: Column, vocab: DataFrame,
-                tag_array: Column | None = None) -> DataFrame:
-    """K4: ``(ids..., pieces array<array<int>>, piece_toks array<array<string>>,
-    words array<string>[, tags array<int>])`` for an array of words per row,
-    in word order.
-
-    One row in, one row out: a generated row key keeps rows apart whose
-    ``id_cols`` are equal, and ``id_cols`` may name any columns to carry
-    along.  Rows without words keep empty arrays (``posexplode_outer``), so no
-    join back to ``df`` is needed; a per-word ``tag_array`` travels with its
-    word for the same reason.  A NULL word keeps its slot, with no pieces.
-
-    The occurrence table feeds both the distinct-word segmentation and the
-    join, so it is persisted once instead of re-running the word regex.
+def _pieces_by_join(df: DataFrame, id_cols: list[str], word_array: Column, vocab: DataFrame,
+                    tag_array: Column | None = None) -> DataFrame:
+    """``word_pieces`` for a vocabulary of any size: occurrences are exploded once
+    (persisted), joined with the segmented distinct words, and re-collected per
+    generated row key.
     """
     keyed = df.withColumn(ROW_KEY, F.monotonically_increasing_id())
     if tag_array is None:
@@ -125,17 +250,33 @@ def word_pieces(df: DataFrame, id_cols: list[str], word_array: Column, vocab: Da
     seg = segment_words(dw, vocab).persist(StorageLevel.MEMORY_AND_DISK)
     j = occ.join(_small_segments(seg), "word", "left")
     item = F.when(F.col("widx").isNotNull(), F.struct(
-        "widx", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
-        F.coalesce("toks", F.array().cast("array<string>")).alias("toks"), "word", "tag"))
+        "widx", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), "word", "tag"))
     out = (j.groupBy(ROW_KEY, *id_cols)
            .agg(F.array_sort(F.collect_list(item)).alias("ws"))
            .select(*id_cols, F.transform("ws", lambda x: x["ids"]).alias("pieces"),
-                   F.transform("ws", lambda x: x["toks"]).alias("piece_toks"),
                    F.transform("ws", lambda x: x["word"]).alias("words"),
                    F.transform("ws", lambda x: x["tag"]).alias("tags")))
     return out if tag_array is not None else out.drop("tags")
 
 
+def word_pieces(df: DataFrame, id_cols: list[str], word_array: Column, vocab: DataFrame,
+                tag_array: Column | None = None) -> DataFrame:
+    """K4: ``(ids..., pieces array<array<int>>, words array<string>[, tags
+    array<int>])`` for an array of words per row, in word order.
+
+    One row in, one row out, so ``id_cols`` may name any columns to carry along and
+    may repeat.  A row without words has empty arrays; a NULL word keeps its
+    slot, with no pieces.
+    """
+    pieces_of = segmenter(vocab)
+    if pieces_of is None:
+        return _pieces_by_join(df, id_cols, word_array, vocab, tag_array)
+    none = F.array().cast("array<string>")
+    tags = [] if tag_array is None else [F.coalesce(tag_array, F.array().cast("array<int>")).alias("tags")]
+    rows = df.select(*id_cols, F.coalesce(word_array, none).alias("words"), *tags)
+    return rows.select(*id_cols, pieces_of("words").alias("pieces"), "words", *[c for c in rows.columns if c == "tags"])
+
+
 def encode(df: DataFrame, id_cols: list[str], vocab: DataFrame, text_col: str = "text",
            max_length: int | None = 128, truncation: bool = True,
            add_special_tokens: bool = True) -> DataFrame:
@@ -180,7 +321,10 @@ def encode_pairs(df: DataFrame, id_cols: list[str], vocab: DataFrame, a_col: str
 
 
 def ids_to_tokens(df: DataFrame, id_cols: list[str], ids_col: str, vocab: DataFrame) -> DataFrame:
-    """K6: ``tokens`` for an id array; the input is read once, one row in, one out."""
+    """K6: ``tokens`` for an id array; one row in, one row out."""
+    names_of = token_names(vocab)
+    if names_of is not None:
+        return df.select(*id_cols, names_of(ids_col).alias("tokens"))
     occ = (df.withColumn(ROW_KEY, F.monotonically_increasing_id())
            .select(*id_cols, ROW_KEY, F.posexplode_outer(ids_col).alias("_pos", "_id")))
     names = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
@@ -216,5 +360,5 @@ def pad_or_cut(v, length: int, pad) -> Column:
     return F.slice(F.concat(c, F.array_repeat(padv, n)), 1, length)
 
 
-__all__ = ["segment_words", "word_pieces", "encode", "encode_pairs", "ids_to_tokens", "decode",
+__all__ = ["WordPieces", "segmenter", "token_names", "segment_words", "word_pieces", "encode", "encode_pairs", "ids_to_tokens", "decode",
            "tokens_to_text", "pad_or_cut", "truncate_pair", "PAD_ID"]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .align import NULL_LABEL
+from .encode import ids_to_tokens, tokens_to_text
 from .vocab import MASK_ID, SPECIALS
 
 SCALE = float(2 ** 32)
@@ -42,3 +43,18 @@ def mlm_mask(df: DataFrame, row_key: Column, ids_col: str = "input_ids", vocab_s
     return (df.withColumn("_decided", F.transform(drawn, decide))
             .withColumn("masked_ids", F.col("_decided")["m"])
             .withColumn("mlm_labels", F.col("_decided")["l"]).drop("_decided"))
+
+
+def mask_view(df: DataFrame, id_cols: list[str], vocab: DataFrame, ids_col: str = "input_ids",
+              masked_col: str = "masked_ids", predicted_col: str | None = None) -> DataFrame:
+    """``original``, ``masked`` and, with ``predicted_col``, ``predicted``
+    texts side by side, without the outer CLS and SEP."""
+    shown = {"original": ids_col, "masked": masked_col}
+    if predicted_col:
+        shown["predicted"] = predicted_col
+    out = df.select(*id_cols, *[F.slice(c, 2, F.greatest(F.size(c) - 2, F.lit(0))).alias(name) for name, c in shown.items()])
+    for name in shown:
+        keep = [c for c in out.columns if c != name]
+        out = (ids_to_tokens(out, [*keep, name], name, vocab)
+               .withColumn(name, tokens_to_text("tokens", skip_special_tokens=False)).drop("tokens"))
+    return out.select(*id_cols, *shown)

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import prefix_positions
+from .positions import range_positions
 from .vocab import PAD_ID
 
 
-def batch_ids(df: DataFrame, order_cols: list[str], batch_size: int, bucket) -> DataFrame:
-    """``batch`` = position div ``batch_size`` in a total order.
-
-    Positions come from the bucketed prefix count (no single-task window).
-    """
-    pos = prefix_positions(df, order_cols, bucket)
+def batch_ids(df: DataFrame, order_cols: list[str], batch_size: int) -> DataFrame:
+    """``batch`` = position div ``batch_size`` in a total order (``range_positions``)."""
+    pos = range_positions(df, order_cols)
     return pos.withColumn("batch", F.floor(F.col("seq") / F.lit(batch_size)).cast("bigint"))
 
 
@@ -22,14 +19,12 @@ def pad_batches(df: DataFrame, ids_col: str = "input_ids", batch_col: str = "bat
                 pad_id: int = PAD_ID) -> DataFrame:
     """Pad ``input_ids`` (and an all-ones mask) to the batch maximum length.
 
-    The window is partitioned by batch: each partition holds ``batch_size``
-    rows, a fixed bound.
+    The maximum is an aggregate of two narrow columns, joined back; a batch has
+    ``batch_size`` rows, so no key is hot.
     """
-    w = Window.partitionBy(batch_col)
-    longest = F.max(F.size(ids_col)).over(w)
     n = F.size(ids_col)
-    return (df.withColumn("padded_len", longest.cast("bigint"))
-            .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n),
-                                                   F.array_repeat(F.lit(0), F.col("padded_len").cast("int") - n)))
-            .withColumn(ids_col, F.concat(F.col(ids_col),
-                                          F.array_repeat(F.lit(pad_id), F.col("padded_len").cast("int") - n))))
+    longest = df.groupBy(batch_col).agg(F.max(n).cast("bigint").alias("padded_len"))
+    missing = F.col("padded_len").cast("int") - n
+    return (df.join(longest, batch_col)
+            .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), missing)))
+            .withColumn(ids_col, F.concat(F.col(ids_col), F.array_repeat(F.lit(pad_id), missing))))

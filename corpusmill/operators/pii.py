@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import spans as SP
-from ..functions.arrays import posexplode_rows
+from ..functions.arrays import chunks, let, posexplode_rows, scan_array
+from ..functions.rules import ContextRules
 from ..functions.text import lang_base
 from .sampling import hash_int
 
-# Names used as PERSON surrogates.
-SURROGATE_NAMES = ("Alex Morgan", "Sam Taylor", "Jordan Lee", "Robin Park", "Casey Quinn",
-                   "Jamie Rivera", "Morgan Blake", "Taylor Reed", "Avery Stone", "Riley Hayes")
+# Parts of PERSON surrogates: given name, initial, family name (10,400 of them).
+SURROGATE_GIVEN = ("Alex", "Sam", "Jordan", "Robin", "Casey", "Jamie", "Morgan", "Taylor", "Avery", "Riley",
+                   "Quinn", "Rowan", "Skyler", "Dana", "Jesse", "Kerry", "Leslie", "Marion", "Noel", "Pat")
+SURROGATE_FAMILY = ("Morgan", "Taylor", "Lee", "Park", "Quinn", "Rivera", "Blake", "Reed", "Stone", "Hayes",
+                    "Brooks", "Carter", "Dale", "Ellis", "Frost", "Grant", "Hale", "Irving", "Jarvis", "Knox")
+INITIALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 
 def _empty_spans() -> Column:
     return F.array().cast(f"array<{SP.SPAN_TYPE}>")
@@ -33,32 +38,36 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def context_pattern(tag: str, lang: str | None) -> str:
-    words = P.CONTEXT_WORDS[tag]
-    ws = list(words["*"]) + (list(words.get(lang, ())) if lang else [])
-    return "(^|[^a-z])(" + "|".join(ws) + ")"
+RULES = ContextRules()
 
 
-def has_context(text, span, lang, tag: str, window: int) -> Column:
+def has_context(text, span, lang, tag: str, window: int, rules: ContextRules = RULES) -> Column:
     """a context word of the language within ``window`` characters."""
     ctx = SP.context_of(text, span, window)
-    langs = [k for k in P.CONTEXT_WORDS[tag] if k != "*"]
+
+    def found(lg):
+        p = rules.pattern(tag, lg)
+        return ctx.rlike(p) if p else F.lit(False)
+
     expr = None
-    for lg in langs:
-        cond = (lang == F.lit(lg))
-        val = ctx.rlike(context_pattern(tag, lg))
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    default = ctx.rlike(context_pattern(tag, None))
-    return default if expr is None else expr.otherwise(default)
+    for lg in rules.languages(tag):
+        expr = F.when(lang == F.lit(lg), found(lg)) if expr is None else expr.when(lang == F.lit(lg), found(lg))
+    return found(None) if expr is None else expr.otherwise(found(None))
 
 
-def detect_type(text, lang, tag: str, context_window: int = 20) -> Column:
+def detect_type(text, lang, tag: str, context_window: int = 20, rules: ContextRules = RULES) -> Column:
     """F1a-g: spans of one regex type (context-filtered where required)."""
     t = _col(text)
     group = 2 if tag in P.PREFIX_GROUP else 0
     spans = SP.regex_spans(t, P.detector_pattern(tag, "java"), tag, group)
-    if tag in P.CONTEXT_WORDS:
-        spans = F.filter(spans, lambda s: has_context(t, s, lang, tag, context_window))
+
+    def near(s):
+        return has_context(t, s, lang, tag, context_window, rules)
+
+    if tag in P.NEEDS_CONTEXT:
+        spans = F.filter(spans, near)
+    if tag in P.WITH_CONTEXT:
+        spans = F.concat(spans, F.filter(SP.regex_spans(t, P.weak_pattern(tag, "java"), tag), near))
     if tag in ("EMAIL", "USER"):          # cheap guard before the regex passes
         spans = F.when(t.contains("@"), spans).otherwise(_empty_spans())
     return spans
@@ -71,9 +80,12 @@ def detect_person_names(text) -> Column:
 
 def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
            context_window: int = 20,
-           extra_detectors: Iterable[Callable[[Column, Column], Column]] = ()) -> Column:
+           extra_detectors: Iterable[Callable[[Column, Column], Column]] = (),
+           rules: ContextRules = RULES, more_spans=None) -> Column:
     """sorted, distinct mentions; overlapping ones become one cover.
 
+    ``more_spans`` is a column of spans found elsewhere (names of a table, ``names``).
+
     ``tags=None`` means every known type.  ``extra_detectors`` are plug-ins
     (U2) returning ``array<struct<start,end,text,tag>>`` for ``(text, lang)``,
     typically an iterator pandas UDF that loads a model once per task.
@@ -81,10 +93,12 @@ def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
     t = _col(text)
     lg = lang_base(_col(lang)) if lang is not None else F.lit("en")
     tags = list(P.DETECTORS) if tags is None else list(tags)
-    parts = [detect_type(t, lg, tag, context_window) for tag in tags if tag in P.DETECTORS]
+    parts = [detect_type(t, lg, tag, context_window, rules) for tag in tags if tag in P.DETECTORS]
     if "PERSON" in tags:
         parts.append(detect_person_names(t))
     parts += [d(t, lg) for d in extra_detectors]
+    if more_spans is not None:
+        parts.append(_col(more_spans))
     if not parts:
         return _empty_spans()
     union = F.concat(*parts) if len(parts) > 1 else parts[0]
@@ -94,7 +108,9 @@ def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
 def surrogate(tag, mention, seed: int = 0) -> Column:
     """a made-up value of the same type, stable for ``(seed, tag, mention)``."""
     tg, m = _col(tag), _col(mention)
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), tg, m))
     h = hash_int(F.lit(str(seed)), tg, m)
+    own = F.substring(key, 9, 12)         # 48 bits: two handles or addresses stay two
 
     def digits(x, n):
         return F.lpad(x.cast("string"), n, "0")
@@ -102,8 +118,12 @@ def surrogate(tag, mention, seed: int = 0) -> Column:
     def part(div, mod):
         return (F.floor(h / F.lit(div)).cast("bigint") % F.lit(mod))
 
-    names = F.array(*[F.lit(n) for n in SURROGATE_NAMES])
-    return (F.when(tg == "EMAIL", F.concat(F.lit("user"), digits(h % 100000, 5), F.lit("@example.com")))
+    def one_of(names, div):
+        return F.element_at(F.array(*[F.lit(n) for n in names]), (part(div, len(names)) + 1).cast("int"))
+
+    n_g, n_f = len(SURROGATE_GIVEN), len(SURROGATE_FAMILY)
+    person = F.concat_ws(" ", one_of(SURROGATE_GIVEN, 1), F.concat(one_of(INITIALS, n_g * n_f), F.lit(".")), one_of(SURROGATE_FAMILY, n_g))
+    return (F.when(tg == "EMAIL", F.concat(F.lit("user"), own, F.lit("@example.com")))
             .when(tg == "IP_ADDRESS", F.concat_ws(".", F.lit("10"), (h % 256).cast("string"),
                                                   part(256, 256).cast("string"),
                                                   part(65536, 256).cast("string")))
@@ -111,9 +131,9 @@ def surrogate(tag, mention, seed: int = 0) -> Column:
                                           digits(part(1000, 10000), 4)))
             .when(tg == "KEY", F.md5(F.concat(F.lit(f"{seed}:key:"), m)))
             .when(tg == "ID", digits(h % 1000000000, 9))
-            .when(tg == "USER", F.concat(F.lit("@user"), digits(h % 100000, 5)))
+            .when(tg == "USER", F.concat(F.lit("@user"), own))
             .when(tg == "LICENSE_PLATE", F.concat(F.lit("XY "), digits(h % 10000, 4)))
-            .when(tg == "PERSON", F.element_at(names, (h % len(SURROGATE_NAMES) + 1).cast("int")))
+            .when(tg == "PERSON", person)
             .otherwise(F.lit("[REDACTED]")))
 
 
@@ -124,30 +144,36 @@ def replace_mentions(text, mentions, seed: int = 0) -> Column:
     """
     t = _col(text)
     ks = F.transform(_col(mentions), lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text"),
+        s["start"].alias("start"), s["end"].alias("end"),
         s["tag"].alias("tag"), surrogate(s["tag"], s["text"], seed).alias("sur")))
+    place = "struct<prev:bigint,start:bigint,end:bigint,sur:string,new:bigint,tag:string>"
+    init = F.struct(F.lit(0).cast("bigint").alias("prev"), F.lit(0).cast("bigint").alias("shift"))
 
-    init = F.struct(F.lit(0).cast("bigint").alias("prev"), F.lit(0).cast("bigint").alias("shift"),
-                    F.array().cast("array<string>").alias("parts"),
-                    F.array().cast(f"array<{SP.SPAN_TYPE}>").alias("ner"))
-
-    def step(acc, x):
-        gap = t.substr(acc["prev"] + 1, x["start"] - acc["prev"])
-        s = x["start"] + acc["shift"]
+    def step(st, x):
         ln = F.length(x["sur"]).cast("bigint")
-        span = F.struct(s.alias("start"), (s + ln).alias("end"), x["sur"].alias("text"),
-                        x["tag"].alias("tag"))
-        return F.struct(x["end"].alias("prev"),
-                        (acc["shift"] + ln - F.length(x["text"])).alias("shift"),
-                        F.concat(acc["parts"], F.array(gap, x["sur"])).alias("parts"),
-                        F.concat(acc["ner"], F.array(span)).alias("ner"))
-
-    def finish(acc):
-        tail = t.substr(acc["prev"] + 1, F.length(t) + 1)
-        return F.struct(F.concat(F.array_join(acc["parts"], ""), tail).alias("text"),
-                        acc["ner"].alias("ner"))
-
-    return F.aggregate(ks, init, step, finish)
+        placed = F.struct(st["prev"].alias("prev"), x["start"].alias("start"), x["end"].alias("end"), x["sur"].alias("sur"),
+                          (x["start"] + st["shift"]).alias("new"), x["tag"].alias("tag"))
+        return (F.struct(x["end"].alias("prev"), (st["shift"] + ln - (x["end"] - x["start"])).alias("shift")),
+                F.array(placed))
+
+    def rewritten(t, ps):
+        """Texts between mentions are cut from the part of the text that a piece of
+        mentions covers: cutting counts characters from the start of what it cuts."""
+        def piece(c):
+            base, last = F.get(c, F.lit(0))["prev"], F.element_at(c, -1)["end"]
+            return let(t.substr(base + 1, last - base), lambda own: F.array_join(F.transform(c, lambda x: F.concat(
+                own.substr(x["prev"] - base + 1, x["start"] - x["prev"]), x["sur"])), ""))
+
+        tail = t.substr(F.element_at(ps, -1)["end"] + 1, F.length(t) + 1)
+        new = F.concat(F.array_join(F.transform(chunks(ps), piece), ""), tail)
+        ner = F.transform(ps, lambda x: F.struct(
+            x["new"].alias("start"), (x["new"] + F.length(x["sur"])).cast("bigint").alias("end"),
+            x["sur"].alias("text"), x["tag"].alias("tag")))
+        return F.when(F.size(ps) == 0, F.struct(t.alias("text"), _empty_spans().alias("ner"))).otherwise(
+            F.struct(new.alias("text"), ner.alias("ner")))
+
+    return let(F.struct(t.alias("t"), scan_array(ks, init, step, place).alias("ps")),
+               lambda v: rewritten(v["t"], v["ps"]))
 
 
 def anonymize_column(text, lang=None, context_window: int = 20, condition=True,
@@ -175,10 +201,10 @@ def document(text, ner, condition=True, seed: int = 0) -> Column:
 
 def anonymize(df: DataFrame, text_col: str = "text", lang_col: str | None = "lang",
               context_window: int = 20, condition=True, tags=P.DEFAULT_TAGS, seed: int = 0,
-              extra_detectors=(), out_col: str = "doc") -> DataFrame:
+              extra_detectors=(), out_col: str = "doc", rules: ContextRules = RULES, more_spans=None) -> DataFrame:
     """F9/F10 as a DataFrame transform: adds the ``doc`` struct column."""
     lang = F.col(lang_col) if lang_col else None
-    ner = detect(text_col, lang, tags, context_window, extra_detectors)
+    ner = detect(text_col, lang, tags, context_window, extra_detectors, rules, more_spans)
     return (df.withColumn("_ner", ner)
             .withColumn(out_col, document(text_col, "_ner", condition, seed))
             .drop("_ner"))

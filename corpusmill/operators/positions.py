@@ -43,6 +43,6 @@ def range_positions(df: DataFrame, order: list, size_col: str | None = None, nam
         name, (F.col("_rows_before") + F.col("_mid").bitwiseAND(F.lit(_IN_PARTITION))).cast("bigint"))
     if size_col:
         upto = Window.partitionBy("_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
-        out = (out.withColumn("cum", (F.col("_size_before") + F.sum(size).over(upto)).cast("bigint"))
+        out = (out.withColumn("cum", (F.col("_size_before") + F.coalesce(F.sum(size).over(upto), F.lit(0))).cast("bigint"))
                .withColumn("before", F.col("cum") - F.coalesce(size, F.lit(0))))
     return out.drop("_part", "_mid", "_rows_before", "_size_before")

@@ -1,10 +1,9 @@
 """Ordering, budgeted splits, caps and seeded samples.
 
 The reference walks a permuted article list in one Python loop.  Here the
-walk is a prefix sum: articles are ordered by a seeded hash, a *monotone
-bucket* of that order is the shuffle key of one window (running count and
-size inside a bucket), and the per-bucket totals (at most ``n_buckets``
-numbers) give each bucket its global offset.  Split boundaries are then one
+walk is a prefix sum: articles are range-partitioned by a seeded hash and
+numbered inside each partition (``positions``), and the totals of the partitions
+give each its global offset.  Split boundaries are then one
 filtered aggregate per split, and the split label is a CASE over sequence
 ranges, so no row ever has to travel to the driver.
 """
@@ -14,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .positions import range_positions
+
 MIB = 1024 * 1024
 
 
@@ -32,70 +33,22 @@ def hash_int(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
 
 
-def prefix_positions(df: DataFrame, order_cols: list, bucket: Column,
-                     size_col: str | None = None) -> DataFrame:
-    """Add ``seq`` (0-based global position) and, with ``size_col``,
-    ``before``/``cum`` (exclusive / inclusive running size) in the order of
-    ``order_cols``.
-
-    ``bucket`` must be a non-decreasing function of the order (for the hash
-    key: its first hex digits), so buckets are contiguous runs of the order.
-    One shuffle (by bucket) feeds the window; the bucket totals are a small
-    aggregate whose offsets come back as a broadcast table of at most one row
-    per bucket.
-    """
-    spark = df.sparkSession
-    size = F.col(size_col) if size_col else F.lit(0).cast("bigint")
-    b = df.withColumn("_bucket", bucket).withColumn("_size", size.cast("bigint"))
-    w = Window.partitionBy("_bucket").orderBy(*order_cols)
-    local = (b.withColumn("_lseq", F.row_number().over(w) - 1)
-             .withColumn("_lcum", F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    totals = (b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_s"))
-              .collect())                      # <= one row per bucket
-    totals.sort(key=lambda r: r["_bucket"])
-    rows, n_off, s_off = [], 0, 0
-    for r in totals:
-        rows.append((r["_bucket"], n_off, s_off))
-        n_off += r["_n"]
-        s_off += r["_s"] or 0
-    offsets = spark.createDataFrame(rows, f"_bucket {dict(b.dtypes)['_bucket']}, _noff bigint, _soff bigint")
-    out = (local.join(F.broadcast(offsets), "_bucket")
-           .withColumn("seq", (F.col("_noff") + F.col("_lseq")).cast("bigint")))
-    if size_col:
-        out = (out.withColumn("cum", (F.col("_soff") + F.col("_lcum")).cast("bigint"))
-               .withColumn("before", (F.col("cum") - F.col("_size")).cast("bigint")))
-    return out.drop("_bucket", "_size", "_lseq", "_lcum", "_noff", "_soff")
-
-
-# Quantile ranges of the natural order; a row compares its id with each cut.
-NATURAL_BUCKETS = 256
-
-
 def hash_bucket_of(key: Column, hex_digits: int = 3) -> Column:
     """Monotone bucket of an md5 hex key: its first ``hex_digits`` digits."""
     return F.conv(F.substring(key, 1, hex_digits), 16, 10).cast("int")
 
 
-def hash_bucket(key_col: str, hex_digits: int = 3) -> Column:
-    return hash_bucket_of(F.col(key_col), hex_digits)
-
-
 def seeded_order(df: DataFrame, id_col: str, seed: int | None = 0,
-                 size_col: str | None = None, hex_digits: int = 3) -> DataFrame:
+                 size_col: str | None = None) -> DataFrame:
     """Positions in seeded-shuffle order, or natural order (``seed=None``).
 
-    Natural order cuts the ids at their approximate quantiles, so ids with
-    gaps or clusters still fill the buckets evenly.
+    ``df`` is narrow (ids and sizes) and cheap to read twice; ids with gaps or
+    clusters fill the range partitions evenly.
     """
     if seed is None:
-        cuts = df.where(F.col(id_col).isNotNull()).approxQuantile(
-            id_col, [i / NATURAL_BUCKETS for i in range(1, NATURAL_BUCKETS)], 0.25 / NATURAL_BUCKETS)
-        cuts = F.array(*[F.lit(c) for c in sorted({int(c) for c in cuts})]).cast("array<bigint>")
-        bucket = F.size(F.filter(cuts, lambda c: c <= F.col(id_col)))
-        return prefix_positions(df, [id_col], bucket, size_col)
+        return range_positions(df, [id_col], size_col)
     keyed = df.withColumn("shuffle_key", shuffle_key(id_col, seed))
-    return prefix_positions(keyed, ["shuffle_key", id_col], hash_bucket("shuffle_key", hex_digits),
-                            size_col)
+    return range_positions(keyed, ["shuffle_key", id_col], size_col)
 
 
 def split_boundaries(pos: DataFrame, budgets_mib: dict[str, float]) -> list[tuple[str, int, int]]:
@@ -130,14 +83,14 @@ def split_label(bounds: list[tuple[str, int, int]], seq: str = "seq") -> Column:
 
 def budget_split(sized: DataFrame, budgets_mib: dict[str, float], seed: int | None = 0,
                  id_col: str = "article_id", size_col: str = "size_bytes",
-                 hex_digits: int = 3, return_positions: bool = False):
+                 return_positions: bool = False):
     """R2: assign articles to size-budgeted, disjoint splits.
 
     ``sized`` has one row per article with its kept size.  Returns the
     processed articles with ``split`` and ``seq`` (the manifest, R4) and the
     boundaries.  Only the narrow columns go through the window.
     """
-    pos = seeded_order(sized, id_col, seed, size_col, hex_digits).persist()
+    pos = seeded_order(sized, id_col, seed, size_col)
     bounds = split_boundaries(pos, budgets_mib)
     last = max([hi for _, lo, hi in bounds if hi >= lo], default=-1)
     assigned = pos.where(F.col("seq") <= last).withColumn("split", split_label(bounds))
@@ -148,21 +101,15 @@ def cap_first_n(df: DataFrame, n: int | None, order_cols: list, split_col: str =
                 uncapped: tuple = ("train",)) -> DataFrame:
     """First ``n`` rows of every split except ``uncapped``; None = no cap.
 
-    The cap is the feature (the evaluation row cap), planned as a top-n per
-    split (TakeOrderedAndProject keeps n rows per task).
+    The cap is the feature (the evaluation row cap).  Spark plans the rank filter as a
+    window group limit: a task keeps ``n`` rows of a split before anything is shuffled.
     """
     if n is None:
         return df
-    splits = [r[0] for r in df.select(split_col).distinct().collect()]   # a handful of names
-    parts = [df.where(F.col(split_col).isin(list(uncapped)))]
-    for s in splits:
-        if s in uncapped:
-            continue
-        parts.append(df.where(F.col(split_col) == s).orderBy(*order_cols).limit(n))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    free = F.coalesce(F.col(split_col).isin(list(uncapped)), F.lit(False))
+    first = Window.partitionBy(split_col).orderBy(*order_cols)
+    capped = df.where(~free).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= n).drop("_rank")
+    return df.where(free).unionByName(capped)
 
 
 def sample_k(df: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:

@@ -2,13 +2,11 @@
 
 Training works on *distinct words with counts*, never on occurrences: the
 word count is one aggregate with map-side combine, so a hot word costs one
-row per task before the shuffle.  Each merge round explodes adjacent symbol
-pairs of every distinct word, sums their counts, and brings only the top
-candidates (a bounded list) to the driver; the chosen merges go back as a
-literal key set and are applied by one left-to-right fold per word.  Merges
-chosen in one round can be applied in one pass with the same result as
-applying them one by one (see ``choose_merges``); ``merges_per_round=1`` is
-exact sequential BPE.
+row per task before the shuffle.  ``train_vocab`` merges exactly as one pair at a
+time would (``bpe``).  With ``merges_per_round`` it takes many merges
+from one pair count instead, fewer rounds for a vocabulary that differs a little:
+merges chosen in one round are applied in one pass with the same result
+as applying them one by one (see ``choose_merges``).
 """
 
 from __future__ import annotations
@@ -19,11 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.arrays import explode_rows
+from .bpe import CONT, merged_token, sequential_merges
 
 # Special tokens and their ids (BERT order).
 SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
 PAD_ID, UNK_ID, CLS_ID, SEP_ID, MASK_ID = range(5)
-CONT = "##"
 CHAR = "(?s)."
 
 
@@ -56,10 +54,6 @@ def pair_counts(wc: DataFrame, symbols_col: str = "syms") -> DataFrame:
             .agg(F.sum("n").cast("bigint").alias("n")))
 
 
-def merged_token(left: str, right: str) -> str:
-    return left + (right[len(CONT):] if right.startswith(CONT) else right)
-
-
 def apply_merges(symbols: Column, merges: dict[tuple[str, str], str]) -> Column:
     """One left-to-right pass merging chosen adjacent pairs.
 
@@ -110,16 +104,15 @@ def choose_merges(cands: list, m: int, taken: set) -> list[tuple[str, str, int]]
 
 
 def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
-                merges_per_round: int = 500, min_pair_count: int = 2,
+                merges_per_round: int | None = None, min_pair_count: int = 2,
                 checkpoint_every: int = 5, max_rounds: int | None = None,
                 growth: float = 0.25) -> DataFrame:
     """K1: ``(token, id, kind)`` with specials, alphabet, then merges in order.
 
-    A round takes up to ``max(merges_per_round, growth * current size)``
-    merges from one pair count, so the number of rounds grows with the log
-    of ``vocab_size``; ``merges_per_round=1, growth=0`` is exact sequential
-    BPE.  Late merges are rare pairs, where counts taken one round earlier
-    differ least.
+    By default the merges are those of sequential training.  With
+    ``merges_per_round`` a round takes up to ``max(merges_per_round, growth *
+    current size)`` merges from one pair count, so the number of rounds grows with
+    the log of ``vocab_size``.
 
     ``kind`` is ``special`` / ``char`` / ``merge``.  The alphabet is every
     character of the train words (initial and ``##`` forms).
@@ -141,6 +134,11 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
         + sorted(a for a in alphabet if a.startswith(CONT))
     kinds = ["special"] * len(SPECIALS) + ["char"] * (len(vocab) - len(SPECIALS))
     taken = set(vocab)
+    if merges_per_round is None:
+        merges = sequential_merges(wc, vocab_size - len(vocab), taken, min_pair_count)
+        vocab += [merged_token(a, b) for a, b in merges]
+        kinds += ["merge"] * len(merges)
+        return _vocab_table(spark, vocab, kinds)
     rounds = 0
     while len(vocab) < vocab_size and (max_rounds is None or rounds < max_rounds):
         m = min(max(merges_per_round, int(growth * len(vocab))), vocab_size - len(vocab))
@@ -166,6 +164,10 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
             nxt.count()                     # materialize before the previous round is dropped
         wc.unpersist()
         wc = nxt
+    return _vocab_table(spark, vocab, kinds)
+
+
+def _vocab_table(spark, vocab: list, kinds: list) -> DataFrame:
     rows = [(t, i, k) for i, (t, k) in enumerate(zip(vocab, kinds))]
     return spark.createDataFrame(rows, "token string, id int, kind string")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..operators import names as NM
 from ..operators import pii as PII
 from .oracle_text import q
 
@@ -42,16 +43,21 @@ def context_sql(tag: str, window: int = 20) -> str:
     """Boolean SQL: a context word near the span (columns text, lang, start, end)."""
     ctx = (f"lower(substr(text, greatest(start - {window}, 0) + 1, start - greatest(start - {window}, 0))"
            f" || ' ' || substr(text, \"end\" + 1, {window}))")
-    langs = [k for k in P.CONTEXT_WORDS[tag] if k != "*"]
-    whens = " ".join(f"WHEN lang = {q(lg)} THEN regexp_matches({ctx}, {q(PII.context_pattern(tag, lg))})"
-                     for lg in langs)
-    return f"(CASE {whens} ELSE regexp_matches({ctx}, {q(PII.context_pattern(tag, None))}) END)"
+    def found(lg):
+        p = PII.RULES.pattern(tag, lg)
+        return f"regexp_matches({ctx}, {q(p)})" if p else "false"
+
+    whens = " ".join(f"WHEN lang = {q(lg)} THEN {found(lg)}" for lg in PII.RULES.languages(tag))
+    return f"(CASE {whens} ELSE {found(None)} END)" if whens else f"({found(None)})"
 
 
 def type_sql(tag: str, window: int = 20, src: str = "src") -> str:
     body = spans_sql(tag, src=src)
-    if tag in P.CONTEXT_WORDS:
-        return f"(SELECT * FROM {body} WHERE {context_sql(tag, window)})"
+    if tag in P.NEEDS_CONTEXT:
+        body = f"(SELECT * FROM {body} WHERE {context_sql(tag, window)})"
+    if tag in P.WITH_CONTEXT:
+        weak = spans_sql(tag, P.weak_pattern(tag, "re2"), 0, src)
+        body = f"(SELECT * FROM {body} UNION ALL SELECT * FROM {weak} WHERE {context_sql(tag, window)})"
     return body
 
 
@@ -60,6 +66,28 @@ def person_sql(src: str = "src") -> str:
             f"SELECT * FROM {spans_sql('PERSON', P.name_list_pattern('re2'), 0, src)})")
 
 
+def names_sql(names: str, max_words: int, src: str = "src") -> str:
+    """SELECT _k, start, end, mention of names of the relation ``names`` (name, lang)."""
+    grams = []
+    for n in range(1, max_words + 1):
+        ok = " AND ".join(f"lead(cap, {k}) OVER w AND lead(gap, {k}) OVER w = ' '" for k in range(1, n + 1))
+        gram = " || ' ' || ".join(["m", *[f"lead(m, {k}) OVER w" for k in range(1, n)]])
+        grams.append(f"SELECT _k, lang, start, {gram} AS gram, {gram} || ' ' || lead(m, {n}) OVER w AS mention, "
+                     f"lead(stop, {n}) OVER w AS \"end\", {n} AS n, cap AND {ok} AS ok FROM placed "
+                     f"WINDOW w AS (PARTITION BY _k ORDER BY i)")
+    return f"""(
+WITH parts AS (SELECT _k, lang, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS gap, unnest(range(len(ms))) AS i
+               FROM (SELECT _k, lang, regexp_extract_all(text, {q(NM.WORD)}, 0) AS ms,
+                            string_split_regex(text, {q(NM.WORD)}) AS gs FROM {src})),
+placed AS (SELECT *, regexp_matches(m, {q(NM.CAPITAL)}) AS cap, CAST(stop - length(m) AS BIGINT) AS start
+           FROM (SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY _k ORDER BY i) AS BIGINT) AS stop FROM parts)),
+grams AS ({" UNION ALL ".join(grams)}),
+met AS (SELECT g.*, row_number() OVER (PARTITION BY g._k, g.start ORDER BY n DESC) AS r
+        FROM (SELECT DISTINCT g._k, g.start, g."end", g.mention, g.n FROM grams g JOIN {names} t
+              ON t.name = g.gram AND (t.lang = '*' OR t.lang = g.lang) WHERE g.ok) g)
+SELECT _k, start, "end", mention FROM met WHERE r = 1)"""
+
+
 def candidates_sql(tags=P.DEFAULT_TAGS, window: int = 20, src: str = "src") -> str:
     parts = [type_sql(t, window, src) for t in tags if t in P.DETECTORS and t != "PERSON"]
     if "PERSON" in tags:
@@ -73,20 +101,24 @@ def _prio() -> str:
 
 def surrogate_sql(seed: int = 0) -> str:
     h = f"CAST(('0x' || substr(md5('{seed}:' || tag || ':' || mention), 1, 8)) AS BIGINT)"
-    names = "[" + ", ".join(q(n) for n in PII.SURROGATE_NAMES) + "]"
+    own = f"substr(md5('{seed}:' || tag || ':' || mention), 9, 12)"
+    n_g, n_f = len(PII.SURROGATE_GIVEN), len(PII.SURROGATE_FAMILY)
+
+    def one_of(names, div):
+        return f"([{', '.join(q(n) for n in names)}])[({h} // {div}) % {len(names)} + 1]"
 
     def d(x, n):
         return f"lpad(CAST({x} AS VARCHAR), {n}, '0')"
     return f"""(CASE tag
-  WHEN 'EMAIL' THEN 'user' || {d(f'{h} % 100000', 5)} || '@example.com'
+  WHEN 'EMAIL' THEN 'user' || {own} || '@example.com'
   WHEN 'IP_ADDRESS' THEN '10.' || CAST({h} % 256 AS VARCHAR) || '.' || CAST(({h} // 256) % 256 AS VARCHAR)
                          || '.' || CAST(({h} // 65536) % 256 AS VARCHAR)
   WHEN 'PHONE' THEN '555-' || {d(f'{h} % 1000', 3)} || '-' || {d(f'({h} // 1000) % 10000', 4)}
   WHEN 'KEY' THEN md5('{seed}:key:' || mention)
   WHEN 'ID' THEN {d(f'{h} % 1000000000', 9)}
-  WHEN 'USER' THEN '@user' || {d(f'{h} % 100000', 5)}
+  WHEN 'USER' THEN '@user' || {own}
   WHEN 'LICENSE_PLATE' THEN 'XY ' || {d(f'{h} % 10000', 4)}
-  WHEN 'PERSON' THEN ({names})[{h} % {len(PII.SURROGATE_NAMES)} + 1]
+  WHEN 'PERSON' THEN {one_of(PII.SURROGATE_GIVEN, 1)} || ' ' || {one_of(PII.INITIALS, n_g * n_f)} || '. ' || {one_of(PII.SURROGATE_FAMILY, n_g)}
   ELSE '[REDACTED]' END)"""
 
 

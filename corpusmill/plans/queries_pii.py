@@ -8,12 +8,14 @@ from ..functions import patterns as P
 from ..functions import spans as SP
 from ..functions.text import lang_base
 from ..functions.arrays import explode_rows, posexplode_rows
+from ..functions.rules import NAME_ROWS, names_table
 from ..operators import pii as PII
+from ..operators.names import detect_names
 from ..sources.tables import table, text_table
 from . import oracle_pii as OP
 from .build_splits import TEST_BUDGETS, build_splits
 from .queries_splits import SEED, _articles, _split_sql
-from .oracle_text import kept_sentences
+from .oracle_text import kept_sentences, q
 from .registry import register
 
 WINDOW = 20
@@ -67,6 +69,24 @@ def q_pii_person(spark, sf_dir):
     return _explode(d, spans)
 
 
+# Names of people, places and things: capitalised words inside benchmark sentences.
+_BENCH_NAME = "[a-z,] ([A-Z][a-z]+)"
+_NAME_WORDS = max(n.count(" ") + 1 for n, _ in NAME_ROWS)
+_NAMES_SQL = f"""names AS (SELECT * FROM (VALUES {", ".join(f"({q(n)}, {q(lg)})" for n, lg in NAME_ROWS)}) t(name, lang)
+  UNION SELECT DISTINCT unnest(regexp_extract_all(text, {q(_BENCH_NAME)}, 1)), '*' FROM benchmark)"""
+
+
+@register("pii_name_table", f"""WITH {_MARKED}, {_NAMES_SQL}
+SELECT _k AS doc_id, start, "end", mention FROM {OP.names_sql("names", _NAME_WORDS)}""")
+def q_pii_name_table(spark, sf_dir):
+    """the packaged names and those of the benchmark, looked up in every text."""
+    d = _marked(spark, sf_dir).withColumn("lang", lang_base("lang"))
+    bench = table(spark, sf_dir, "benchmark", "text")
+    names = names_table(spark).unionByName(explode_rows(
+        bench, [], F.regexp_extract_all("text", F.lit(_BENCH_NAME), F.lit(1)), "name").distinct().withColumn("lang", F.lit("*")))
+    return detect_names(d, ["doc_id"], names, "text", "lang")
+
+
 @register("pii_context", f"""WITH {_MARKED}
 SELECT _k AS doc_id, start, "end", mention,
        CAST(CASE WHEN {OP.context_sql('LICENSE_PLATE', WINDOW)} THEN 1 ELSE 0 END AS BIGINT) AS has_context

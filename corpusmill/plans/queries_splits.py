@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import sampling as R
 from ..operators import sentences as S
+from ..sources.staging import stage
 from ..sources.tables import table, text_table
 from . import oracle_text as O
-from .build_splits import TEST_BUDGETS, build_splits
+from .build_splits import WHOLE_SHARES, build_splits
 from .registry import register
 
 SEED = 0
@@ -22,7 +23,7 @@ def _articles(spark, sf_dir):
 
 
 def _build(spark, sf_dir):
-    return build_splits(_articles(spark, sf_dir), TEST_BUDGETS, True, SEED, 5, 200)
+    return build_splits(_articles(spark, sf_dir), None, True, SEED, 5, 200, shares=WHOLE_SHARES)
 
 
 # ----------------------------------------------------------------- oracle SQL
@@ -39,17 +40,24 @@ p AS (SELECT *, CAST(row_number() OVER (ORDER BY k, article_id) - 1 AS BIGINT) A
 q AS (SELECT *, cum - size_bytes AS before FROM p)"""
 
 
-def _split_sql(budgets=TEST_BUDGETS) -> str:
+def _limit(share: float) -> str:
+    """A share of all kept bytes, as the builder computes it."""
+    return f"{share!r}::DOUBLE * (SELECT coalesce(sum(size_bytes), 0) FROM q)"
+
+
+def _split_sql(budgets=None) -> str:
+    """Splits by budgets in MiB or, without, by the shares of the whole table."""
+    limits = ([f"{float(mib) * R.MIB!r}" for mib in budgets.values()] if budgets
+              else [_limit(x) for x in WHOLE_SHARES.values()])
     ctes = [_positions_sql(), "b0 AS (SELECT CAST(0 AS BIGINT) AS lo, CAST(0 AS BIGINT) AS base)"]
     cases = []
-    for i, (split, mib) in enumerate(budgets.items()):
-        limit = float(mib) * R.MIB
+    for i, (split, limit) in enumerate(zip(budgets or WHOLE_SHARES, limits)):
         ctes.append(f"e{i} AS (SELECT max(seq) AS hi, max(cum) AS nb FROM q, b{i} "
-                    f"WHERE seq >= b{i}.lo AND before - b{i}.base <= {limit!r})")
+                    f"WHERE seq >= b{i}.lo AND before - b{i}.base <= {limit})")
         ctes.append(f"b{i + 1} AS (SELECT coalesce(e{i}.hi + 1, b{i}.lo) AS lo, "
                     f"coalesce(e{i}.nb, b{i}.base) AS base FROM b{i}, e{i})")
         cases.append(f"WHEN seq BETWEEN b{i}.lo AND e{i}.hi THEN '{split}'")
-    frm = ", ".join(f"b{i}, e{i}" for i in range(len(budgets)))
+    frm = ", ".join(f"b{i}, e{i}" for i in range(len(limits)))
     ctes.append(f"lab AS (SELECT q.*, CASE {' '.join(cases)} END AS split FROM q, {frm})")
     ctes.append("m AS (SELECT * FROM lab WHERE split IS NOT NULL)")
     ctes.append("""d AS (SELECT split, article_id, seq,
@@ -62,7 +70,7 @@ def _split_sql(budgets=TEST_BUDGETS) -> str:
 @register("seeded_shuffle", "WITH " + _positions_sql() + """
 SELECT article_id, seq, size_bytes, before FROM q""")
 def q_seeded_shuffle(spark, sf_dir):
-    sized = S.sentence_arrays(_articles(spark, sf_dir)).select("article_id", "size_bytes")
+    sized = stage(S.sentence_arrays(_articles(spark, sf_dir)).select("article_id", "size_bytes"), "sizes")
     return R.seeded_order(sized, "article_id", SEED, "size_bytes").select(
         "article_id", "seq", "size_bytes", "before")
 
@@ -73,8 +81,8 @@ SELECT article_id * article_id AS article_id,
        CAST(sum(size_bytes) OVER (ORDER BY article_id) - size_bytes AS BIGINT) AS before FROM q""")
 def q_natural_order(spark, sf_dir):
     """Ids with growing gaps, in their own order."""
-    sized = S.sentence_arrays(_articles(spark, sf_dir)).select(
-        (F.col("article_id") * F.col("article_id")).alias("article_id"), "size_bytes")
+    sized = stage(S.sentence_arrays(_articles(spark, sf_dir)).select(
+        (F.col("article_id") * F.col("article_id")).alias("article_id"), "size_bytes"), "sizes")
     return R.seeded_order(sized, "article_id", None, "size_bytes").select(
         "article_id", "seq", "size_bytes", "before")
 
@@ -91,8 +99,8 @@ def q_article_manifest(spark, sf_dir):
 
 
 @register("split_sizes", _split_sql() + f"""
-, bud AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {int(v * R.MIB)})" for k, v in TEST_BUDGETS.items())})
-          t(split, budget_bytes))
+, bud AS ({" UNION ALL ".join(f"SELECT '{k}' AS split, CAST(floor({_limit(v)}) AS BIGINT) AS budget_bytes"
+                           for k, v in WHOLE_SHARES.items())})
 SELECT bud.split, CAST(coalesce(count(m.article_id), 0) AS BIGINT) AS n_articles,
        CAST(coalesce(sum(m.n_sent), 0) AS BIGINT) AS n_sentences,
        CAST(coalesce(sum(m.size_bytes), 0) AS BIGINT) AS size_bytes,
@@ -113,11 +121,11 @@ def q_split_counts(spark, sf_dir):
 
 @register("split_overlap", _split_sql() + f"""
 , ids AS (SELECT article_id FROM d GROUP BY article_id
-          HAVING count(DISTINCT split) = {len(TEST_BUDGETS)})
+          HAVING count(DISTINCT split) = {len(WHOLE_SHARES)})
 SELECT CAST(count(*) AS BIGINT) AS n_common FROM ids""")
 def q_split_overlap(spark, sf_dir):
     data = _build(spark, sf_dir).sentences
-    common = R.ids_in_all_splits(data, n_splits=len(TEST_BUDGETS))
+    common = R.ids_in_all_splits(data, n_splits=len(WHOLE_SHARES))
     return common.agg(F.count(F.lit(1)).cast("bigint").alias("n_common"))
 
 

@@ -9,7 +9,6 @@ from ..operators import align as AL
 from ..operators import encode as E
 from ..operators import mask as M
 from ..operators import pad as PD
-from ..operators import sampling as R
 from ..operators import sentences as S
 from ..operators import vocab as V
 from ..functions.arrays import explode_rows
@@ -68,7 +67,7 @@ def q_pair_counts(spark, sf_dir):
 
 @register("vocab")          # iterative; checked against exact BPE in tests
 def q_vocab(spark, sf_dir):
-    return V.train_vocab(_sentences(spark, sf_dir), "text", vocab_size=20000, merges_per_round=500)
+    return V.train_vocab(_sentences(spark, sf_dir), "text", vocab_size=20000)
 
 
 @register("fixed_vocab", f"WITH {OT.sent_cte()},\n{OT.vocab_ctes(TOP_WORDS)}\nSELECT token, id FROM vocab")
@@ -139,7 +138,7 @@ def q_pad_batch(spark, sf_dir):
     enc, _ = _encoded(spark, sf_dir)
     keyed = enc.withColumn("k", F.md5(F.concat_ws(":", F.col("article_id").cast("string"),
                                                   F.col("sent_idx").cast("string"))))
-    b = PD.batch_ids(keyed, ["k", "article_id", "sent_idx"], BATCH, R.hash_bucket("k", 2))
+    b = PD.batch_ids(keyed, ["k", "article_id", "sent_idx"], BATCH)
     return PD.pad_batches(b).select(*IDS, "batch", "padded_len")
 
 
@@ -183,11 +182,7 @@ SELECT mk.article_id, mk.sent_idx,
 FROM mk JOIN mt ON mt.article_id = mk.article_id AND mt.sent_idx = mk.sent_idx""")
 def q_mask_view(spark, sf_dir):
     m, vocab = _masked(spark, sf_dir)
-    a = E.ids_to_tokens(m, IDS, "input_ids", vocab).withColumnRenamed("tokens", "t0")
-    b = E.ids_to_tokens(m, IDS, "masked_ids", vocab).withColumnRenamed("tokens", "t1")
-    inner = lambda c: F.slice(c, 2, F.size(c) - 2)  # noqa: E731  drop CLS and SEP
-    return a.join(b, IDS).select(*IDS, E.tokens_to_text(inner(F.col("t0")), False).alias("original"),
-                                 E.tokens_to_text(inner(F.col("t1")), False).alias("masked"))
+    return M.mask_view(m, IDS, vocab)
 
 
 # ----------------------------------------------------------------- K3
@@ -318,7 +313,7 @@ def q_entities_from_tags(spark, sf_dir):
     sents = _sentences(spark, sf_dir)
     vocab = _vocab(spark, sf_dir, sents)
     t = AL.tagged_tokens(sents, IDS)
-    a = AL.align_labels(t, IDS, vocab, max_length=MAX_LEN).join(t.select(*IDS, "ner_tags"), IDS)
+    a = AL.align_labels(t, IDS, vocab, max_length=MAX_LEN, keep_tags=True)
     # a perfect tagger: every piece gets its word's tag, specials and padding 0
     pred = F.transform("word_ids", lambda w: F.coalesce(F.try_element_at("ner_tags", w + 1), F.lit(0)))
     e = entities(a.withColumn("pred", pred), IDS)

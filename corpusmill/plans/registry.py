@@ -31,4 +31,4 @@ def load_all() -> None:
         importlib.import_module(f"{__package__}.{mod}")
 
 
-MODULES = ("queries_text", "queries_splits", "queries_pii", "queries_tokens", "queries_metrics")
+MODULES = ("queries_text", "queries_splits", "queries_pii", "queries_tokens", "queries_metrics", "queries_pretrain")

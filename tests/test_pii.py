@@ -115,3 +115,64 @@ def test_no_character_of_a_detected_mention_survives(spark):
         new = [(m.start, m.end) for m in r.doc.ner]
         assert outside == "".join(r.doc.text[a:b] for a, b in zip([0] + [e for _, e in new], [s for s, _ in new] + [len(r.doc.text)]))
     assert [r.doc.text for r in rows][0].endswith("@example.com now") and "Smith@" not in rows[0].doc.text
+
+
+def test_very_many_mentions_in_one_text(spark):
+    """40,000 mentions cost little more a mention than 10,000; text outside stays."""
+    import time
+    times = []
+    for n in (10000, 40000):
+        text = " ".join(f"a{i}@x.org" for i in range(n))
+        df = spark.createDataFrame([(text,)], "text string")
+        start = time.perf_counter()
+        doc = pii.anonymize(df, "text", None).first().doc
+        times.append(time.perf_counter() - start)
+        assert len(doc.ner) == n and all(doc.text[m.start:m.end] == m.text for m in doc.ner[::997])
+        assert [m.start for m in doc.orig_ner[:3]] == [0, 9, 18] and doc.text.count(" ") == n - 1
+    assert times[1] < 5 * times[0]
+
+
+def test_a_language_is_more_rows(spark):
+    from corpusmill.functions.rules import CONTEXT_ROWS, ContextRules
+    df = spark.createDataFrame([("tablica ABC 1234 tu", "pl"), ("tablica ABC 1234 tu", "en"), ("haslo 0123456789abcdef01 x", "pl")],
+                               "text string, lang string")
+    own = ContextRules.of_table(spark.createDataFrame(
+        [*CONTEXT_ROWS, ("pl", "LICENSE_PLATE", "tablica"), ("pl", "KEY", "haslo")], "lang string, tag string, word string"))
+
+    def tags(**kw):
+        return [[m.tag for m in r.ner] for r in df.select(pii.detect("text", F.col("lang"), ("LICENSE_PLATE", "KEY"), **kw).alias("ner")).collect()]
+
+    assert tags() == [[], [], []]
+    assert tags(rules=own) == [["LICENSE_PLATE"], [], ["KEY"]]
+
+
+def test_short_keys_need_a_context_word(spark):
+    cases = [("token 0123456789abcdef", 1), ("value 0123456789abcdef", 0), ("value " + "0123456789abcdef" * 2, 1)]
+    for text, n in cases:
+        got = spark.createDataFrame([(text,)], "text string").select(pii.detect("text", None, ("KEY",)).alias("ner")).first().ner
+        assert len(got) == n, text
+
+
+def test_names_of_a_table(spark, tmp_path, monkeypatch):
+    from corpusmill.functions.rules import names_table
+    from corpusmill.operators import names as NM
+    (tmp_path / "names.csv").write_text("name,lang\nZoë,*\nAnna Lena,de\nAnna,*\n", encoding="utf-8")
+    table = names_table(spark, str(tmp_path / "names.csv"))
+    rows = [(1, "Zoë Quist met Anna Lena Berg, Anna  Ott and Anna\nBerg.", "de"), (2, "Anna Lena Berg", "en"), (3, None, "de"), (4, "", None),
+            (5, "say anna Berg, XAnna Berg, Zoë", "de")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    want = [(1, 0, 9, "Zoë Quist"), (1, 14, 28, "Anna Lena Berg"), (2, 0, 9, "Anna Lena")]
+    for limit in (64 << 20, 0):
+        monkeypatch.setattr(NM, "BROADCAST_BYTES", limit)
+        got = NM.detect_names(df, ["doc_id"], table, "text", "lang").collect()
+        assert sorted(map(tuple, got)) == want
+    numbered = df.withColumn("_row", F.col("doc_id"))
+    out = NM.with_name_spans(numbered, table, "text", "lang")
+    doc = pii.anonymize(out.where("doc_id = 1"), "text", "lang", more_spans="name_spans").first().doc
+    assert "Quist" not in doc.text and "Berg, Anna  Ott" not in doc.text and doc.text.endswith("Anna\nBerg.")
+
+
+def test_people_keep_apart(spark):
+    text = " and ".join(f"Dr. {a}{b} Smith" for a in ("Ann", "Bob", "Cec", "Dan") for b in ("a", "b", "c", "d", "e"))
+    doc = pii.anonymize(spark.createDataFrame([(text,)], "text string"), "text", None).first().doc
+    assert len({m.text for m in doc.ner}) >= 19 and len(doc.ner) == 20

@@ -24,15 +24,58 @@ def test_budget_split_golden(spark, sizes, budgets, want):
     assert got == want
 
 
-def test_prefix_positions_independent_of_buckets(spark):
-    df = spark.range(0, 500).select(F.col("id").alias("article_id"),
-                                    (F.col("id") % 7).alias("size_bytes"))
-    a = R.seeded_order(df, "article_id", 3, "size_bytes", hex_digits=1)
-    b = R.seeded_order(df, "article_id", 3, "size_bytes", hex_digits=3)
-    ra = sorted(map(tuple, a.select("article_id", "seq", "before", "cum").collect()))
-    rb = sorted(map(tuple, b.select("article_id", "seq", "before", "cum").collect()))
-    assert ra == rb
-    assert sorted(r[1] for r in ra) == list(range(500))
+def test_positions_do_not_depend_on_partitions(spark):
+    from corpusmill.operators.positions import range_positions
+    rows = [(i % 97 if i % 5 else None, i, None if i % 11 == 0 else i % 7) for i in range(700)]
+    df = spark.createDataFrame(rows, "k long, id long, size long")
+    want, cum = [], 0
+    for seq, (k, i, size) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))):
+        want.append((i, seq, cum, cum + (size or 0)))
+        cum += size or 0
+    for n in (1, 3, 40):
+        got = range_positions(df.repartition(5), ["k", "id"], "size", partitions=n)
+        assert sorted(map(tuple, got.select("id", "seq", "before", "cum").collect())) == sorted(want)
+    plan = range_positions(df, ["k", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    assert range_positions(df.limit(0), ["k"], "size").collect() == []
+
+
+def test_shares_cover_the_table(spark):
+    from corpusmill.plans.build_splits import build_splits
+    from corpusmill.operators.sentences import articles_from_documents, sentences
+    from corpusmill.sources.tables import table
+    from conftest import SF001
+    arts = articles_from_documents(table(spark, SF001, "documents", "doc_id", "source", "text"))
+    b = build_splits(arts, shares={"train": 0.5, "val": 0.2, "test": 1.0})
+    assert b.manifest.count() == arts.count()
+    assert b.sentences.count() == sentences(arts, 5, 200).count()
+    stats = {r.split: r.size_bytes for r in b.stats.collect()}
+    assert stats["train"] > stats["test"] > 0 and stats["val"] > 0
+
+
+def test_layout_prunes_folders_and_gives_the_same_splits(spark, tmp_path):
+    from corpusmill.plans import build_splits as B
+    from corpusmill.operators.sentences import articles_from_documents
+    from corpusmill.sources.tables import table
+    from conftest import SF01
+    arts = articles_from_documents(table(spark, SF01, "documents", "doc_id", "source", "text"))
+    budgets = {"train": 0.1, "val": 0.02, "test": 0.02}
+    laid = B.write_layout(arts, str(tmp_path / "layout"), seed=3)
+    plain, pruned = (B.build_splits(x, budgets, seed=3) for x in (arts, laid))
+    assert plain.bounds == pruned.bounds
+    cols = ["split", "article_id", "sent_idx", "text"]
+    assert sorted(map(tuple, plain.sentences.select(cols).collect())) == sorted(map(tuple, pruned.sentences.select(cols).collect()))
+    scan = laid.where(F.col(B.LAYOUT).between(0, 3))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_bucket" in scan
+    with pytest.raises(ValueError):
+        B.build_splits(laid, budgets, seed=4)
+
+
+def test_cap_is_one_group_limit(spark):
+    df = spark.createDataFrame([(s, i) for s in ("train", "val", "test") for i in range(50)], "split string, i int")
+    capped = R.cap_first_n(df, 7, ["i"])
+    assert sorted((r.split, r["count"]) for r in capped.groupBy("split").count().collect()) == [("test", 7), ("train", 50), ("val", 7)]
+    assert "WindowGroupLimit" in capped._jdf.queryExecution().executedPlan().toString()
 
 
 def test_splits_disjoint_and_budget_bound(spark):

@@ -10,7 +10,6 @@ from corpusmill.operators import encode as E
 from corpusmill.operators import metrics as MT
 from corpusmill.operators import pad as PD
 from corpusmill.operators import vocab as V
-from corpusmill.operators.sampling import hash_bucket
 
 
 @pytest.fixture(scope="module")
@@ -88,8 +87,7 @@ def test_vocabulary_never_exceeds_its_size(spark):
 def test_pad_batches(spark):
     df = spark.createDataFrame([(i, [7] * n) for i, n in enumerate([3, 5, 2, 4])],
                                "id long, input_ids array<int>")
-    b = PD.batch_ids(df.withColumn("k", F.lpad(F.col("id").cast("string"), 3, "0")), ["k"], 3,
-                     F.lit(0))
+    b = PD.batch_ids(df, ["id"], 3)
     got = {r.id: r.padded_len for r in PD.pad_batches(b).collect()}
     assert [got[i] for i in range(4)] == [5, 5, 5, 4]
 
@@ -194,3 +192,108 @@ def test_length_checks(spark, small_vocab):
                                "id int, tokens array<string>, ner_tags array<int>")
     r = AL.align_labels(df, ["id"], small_vocab, max_length=8, check_lengths=True).first()
     assert len(r.input_ids) == len(r.labels) == len(r.word_ids) == 8
+
+
+def _word_counts(spark, sf_dir):
+    from corpusmill.operators.sentences import articles_from_documents, sentences
+    from corpusmill.sources.tables import table
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return sentences(articles_from_documents(docs), 5, 200)
+
+
+def _indexed_bpe(words: Counter, vocab_size: int, min_count: int = 2):
+    """One merge at a time, as ``_brute_bpe``, with an index of the words of a pair."""
+    import heapq
+    seqs = {w: [w[0]] + ["##" + c for c in w[1:]] for w in words}
+    alphabet = {s for q in seqs.values() for s in q}
+    out, size, taken = [], len(V.SPECIALS) + len(alphabet), set(alphabet) | set(V.SPECIALS)
+    count, where = Counter(), {}
+    for w, q in seqs.items():
+        for p in zip(q, q[1:]):
+            count[p] += words[w]
+            where.setdefault(p, set()).add(w)
+    heap = [(-n, *p) for p, n in count.items()]
+    heapq.heapify(heap)
+    while heap and size < vocab_size:
+        n, a, b = heapq.heappop(heap)
+        if count[a, b] != -n or -n < min_count or V.merged_token(a, b) in taken:
+            continue
+        tok = V.merged_token(a, b)
+        out.append(tok)
+        taken.add(tok)
+        size += 1
+        for w in list(where[a, b]):
+            q, new, i = seqs[w], [], 0
+            while i < len(q):
+                hit = i + 1 < len(q) and (q[i], q[i + 1]) == (a, b)
+                new.append(tok if hit else q[i])
+                i += 1 + hit
+            seqs[w] = new
+            for sign, s in ((-1, q), (1, new)):
+                for p in zip(s, s[1:]):
+                    count[p] += sign * words[w]
+                    where.setdefault(p, set()).add(w)
+                    heapq.heappush(heap, (-count[p], *p))
+    return out
+
+
+def test_twenty_thousand_tokens_equal_sequential_training(spark):
+    sents = _word_counts(spark, "/root/testdata/sf0.01")
+    wc = Counter({r.word: r.n for r in V.word_counts(sents).collect()})
+    rows = V.train_vocab(sents, vocab_size=20000).orderBy("id").collect()
+    assert len(rows) == 20000
+    assert [r.token for r in rows if r.kind == "merge"] == _indexed_bpe(wc, 20000)
+
+
+def test_small_working_sets_give_the_same_merges(spark):
+    """Rounds that may hold almost no words: merges chosen on the cluster, exact."""
+    from corpusmill.operators.bpe import sequential_merges
+    from corpusmill.operators.sentences import articles_from_documents, sentences
+    from corpusmill.sources.tables import table
+    from conftest import SF001
+    docs = table(spark, SF001, "documents", "doc_id", "source", "text").where(F.col("doc_id") < 5)
+    sents = sentences(articles_from_documents(docs), 5, 200)
+    wc = V.word_counts(sents)
+    words = wc.select(V.initial_symbols("word").alias("syms"), "n")
+    counts = Counter({r.word: r.n for r in wc.collect()})
+    alphabet = {c for w in counts for c in [w[0]] + ["##" + x for x in w[1:]]}
+    want = _brute_bpe(counts, len(V.SPECIALS) + len(alphabet) + 40)[len(V.SPECIALS) + len(alphabet):]
+    for working, look in ((0, 64), (2000, 16)):
+        got = sequential_merges(words, 40, set(alphabet) | set(V.SPECIALS), working_symbols=working, look=look)
+        assert [V.merged_token(a, b) for a, b in got] == want
+
+
+def test_repeated_symbols_and_blocked_pairs(spark):
+    from corpusmill.operators.bpe import sequential_merges
+    words = Counter({"aaaa": 3, "aaaaa": 2, "banana": 4, "bandana": 2, "abab": 5, "a": 9, "nana": 1})
+    df = spark.createDataFrame([([w[0]] + ["##" + c for c in w[1:]], n) for w, n in words.items()], "syms array<string>, n long")
+    alphabet = {c for w in words for c in [w[0]] + ["##" + x for x in w[1:]]}
+    base = len(V.SPECIALS) + len(alphabet)
+    want = _brute_bpe(words, base + 30)[base:]
+    for working in (0, 12, 1 << 19):
+        got = sequential_merges(df, 30, set(alphabet) | set(V.SPECIALS), working_symbols=working)
+        assert [V.merged_token(a, b) for a, b in got] == want
+
+
+def test_trie_equals_join_lookup(spark, monkeypatch):
+    sents = _word_counts(spark, "/root/testdata/sf0.001").limit(400).cache()
+    vocab = V.fixed_vocab(sents, "text", 300).cache()
+    key = ["article_id", "sent_idx"]
+    trie = sorted((r.article_id, r.sent_idx, r.input_ids) for r in E.encode(sents, key, vocab).collect())
+    names = sorted((r.article_id, r.text) for r in E.decode(E.encode(sents, key, vocab), key, "input_ids", vocab).collect())
+    plan = E.encode(sents, key, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("InMemoryTableScan")[0]
+    monkeypatch.setattr(E, "BROADCAST_BYTES", 0)
+    joined = sorted((r.article_id, r.sent_idx, r.input_ids) for r in E.encode(sents, key, vocab).collect())
+    assert trie == joined
+    assert names == sorted((r.article_id, r.text) for r in E.decode(E.encode(sents, key, vocab), key, "input_ids", vocab).collect())
+
+
+def test_mask_view_with_predictions(spark):
+    from corpusmill.operators import mask as M
+    vocab = _vocab_of(spark, "ab", "##cd", "x")
+    n = len(V.SPECIALS)
+    df = spark.createDataFrame([(1, [2, n, n + 1, n + 2, 3], [2, n, V.MASK_ID, n + 2, 3], [2, n, n + 1, n, 3])],
+                               "id int, input_ids array<int>, masked_ids array<int>, guess array<int>")
+    r = M.mask_view(df, ["id"], vocab, predicted_col="guess").first()
+    assert (r.original, r.masked, r.predicted) == ("abcd x", "ab [MASK] x", "abcd ab")
