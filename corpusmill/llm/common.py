@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.arrays import let, scan_array
 from corpusmill.session import checkpoint_dir
 
 # Fixed value: the whitespace class of the contracts, [\x20\x09-\x0D].
@@ -45,7 +46,8 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str,
     The ``hot`` largest groups (at most that many rows whatever the input)
     are broadcast; rows they serve get a key of their own in the following
     shuffle join, so they spread evenly instead of meeting in one task.
-    ``groups`` must have one row per key.  Null keys match nothing.
+    ``groups`` must have one row per key and is read twice: pass a stored table, or one
+    that is cheap to compute.  Null keys match nothing.
     """
     others = [c for c in groups.columns if c != key]
     top = (groups.filter(F.col(key).isNotNull())
@@ -64,26 +66,66 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str,
     return out.select(*rows.columns, *[F.col(f"_g.{c}").alias(c) for c in others])
 
 
-def match_spans(text: Column, pattern: str) -> Column:
+def match_spans(text: Column, pattern: str, context: int = 0) -> Column:
     """array<struct<s,e,m>>: leftmost non-overlapping matches, code points.
 
     Matches and the gaps between them come from two regex passes that only
-    rows with a match run; one fold adds up the lengths.
+    rows with a match run; one scan adds up the lengths, in near linear
+    time.  With ``context`` also ``near``, the ``context`` characters before a
+    match, taken from the gaps instead of counting through the text again.
     """
-    kind = "array<struct<s:int,e:int,m:string>>"
-    empty = F.array().cast(kind)
+    kind = "struct<s:int,e:int,m:string" + (",near:string>" if context else ">")
+    empty = F.array().cast(f"array<{kind}>")
     items = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
                          F.split(text, pattern, -1).alias("g"))
-    init = F.struct(F.lit(0).alias("p"), empty.alias("out"))
 
-    def step(acc, x):
-        s = acc["p"] + F.length(x["g"])
-        e = s + F.length(x["m"])
-        span = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))
-        return F.when(x["m"].isNull(), acc).otherwise(
-            F.struct(e.alias("p"), F.concat(acc["out"], F.array(span)).alias("out")))
+    def step(state, x):
+        s = (state["p"] if context else state) + F.length(x["g"])
+        e = F.coalesce(s + F.length(x["m"]), s)
+        fields = [s.alias("s"), e.alias("e"), x["m"].alias("m")]
+        after = e
+        if context:
+            near = F.right(F.concat(state["near"], x["g"]), F.lit(context))
+            fields.append(near.alias("near"))
+            after = F.struct(e.alias("p"), F.right(F.concat(near, F.coalesce(x["m"], F.lit(""))), F.lit(context)).alias("near"))
+        return after, F.when(x["m"].isNull(), empty).otherwise(F.array(F.struct(*fields)))
 
-    return F.when(text.rlike(pattern), F.aggregate(items, init, step, lambda a: a["out"])).otherwise(empty)
+    start = F.struct(F.lit(0).alias("p"), F.lit("").alias("near")) if context else F.lit(0)
+    return F.when(text.rlike(pattern), scan_array(items, start, step, kind)).otherwise(empty)
+
+
+def apart(spans: Column, others: Column, kind: str) -> Column:
+    """The ``spans`` (array<kind> with s and e) that overlap none of ``others``.
+
+    Few spans are compared pair by pair.  Many are sorted with the others by start:
+    what starts before a span and reaches into it is seen going up, what starts inside
+    it going down.
+    """
+    def pairs(v):
+        return F.filter(v["a"], lambda x: ~F.exists(v["b"], lambda o: (o["s"] < x["e"]) & (o["e"] > x["s"])))
+
+    def sweep(v):
+        item = f"struct<s:int,own:int,e:int,x:{kind}>"
+        marks = F.array_sort(F.concat(
+            F.transform(v["b"], lambda o: F.struct(o["s"].alias("s"), F.lit(0).alias("own"), o["e"].alias("e"), F.lit(None).cast(kind).alias("x"))),
+            F.transform(v["a"], lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("own"), x["e"].alias("e"), x.alias("x")))))
+        none, gone = F.array().cast(f"array<{item}>"), F.array().cast(f"array<{kind}>")
+
+        def up(reach, m):
+            other = m["own"] == 0
+            return (F.when(other, F.greatest(reach, m["e"])).otherwise(reach),
+                    F.when(other | (reach <= m["s"]), F.array(m)).otherwise(none))
+
+        def down(nearest, m):
+            other = m["own"] == 0
+            return (F.when(other, m["s"]).otherwise(nearest),
+                    F.when(other | (nearest < m["e"]), gone).otherwise(F.array(m["x"])))
+
+        left = scan_array(marks, F.lit(-1), up, item)
+        return F.reverse(scan_array(F.reverse(left), F.lit(2**31 - 1), down, kind))
+
+    few = lambda v: F.size(v["a"]).cast("long") * F.size(v["b"]) <= 4096
+    return let(F.struct(spans.alias("a"), others.alias("b")), lambda v: F.when(few(v), pairs(v)).otherwise(sweep(v)))
 
 
 def number_rows(df: DataFrame, part: list, order: list, chunk: Column, label: str) -> DataFrame:

@@ -32,6 +32,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ WINDOW = 10
 MIN_LITERALS = 4
 MIN_CONTAINED = 3
 MAX_BROADCAST = 200_000
+# Bytes of window hashes that may go with a task when the windows themselves are too many.
+HASH_BYTES = 128 << 20
 
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 # Unit words.
@@ -74,7 +77,8 @@ def with_unit(word: str) -> tuple | None:
 
 
 class _Coder(dict):
-    """word -> row of ``table``: literal, slot, name slot, ends a sentence, attached unit's slot.
+    """word -> row of ``table``: literal, slot, name slot, ends a sentence, attached unit's
+    slot, literal of a unit word.
 
     Codes are 64-bit hashes; slot 0 means "no slot".  The word cache is
     emptied at ``LIMIT`` words, so memory stays bounded on any corpus.
@@ -83,7 +87,7 @@ class _Coder(dict):
     LIMIT = 400_000
 
     def __init__(self):
-        self.table = np.zeros((1024, 5), np.uint64)
+        self.table = np.zeros((1024, 6), np.uint64)
 
     def __missing__(self, word):
         text = word.decode("utf-8", "replace")
@@ -97,7 +101,8 @@ class _Coder(dict):
         own = xxhash.xxh64_intdigest(text.strip(_EDGES)) | 1
         self.table[n] = (xxhash.xxh64_intdigest(token), 0 if slot is None else xxhash.xxh64_intdigest(slot) | 1,
                          own if name else 0, ends,
-                         xxhash.xxh64_intdigest(parts[1].lower()) | 1 if parts else 0)
+                         xxhash.xxh64_intdigest(parts[1].lower()) | 1 if parts else 0,
+                         xxhash.xxh64_intdigest(text.strip(_EDGES).lower()) if token == UNIT else 0)
         self[word] = n
         return n
 
@@ -111,12 +116,16 @@ class _Coder(dict):
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-_NAME_CODE, _UNIT_CODE = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (NAME, UNIT))
+_NUM_CODE, _NAME_CODE, _UNIT_CODE = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (NUM, NAME, UNIT))
+_CURRENCY = np.array([xxhash.xxh64_intdigest(x) | 1 for x in ("$", "usd", "eur", "gbp", "euro", "euros")], np.uint64)
 
 
 class Encoded:
     """Template tokens and slots of a text.
 
+    A unit word is a unit only after a figure (a currency before one too); elsewhere ("a",
+    "in", "day") it is a word like others.  So it is at the start of a window.
+
     A capitalised word that does not start a sentence is a name.  The first
     word of a window has no context, so windows come in two variants: with
     their first word as a literal and, if capitalised, as a name.
@@ -133,8 +142,17 @@ class Encoded:
             unit = np.flatnonzero(np.diff(self.word, prepend=-1) == 0)
             t = t[self.word]
             t[unit, 0], t[unit, 1], t[unit - 1, 3] = _UNIT_CODE, t[unit, 4], 0
+        figure = t[:, 0] == _NUM_CODE
+        beside = np.concatenate([[False], figure[:-1]])[:len(t)]
+        beside |= np.isin(t[:, 1], _CURRENCY) & np.concatenate([figure[1:], [False]])[:len(t)]
+        plain = (t[:, 0] == _UNIT_CODE) & ~beside & (t[:, 5] != 0)
+        if plain.any():
+            t = t.copy()
+            t[plain, 0], t[plain, 1] = t[plain, 5], 0
         self.n = len(t)
         self.literal, self.slot, self.name_slot = t[:, 0], t[:, 1], t[:, 2]
+        self.head = np.where(t[:, 5] != 0, t[:, 5], t[:, 0])  # the first word of a window
+        self.head_slot = np.where(t[:, 5] != 0, np.uint64(0), t[:, 1])
         named = (self.name_slot != 0) & np.concatenate([[False], t[:-1, 3] == 0])[:self.n]
         self.tokens = np.where(named, _NAME_CODE, self.literal)
         self.slots = np.where(named, self.name_slot, self.slot)
@@ -147,7 +165,7 @@ class Encoded:
 
     def window_slots(self, i: int, size: int, as_name: bool) -> np.ndarray:
         s = self.slots[i:i + size].copy()
-        s[0] = self.name_slot[i] if as_name else self.slot[i]
+        s[0] = self.name_slot[i] if as_name else self.head_slot[i]
         return s
 
     def hashes(self, size: int):
@@ -161,7 +179,7 @@ class Encoded:
         cap = np.flatnonzero(self.name_slot[:n] != 0)
         start = np.concatenate([np.arange(n), cap])
         as_name = np.arange(len(start)) >= n
-        h = np.concatenate([self.literal[:n], np.full(len(cap), _NAME_CODE)])
+        h = np.concatenate([self.head[:n], np.full(len(cap), _NAME_CODE)])
         with np.errstate(over="ignore"):
             h = (h ^ np.uint64(size)) * _P
             for i in range(1, size):
@@ -169,7 +187,7 @@ class Encoded:
                 part = self.tokens[i:i + n]
                 h = (h ^ np.concatenate([part, part[cap]])) * _P
             h ^= h >> np.uint64(32)
-            first = np.concatenate([self.slot[:n], self.name_slot[cap]])
+            first = np.concatenate([self.head_slot[:n], self.name_slot[cap]])
             until = np.concatenate([[0], np.cumsum(self.slots == 0)])
             few = np.flatnonzero(until[start + size] - until[start + 1] + (first == 0) < min(MIN_LITERALS, size))
             if len(few):
@@ -198,6 +216,13 @@ def same_passage(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 WINDOWS_SCHEMA = "item_id long, size int, hash long, slots binary"
+# Arrow, not pandas: a null beside a large id would turn ids into floats.
+WINDOWS = pa.schema([("item_id", pa.int64()), ("size", pa.int32()), ("hash", pa.int64()), ("slots", pa.binary())])
+
+
+def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -206,17 +231,17 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
     def run(batches):
         coder = _Coder()
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for item, text in zip(pdf["item_id"], pdf["text"]):
+            for item, text in zip(*(c.to_pylist() for c in batch.columns)):
                 e = Encoded(text, coder)
                 size = min(window, e.n)
                 for x in (e, e.lowered()) if e.name_slot.any() else (e,):
                     for h, i, as_name in zip(*x.hashes(size)):
                         out.append((item, size, int(h.astype(np.int64)), x.window_slots(i, size, as_name).tobytes()))
-            yield pd.DataFrame(out, columns=["item_id", "size", "hash", "slots"])
+            yield _batch(out, WINDOWS)
 
-    return src.mapInPandas(run, WINDOWS_SCHEMA).distinct()
+    return src.mapInArrow(run, WINDOWS_SCHEMA).distinct()
 
 
 class _Lookup:
@@ -252,6 +277,7 @@ class _Lookup:
 
 
 HITS_SCHEMA = "doc_id long, item_id long, n_windows long, first_word long, end_word long"
+HITS = pa.schema([(name, pa.int64()) for name in ("doc_id", "item_id", "n_windows", "first_word", "end_word")])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -259,6 +285,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """Matched (document, item) pairs: doc_id, item_id, n_windows, first_word, end_word."""
     wins = item_windows(items, window=window)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # A window is at most 8 bytes a word and a few numbers, so a count bounds its bytes.
     few = wins.limit(max_broadcast + 1).count() <= max_broadcast
     if not few:
         return _shuffled(src, wins)
@@ -266,36 +293,53 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     def run(batches):
         lookup, coder = _Lookup(shared.value), _Coder()
-        for pdf in batches:
-            out = [(doc, item, len(w), min(w), max(w.values())) for doc, text in zip(pdf["doc_id"], pdf["text"])
+        for batch in batches:
+            out = [(doc, item, len(w), min(w), max(w.values())) for doc, text in zip(*(c.to_pylist() for c in batch.columns))
                    for item, w in lookup.hits(Encoded(text, coder)).items()]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "n_windows", "first_word", "end_word"])
+            yield _batch(out, HITS)
 
-    return src.mapInPandas(run, HITS_SCHEMA)
+    return src.mapInArrow(run, HITS_SCHEMA)
 
 
 def _shuffled(src: DataFrame, wins: DataFrame) -> DataFrame:
-    """The same pairs by a shuffle join on (size, hash)."""
+    """The same pairs with the benchmark's windows too many for a task.
+
+    The sorted 64-bit hashes alone (8 bytes a window) go with the task while they are
+    within ``HASH_BYTES``, so only windows that some item has are shuffled; beyond it all are.
+    """
     sizes = [r["size"] for r in wins.select("size").distinct().collect()]  # at most WINDOW values
+    n = wins.select("hash").distinct().count()
+    known = None
+    if 8 * n <= HASH_BYTES:
+        h = wins.select("hash").distinct().toArrow()["hash"].to_numpy()
+        known = src.sparkSession.sparkContext.broadcast(np.sort(h.view(np.uint64)).tobytes())
 
     def explode(batches):
         coder = _Coder()
-        for pdf in batches:
-            for row, doc, text in zip(pdf["row"], pdf["doc_id"], pdf["text"]):
+        hashes = None if known is None else np.frombuffer(known.value, np.uint64)
+        for batch in batches:
+            for row, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
                 e = Encoded(text, coder)
                 for s in sizes:
                     if s < MIN_CONTAINED and s != e.n:
                         continue
                     h, start, as_name = e.hashes(s)
+                    if hashes is not None and len(h):
+                        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                        met = hashes[at] == h
+                        h, start, as_name = h[met], start[met], as_name[met]
                     for lo in range(0, len(h), 4096):
                         part = slice(lo, lo + 4096)
-                        yield pd.DataFrame({
-                            "row": row, "doc_id": doc, "size": s, "hash": h[part].astype(np.int64),
-                            "word": e.word[start[part]], "end": e.word[start[part] + s - 1] + 1,
-                            "doc_slots": [e.window_slots(i, s, a).tobytes() for i, a in zip(start[part], as_name[part])]})
-
-    doc_wins = (src.withColumn("row", F.monotonically_increasing_id())
-                .mapInPandas(explode, "row long, doc_id long, size int, hash long, word long, end long, doc_slots binary"))
+                        k = len(h[part])
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([row] * k, pa.int64()), pa.array([doc] * k, pa.int64()), pa.array([s] * k, pa.int32()),
+                            pa.array(h[part].astype(np.int64)), pa.array(e.word[start[part]]),
+                            pa.array(e.word[start[part] + s - 1] + 1),
+                            pa.array([e.window_slots(i, s, a).tobytes() for i, a in zip(start[part], as_name[part])], pa.binary())],
+                            names=["row", "doc_id", "size", "hash", "word", "end", "doc_slots"])
+
+    doc_wins = (src.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+                .mapInArrow(explode, "row long, doc_id long, size int, hash long, word long, end long, doc_slots binary"))
 
     @F.pandas_udf("boolean")
     def same(a: pd.Series, b: pd.Series) -> pd.Series:

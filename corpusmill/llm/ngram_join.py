@@ -19,13 +19,14 @@ reachable by links.
    or more names its smallest class as its centre.  A block is a centre with all classes of its
    chains, so every pair that may link meets in a block.  Blocks above
    ``BLOCK_SHINGLES`` are cut into parts, and pairs of parts become blocks.
-4. In a block each class is a T-occurrence query against an inverted index of
-   the block: with T = ceil(0.75 n), the lists of its shingles are sorted by
-   length, all but the L longest are merged by counting, candidates with T - L
-   occurrences or more are looked up in the long lists by binary search, and
-   those that reach the required overlap link.  Candidates already
-   connected to the query are skipped, so a block reports a spanning forest
-   instead of all pairs of a group.
+4. In a block each class is first compared with its neighbours in its shortest
+   lists, which joins groups of near copies in linear time; lists whose members are all
+   of one component then lead nowhere and are left out.  What remains is a
+   T-occurrence query (DivideSkip) against an inverted index of the block: with T = ceil(0.75 n), the lists of its
+   shingles are sorted by length, all but the L longest are merged with a heap, candidates
+   with T - L occurrences or more are looked up in the long lists by binary search, and
+   those that reach the required overlap link.  A candidate already connected
+   to the query is skipped, so a block reports a spanning forest, not all pairs.
 5. Components of the links (star contraction) give each class its root.
 
 Only the texts of classes in blocks are read a third time.
@@ -39,6 +40,9 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -56,6 +60,8 @@ COMMON = 1 << 18
 WINDOW_SHINGLES = 4_000_000
 BLOCK_SHINGLES = 2_000_000
 MU = 1.0
+# Shortest lists of a set in which it is compared with its neighbour at once.
+PROBES = 3
 
 
 def shingle_set(data: np.ndarray, n: int = SHINGLE) -> np.ndarray:
@@ -84,12 +90,12 @@ def linked(overlap, a, b):
 
 # --- scans -----------------------------------------------------------------
 
-FEATURES = "doc_id long, n_shingles long, cls long, hash long, times long"
+FEATURES = "doc_id long, key long, n_shingles long, cls long, hash long, times long"
 
 
 def _features(batches):
     """Per document its class; per window of the scan its repeated shingles."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()),
                         ("hash", pa.int64()), ("times", pa.int64())])
     pool, size, classes = [], 0, set()
 
@@ -100,11 +106,11 @@ def _features(batches):
         h, n = h[n > 1].view(np.int64), n[n > 1]
         for lo in range(0, len(h), 65536):
             k = len(h[lo:lo + 65536])
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64())] * 3 + [pa.array(h[lo:lo + 65536]), pa.array(n[lo:lo + 65536])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64())] * 4 + [pa.array(h[lo:lo + 65536]), pa.array(n[lo:lo + 65536])], schema=schema)
 
     for batch in batches:
         n, cls = [], []
-        for data in column_bytes(batch.column(1)):
+        for data in column_bytes(batch.column(2)):
             s = shingle_set(data)
             c = class_of(s)
             n.append(len(s))
@@ -114,7 +120,7 @@ def _features(batches):
                 pool.append(s)
                 size += len(s)
         k = len(n)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
                                           pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
         if size > WINDOW_SHINGLES:
             yield from repeated()
@@ -178,62 +184,153 @@ def _members(batches):
 # --- T-occurrence search -----------------------------------------------------
 
 class Forest:
-    """Union-find over the members of a block."""
+    """Union-find with path halving; the root of a component is its smallest member."""
 
     def __init__(self, n: int):
-        self.root = np.arange(n)
+        self.up = list(range(n))
+
+    def find(self, a: int) -> int:
+        up = self.up
+        while up[a] != a:
+            up[a] = up[up[a]]
+            a = up[a]
+        return a
 
     def join(self, a: int, b: int) -> bool:
-        a, b = self.root[a], self.root[b]
+        a, b = self.find(a), self.find(b)
         if a == b:
             return False
-        self.root[self.root == max(a, b)] = min(a, b)
+        self.up[max(a, b)] = min(a, b)
         return True
 
+    def roots(self) -> np.ndarray:
+        up = np.array(self.up)
+        while (up[up] != up).any():
+            up = up[up]
+        return up
+
+
+def heap_merge(lists: list, least: int) -> list:
+    """(member, occurrences) of members in ``least`` or more of the sorted lists."""
+    out, last, times = [], -1, 0
+    for member in heapq.merge(*lists):
+        if member != last:
+            if times >= least:
+                out.append((last, times))
+            last, times = member, 0
+        times += 1
+    if times >= least:
+        out.append((last, times))
+    return out
+
+
+class Block:
+    """Inverted index of a block's sets, and the links found in it so far."""
+
+    def __init__(self, sets: list):
+        self.sets, self.sizes = sets, [len(s) for s in sets]
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
+        first = np.flatnonzero(new)
+        length = np.diff(np.append(first, len(flat)))
+        number = np.empty(len(flat), np.int64)
+        number[order] = np.cumsum(new) - 1
+        # Only lists of two members or more; ascending in each.
+        keep = length > 1
+        self.first, self.length = first[keep], length[keep]
+        renamed = np.where(keep, np.cumsum(keep) - 1, -1)[number]
+        ends = np.cumsum(self.sizes)
+        self.lists_of = [x[x >= 0] for x in np.split(renamed, ends[:-1])]
+        self.owner = owner
+        self.forest, self.links = Forest(len(sets)), []
+
+    def members(self, k: int) -> np.ndarray:
+        return self.owner[self.first[k]:self.first[k] + self.length[k]]
+
+    def try_pair(self, a: int, b: int) -> None:
+        """Compares two whole sets; links them where they reach the threshold."""
+        if self.forest.find(a) == self.forest.find(b):
+            return
+        small, large = sorted((self.sizes[a], self.sizes[b]))
+        if 100 * small < PERCENT * large:
+            return
+        x, y = self.sets[a], self.sets[b]
+        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        if linked(int((y[at] == x).sum()), self.sizes[a], self.sizes[b]) and self.forest.join(a, b):
+            self.links.append((a, b))
+
+    def link_neighbours(self) -> None:
+        """Compares each set with the one before it in its shortest lists, and
+        with the first member of that one's component.  Groups of near copies
+        become one component here, in time linear in their size."""
+        for q, lists in enumerate(self.lists_of):
+            if len(lists) < required(self.sizes[q]):
+                continue
+            for k in lists[np.argsort(self.length[lists], kind="stable")[:PROBES]].tolist():
+                own = self.members(k)
+                at = int(np.searchsorted(own, q))
+                if at:
+                    before = int(own[at - 1])
+                    self.try_pair(before, q)
+                    self.try_pair(self.forest.find(before), q)
+
+    def mixed_lists(self) -> np.ndarray:
+        """Lists with members of several components: only they can lead elsewhere."""
+        root = self.forest.roots()[self.owner]
+        # Lists of one member were left out, so reduce within explicit ends.
+        bounds = np.stack([self.first, self.first + self.length], axis=1).ravel()
+        bounds = np.minimum(bounds, len(root) - 1)
+        low = np.minimum.reduceat(root, bounds)[::2]
+        high = np.maximum.reduceat(root, bounds)[::2]
+        tail = self.first + self.length == len(root)  # the last list ends with the postings
+        if tail.any():
+            k = int(np.flatnonzero(tail)[0])
+            low[k], high[k] = root[self.first[k]:].min(), root[self.first[k]:].max()
+        return low != high
+
+    def search(self, q: int, mixed: np.ndarray) -> None:
+        """T-occurrence query of set ``q`` against earlier members of other components."""
+        need, n = required(self.sizes[q]), self.sizes[q]
+        lists = self.lists_of[q]
+        lists = lists[mixed[lists]]
+        if len(lists) < need:
+            return
+        lists = lists[np.argsort(self.length[lists], kind="stable")]
+        skip = min(need - 1, int(need / (MU * math.log2(max(2, self.length[lists[-1]])) + 1)))
+        short, long = lists[:len(lists) - skip], lists[len(lists) - skip:]
+        heads = [own[:np.searchsorted(own, q)] for own in map(self.members, short.tolist())]
+        found = heap_merge([h.tolist() for h in heads if len(h)], need - skip)
+        found.sort(key=lambda x: -x[1])
+        for c, times in found:
+            if self.forest.find(c) == self.forest.find(q):
+                continue  # a link settles all others of that component
+            if 100 * min(self.sizes[c], n) < PERCENT * max(self.sizes[c], n):
+                continue
+            left = skip
+            for k in long.tolist():
+                if times + left < need:
+                    break
+                left -= 1
+                own = self.members(k)
+                at = int(np.searchsorted(own, c))
+                times += at < len(own) and int(own[at]) == c
+            if times >= need and linked(times, self.sizes[c], n) and self.forest.join(c, q):
+                self.links.append((c, q))
+
 
 def spanning_links(sets: list) -> list:
     """Pairs of set numbers that span the components of the block's links."""
-    m, sizes = len(sets), np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    order = np.argsort(flat, kind="stable")
-    owner = np.repeat(np.arange(m), sizes)[order]  # postings; ascending in each list
-    new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
-    first = np.flatnonzero(new)
-    length = np.diff(np.append(first, len(flat)))
-    list_of = np.empty(len(flat), np.int64)
-    list_of[order] = np.cumsum(new) - 1
-    ends = np.cumsum(sizes)
-    forest, out = Forest(m), []
-    for q in range(1, m):
-        n, need = int(sizes[q]), required(int(sizes[q]))
-        mine = list_of[ends[q] - n:ends[q]]
-        mine = mine[length[mine] > 1]
-        if len(mine) < need:
-            continue
-        mine = mine[np.argsort(length[mine], kind="stable")]
-        skip = min(need - 1, int(need / (MU * np.log2(length[mine[-1]]) + 1)))
-        short, long = mine[:len(mine) - skip], mine[len(mine) - skip:]
-        met = np.bincount(np.concatenate([owner[first[k]:first[k] + length[k]] for k in short.tolist()]), minlength=m)
-        # Each pair is searched once, from its later member.
-        cand = np.flatnonzero(met[:q] >= need - skip)
-        cand = cand[(100 * np.minimum(sizes[cand], n) >= PERCENT * np.maximum(sizes[cand], n))]
-        cand = cand[np.argsort(-met[cand], kind="stable")]
-        while len(cand):
-            # One candidate per component first: a link settles all the others.
-            _, lead = np.unique(forest.root[cand], return_index=True)
-            probe = np.sort(cand[lead])
-            count = met[probe].copy()
-            for k in long.tolist():
-                own = owner[first[k]:first[k] + length[k]]
-                at = np.minimum(np.searchsorted(own, probe), len(own) - 1)
-                count += own[at] == probe
-            for c in probe[linked(count, sizes[probe], n)].tolist():
-                if forest.join(c, q):
-                    out.append((c, q))
-            rest = np.ones(len(cand), bool)
-            rest[lead] = False
-            cand = cand[rest & (forest.root[cand] != forest.root[q])]
-    return out
+    block = Block(sets)
+    if len(block.first):
+        block.link_neighbours()
+        mixed, known = block.mixed_lists(), len(block.links)
+        for q in range(1, len(sets)):
+            block.search(q, mixed)
+            if len(block.links) > 2 * known + 16:
+                mixed, known = block.mixed_lists(), len(block.links)
+    return block.links
 
 
 def _search(batches):
@@ -247,8 +344,9 @@ def _search(batches):
         for a, b in spanning_links([members[i] for i in ids.tolist()]):
             forest.join(a, b)
         # As stars around the smallest class, which settle fastest.
-        linked_to = np.flatnonzero(forest.root != np.arange(len(ids)))
-        return pa.RecordBatch.from_arrays([pa.array(ids[forest.root[linked_to]]), pa.array(ids[linked_to])], schema=schema)
+        root = forest.roots()
+        linked_to = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[root[linked_to]]), pa.array(ids[linked_to])], schema=schema)
 
     for batch in batches:
         cols = [batch.column(i).to_numpy() for i in range(3)]
@@ -315,9 +413,12 @@ def _common(repeated: DataFrame):
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, component_size."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # A row is found again by its id and a hash of its text: null and repeated ids
+    # alone would pair every such row with every class.
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
     scan = materialize(src.mapInArrow(_features, FEATURES), "features")
-    feats = scan.filter("cls IS NOT NULL").select("doc_id", "n_shingles", "cls")
+    feats = scan.filter("cls IS NOT NULL").select("doc_id", "key", "n_shingles", "cls")
 
     common, rank = _common(scan.filter("cls IS NULL"))
     shared = spark.sparkContext.broadcast((common.tobytes(), rank.tobytes()))
@@ -325,16 +426,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = src.select("text").mapInArrow(_postings(shared), "hash long, cls long, n int")
     blocks = materialize(_blocks(postings), "parts")
     classes = (feats.filter("n_shingles > 0").groupBy("cls", "n_shingles")
-               .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("class_size")))
+               .agg(F.min(F.struct("key", "doc_id")).alias("first"), F.count(F.lit(1)).alias("class_size")))
     asked = (blocks.groupBy("cls").agg(F.collect_list(F.struct("centre", "part")).alias("blocks"))
-             .join(classes.select("cls", "first_id"), "cls"))
-    texts = src.join(asked, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("text", "cls", "blocks")
+             .join(classes.select("cls", F.col("first.key").alias("key"), F.col("first.doc_id").alias("first_id")), "cls"))
+    texts = (src.join(asked, (src["key"] == asked["key"]) & src["doc_id"].eqNullSafe(asked["first_id"]))
+             .select("text", "cls", "blocks"))
     members = texts.mapInArrow(_members, "centre long, part long, cls long, shingles binary")
     links = (members.repartition("centre", "part").sortWithinPartitions("centre", "part")
              .mapInArrow(_search, "a long, b long"))
     roots = components(links, "a", "b")
 
-    rooted = attach_groups(feats, classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    rooted = attach_groups(feats.drop("key"), classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
                            .select("cls", "class_size", F.coalesce("root", "cls").alias("root")),
                            "cls", "class_size")
     rooted = materialize(rooted.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root"))), "rooted")

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import match_spans, materialize
+from corpusmill.llm.common import apart, match_spans, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -40,8 +40,8 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9-]{1,63}"
-             r"(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]{1,63}){0,8}",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9-]++"
+             r"(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]++)*+",
     "ip": r"(?<![0-9A-Fa-f.:])(?:[0-9]{1,3}(?:[.,][0-9]{1,3}){3}|(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4})(?![0-9A-Fa-f.:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9])(?:(?:\+|00)?[0-9]{1,3}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
@@ -113,7 +113,7 @@ def candidates(text: Column, kind: str) -> Column:
 
     def judged(x):
         m, d = x["m"], digits(x["m"])
-        near = F.lower(F.substring(text, F.greatest(x["s"] - CONTEXT, F.lit(0)) + 1, F.least(x["s"], F.lit(CONTEXT))))
+        near = F.lower(x["near"])
         if kind == "email":
             strict, known, unlikely = m.rlike(r"@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"), m.rlike(TLDS), ~m.contains(".")
         elif kind == "ip":
@@ -129,7 +129,7 @@ def candidates(text: Column, kind: str) -> Column:
                         _vote(near.rlike(FOR[kind]), near.rlike(AGAINST)).alias("v3"),
                         m.rlike(r"[\x20()\[\]-]").cast("int").alias("f1"), (F.length(m) >= 16).cast("int").alias("f2"))
 
-    return F.transform(match_spans(text, LOOSE[kind]), judged)
+    return F.transform(match_spans(text, LOOSE[kind], CONTEXT), judged)
 
 
 def expectation_maximisation(hist: list, rounds: int = 60) -> list:
@@ -213,9 +213,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         yes = F.lit(False)
         for k, w in model.items():
             yes = F.when(c["k"] == k, _score(c, w) >= 0.0).otherwise(yes)
-        return yes & ~F.exists("base", lambda b: (b["s"] < c["e"]) & (b["e"] > c["s"]))
+        return yes
 
-    added = F.transform(F.filter("cands", accepted), lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e")))
+    kind = rows.schema["cands"].dataType.elementType.simpleString()
+    added = F.transform(apart(F.filter("cands", accepted), F.col("base"), kind), lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e")))
     return rows.select("doc_id", "base", added.alias("added"))
 
 

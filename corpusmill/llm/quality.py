@@ -140,16 +140,20 @@ def to_bytes(text) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality"):
     """A fitted network, or None without labelled rows of both classes."""
+    # Labels of one document that disagree say nothing about it: it is left out.
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
              .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-             .dropDuplicates(["doc_id"]))
+             .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
+             .filter("label = _most").select("doc_id", "label"))
     order = F.xxhash64("doc_id", F.lit("quality"))
     # At most 2 * sample ids, whatever the number of labels.
     picked = known.filter("label = 0").orderBy(order, "doc_id").limit(sample).unionAll(
         known.filter("label = 1").orderBy(order, "doc_id").limit(sample))
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES)
-            .join(F.broadcast(picked), "doc_id").limit(4 * sample).collect())
+            .join(F.broadcast(picked), "doc_id")
+            # One text an id: of repeated ids the first by hash, then by text.
+            .groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")).collect())
     rows.sort(key=lambda r: (r.doc_id, r.text or ""))
     if len({r.label for r in rows}) < 2:
         return None

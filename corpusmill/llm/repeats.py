@@ -15,8 +15,11 @@ sequence also starts elsewhere are removed.
    passages they make up into an Aho-Corasick automaton (pyahocorasick), and
    streams the surroundings through it to locate every occurrence.  A shard
    builds one automaton per ``SHARD`` surroundings, which bounds its memory.
-   Anchors with more than ``HOT`` places are confirmed by a Spark aggregation
-   instead and dealt over salted shards, so no task needs a whole hot group.
+   Anchors with more than ``HOT`` places are confirmed before that, in blocks of window
+   hashes instead of rows: a task first drops the windows that recur
+   within its batch, buckets of hashes then find the windows that
+   occur once, and these go back to the rows that hold them; all others recur.  Such
+   surroundings are dealt over salted shards, so no task needs a whole hot group.
 4. The located spans go back to the texts of the affected documents.
 
 Texts without any recurring anchor are settled by the first scan.
@@ -35,7 +38,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import attach_groups, materialize
@@ -95,16 +98,16 @@ def _digest(words: list) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-SCAN = "doc_id long, n_words long, cls long, sha256 string, anchors array<long>, places array<int>"
+SCAN = "doc_id long, key long, n_words long, cls long, sha256 string, anchors array<long>, places array<int>"
 
 
 def _scan(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("cls", pa.int64()), ("sha256", pa.string()),
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("cls", pa.int64()), ("sha256", pa.string()),
                         ("anchors", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
     done = set()
     for batch in batches:
         n, cls, sha, anchors, places = [], [], [], [], []
-        for data in column_bytes(batch.column(1)):
+        for data in column_bytes(batch.column(2)):
             s, e, h = words_of(data)
             c = class_of(h)
             g, at = anchors_of(h)
@@ -123,45 +126,134 @@ def _scan(batches):
         ends = np.cumsum([0] + [len(a) for a in anchors]).astype(np.int32)
         flat = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((anchors, np.int64), (places, np.int32))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sha, pa.string()),
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sha, pa.string()),
              pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[0])), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[1]))],
             schema=schema)
 
 
-SURROUNDINGS = "anchor long, cls long, first long, windows array<long>, words binary"
+SURROUNDINGS = "anchor long, cls long, first long, words binary"
 
 
-def _surroundings(hot: bool):
-    """Words around each marked anchor; window hashes only for hot anchors."""
-    schema = pa.schema([("anchor", pa.int64()), ("cls", pa.int64()), ("first", pa.int64()),
-                        ("windows", pa.list_(pa.int64())), ("words", pa.binary())])
+def _surroundings(batches):
+    """Words around each marked anchor."""
+    schema = pa.schema([("anchor", pa.int64()), ("cls", pa.int64()), ("first", pa.int64()), ("words", pa.binary())])
 
+    def rows(out):
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema)], schema=schema)
+
+    for batch in batches:
+        out = [[], [], [], []]
+        for data, c, marks in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            s, e, h = words_of(data)
+            if class_of(h) != c or not marks:
+                continue
+            g, at = anchors_of(h)
+            words = joined_words(data, s, e)
+            lo, hi = anchor_runs(g, at)
+            ours = np.isin(at[lo], np.array(marks))
+            for a, b in zip(lo[ours].tolist(), hi[ours].tolist()):
+                out[0].append(int(g[at[a]].astype(np.int64)))
+                out[1].append(c)
+                out[2].append(a)
+                out[3].append(b" ".join(words[a:b + WINDOW - 1]))
+                if len(out[0]) >= 8192:
+                    yield rows(out)
+                    out = [[], [], [], []]
+        yield rows(out)
+
+
+# --- windows of hot anchors ----------------------------------------------------
+
+BLOCKS = "bucket long, hashes binary, rows binary, places binary"
+ONCE = "owner long, rows binary, places binary"
+_PACKED = pa.schema([("bucket", pa.int64()), ("hashes", pa.binary()), ("rows", pa.binary()), ("places", pa.binary())])
+# Surroundings whose once-only windows are looked up together.
+OWNED_BITS = 9
+# Window hashes of one bucket, about.
+BUCKET_WINDOWS = 1 << 20
+
+
+def _windows_of(words: list):
+    """(window hashes, row, place in its row) of surroundings."""
+    h = [runs(words_of(np.frombuffer(w, np.uint8))[2], WINDOW) for w in words]
+    size = [len(x) for x in h]
+    none = np.empty(0, np.int64)
+    return (np.concatenate(h) if h else np.empty(0, np.uint64), np.repeat(np.arange(len(h)), size),
+            np.concatenate([np.arange(n) for n in size]) if h else none)
+
+
+def _grouped(keys: np.ndarray, columns: list):
+    """Yields (key, its part of each column) of columns by key."""
+    order = np.argsort(keys, kind="stable")
+    keys, columns = keys[order], [c[order] for c in columns]
+    ends = np.flatnonzero(np.diff(keys, append=keys[-1:] - 1)) + 1 if len(keys) else []
+    lo = 0
+    for hi in ends:
+        yield int(keys[lo]), [c[lo:hi] for c in columns]
+        lo = hi
+
+
+def _window_blocks(buckets: int):
+    """Per batch and bucket the distinct window hashes; a row of -1 where one recurs in the batch."""
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], []]
-            for data, c, marks in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                s, e, h = words_of(data)
-                if class_of(h) != c or not marks:
-                    continue
-                g, at = anchors_of(h)
-                words = joined_words(data, s, e)
-                lo, hi = anchor_runs(g, at)
-                ours = np.isin(at[lo], np.array(marks))
-                full = runs(h, WINDOW).view(np.int64) if hot else None
-                for a, b in zip(lo[ours].tolist(), hi[ours].tolist()):
-                    out[0].append(int(g[at[a]].astype(np.int64)))
-                    out[1].append(c)
-                    out[2].append(a)
-                    out[3].append(full[a:b].tolist() if hot else None)
-                    out[4].append(b" ".join(words[a:b + WINDOW - 1]))
-                    if len(out[0]) >= 8192:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema)], schema=schema)
-                        out = [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema)], schema=schema)
+            rid = batch.column(0).to_numpy()
+            h, row, place = _windows_of(batch.column(1).to_pylist())
+            u, at, count = np.unique(h, return_index=True, return_counts=True)
+            rows, places = np.where(count > 1, -1, rid[row[at]]), place[at]
+            out = [(b, *(c.tobytes() for c in cols)) for b, cols in _grouped((u % np.uint64(buckets)).astype(np.int64), [u, rows, places])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, _PACKED)], schema=_PACKED)
 
     return run
 
 
+def _once(batches):
+    """Streams blocks sorted by bucket; the windows that occur once in all, by owner."""
+    schema = pa.schema([("owner", pa.int64()), ("rows", pa.binary()), ("places", pa.binary())])
+
+    def single(parts):
+        h, rows, places = (np.concatenate([np.frombuffer(p[i], t) for p in parts]) for i, t in enumerate((np.uint64, np.int64, np.int64)))
+        _, at, count = np.unique(h, return_index=True, return_counts=True)
+        at = at[(count == 1) & (rows[at] >= 0)]
+        out = [(o, *(c.tobytes() for c in cols)) for o, cols in _grouped(rows[at] >> OWNED_BITS, [rows[at], places[at]])]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 3, schema)], schema=schema)
+
+    key, parts = None, []
+    for batch in batches:
+        for b, *part in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if b != key and parts:
+                yield single(parts)
+                parts = []
+            key = b
+            parts.append(part)
+    if parts:
+        yield single(parts)
+
+
+def _recurring(surroundings: pa.Table, once: pa.Table) -> pa.Table:
+    """Surroundings of one owner with the numbers of their windows that recur."""
+    known = set()
+    for rows, places in zip(once["rows"].to_pylist(), once["places"].to_pylist()):
+        known.update(zip(np.frombuffer(rows, np.int64).tolist(), np.frombuffer(places, np.int64).tolist()))
+    left = []
+    for rid, words in zip(surroundings["rid"].to_pylist(), surroundings["words"].to_pylist()):
+        left.append([i for i in range(words.count(b" ") + 2 - WINDOW) if (rid, i) not in known])
+    out = surroundings.select(["anchor", "cls", "first"]).append_column("windows", pa.array(left, pa.list_(pa.int64())))
+    out = out.append_column("words", surroundings["words"])
+    return out.filter(pa.array([bool(x) for x in left], pa.bool_()))
+
+
+def confirm_hot(hot_rows: DataFrame) -> DataFrame:
+    """(anchor, cls, first, windows, words) of surroundings with recurring windows."""
+    n = hot_rows.count()
+    buckets = max(16, n * SPREAD // BUCKET_WINDOWS)
+    blocks = hot_rows.select("rid", "words").mapInArrow(_window_blocks(buckets), BLOCKS)
+    once = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_once, ONCE)
+    owner = F.shiftright("rid", OWNED_BITS)
+    return (hot_rows.withColumn("owner", owner).groupBy("owner").cogroup(once.groupBy("owner"))
+            .applyInArrow(_recurring, "anchor long, cls long, first long, windows array<long>, words binary"))
+
+
 def locate(pieces: list, confirmed: list) -> tuple:
     """(pieces, first words, numbers of words) where recurring passages occur.
 
@@ -277,36 +369,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     all of their words (null: nothing was removed, or everything).
     """
     hot = HOT if hot is None else hot
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # A row is found again by its id and a hash of its text: null and repeated ids
+    # alone would pair every such row with every class.
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
     scan = materialize(src.mapInArrow(_scan, SCAN), "anchors")
     rows = scan.select("doc_id", "n_words", "cls", "sha256")
-    classes = rows.groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
+    classes = scan.groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "doc_id")).alias("first_row"))
 
-    # Anchors that start at two places (class, word) or more.
-    w = Window.partitionBy("anchor")
+    # Anchors that start at two places (class, word) or more, counted map-side first.
     places = (scan.select("cls", F.explode(F.arrays_zip("anchors", "places")).alias("x"))
-              .select("cls", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
-              .withColumn("at", F.struct("cls", "place")))
-    again = (places.withColumn("lo", F.min("at").over(w)).withColumn("hi", F.max("at").over(w))
-             .withColumn("hot", F.count(F.lit(1)).over(w) > hot).filter("lo != hi"))
-    marks = again.groupBy("cls").agg(F.collect_set(F.struct("place", "hot")).alias("marks"))
-    asked = marks.join(classes, "cls").select("cls", "first_id", "marks", "copies")
-    texts = materialize(src.join(asked, F.col("doc_id").eqNullSafe(F.col("first_id")))
+              .select("cls", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place")))
+    at = F.struct("cls", "place")
+    again = materialize(places.groupBy("anchor").agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(F.lit(1)).alias("n"))
+                        .filter("lo != hi").select("anchor", "n"), "recurring")
+    marked = attach_groups(places, again, "anchor", "n", how="inner")
+    marks = marked.groupBy("cls").agg(F.collect_set(F.struct("place", (F.col("n") > hot).alias("hot"))).alias("marks"))
+    asked = marks.join(classes, "cls").select("cls", F.col("first_row.key").alias("key"), F.col("first_row.doc_id").alias("first_id"),
+                                              "marks", "copies")
+    texts = materialize(src.join(asked, (src["key"] == asked["key"]) & src["doc_id"].eqNullSafe(asked["first_id"]))
                         .select("text", "cls", "marks", "copies"), "affected")
 
     def around(is_hot):
         own = F.transform(F.filter("marks", lambda m: m["hot"] if is_hot else ~m["hot"]), lambda m: m["place"])
-        return texts.select("text", "cls", own.alias("own")).filter(F.size("own") > 0).mapInArrow(_surroundings(is_hot), SURROUNDINGS)
-
-    hot_rows = materialize(around(True), "hot")
-    windows = hot_rows.select("cls", "first", F.posexplode("windows").alias("i", "window"))
-    common = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    known = (attach_groups(windows, common, "window", "n", how="inner")
-             .groupBy("cls", "first").agg(F.collect_set(F.col("i").cast("long")).alias("known")))
-    hot_rows = (hot_rows.drop("windows").join(known, ["cls", "first"])
-                .select("anchor", "cls", "first", F.col("known").alias("windows"), "words",
-                        F.pmod(F.xxhash64("cls", "first"), F.lit(SALTS)).alias("salt")))
-    shards = (around(False).withColumn("salt", F.lit(0).cast("long")).unionByName(hot_rows)
+        return texts.select("text", "cls", own.alias("own")).filter(F.size("own") > 0).mapInArrow(_surroundings, SURROUNDINGS)
+
+    hot_rows = materialize(around(True).withColumn("rid", F.monotonically_increasing_id()), "hot")
+    hot_rows = confirm_hot(hot_rows).withColumn("salt", F.pmod(F.xxhash64("cls", "first"), F.lit(SALTS)))
+    none = F.lit(None).cast("array<long>")
+    cold = around(False).select("anchor", "cls", "first", none.alias("windows"), "words", F.lit(0).cast("long").alias("salt"))
+    shards = (cold.unionByName(hot_rows)
               .repartition("anchor", "salt").sortWithinPartitions("anchor"))
     found = shards.drop("salt").mapInArrow(_shards, "cls long, first long, words long")
 
@@ -316,6 +408,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     verdict = (classes.join(cut, "cls", "left")
                .filter("copies > 1 OR n_removed IS NOT NULL")
                .select("cls", "copies", "n_removed", "kept_sha256", "kept_text"))
+    verdict = materialize(verdict, "verdict")  # read twice below
     out = attach_groups(rows, verdict, "cls", "copies")
     every = (F.coalesce("copies", F.lit(1)) > 1) & (F.col("n_words") >= WINDOW)
     cols = ["doc_id", "n_words",

@@ -4,8 +4,8 @@ One scan finds candidate spans: the three base kinds (assign, access, hex)
 and further shapes (JSON web tokens, vendor-prefixed keys, private-key
 headers, URL credentials, long mixed-case opaque strings).  Each candidate's
 value is hashed; the hashes are aggregated by distinct repositories and
-owners over the whole corpus.  A value that many owners hold is a widely
-copied example; a value of one owner is live-looking.  Base spans always
+owners over the whole corpus.  A value that many owners or many repositories hold
+is a widely copied example; one of a single owner, in few repositories, is live-looking.  Base spans always
 stay; a span of a further shape is added only if its value is owner-specific
 and it overlaps no base span.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import attach_groups, match_spans, materialize
+from corpusmill.llm.common import apart, attach_groups, match_spans, materialize
 
 # The base patterns, in the order of the kinds.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -36,8 +36,8 @@ MIN_ASSIGN = 12
 EXTRA = {
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+",
     "vendor": r"(?:gh[pousr]_|sk_live_|glpat-|xox[abprs]-)[A-Za-z0-9_-]{16,}",
-    "pem": r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----",
-    "url": r"://[^\x20/:@\x09-\x0D]{1,64}:[^\x20/@\x09-\x0D]{6,128}@",
+    "pem": r"-----BEGIN (?:[A-Z]++ )*?PRIVATE KEY-----",
+    "url": r"://[^\x20/:@\x09-\x0D]++:[^\x20/@\x09-\x0D]{6,}+@",
     "opaque": r"[A-Za-z0-9+/_-]{32,}={0,2}",
 }
 KIND_ORDER = {k: i for i, k in enumerate((*BASE_KINDS, *EXTRA))}
@@ -70,12 +70,15 @@ def _extra(text: Column) -> Column:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repo_cols: tuple = ("source", "lang"), live_owners: int = 1, copied_owners: int = 3) -> DataFrame:
-    """One row per input row: doc_id, base spans, added spans, n_live, n_copied.
+                 repo_cols: tuple = ("source", "lang"), live_owners: int = 1, copied_owners: int = 3,
+                 live_repos: int = 2, copied_repos: int = 4) -> DataFrame:
+    """One row per input row: doc_id, base spans, added spans, n_live, n_copied, owners, repos.
 
     ``base`` and ``added`` are arrays of (start, kind order, end, kind, value
-    hash).  A value is live-looking with at most ``live_owners`` owners and
-    as many repositories as owners allow, copied with ``copied_owners`` or more.
+    hash).  A value is live-looking with at most ``live_owners`` owners and at
+    most ``live_repos`` repositories, copied with ``copied_owners`` owners or
+    ``copied_repos`` repositories.  ``owners`` and ``repos`` are the largest numbers of
+    either that a value of the row has.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = materialize(docs.select(
@@ -83,8 +86,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
         F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo_cols]).alias("repo"),
         _base(text).alias("base"), _extra(text).alias("extra")), "secrets")
-    free = F.filter("extra", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
-    rows = rows.withColumn("free", free)
+    kind = rows.schema["extra"].dataType.elementType.simpleString()
+    rows = rows.withColumn("free", apart(F.col("extra"), F.col("base"), kind))
 
     found = (rows.filter((F.size("base") > 0) | (F.size("free") > 0))
              .select("rid", "owner", "repo", F.explode(F.concat("base", "free")).alias("c"))
@@ -94,16 +97,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     freq = per_owner.groupBy("h").agg(F.sum("n").alias("n"), F.sum("n_repos").alias("repos"),
                                       F.count(F.lit(1)).alias("owners"))
     judged = attach_groups(found, freq, "h", "n")
-    live = F.col("owners") <= live_owners
+    live = (F.col("owners") <= live_owners) & (F.col("repos") <= live_repos)
+    copied = (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos)
     per_row = judged.groupBy("rid").agg(
         F.array_sort(F.collect_list(F.when(live & (F.col("span.k") >= len(BASE_KINDS)), F.col("span")))).alias("added"),
         F.count(F.when(live, 1)).alias("n_live"),
-        F.count(F.when(F.col("owners") >= copied_owners, 1)).alias("n_copied"))
+        F.count(F.when(copied, 1)).alias("n_copied"), F.max("owners").alias("owners"), F.max("repos").alias("repos"))
     empty = F.filter("base", lambda x: F.lit(False))
     return rows.join(per_row, "rid", "left").select(
         "doc_id", "base", F.coalesce("added", empty).alias("added"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
-        F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"))
+        F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
+        F.coalesce("owners", F.lit(0)).cast("long").alias("owners"), F.coalesce("repos", F.lit(0)).cast("long").alias("repos"))
 
 
 def joined(spans: Column) -> Column:
@@ -117,4 +122,4 @@ def digest_columns(found: DataFrame) -> DataFrame:
         return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", *map(n_of, BASE_KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
-                        joined(F.array_sort(F.concat("base", "added"))).alias("spans"), "n_live", "n_copied")
+                        joined(F.array_sort(F.concat("base", "added"))).alias("spans"), "n_live", "n_copied", "owners", "repos")

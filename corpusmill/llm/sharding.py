@@ -1,8 +1,8 @@
 """Sharding by sampled splitters, near-equal bytes per shard (law ``bytes``).
 
 1. A size-weighted sample of keys (a row is drawn with probability
-   proportional to its size, by a hash of its key) goes to the driver; its
-   expected size is ``SAMPLE`` whatever the input.
+   proportional to its size, by a hash of its key) goes to the driver: ``SAMPLE`` keys,
+   or ``SAMPLES_PER_RANGE`` a range where there are very many ranges.
 2. Its weighted quantiles are the splitters of ``ranges`` key ranges, and rows
    are range-partitioned by them.
 3. Exact bytes per range are summed; a range above ``OVERFULL`` times the mean
@@ -32,7 +32,9 @@ SAMPLE = 16384
 ROW_OVERHEAD = 16
 OVERFULL = 2.0
 RANGES_PER_SHARD = 8
-BYTES_PER_RANGE = 1 << 28
+# A range holds narrow rows (40 bytes) of one window task: about 160 MB.
+ROWS_PER_RANGE = 1 << 22
+SAMPLES_PER_RANGE = 16
 LOW_BITS = 31
 
 
@@ -75,15 +77,15 @@ def shard_records(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", t
     rows = materialize(docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
         crc.alias("text_crc32"), F.shiftleft(crc, LOW_BITS).bitwiseOR(low).alias("key")), "shard-rows")
-    total = rows.agg(F.sum("size")).first()[0]
+    total, n_rows = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
     if total is None:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
 
-    rate = sample / total
+    ranges = max(n_shards * RANGES_PER_SHARD, n_rows // ROWS_PER_RANGE)
+    rate = max(sample, SAMPLES_PER_RANGE * ranges) / total
     # Uniform in [0, 1) from the key, so a retried task draws the same rows.
     draw = F.pmod(F.xxhash64("key", "size", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     drawn = rows.filter(draw < F.col("size") * rate).select("key", F.greatest(F.col("size") * rate, F.lit(1.0)).alias("w")).collect()
-    ranges = max(n_shards * RANGES_PER_SHARD, int(total // BYTES_PER_RANGE))
     splitters = choose_splitters(np.array([r.key for r in drawn], dtype=np.int64),
                                  np.array([r.w for r in drawn], dtype=np.float64), ranges)
     mean = total / ranges

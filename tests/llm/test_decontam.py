@@ -113,3 +113,23 @@ def test_items_of_one_or_two_words_match_whole_texts(spark):
     rows = [(10, "yes"), (11, " Yes. "), (12, "he said yes and went"), (13, "New York"), (14, "a day in New York"),
             (15, "7"), (16, "8"), (17, "7 of them"), (18, "we have three words here too")]
     assert _both_ways(spark, rows, items) == [(10, 1), (11, 1), (13, 2), (15, 3), (18, 4)]
+
+
+def test_large_ids_beside_null_ids(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(2**53 + 1, text), (None, text), (3, "other")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(2**53 + 3, text), (None, text + " more")], "item_id long, text string").coalesce(1)
+    for limit in (decontam.MAX_BROADCAST, 1):
+        got = decontam.contaminated(docs, items, max_broadcast=limit).collect()
+        assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted(
+            [(d, i) for d in (2**53 + 1, None) for i in (2**53 + 3, None)], key=str)
+
+
+def test_units_only_beside_figures(spark):
+    item = "the train covers 90 km in a day and rests for 6 hours before it returns"
+    texts = [item.replace("90 km", "75 miles").replace("6 hours", "8 minutes"),       # re-parameterised
+             item.replace("a day", "s foot"),                                         # other words, no units here
+             "12 " + item]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_windows for r in decontam.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got[0] == got[2] and got.get(1, 0) < got[0]

@@ -104,3 +104,31 @@ def test_a_third_of_rows_in_one_group(spark):
     rows = [(i, f"the same words are here in each of these many rows {i % 2}" if i % 3 == 0 else f"text number {i} has {i * 7} own {i * 3} words {i}")
             for i in range(300)]
     _check(nj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+
+
+def test_null_and_repeated_ids_with_many_texts(spark):
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
+    texts = [f"{base} {i % 40}" for i in range(800)] + [f"t{i} u{i} v{i} w{i} x{i} y{i}" for i in range(1200)]
+    for ids in ([None] * 2000, [9] * 2000, [None if i % 3 else 2**53 + 1 + i for i in range(2000)]):
+        got = nj.jaccard_components(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
+        known = [i for i in ids[:800] if i is not None]
+        assert sorted(r.component_size for r in got) == [1] * 1200 + [800] * 800
+        assert {r.component_id for r in got if r.component_size == 800} == {min(known) if known else None}
+
+
+def test_one_group_of_near_copies_is_linear():
+    import time
+
+    import numpy as np
+    rng = np.random.default_rng(0)
+    base, times = rng.integers(0, 1 << 60, 44), []
+    for m in (2000, 8000):
+        sets = []
+        for _ in range(m):
+            b, k = base.copy(), rng.integers(0, 5)
+            b[rng.integers(0, 44, k)] = rng.integers(0, 1 << 60, k)
+            sets.append(np.unique(b).astype(np.uint64))
+        start = time.perf_counter()
+        assert len(nj.spanning_links(sets)) == m - 1
+        times.append(time.perf_counter() - start)
+    assert times[1] < 5 and times[1] < 10 * times[0]

@@ -78,3 +78,26 @@ def test_a_third_of_rows_share_a_passage(spark):
     rows = [(i, f"{i} {p} {i}" if i % 3 == 0 else " ".join(f"{i}w{j}" for j in range(40))) for i in range(300)]
     got = _check(spark.createDataFrame(rows, "doc_id long, text string"), rows, hot=20)
     assert all(r.n_removed == (50 if r.doc_id % 3 == 0 else 0) for r in got)
+
+
+def test_null_and_repeated_ids(spark):
+    """Ids that tell nothing: results and time as with ids of their own."""
+    p = " ".join(f"p{i}" for i in range(45))
+    texts = [f"{p} {' '.join(f'{i}w{j}' for j in range(20))}" for i in range(600)] + ["few words"] * 300
+    want = sorted(brute.repeats(list(enumerate(texts))).values())
+    for ids in ([None] * 900, [5] * 900, [None if i % 2 else i % 7 for i in range(900)]):
+        got = rp.remove_repeats(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"), hot=100).collect()
+        assert sorted((r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+        assert sorted(str(r.doc_id) for r in got) == sorted(map(str, ids))
+
+
+def test_blocks_of_hot_windows(spark):
+    rng = np.random.default_rng(4)
+    words = [b"w%d" % x for x in rng.integers(0, 40, 90)]
+    rows = [(i, b" ".join(words[a:a + 50])) for i, a in enumerate([0, 3, 3, 40, 17, 0])]
+    h, row, place = rp._windows_of([w for _, w in rows])
+    df = spark.createDataFrame([(i, 1, i, 0, bytearray(w)) for i, w in rows], "rid long, anchor long, cls long, first long, words binary")
+    got = {r.cls: r.windows for r in rp.confirm_hot(df.repartition(3)).collect()}
+    for i, _ in rows:
+        want = [int(p) for x, r, p in zip(h, row, place) if r == i and (h == x).sum() > 1]
+        assert got.get(i, []) == want

@@ -104,3 +104,52 @@ def test_key_held_by_a_third_of_all_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = secrets.digest_columns(secrets.scan_secrets(df)).collect()
     assert len(got) == 900 and all((r.n_copied == 2) == (r.doc_id % 3 == 0) for r in got)
+
+
+def test_long_shapes_are_candidates(spark):
+    word = "x" * 150
+    rows = [(1, f"https://user:{word}@host.example/", "en", "o1"), (2, f"https://{word}:{word}@h/", "en", "o2"),
+            (3, "-----BEGIN " + "VERY " * 20 + "PRIVATE KEY-----", "en", "o3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.spans for r in secrets.digest_columns(secrets.scan_secrets(df)).collect()}
+    assert got[1] == "url:5:162" and got[2] == "url:5:308" and got[3].startswith("pem:0:")
+    found = pii.find_pii(spark.createDataFrame([(1, "a@" + ".".join("b" * 70 for _ in range(12)))], "doc_id long, text string"))
+    assert [(s.s, s.e) for s in found.first().base] == [(0, 853)]
+
+
+def test_copies_in_many_repositories_are_not_live(spark):
+    key = "ghp_abcdefghijklmnop1234"
+    rows = [(i, f"use {key} here", f"l{i}", "owner") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = secrets.digest_columns(secrets.scan_secrets(df)).collect()
+    assert all((r.n_live, r.n_copied, r.owners, r.repos, r.spans) == (0, 1, 1, 5, "") for r in got)
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Near linear in the matches of a text; spans as in plain Python."""
+    import time
+    times = []
+    for n in (10000, 40000):
+        text = " ".join(f"{i:016x}" for i in range(n)) + " " + "1 " * n
+        df = spark.createDataFrame([(1, text, "en", "o")], "doc_id long, text string, lang string, source string")
+        start = time.perf_counter()
+        _check_secrets(secrets.digest_columns(secrets.scan_secrets(df)).collect(), [(1, text)])
+        _check_pii(pii.digest_columns(pii.find_pii(df)).collect(), [(1, text)])
+        times.append(time.perf_counter() - start)
+    assert times[1] < 5 * times[0]
+
+
+def test_apart_many_and_few(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corpusmill.llm.common import apart
+    rnd = random.Random(3)
+    kind = "struct<s:int,e:int>"
+    for n in (20, 400):
+        a = sorted({(s, s + rnd.randint(1, 6)) for s in rnd.sample(range(20 * n), n)})
+        b = sorted({(s, s + rnd.randint(1, 6)) for s in rnd.sample(range(20 * n), n)})
+        df = spark.createDataFrame([(a, b)], f"a array<{kind}>, b array<{kind}>")
+        got = [tuple(x) for x in df.select(apart(F.col("a"), F.col("b"), kind).alias("x")).first().x]
+        assert got == [x for x in a if not any(o[0] < x[1] and o[1] > x[0] for o in b)]
