@@ -25,19 +25,22 @@ from corpusmill.llm.common import materialize, read
 
 # Row numbers up to this count are broadcast; beyond it the join is shuffled.
 MAX_BROADCAST = 1_000_000
-ROW = "_row_in_stage"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number that is written, and so equal in every scan."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def _numbered(docs: DataFrame) -> tuple:
+    """(``docs`` with a row number that is written, and so equal in every scan; its column,
+    named so that no column of ``docs`` has that name)."""
+    row, taken = "row_in_stage", {c.lower() for c in docs.columns}
+    while row in taken:
+        row = "_" + row
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
-def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+def _without(rows: DataFrame, gone: DataFrame, row: str) -> DataFrame:
     """The numbered ``rows`` without those in ``gone``, as columns of ``documents``."""
-    gone = materialize(gone.select(ROW).distinct(), "dropped")
+    gone = materialize(gone.select(row).distinct(), "dropped")
     few = gone.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    return rows.join(F.broadcast(gone) if few else gone, ROW, "left_anti").drop(ROW)
+    return rows.join(F.broadcast(gone) if few else gone, row, "left_anti").drop(row)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,26 +49,26 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    judged = exact_dedup.exact_dedup(rows, place_col=ROW)
-    return _without(rows, judged.filter("NOT kept").select(F.col("place").alias(ROW)))
+    rows, row = _numbered(docs)
+    judged = exact_dedup.exact_dedup(rows, place_col=row)
+    return _without(rows, judged.filter("NOT kept").select(F.col("place").alias(row)), row)
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    groups = (ngram_join.jaccard_components(rows, id_col=ROW).filter("component_size > 1")
-              .select(F.col("doc_id").alias(ROW), "component_id"))
-    groups = materialize(groups.join(rows.select(ROW, "doc_id"), ROW), "near-copies")
+    rows, row = _numbered(docs)
+    groups = (ngram_join.jaccard_components(rows, id_col=row).filter("component_size > 1")
+              .select(F.col("doc_id").alias(row), "component_id"))
+    groups = materialize(groups.join(rows.select(row, "doc_id"), row), "near-copies")
     # The smallest doc_id of a group stays; null ids come last.
     best = groups.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias("stays"))
-    return _without(rows, groups.join(best, "component_id").filter(F.col(ROW) != F.col("stays")))
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))[row].alias("stays"))
+    return _without(rows, groups.join(best, "component_id").filter(F.col(row) != F.col("stays")), row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    hits = decontam.contaminated(rows, read(spark, sf_dir, "benchmark", "item_id", "text"), id_col=ROW)
-    return _without(rows, hits.select(F.col("doc_id").alias(ROW)))
+    rows, row = _numbered(docs)
+    hits = decontam.contaminated(rows, read(spark, sf_dir, "benchmark", "item_id", "text"), id_col=row)
+    return _without(rows, hits.select(F.col("doc_id").alias(row)), row)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
