@@ -67,3 +67,28 @@ def scan_array(arr: Column, state: Column, step, out_type: str, finish=None) ->
     start = F.struct(state.alias("st"), F.array().cast(f"array<array<{out_type}>>").alias("outs"))
     done = finish or (lambda st, out: out)
     return F.aggregate(chunks(arr), start, outer, lambda a: done(a["st"], F.flatten(a["outs"])))
+
+
+def sql_string(text: str) -> str:
+    """A SQL string literal of ``text``."""
+    out = text.replace("\\", "\\\\").replace("'", "\\'").replace("\x00", "\\u0000")
+    return f"'{out}'"
+
+
+def scan_sql(arr: str, state: str, next_state: str, emit: str, out_type: str) -> str:
+    """``scan_array`` as SQL text: one call instead of hundreds to build an expression.
+
+    ``next_state`` and ``emit`` name the state ``a.st`` and the element ``x``; ``emit`` is
+    an array<out_type> or NULL for nothing.
+    """
+    none = f"cast(array() AS array<{out_type}>)"
+
+    def cut(of: str, size: int) -> str:
+        return f"transform(sequence(0, int((size({of}) - 1) / {size})), i -> slice({of}, i * {size} + 1, {size}))"
+
+    pieces = (f"transform(array({arr}), w -> if(size(w) <= {_CHUNK}, array(w), "
+              f"flatten(transform({cut('w', _BIG)}, b -> {cut('b', _CHUNK)}))))[0]")
+    return (f"aggregate({pieces}, named_struct('st', {state}, 'outs', cast(array() AS array<array<{out_type}>>)), "
+            f"(acc, piece) -> aggregate(piece, named_struct('st', acc.st, 'out', {none}), "
+            f"(a, x) -> named_struct('st', {next_state}, 'out', concat(a.out, coalesce({emit}, {none}))), "
+            f"a -> named_struct('st', a.st, 'outs', concat(acc.outs, array(a.out)))), a -> flatten(a.outs))")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrays import let, scan_array
+from .arrays import let, scan_array, scan_sql, sql_string
 
 SPAN_TYPE = "struct<start:bigint,end:bigint,text:string,tag:string>"
 
@@ -24,59 +24,40 @@ def _col(c) -> Column:
 MARK = "\x00"
 
 
-def _two_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
-    """Matches from ``regexp_extract_all`` and gaps from ``split``."""
-    p = F.lit(pattern)
-    m0 = F.regexp_extract_all(t, p, 0)
-    mg = F.regexp_extract_all(t, p, group) if group else m0
-    gaps = F.split(t, pattern, -1)
-    # One zip, so no array is referenced from inside a lambda (a lambda body
-    # is evaluated per element and is not de-duplicated by Catalyst).
-    if group:
-        items = F.arrays_zip(m0.alias("m"), mg.alias("g"), gaps.alias("gap"))
-    else:
-        items = F.arrays_zip(m0.alias("m"), gaps.alias("gap"))
-    none = F.array().cast(f"array<{SPAN_TYPE}>")
-
-    def step(pos, x):
-        g = x["g"] if group else x["m"]
-        end = pos + F.coalesce(F.length(x["gap"]).cast("bigint") + F.length(x["m"]).cast("bigint"), F.lit(0))
-        span = F.struct((end - F.length(g).cast("bigint")).alias("start"),
-                        end.alias("end"), g.alias("text"), F.lit(tag).alias("tag"))
-        return end, F.when(x["m"].isNull(), none).otherwise(F.array(span))
+def _two_pass_spans(t: str, pattern: str, tag: str, group: int) -> str:
+    """Matches from ``regexp_extract_all`` and gaps from ``split``, in one zip."""
+    p = sql_string(pattern)
+    items = (f"transform(arrays_zip(regexp_extract_all({t}, {p}, 0), regexp_extract_all({t}, {p}, {group}), split({t}, {p}, -1)), "
+             "z -> named_struct('m', z['0'], 'g', z['1'], 'gap', z['2']))")
+    end = "(a.st + coalesce(length(x.gap) + length(x.m), 0))"
+    span = f"named_struct('start', {end} - length(x.g), 'end', {end}, 'text', x.g, 'tag', {sql_string(tag)})"
+    return scan_sql(items, "0L", end, f"if(x.m IS NULL, NULL, array({span}))", SPAN_TYPE)
 
-    return scan_array(items, F.lit(0).cast("bigint"), step, SPAN_TYPE)
 
-
-def _one_pass_spans(t: Column, pattern: str, tag: str, group: int) -> Column:
+def _one_pass_spans(t: str, pattern: str, tag: str, group: int) -> str:
     """One regex pass: mark each mention with ``\x00`` on both sides, split
     on the mark (a literal), and walk the pieces; odd pieces are mentions."""
+    mark = sql_string(MARK)
     repl = f"{MARK}$0{MARK}" if not group else f"$1{MARK}${group}{MARK}"
-    parts = F.split(F.regexp_replace(t, pattern, repl), MARK, -1)
-    none = F.array().cast(f"array<{SPAN_TYPE}>")
-    init = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(False).alias("odd"))
-
-    def step(st, x):
-        ln = F.length(x).cast("bigint")
-        span = F.struct(st["pos"].alias("start"), (st["pos"] + ln).alias("end"), x.alias("text"),
-                        F.lit(tag).alias("tag"))
-        return (F.struct((st["pos"] + ln).alias("pos"), (~st["odd"]).alias("odd")),
-                F.when(st["odd"], F.array(span)).otherwise(none))
-
-    return scan_array(parts, init, step, SPAN_TYPE)
+    parts = f"split(regexp_replace({t}, {sql_string(pattern)}, {sql_string(repl)}), {mark}, -1)"
+    span = f"named_struct('start', a.st.pos, 'end', a.st.pos + length(x), 'text', x, 'tag', {sql_string(tag)})"
+    return scan_sql(parts, "named_struct('pos', 0L, 'odd', false)",
+                    "named_struct('pos', a.st.pos + length(x), 'odd', NOT a.st.odd)",
+                    f"if(a.st.odd, array({span}), NULL)", SPAN_TYPE)
 
 
 def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
-    """array<struct<start,end,text,tag>> of the matches of ``pattern``.
+    """array<struct<start,end,text,tag>> of the matches of ``pattern`` in the column
+    ``text`` (its name, or ``F.col`` of it).
 
     With ``group > 0`` the match must be group 1 followed by group ``group``
     (a consumed prefix such as a leading space or an honorific) and the
     mention is group ``group``.  Texts without ``\x00`` take one regex pass;
     the rare text that contains the marker takes the two-pass form.
     """
-    t = _col(text)
-    return F.when(F.instr(t, MARK) > 0, _two_pass_spans(t, pattern, tag, group)) \
-        .otherwise(_one_pass_spans(t, pattern, tag, group))
+    t = f"`{text if isinstance(text, str) else text._jc.toString()}`"
+    return F.expr(f"CASE WHEN instr({t}, {sql_string(MARK)}) > 0 THEN {_two_pass_spans(t, pattern, tag, group)} "
+                  f"ELSE {_one_pass_spans(t, pattern, tag, group)} END")
 
 
 def context_of(text, span, window: int) -> Column:

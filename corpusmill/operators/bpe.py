@@ -26,18 +26,24 @@ exists already is never merged.
 from __future__ import annotations
 
 import heapq
+import sys
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import sql_string
 from ..sources.staging import stage
 
+# The UDF travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CONT = "##"
 # Symbols of words at the driver in one round (a few MB), whatever the corpus.
 WORKING_SYMBOLS = 1 << 19
 # Pairs looked at in one round.
-LOOK = 4096
+LOOK = 16384
 _SEP = "\x00"
 
 
@@ -58,10 +64,15 @@ def count_pairs(words: DataFrame, syms: str = "syms", sign: int = 1) -> DataFram
     return rows.groupBy("left", "right").agg((F.sum("n") * sign).alias("n"), (F.sum("size") * sign).alias("held"))
 
 
-def _holds(syms: Column, pairs) -> Column:
-    """Whether a word holds one of the pairs (a hash set lookup per neighbour pair)."""
-    keys = [a + _SEP + b for a, b in pairs]
-    return (F.size(syms) > 1) & F.exists(_neighbours(syms), lambda z: F.concat(z["left"], F.lit(_SEP), z["right"]).isin(keys))
+def _keys(pairs) -> str:
+    """The pairs as a SQL list (parsed at once; Spark turns it into a hash set)."""
+    return ", ".join(sql_string(a + _SEP + b) for a, b in pairs)
+
+
+def _holds(pairs) -> Column:
+    """Whether a word of column ``syms`` holds one of the pairs."""
+    near = "arrays_zip(slice(syms, 1, size(syms) - 1), slice(syms, 2, size(syms) - 1))"
+    return F.expr(f"size(syms) > 1 AND exists({near}, z -> concat(z['0'], {sql_string(_SEP)}, z['1']) IN ({_keys(pairs)}))")
 
 
 def merge_word(symbols: list, rank: dict) -> list:
@@ -153,13 +164,13 @@ def independent_prefix(words: DataFrame, ranked: list, taken: set) -> list:
         last.add(b)
         tokens.add(token)
         prefix.append((n, a, b))
-    keys = [a + _SEP + b for _, a, b in prefix]
     syms, size = F.col("syms"), F.size("syms")
     none = F.array(F.lit(None).cast("string"))
     z = F.arrays_zip(F.concat(none, F.slice(syms, F.lit(1), size - 2)).alias("before"),
                      F.slice(syms, F.lit(1), size - 1).alias("left"), F.slice(syms, F.lit(2), size - 1).alias("right"),
                      F.concat(F.slice(syms, F.lit(3), size - 2), none).alias("after"))
-    rows = words.where(size > 1).select("n", F.inline(z)).withColumn("key", F.concat("left", F.lit(_SEP), "right")).where(F.col("key").isin(keys))
+    rows = words.where(size > 1).select("n", F.inline(z)).withColumn("key", F.concat("left", F.lit(_SEP), "right")).where(
+        F.expr(f"key IN ({_keys((a, b) for _, a, b in prefix)})"))
     beside = F.explode(F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after")))
     most = (rows.select("key", "n", beside.alias("beside")).where("beside IS NOT NULL")
             .groupBy("key", "beside").agg(F.sum("n").alias("n")).groupBy("key").agg(F.max("n").alias("n")).collect())
@@ -203,7 +214,7 @@ def sequential_merges(words: DataFrame, room: int, taken: set, min_count: int =
         if m:
             known = {(r.left, r.right): r.n for r in ranked[:m]}
             floor = (-ranked[m].n, ranked[m].left, ranked[m].right) if m < len(ranked) else None
-            held = words.where(_holds(F.col("syms"), known)).select("syms", "n").collect()
+            held = words.where(_holds(known)).select("syms", "n").collect()
             merges = merge_in_working_set(held, known, floor, room - len(out), taken, min_count)
             touched = [p for p in merges if p in known]
         else:
@@ -213,7 +224,7 @@ def sequential_merges(words: DataFrame, room: int, taken: set, min_count: int =
         if len(out) >= room:
             break
         if merges:
-            hit = _holds(F.col("syms"), touched)
+            hit = _holds(touched)
             moved = words.where(hit).select(F.col("syms").alias("old"), _merger(merges)("syms").alias("syms"), "n")
             rest = words.where(~hit).select(F.lit(None).cast("array<string>").alias("old"), "syms", "n")
             words = stage(moved.unionByName(rest), "words")

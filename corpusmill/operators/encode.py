@@ -12,10 +12,12 @@ words are segmented as rows and joined back to their occurrences.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +36,6 @@ class WordPieces:
     """
 
     def __init__(self, tokens: list, ids: list):
-        self.tokens, self.ids = tokens, ids
-        self._edges = None
-
-    def __getstate__(self):
-        return {"tokens": self.tokens, "ids": self.ids, "_edges": None}
-
-    def _build(self):
         edges, ends = {}, [-1, -1]
 
         def add(node, chars, number):
@@ -53,7 +48,7 @@ class WordPieces:
                 node = nxt
             ends[node] = number
 
-        for token, number in zip(self.tokens, self.ids):
+        for token, number in zip(tokens, ids):
             if token:
                 add(0, token, number)
             if token.startswith(CONT) and len(token) > len(CONT):
@@ -81,8 +76,6 @@ class WordPieces:
 
     def segment(self, column: pa.Array) -> pa.Array:
         """list<string> -> list<list<int>>: the pieces of every word of a batch."""
-        if self._edges is None:
-            self._build()
         rows = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = column.flatten().dictionary_encode()
         memo = self._memo
@@ -118,11 +111,14 @@ def segmenter(vocab: DataFrame):
     rows = _vocab_rows(vocab)
     if rows is None:
         return None
-    trie = vocab.sparkSession.sparkContext.broadcast(WordPieces([r.token for r in rows], [r.id for r in rows]))
+    shared = vocab.sparkSession.sparkContext.broadcast({"tokens": [r.token for r in rows], "ids": [r.id for r in rows]})
 
     @F.arrow_udf("array<array<int>>")
     def pieces_of(column: pa.Array) -> pa.Array:
-        return trie.value.segment(column)
+        known = shared.value                    # one object per worker process: the trie stays with it
+        if "trie" not in known:
+            known["trie"] = WordPieces(known["tokens"], known["ids"])
+        return known["trie"].segment(column)
 
     return pieces_of
 
@@ -151,6 +147,9 @@ def token_names(vocab: DataFrame):
     return names_of
 
 
+# The UDF travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Tells rows with equal ids apart while their words are taken apart.
 ROW_KEY = "_row_key"
 # Lookup tables up to this many bytes of text and ids are broadcast into joins.

@@ -59,7 +59,7 @@ def detect_type(text, lang, tag: str, context_window: int = 20, rules: ContextRu
     """F1a-g: spans of one regex type (context-filtered where required)."""
     t = _col(text)
     group = 2 if tag in P.PREFIX_GROUP else 0
-    spans = SP.regex_spans(t, P.detector_pattern(tag, "java"), tag, group)
+    spans = SP.regex_spans(text, P.detector_pattern(tag, "java"), tag, group)
 
     def near(s):
         return has_context(t, s, lang, tag, context_window, rules)
@@ -67,7 +67,7 @@ def detect_type(text, lang, tag: str, context_window: int = 20, rules: ContextRu
     if tag in P.NEEDS_CONTEXT:
         spans = F.filter(spans, near)
     if tag in P.WITH_CONTEXT:
-        spans = F.concat(spans, F.filter(SP.regex_spans(t, P.weak_pattern(tag, "java"), tag), near))
+        spans = F.concat(spans, F.filter(SP.regex_spans(text, P.weak_pattern(tag, "java"), tag), near))
     if tag in ("EMAIL", "USER"):          # cheap guard before the regex passes
         spans = F.when(t.contains("@"), spans).otherwise(_empty_spans())
     return spans
@@ -75,7 +75,7 @@ def detect_type(text, lang, tag: str, context_window: int = 20, rules: ContextRu
 
 def detect_person_names(text) -> Column:
     """F4 (re-aimed): ``Given Surname`` pairs from a fixed given-name list."""
-    return SP.regex_spans(_col(text), P.name_list_pattern("java"), "PERSON", 0)
+    return SP.regex_spans(text, P.name_list_pattern("java"), "PERSON", 0)
 
 
 def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
@@ -84,19 +84,18 @@ def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
            rules: ContextRules = RULES, more_spans=None) -> Column:
     """sorted, distinct mentions; overlapping ones become one cover.
 
-    ``more_spans`` is a column of spans found elsewhere (names of a table, ``names``).
+    ``text`` is a column name.  ``more_spans`` is a column of spans found elsewhere (names of a table, ``names``).
 
     ``tags=None`` means every known type.  ``extra_detectors`` are plug-ins
     (U2) returning ``array<struct<start,end,text,tag>>`` for ``(text, lang)``,
     typically an iterator pandas UDF that loads a model once per task.
     """
-    t = _col(text)
     lg = lang_base(_col(lang)) if lang is not None else F.lit("en")
     tags = list(P.DETECTORS) if tags is None else list(tags)
-    parts = [detect_type(t, lg, tag, context_window, rules) for tag in tags if tag in P.DETECTORS]
+    parts = [detect_type(text, lg, tag, context_window, rules) for tag in tags if tag in P.DETECTORS]
     if "PERSON" in tags:
-        parts.append(detect_person_names(t))
-    parts += [d(t, lg) for d in extra_detectors]
+        parts.append(detect_person_names(text))
+    parts += [d(_col(text), lg) for d in extra_detectors]
     if more_spans is not None:
         parts.append(_col(more_spans))
     if not parts:

@@ -27,8 +27,8 @@ ws AS (SELECT src.split, src.article_id, src.sent_idx, regexp_extract_all(anon.t
 alphabet AS (SELECT list(DISTINCT s) AS known FROM (SELECT unnest({_SYMBOLS.format(w='w')}) AS s FROM
              (SELECT DISTINCT unnest(words) AS w FROM ws WHERE split = 'train')))
 SELECT split, article_id, sent_idx, array_to_string(list_filter(words, lambda w: list_has_all(
-       coalesce((SELECT known FROM alphabet), []), {_SYMBOLS.format(w='w')})), ' ') AS text
-FROM ws"""
+       known, {_SYMBOLS.format(w='w')})), ' ') AS text
+FROM ws, (SELECT coalesce(max(known), []) AS known FROM alphabet) a"""
 
 
 @register("pretrain_chain", _SQL)
