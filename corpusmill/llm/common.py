@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.arrays import let, scan_array
+from corpusmill.functions.arrays import let, scan_array, scan_sql, sql_string
 from corpusmill.session import checkpoint_dir
 
 # Fixed value: the whitespace class of the contracts, [\x20\x09-\x0D].
@@ -66,8 +66,8 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str,
     return out.select(*rows.columns, *[F.col(f"_g.{c}").alias(c) for c in others])
 
 
-def match_spans(text: Column, pattern: str, context: int = 0) -> Column:
-    """array<struct<s,e,m>>: leftmost non-overlapping matches, code points.
+def match_spans(text: str, pattern: str, context: int = 0) -> Column:
+    """array<struct<s,e,m>>: leftmost non-overlapping matches in column ``text``, code points.
 
     Matches and the gaps between them come from two regex passes that only
     rows with a match run; one scan adds up the lengths, in near linear
@@ -75,23 +75,18 @@ def match_spans(text: Column, pattern: str, context: int = 0) -> Column:
     match, taken from the gaps instead of counting through the text again.
     """
     kind = "struct<s:int,e:int,m:string" + (",near:string>" if context else ">")
-    empty = F.array().cast(f"array<{kind}>")
-    items = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
-                         F.split(text, pattern, -1).alias("g"))
-
-    def step(state, x):
-        s = (state["p"] if context else state) + F.length(x["g"])
-        e = F.coalesce(s + F.length(x["m"]), s)
-        fields = [s.alias("s"), e.alias("e"), x["m"].alias("m")]
-        after = e
-        if context:
-            near = F.right(F.concat(state["near"], x["g"]), F.lit(context))
-            fields.append(near.alias("near"))
-            after = F.struct(e.alias("p"), F.right(F.concat(near, F.coalesce(x["m"], F.lit(""))), F.lit(context)).alias("near"))
-        return after, F.when(x["m"].isNull(), empty).otherwise(F.array(F.struct(*fields)))
-
-    start = F.struct(F.lit(0).alias("p"), F.lit("").alias("near")) if context else F.lit(0)
-    return F.when(text.rlike(pattern), scan_array(items, start, step, kind)).otherwise(empty)
+    t, p = f"`{text}`", sql_string(pattern)
+    items = f"transform(arrays_zip(regexp_extract_all({t}, {p}, 0), split({t}, {p}, -1)), z -> named_struct('m', z['0'], 'g', z['1']))"
+    at = "a.st.p" if context else "a.st"
+    start, end = f"({at} + length(x.g))", f"({at} + length(x.g) + coalesce(length(x.m), 0))"
+    state, after, near = "0", end, ""
+    if context:
+        before = f"right(concat(a.st.near, x.g), {context})"
+        state, near = "named_struct('p', 0, 'near', '')", f", 'near', {before}"
+        after = f"named_struct('p', {end}, 'near', right(concat({before}, coalesce(x.m, '')), {context}))"
+    found = f"if(x.m IS NULL, NULL, array(named_struct('s', {start}, 'e', {end}, 'm', x.m{near})))"
+    scan = scan_sql(items, state, after, found, kind)
+    return F.expr(f"CASE WHEN {t} RLIKE {p} THEN {scan} ELSE cast(array() AS array<{kind}>) END")
 
 
 def apart(spans: Column, others: Column, kind: str) -> Column:

@@ -20,8 +20,8 @@ reachable by links.
    chains, so every pair that may link meets in a block.  Blocks above
    ``BLOCK_SHINGLES`` are cut into parts, and pairs of parts become blocks.
 4. In a block each class is first compared with its neighbours in its shortest
-   lists, which joins groups of near copies in linear time; lists whose members are all
-   of one component then lead nowhere and are left out.  What remains is a
+   lists, which joins groups of near copies in linear time; a query then steps over the
+   members of its own component in each list.  What remains is a
    T-occurrence query (DivideSkip) against an inverted index of the block: with T = ceil(0.75 n), the lists of its
    shingles are sorted by length, all but the L longest are merged with a heap, candidates
    with T - L occurrences or more are looked up in the long lists by binary search, and
@@ -62,6 +62,8 @@ BLOCK_SHINGLES = 2_000_000
 MU = 1.0
 # Shortest lists of a set in which it is compared with its neighbour at once.
 PROBES = 3
+TURNS = 8
+HEAP_ENTRIES = 4096
 
 
 def shingle_set(data: np.ndarray, n: int = SHINGLE) -> np.ndarray:
@@ -211,9 +213,17 @@ class Forest:
 
 
 def heap_merge(lists: list, least: int) -> list:
-    """(member, occurrences) of members in ``least`` or more of the sorted lists."""
+    """(member, occurrences) of members in ``least`` or more of the sorted lists.
+
+    Beyond ``HEAP_ENTRIES`` the same merge is one vectorised sort: a heap steps through Python
+    for each entry.
+    """
+    if sum(map(len, lists)) > HEAP_ENTRIES:
+        member, times = np.unique(np.concatenate(lists), return_counts=True)
+        enough = times >= least
+        return list(zip(member[enough].tolist(), times[enough].tolist()))
     out, last, times = [], -1, 0
-    for member in heapq.merge(*lists):
+    for member in heapq.merge(*[x.tolist() for x in lists]):
         if member != last:
             if times >= least:
                 out.append((last, times))
@@ -241,11 +251,15 @@ class Block:
         keep = length > 1
         self.first, self.length = first[keep], length[keep]
         renamed = np.where(keep, np.cumsum(keep) - 1, -1)[number]
-        ends = np.cumsum(self.sizes)
-        self.lists_of = [x[x >= 0] for x in np.split(renamed, ends[:-1])]
-        self.owner = owner
+        self.ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.list_at = renamed  # list of each place of the sets, -1 for none
+        self.owner, self.kept = owner, np.repeat(keep, length)
         self.forest, self.links = Forest(len(sets)), []
 
+    def lists_of(self, q: int) -> np.ndarray:
+        x = self.list_at[self.ends[q]:self.ends[q + 1]]
+        return x[x >= 0]
+
     def members(self, k: int) -> np.ndarray:
         return self.owner[self.first[k]:self.first[k] + self.length[k]]
 
@@ -265,7 +279,8 @@ class Block:
         """Compares each set with the one before it in its shortest lists, and
         with the first member of that one's component.  Groups of near copies
         become one component here, in time linear in their size."""
-        for q, lists in enumerate(self.lists_of):
+        for q in range(len(self.sets)):
+            lists = self.lists_of(q)
             if len(lists) < required(self.sizes[q]):
                 continue
             for k in lists[np.argsort(self.length[lists], kind="stable")[:PROBES]].tolist():
@@ -276,32 +291,61 @@ class Block:
                     self.try_pair(before, q)
                     self.try_pair(self.forest.find(before), q)
 
-    def mixed_lists(self) -> np.ndarray:
-        """Lists with members of several components: only they can lead elsewhere."""
-        root = self.forest.roots()[self.owner]
-        # Lists of one member were left out, so reduce within explicit ends.
-        bounds = np.stack([self.first, self.first + self.length], axis=1).ravel()
-        bounds = np.minimum(bounds, len(root) - 1)
-        low = np.minimum.reduceat(root, bounds)[::2]
-        high = np.maximum.reduceat(root, bounds)[::2]
-        tail = self.first + self.length == len(root)  # the last list ends with the postings
-        if tail.any():
-            k = int(np.flatnonzero(tail)[0])
-            low[k], high[k] = root[self.first[k]:].min(), root[self.first[k]:].max()
-        return low != high
-
-    def search(self, q: int, mixed: np.ndarray) -> None:
+    def link_stragglers(self) -> None:
+        """Sets outside the largest component try others of their shortest lists, so
+        that a group of near copies does not stay in pieces."""
+        for turn in range(TURNS):
+            root = self.forest.roots()
+            kinds, size = np.unique(root, return_counts=True)
+            known = len(self.links)
+            for q in np.flatnonzero(root != kinds[size.argmax()]).tolist():
+                lists = self.lists_of(q)
+                if len(lists) < required(self.sizes[q]):
+                    continue
+                for k in lists[np.argsort(self.length[lists], kind="stable")[:PROBES]].tolist():
+                    own = self.members(k)
+                    self.try_pair(int(own[(q * 2654435761 + turn * 40503) % len(own)]), q)
+            if len(self.links) == known:
+                break
+
+    def group_lists(self) -> None:
+        """Orders each list by component, so that a query steps over its own component.
+
+        Components may have merged since; that only leaves more to look at.
+        """
+        root = self.forest.roots()
+        owner = self.owner[self.kept]
+        number = np.repeat(np.arange(len(self.first)), self.length)
+        order = np.lexsort((owner, root[owner], number))
+        self.start = np.concatenate([[0], np.cumsum(self.length)])
+        self.grouped, number = owner[order], number[order]
+        new = np.concatenate([[True], (np.diff(number) != 0) | (np.diff(root[self.grouped]) != 0)])
+        first = np.flatnonzero(new)
+        part = np.cumsum(new) - 1
+        # Of each member, by list number: where its own component starts and ends.
+        mine = np.lexsort((number, self.grouped))
+        self.at = np.searchsorted(self.grouped[mine], np.arange(len(self.sets) + 1))
+        self.own_list, self.own_from = number[mine], first[part[mine]]
+        self.own_to = np.append(first[1:], len(owner))[part[mine]]
+
+    def search(self, q: int) -> None:
         """T-occurrence query of set ``q`` against earlier members of other components."""
         need, n = required(self.sizes[q]), self.sizes[q]
-        lists = self.lists_of[q]
-        lists = lists[mixed[lists]]
-        if len(lists) < need:
+        mine = slice(self.at[q], self.at[q + 1])
+        lists, lo, hi = self.own_list[mine], self.own_from[mine], self.own_to[mine]
+        others = self.length[lists] - (hi - lo)
+        if np.count_nonzero(others) < need:
             return
-        lists = lists[np.argsort(self.length[lists], kind="stable")]
-        skip = min(need - 1, int(need / (MU * math.log2(max(2, self.length[lists[-1]])) + 1)))
-        short, long = lists[:len(lists) - skip], lists[len(lists) - skip:]
-        heads = [own[:np.searchsorted(own, q)] for own in map(self.members, short.tolist())]
-        found = heap_merge([h.tolist() for h in heads if len(h)], need - skip)
+        order = np.argsort(others, kind="stable")
+        order = order[others[order] > 0]
+        skip = min(need - 1, int(need / (MU * math.log2(max(2, others[order[-1]])) + 1)))
+        short, long = order[:len(order) - skip], order[len(order) - skip:]
+        heads = []
+        for i in short.tolist():
+            k = lists[i]
+            own = np.concatenate([self.grouped[self.start[k]:lo[i]], self.grouped[hi[i]:self.start[k + 1]]])
+            heads.append(np.sort(own[own < q]))
+        found = heap_merge([h for h in heads if len(h)], need - skip)
         found.sort(key=lambda x: -x[1])
         for c, times in found:
             if self.forest.find(c) == self.forest.find(q):
@@ -309,11 +353,11 @@ class Block:
             if 100 * min(self.sizes[c], n) < PERCENT * max(self.sizes[c], n):
                 continue
             left = skip
-            for k in long.tolist():
+            for i in long.tolist():
                 if times + left < need:
                     break
                 left -= 1
-                own = self.members(k)
+                own = self.members(lists[i])
                 at = int(np.searchsorted(own, c))
                 times += at < len(own) and int(own[at]) == c
             if times >= need and linked(times, self.sizes[c], n) and self.forest.join(c, q):
@@ -325,11 +369,14 @@ def spanning_links(sets: list) -> list:
     block = Block(sets)
     if len(block.first):
         block.link_neighbours()
-        mixed, known = block.mixed_lists(), len(block.links)
+        block.link_stragglers()
+        block.group_lists()
+        known = len(block.links)
         for q in range(1, len(sets)):
-            block.search(q, mixed)
+            block.search(q)
             if len(block.links) > 2 * known + 16:
-                mixed, known = block.mixed_lists(), len(block.links)
+                block.group_lists()
+                known = len(block.links)
     return block.links
 
 

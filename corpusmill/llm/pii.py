@@ -93,11 +93,7 @@ def base_ok(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _if_worth_it(text: Column, kind: str, spans: Column) -> Column:
-    return F.when(text.rlike(NEEDS[kind]), spans)
-
-
-def base_spans(text: Column, kind: str) -> Column:
+def base_spans(text: str, kind: str) -> Column:
     k = KINDS.index(kind)
     ok = F.filter(match_spans(text, BASE[kind]), lambda x: base_ok(kind, x["m"]))
     return F.transform(ok, lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
@@ -107,7 +103,7 @@ def _vote(plus: Column, minus: Column) -> Column:
     return F.when(minus, -1).when(plus, 1).otherwise(0)
 
 
-def candidates(text: Column, kind: str) -> Column:
+def candidates(text: str, kind: str) -> Column:
     """Loose spans of a kind with their votes and shape."""
     k = KINDS.index(kind)
 
@@ -202,11 +198,12 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ``k`` indexes ``KINDS``; offsets are code points, end exclusive.  Base
     spans are ordered by kind, then start.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = materialize(docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.flatten(F.array_compact(F.array(*[_if_worth_it(text, k, base_spans(text, k)) for k in KINDS]))).alias("base"),
-        F.flatten(F.array_compact(F.array(*[_if_worth_it(text, k, candidates(text, k)) for k in KINDS]))).alias("cands")), "pii")
+    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+    def spans_of(find):
+        return F.flatten(F.array_compact(F.array(*[F.when(F.col("text").rlike(NEEDS[k]), find("text", k)) for k in KINDS])))
+
+    rows = materialize(src.select("doc_id", spans_of(base_spans).alias("base"), spans_of(candidates).alias("cands")), "pii")
     model = train(rows.select(F.explode("cands").alias("c")).select("c.*"))
 
     def accepted(c):

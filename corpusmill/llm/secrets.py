@@ -50,7 +50,7 @@ def _tagged(kind: str, spans: Column, value=lambda m: m) -> Column:
         F.lit(kind).alias("kind"), F.sha2(value(x["m"]), 256).alias("h")))
 
 
-def _base(text: Column) -> Column:
+def _base(text: str) -> Column:
     assign = F.filter(match_spans(text, ASSIGN),
                       lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= MIN_ASSIGN)
     return F.array_sort(F.concat(
@@ -59,7 +59,7 @@ def _base(text: Column) -> Column:
         _tagged("hex", match_spans(text, HEX))))
 
 
-def _extra(text: Column) -> Column:
+def _extra(text: str) -> Column:
     parts = []
     for kind, pattern in EXTRA.items():
         spans = match_spans(text, pattern)
@@ -80,12 +80,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``copied_repos`` repositories.  ``owners`` and ``repos`` are the largest numbers of
     either that a value of the row has.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = materialize(docs.select(
+    src = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
         F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo_cols]).alias("repo"),
-        _base(text).alias("base"), _extra(text).alias("extra")), "secrets")
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = materialize(src.select("rid", "doc_id", "owner", "repo", _base("text").alias("base"), _extra("text").alias("extra")), "secrets")
     kind = rows.schema["extra"].dataType.elementType.simpleString()
     rows = rows.withColumn("free", apart(F.col("extra"), F.col("base"), kind))
 
