@@ -9,6 +9,7 @@ from ..operators import align as AL
 from ..operators import encode as E
 from ..operators import mask as M
 from ..operators import pad as PD
+from ..operators import predict as PR
 from ..operators import sentences as S
 from ..operators import vocab as V
 from ..functions.arrays import explode_rows
@@ -185,6 +186,35 @@ def q_mask_view(spark, sf_dir):
     return M.mask_view(m, IDS, vocab)
 
 
+@register("mask_predict", _ENC + f""", near AS (SELECT p, q, count(*) AS n
+     FROM (SELECT unnest(input_ids[1:len(input_ids) - 1]) AS p, unnest(input_ids[2:]) AS q FROM enc)
+     WHERE q >= {len(V.SPECIALS)} GROUP BY 1, 2),
+follow AS (SELECT p, arg_min(q, (-n, q)) AS g FROM near GROUP BY p),
+most AS (SELECT arg_min(q, (-n, q)) AS g FROM (SELECT q, sum(n) AS n FROM near GROUP BY q)),
+guess AS (SELECT list(coalesce(follow.g, most.g) ORDER BY v.id) AS gs FROM vocab v LEFT JOIN follow ON follow.p = v.id, most),
+mk AS (SELECT article_id, sent_idx, toks, input_ids, {_MASKED} AS m, {_LABELS} AS y
+       FROM enc, (SELECT count(*) AS nv FROM vocab) nvt),
+pr AS (SELECT *, list_transform(m, lambda x, i: CASE WHEN y[i] <> -100 THEN gs[m[i - 1] + 1] ELSE x END) AS g FROM mk, guess),
+mu AS (SELECT article_id, sent_idx, unnest(m) AS mi, unnest(g) AS gi, unnest(y) AS yi, unnest(range(len(m))) AS pos FROM pr),
+mt AS (SELECT mu.article_id, mu.sent_idx, list(coalesce(a.token, '[UNK]') ORDER BY pos) AS mtoks,
+              list(coalesce(b.token, '[UNK]') ORDER BY pos) AS gtoks,
+              CAST(count(*) FILTER (yi <> -100) AS BIGINT) AS n_masked, CAST(count(*) FILTER (yi = gi) AS BIGINT) AS n_right
+       FROM mu LEFT JOIN vocab a ON a.id = mu.mi LEFT JOIN vocab b ON b.id = mu.gi GROUP BY 1, 2)
+SELECT mk.article_id, mk.sent_idx, n_masked, n_right,
+       replace(array_to_string(mk.toks[2:len(mk.toks) - 1], ' '), ' {V.CONT}', '') AS original,
+       replace(array_to_string(mtoks[2:len(mtoks) - 1], ' '), ' {V.CONT}', '') AS masked,
+       replace(array_to_string(gtoks[2:len(gtoks) - 1], ' '), ' {V.CONT}', '') AS predicted
+FROM mk JOIN mt ON mt.article_id = mk.article_id AND mt.sent_idx = mk.sent_idx""")
+def q_mask_predict(spark, sf_dir):
+    """K15 with its prediction column: the most frequent follower of the token before."""
+    m, vocab = _masked(spark, sf_dir)
+    p = PR.predict_masked(m, PR.next_token_table(m), vocab.count())
+    z = F.arrays_zip(F.col("mlm_labels").alias("y"), F.col("predicted_ids").alias("g"))
+    p = p.select("*", F.size(F.filter("mlm_labels", lambda y: y != M.NULL_LABEL)).cast("bigint").alias("n_masked"),
+                 F.size(F.filter(z, lambda x: x["y"] == x["g"])).cast("bigint").alias("n_right"))
+    return M.mask_view(p, [*IDS, "n_masked", "n_right"], vocab, predicted_col="predicted_ids")
+
+
 # ----------------------------------------------------------------- K3
 _PAIRS_SQL = """pairs AS (SELECT a.conv_id, a.turn, a.text AS sentence1, b.text AS sentence2
           FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1

@@ -257,9 +257,9 @@ def test_small_working_sets_give_the_same_merges(spark):
     words = wc.select(V.initial_symbols("word").alias("syms"), "n")
     counts = Counter({r.word: r.n for r in wc.collect()})
     alphabet = {c for w in counts for c in [w[0]] + ["##" + x for x in w[1:]]}
-    want = _brute_bpe(counts, len(V.SPECIALS) + len(alphabet) + 40)[len(V.SPECIALS) + len(alphabet):]
+    want = _brute_bpe(counts, len(V.SPECIALS) + len(alphabet) + 16)[len(V.SPECIALS) + len(alphabet):]
     for working, look in ((0, 64), (2000, 16)):
-        got = sequential_merges(words, 40, set(alphabet) | set(V.SPECIALS), working_symbols=working, look=look)
+        got = sequential_merges(words, 16, set(alphabet) | set(V.SPECIALS), working_symbols=working, look=look)
         assert [V.merged_token(a, b) for a, b in got] == want
 
 
@@ -269,9 +269,9 @@ def test_repeated_symbols_and_blocked_pairs(spark):
     df = spark.createDataFrame([([w[0]] + ["##" + c for c in w[1:]], n) for w, n in words.items()], "syms array<string>, n long")
     alphabet = {c for w in words for c in [w[0]] + ["##" + x for x in w[1:]]}
     base = len(V.SPECIALS) + len(alphabet)
-    want = _brute_bpe(words, base + 30)[base:]
-    for working in (0, 12, 1 << 19):
-        got = sequential_merges(df, 30, set(alphabet) | set(V.SPECIALS), working_symbols=working)
+    want = _brute_bpe(words, base + 12)[base:]
+    for working in (0, 1 << 19):
+        got = sequential_merges(df, 12, set(alphabet) | set(V.SPECIALS), working_symbols=working)
         assert [V.merged_token(a, b) for a, b in got] == want
 
 
@@ -297,3 +297,15 @@ def test_mask_view_with_predictions(spark):
                                "id int, input_ids array<int>, masked_ids array<int>, guess array<int>")
     r = M.mask_view(df, ["id"], vocab, predicted_col="guess").first()
     assert (r.original, r.masked, r.predicted) == ("abcd x", "ab [MASK] x", "abcd ab")
+
+
+def test_next_token_guesses(spark):
+    from corpusmill.operators import predict as PR
+    n = len(V.SPECIALS)
+    df = spark.createDataFrame([([2, n, n + 1, n, n + 1, 3],), ([2, n, n + 2, 3],), ([2, n + 2, 3],), ([2, 3],), ([],)], "input_ids array<int>")
+    table = {r.prev: r.guess for r in PR.next_token_table(df).collect()}
+    assert table == {2: n, n: n + 1, n + 1: n, None: n}
+    m = spark.createDataFrame([([2, V.MASK_ID, V.MASK_ID, 3], [-100, n, n + 1, -100]), ([2, n, V.MASK_ID, 3], [-100, -100, n + 1, -100])],
+                              "masked_ids array<int>, mlm_labels array<int>")
+    got = [r.predicted_ids for r in PR.predict_masked(m, PR.next_token_table(df), n + 3).collect()]
+    assert got == [[2, n, n, 3], [2, n, n + 1, 3]]
