@@ -142,17 +142,20 @@ class Encoded:
             unit = np.flatnonzero(np.diff(self.word, prepend=-1) == 0)
             t = t[self.word]
             t[unit, 0], t[unit, 1], t[unit - 1, 3] = _UNIT_CODE, t[unit, 4], 0
-        figure = t[:, 0] == _NUM_CODE
-        beside = np.concatenate([[False], figure[:-1]])[:len(t)]
-        beside |= np.isin(t[:, 1], _CURRENCY) & np.concatenate([figure[1:], [False]])[:len(t)]
-        plain = (t[:, 0] == _UNIT_CODE) & ~beside & (t[:, 5] != 0)
-        if plain.any():
-            t = t.copy()
+        # Only the unit words are looked at, and their neighbours.
+        unit = np.flatnonzero((t[:, 0] == _UNIT_CODE) & (t[:, 5] != 0))
+        if len(unit):
+            own = t[unit, 5]
+            plain = unit[(unit == 0) | (t[unit - 1, 0] != _NUM_CODE)]
+            after = np.minimum(plain + 1, len(t) - 1)
+            plain = plain[~((plain < after) & (t[after, 0] == _NUM_CODE) & np.isin(t[plain, 1], _CURRENCY))]
             t[plain, 0], t[plain, 1] = t[plain, 5], 0
         self.n = len(t)
         self.literal, self.slot, self.name_slot = t[:, 0], t[:, 1], t[:, 2]
-        self.head = np.where(t[:, 5] != 0, t[:, 5], t[:, 0])  # the first word of a window
-        self.head_slot = np.where(t[:, 5] != 0, np.uint64(0), t[:, 1])
+        self.head, self.head_slot = self.literal, self.slot  # of the first word of a window
+        if len(unit):
+            self.head, self.head_slot = self.literal.copy(), self.slot.copy()
+            self.head[unit], self.head_slot[unit] = own, 0
         named = (self.name_slot != 0) & np.concatenate([[False], t[:-1, 3] == 0])[:self.n]
         self.tokens = np.where(named, _NAME_CODE, self.literal)
         self.slots = np.where(named, self.name_slot, self.slot)
