@@ -4,7 +4,9 @@ The vocabulary, once its bytes are checked, is broadcast and built into a trie o
 per Python worker.  An Arrow UDF walks it for the distinct words of each batch
 and puts the pieces back in place of every occurrence with array
 arithmetic: one row in, one row out, no exchange, whatever the number of words.
-Ids become token texts by a lookup in one literal array, inside the JVM.
+ASCII texts go to it whole and are cut into words by array arithmetic too (``ascii_words``).
+Ids become token texts by a lookup in one literal array inside the JVM, and decoded text
+by Arrow kernels.
 
 A vocabulary beyond ``BROADCAST_BYTES`` is looked up by joins instead: the distinct
 words are segmented as rows and joined back to their occurrences.
@@ -21,7 +23,7 @@ from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import CHAR, CLS_ID, CONT, PAD_ID, SEP_ID, SPECIALS, UNK_ID, words
+from .vocab import CLS_ID, CONT, PAD_ID, SEP_ID, SPECIALS, UNK_ID, ascii_text, other_words, split_words, words
 
 # Distinct words whose pieces a worker remembers; beyond it, it starts anew.
 MEMO_WORDS = 1 << 18
@@ -74,10 +76,9 @@ class WordPieces:
             at = stop
         return tuple(out) if out else (UNK_ID,)
 
-    def segment(self, column: pa.Array) -> pa.Array:
-        """list<string> -> list<list<int>>: the pieces of every word of a batch."""
-        rows = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = column.flatten().dictionary_encode()
+    def pieces_of(self, column: pa.Array) -> tuple:
+        """(number of pieces per word, all pieces) of a string array; a NULL word has none."""
+        coded = column.dictionary_encode()
         memo = self._memo
         found = []
         for w in coded.dictionary.to_pylist():
@@ -87,16 +88,31 @@ class WordPieces:
                     memo.clear()
                 p = memo[w] = self.pieces(w)
             found.append(p)
-        found.append(())                            # a NULL word has no pieces
+        found.append(())
         size = np.array([len(p) for p in found], np.int64)
-        start = np.concatenate([[0], np.cumsum(size)[:-1]])
         flat = np.array([i for p in found for i in p], np.int32)
         which = pc.fill_null(coded.indices, len(found) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-        inner = np.concatenate([[0], np.cumsum(size[which])])
-        take = np.repeat(start[which] - inner[:-1], size[which]) + np.arange(inner[-1])
-        outer = np.concatenate([[0], np.cumsum(rows)])
-        lists = pa.ListArray.from_arrays(pa.array(inner.astype(np.int32)), pa.array(flat[take]))
-        return pa.ListArray.from_arrays(pa.array(outer.astype(np.int32)), lists)
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        size = size[which]
+        inner = np.concatenate([[0], np.cumsum(size)])
+        return size, flat[np.repeat(start[which] - inner[:-1], size) + np.arange(inner[-1])]
+
+    def segment(self, column: pa.Array) -> pa.Array:
+        """list<string> -> list<list<int>>: the pieces of every word of a batch."""
+        size, flat = self.pieces_of(column.flatten())
+        return _lists(list_sizes(column), _lists(size, pa.array(flat)))
+
+
+def list_sizes(column: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(_offsets(sizes).astype(np.int32)), values)
 
 
 def _vocab_rows(vocab: DataFrame) -> list | None:
@@ -105,33 +121,71 @@ def _vocab_rows(vocab: DataFrame) -> list | None:
     return vocab.select("token", "id").collect() if size <= BROADCAST_BYTES else None
 
 
-def segmenter(vocab: DataFrame):
-    """A function array<string> Column -> array<array<int>> Column, or None for a
+def shared_trie(vocab: DataFrame):
+    """A function that gives the trie of the vocabulary inside a task, or None for a
     vocabulary that is too large to broadcast."""
     rows = _vocab_rows(vocab)
     if rows is None:
         return None
     shared = vocab.sparkSession.sparkContext.broadcast({"tokens": [r.token for r in rows], "ids": [r.id for r in rows]})
 
-    @F.arrow_udf("array<array<int>>")
-    def pieces_of(column: pa.Array) -> pa.Array:
+    def trie() -> WordPieces:
         known = shared.value                    # one object per worker process: the trie stays with it
         if "trie" not in known:
             known["trie"] = WordPieces(known["tokens"], known["ids"])
-        return known["trie"].segment(column)
+        return known["trie"]
+
+    return trie
+
+
+def segmenter(vocab: DataFrame):
+    """A function array<string> Column -> array<array<int>> Column, or None for a
+    vocabulary that is too large to broadcast."""
+    trie = shared_trie(vocab)
+    if trie is None:
+        return None
+
+    @F.arrow_udf("array<array<int>>")
+    def pieces_of(column: pa.Array) -> pa.Array:
+        return trie().segment(column)
 
     return pieces_of
 
 
-def token_names(vocab: DataFrame):
-    """A function array<int> Column -> array<string> Column (UNK for unknown ids),
-    or None where the tokens cannot be one literal array."""
+def text_encoder(vocab: DataFrame):
+    """A function text Column -> array<int> Column with the pieces of all its words,
+    or None for a vocabulary that is too large to broadcast."""
+    trie = shared_trie(vocab)
+    if trie is None:
+        return None
+
+    @F.arrow_udf("array<int>")
+    def ids_of(text: pa.Array, others: pa.Array) -> pa.Array:
+        rows, found = split_words(text, others)
+        size, flat = trie().pieces_of(found)
+        ends = _offsets(size)[_offsets(rows)]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+
+    return lambda text: ids_of(ascii_text(text), other_words(text))
+
+
+def _names(vocab: DataFrame) -> list | None:
+    """Tokens by id (UNK in the gaps), or None where they cannot be one array."""
     rows = _vocab_rows(vocab)
     if rows is None or any(r.id < 0 for r in rows) or max((r.id for r in rows), default=0) > 4 * len(rows) + 64:
         return None
     names = [SPECIALS[UNK_ID]] * (max((r.id for r in rows), default=0) + 1)
     for r in rows:
         names[r.id] = r.token
+    return names
+
+
+def token_names(vocab: DataFrame):
+    """A function array<int> Column -> array<string> Column (UNK for unknown ids),
+    or None where the tokens cannot be one literal array."""
+    names = _names(vocab)
+    if names is None:
+        return None
     text = "".join(names)
     mark = next((m for m in "\x1f\x1e\x1d\x1c\x01\x02" if m not in text), None)
     if mark is None:
@@ -147,8 +201,41 @@ def token_names(vocab: DataFrame):
     return names_of
 
 
+def join_names(column: pa.Array, names: pa.Array, dropped: np.ndarray) -> pa.Array:
+    """list<int> -> text of every row: its names but the dropped ones, joined by spaces,
+    continuations glued.  The last name stands for unknown ids; a NULL list gives ''."""
+    rows = list_sizes(column)
+    last = len(names) - 1
+    ids = pc.fill_null(column.flatten(), last).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = np.where((ids < 0) | (ids > last), last, ids)
+    keep = ~dropped[ids]
+    ends = _offsets(keep)[_offsets(rows)]
+    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), names.take(pa.array(ids[keep])))
+    return pc.replace_substring(pc.binary_join(lists, " "), " " + CONT, "")
+
+
+def text_of_ids(vocab: DataFrame, skip_special_tokens: bool = True):
+    """A function array<int> Column -> text Column (``tokens_to_text`` of its tokens),
+    or None where the tokens cannot be one array."""
+    names = _names(vocab)
+    if names is None:
+        return None
+    shared = vocab.sparkSession.sparkContext.broadcast({"names": names + [SPECIALS[UNK_ID]]})
+
+    @F.arrow_udf("string")
+    def text_of(column: pa.Array) -> pa.Array:
+        known = shared.value
+        if "table" not in known:
+            known["table"] = pa.array(known["names"], pa.string())
+            known["special"] = np.array([n in SPECIALS for n in known["names"]])
+        return join_names(column, known["table"], known["special"] & skip_special_tokens)
+
+    return lambda ids: text_of(F.col(ids) if isinstance(ids, str) else ids)
+
+
 # The UDF travels with its code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(sys.modules[split_words.__module__])
 
 # Tells rows with equal ids apart while their words are taken apart.
 ROW_KEY = "_row_key"
@@ -281,8 +368,12 @@ def encode(df: DataFrame, id_cols: list[str], vocab: DataFrame, text_col: str =
            add_special_tokens: bool = True) -> DataFrame:
     """K2: ``input_ids, token_type_ids, attention_mask`` and ``n_pieces``
     (the length before truncation; every word of the text is encoded)."""
-    wp = word_pieces(df, id_cols, words(text_col), vocab)
-    ids = F.flatten("pieces")
+    ids_of = text_encoder(vocab)
+    if ids_of is not None:
+        wp = df.select(*id_cols, ids_of(F.col(text_col)).alias("_ids"))
+    else:
+        wp = word_pieces(df, id_cols, words(text_col), vocab).select(*id_cols, F.flatten("pieces").alias("_ids"))
+    ids = F.col("_ids")
     keep = (max_length - 2 if add_special_tokens else max_length) if (truncation and max_length) else None
     cut = F.slice(ids, 1, keep) if keep is not None else ids
     full = (F.concat(F.array(F.lit(CLS_ID)), cut, F.array(F.lit(SEP_ID))) if add_special_tokens else cut)
@@ -344,11 +435,22 @@ def tokens_to_text(tokens, skip_special_tokens: bool = True) -> Column:
     return F.replace(F.array_join(t, " "), F.lit(" " + CONT), F.lit(""))
 
 
+def with_texts(df: DataFrame, texts: dict, vocab: DataFrame, skip_special_tokens: bool = True) -> DataFrame:
+    """Adds text columns (name -> id array column); one row in, one row out."""
+    text_of = text_of_ids(vocab, skip_special_tokens)
+    if text_of is not None:
+        return df.select("*", *[text_of(ids).alias(name) for name, ids in texts.items()])
+    for name, ids in texts.items():
+        df = (ids_to_tokens(df, df.columns, ids, vocab)
+              .withColumn(name, tokens_to_text("tokens", skip_special_tokens)).drop("tokens"))
+    return df
+
+
 def decode(df: DataFrame, id_cols: list[str], ids_col: str, vocab: DataFrame,
            skip_special_tokens: bool = True) -> DataFrame:
     """K7: ids -> text."""
-    return (ids_to_tokens(df, id_cols, ids_col, vocab)
-            .select(*id_cols, tokens_to_text("tokens", skip_special_tokens).alias("text")))
+    rows = df.select(*id_cols, F.col(ids_col).alias("_ids"))
+    return with_texts(rows, {"text": "_ids"}, vocab, skip_special_tokens).select(*id_cols, "text")
 
 
 def pad_or_cut(v, length: int, pad) -> Column:
@@ -359,5 +461,5 @@ def pad_or_cut(v, length: int, pad) -> Column:
     return F.slice(F.concat(c, F.array_repeat(padv, n)), 1, length)
 
 
-__all__ = ["WordPieces", "segmenter", "token_names", "segment_words", "word_pieces", "encode", "encode_pairs", "ids_to_tokens", "decode",
+__all__ = ["WordPieces", "segmenter", "text_encoder", "text_of_ids", "with_texts", "token_names", "segment_words", "word_pieces", "encode", "encode_pairs", "ids_to_tokens", "decode",
            "tokens_to_text", "pad_or_cut", "truncate_pair", "PAD_ID"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import posexplode_rows
+from ..functions.arrays import explode_rows
 from .align import NULL_LABEL
 
 
@@ -57,13 +57,14 @@ def entities(df: DataFrame, id_cols: list[str], pred_col: str = "pred", mask_col
     last_wid = F.try_element_at(F.col(word_ids_col), F.greatest(F.size(mask), F.lit(1)))
     cut = last_wid.isNotNull() if not strict_compat else F.lit(False)
     valid = F.when(cut, total - 1).otherwise(total - 2)
-    z = posexplode_rows(df, [*id_cols, F.col(words_col).alias("_words"), valid.alias("_valid")],
-                        F.arrays_zip(F.col(pred_col).alias("p"), F.col(word_ids_col).alias("w")),
-                        "pos", "z")
-    z = z.where((F.col("pos") >= 1) & (F.col("pos") <= F.col("_valid")) & (F.col("z.p") != 0))
-    word = F.coalesce(F.try_element_at("_words", F.col("z.w") + 1), F.lit("[INV]"))
-    z = z.select(*id_cols, word.alias("word"), (F.col("pos") - 1).cast("bigint").alias("pos"),
-                 F.col("z.p").alias("p"))
+    # Positions without a class leave inside the row: no row is made of them, and the words are not copied.
+    z = F.arrays_zip(F.col(pred_col).alias("p"), F.col(word_ids_col).alias("w"),
+                     F.sequence(F.lit(0), F.greatest(F.size(pred_col) - 1, F.lit(0))).alias("pos"))
+    z = F.filter(F.slice(z, F.lit(2), F.greatest(valid, F.lit(0))), lambda x: x["p"] != 0)
+    found = F.transform(z, lambda x: F.struct(
+        F.coalesce(F.try_element_at(F.col(words_col), x["w"] + 1), F.lit("[INV]")).alias("word"),
+        (x["pos"] - 1).cast("bigint").alias("pos"), x["p"].alias("p")))
+    z = explode_rows(df, id_cols, found, "z").select(*id_cols, "z.word", "z.pos", "z.p")
     return (z.groupBy(*id_cols, "word")
             .agg(F.min("pos").alias("first_pos"),
                  F.array_sort(F.collect_list(F.struct("pos", "p"))).alias("ps"))

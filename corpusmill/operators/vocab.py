@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.arrays import explode_rows
+from ..functions.words import ascii_text, other_words, split_words
 from .bpe import CONT, merged_token, sequential_merges
 
 # Special tokens and their ids (BERT order).

@@ -309,3 +309,52 @@ def test_next_token_guesses(spark):
                               "masked_ids array<int>, mlm_labels array<int>")
     got = [r.predicted_ids for r in PR.predict_masked(m, PR.next_token_table(df), n + 3).collect()]
     assert got == [[2, n, n, 3], [2, n, n + 1, 3]]
+
+
+# ----------------------------------------------------------------- arrays instead of rows
+def test_entities_make_rows_of_classed_positions_only(spark):
+    from corpusmill.operators.metrics import entities
+    df = spark.createDataFrame([(1, ["a", "b", "a", "c"], [None, 0, 1, 1, 2, 9, None, None], [7, 5, 0, 6, 5, 4, 3, 0],
+                                 [1, 1, 1, 1, 1, 1, 1, 0])],
+                               "id bigint, words array<string>, word_ids array<int>, pred array<int>, attention_mask array<int>")
+    e = entities(df, ["id"])
+    # valid positions 1 to 5: pieces of words 0, 1, 1, 2 and a word id beyond the words
+    assert sorted(map(tuple, e.collect())) == [(1, "[INV]", 4, [4]), (1, "a", 0, [5, 5]), (1, "b", 2, [6])]
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate" in line)
+    assert "words" not in generate.split("), [")[-1]       # the row's words are not copied to each position
+
+
+def test_aligned_rows_equal_those_of_the_join(spark, monkeypatch):
+    from corpusmill.operators import align as AL
+    from corpusmill.operators import encode as E
+    rows = [(1, ["ab", "c", None, "abc", "x"], [1, 2, 3, 0, 4]), (2, [], []), (3, None, None), (4, ["c"] * 9, [5] * 4),
+            (5, ["ab"], [None])]
+    df = spark.createDataFrame(rows, "id bigint, tokens array<string>, ner_tags array<int>")
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate([*E.SPECIALS, "a", "b", "c", "##b", "##c"])], "token string, id int")
+    for length, special in ((6, True), (1, True), (4, False), (None, True), (None, False)):
+        def run():
+            return sorted((r.asDict() for r in AL.align_labels(df, ["id"], vocab, max_length=length, add_special_tokens=special).collect()),
+                          key=lambda r: r["id"])
+        got = run()
+        with monkeypatch.context() as m:
+            m.setattr(E, "BROADCAST_BYTES", 0)
+            assert got == run(), (length, special)
+
+
+def test_ascii_words_are_those_of_the_pattern(spark):
+    from pyspark.sql import functions as F
+    from corpusmill.operators import encode as E
+    from corpusmill.operators import vocab as V
+    texts = ["", None, " ", "a", "ab cd", "a.b", "..", "x\u00e9 \u2014y\u3002 z", "tab\tnew\nline\x1cz\x85", "a", "b ", " \x7f!c",
+             "".join(map(chr, range(128))), "".join(map(chr, range(100, 400)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").coalesce(1)
+    alphabet = sorted({c for t in texts if t for c in t if not c.isspace() or c == "\x85"})
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate([*E.SPECIALS, *alphabet, *["##" + c for c in alphabet]])],
+                                  "token string, id int")
+    want = E.word_pieces(df, ["id"], V.words("text"), vocab).select("id", F.flatten("pieces").alias("p")).collect()
+    got = E.encode(df, ["id"], vocab, max_length=None, add_special_tokens=False).select("id", F.col("input_ids").alias("p")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    texts_of = E.decode(E.word_pieces(df, ["id"], V.words("text"), vocab).select("id", F.flatten("pieces").alias("p")), ["id"], "p", vocab)
+    named = E.ids_to_tokens(E.word_pieces(df, ["id"], V.words("text"), vocab).select("id", F.flatten("pieces").alias("p")), ["id"], "p", vocab)
+    assert sorted(map(tuple, texts_of.collect())) == sorted(map(tuple, named.select("id", E.tokens_to_text("tokens")).collect()))
