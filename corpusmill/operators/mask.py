@@ -9,38 +9,62 @@ labels are -100.
 
 from __future__ import annotations
 
+import hashlib
+import sys
+from itertools import compress
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .align import NULL_LABEL
-from .encode import ids_to_tokens, tokens_to_text
+from .encode import list_sizes, with_texts
 from .vocab import MASK_ID, SPECIALS
 
 SCALE = float(2 ** 32)
 
+# The UDF travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
-def _u(digest: Column, nth: int) -> Column:
-    """The ``nth`` 32-bit uniform of a digest."""
-    return F.conv(F.substring(digest, 8 * nth + 1, 8), 16, 10).cast("bigint")
+def mask_batch(keys: list, column: pa.Array, vocab_size: int, probability: float, n_special: int) -> tuple:
+    """Masked ids and labels (flat arrays) of a batch of id lists, by the digest of
+    each position's text ``key`` + number."""
+    rows = list_sizes(column)
+    flat = column.flatten()
+    ids = pc.fill_null(flat, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    may = ids >= n_special
+    at = np.flatnonzero(may)
+    numbers = [b"%d" % i for i in range(int(rows.max(initial=0)))]
+    texts = (k + i for k, n in zip(keys, rows.tolist()) for i in numbers[:n])
+    md5 = hashlib.md5
+    drawn = b"".join(md5(t).digest() for t in compress(texts, may.tolist()))
+    u = np.frombuffer(drawn, ">u4").reshape(-1, 4)
+    chosen = u[:, 0] < probability * SCALE
+    at, u = at[chosen], u[chosen]
+    old = ids[at]
+    masked, labels = ids.copy(), np.full(len(ids), NULL_LABEL, np.int32)
+    labels[at] = old
+    other = u[:, 2].astype(np.int64) % max(vocab_size - n_special, 1) + n_special
+    masked[at] = np.where(u[:, 1] < 0.8 * SCALE, MASK_ID, np.where(u[:, 1] < 0.9 * SCALE, other, old))
+    return (pa.array(masked.astype(np.int32), mask=flat.is_null().to_numpy(zero_copy_only=False)), pa.array(labels))
 
 
 def mlm_mask(df: DataFrame, row_key: Column, ids_col: str = "input_ids", vocab_size: int = 20000,
              probability: float = 0.15, seed: int = 0, n_special: int = len(SPECIALS)) -> DataFrame:
     """Adds ``masked_ids`` and ``mlm_labels``, both from one walk over the ids."""
-    drawn = F.transform(F.col(ids_col), lambda x, i: F.struct(
-        x.alias("x"), F.when(x >= n_special, F.md5(F.concat_ws(
-            ":", F.lit(str(seed)), row_key, i.cast("string")))).alias("h")))
-
-    def decide(d):
-        x, h = d["x"], d["h"]
-        chosen = F.coalesce(_u(h, 0) < F.lit(probability * SCALE), F.lit(False))
-        rnd = (_u(h, 2) % F.lit(vocab_size - n_special) + F.lit(n_special)).cast("int")
-        new = (F.when(_u(h, 1) < F.lit(0.8 * SCALE), F.lit(MASK_ID))
-               .when(_u(h, 1) < F.lit(0.9 * SCALE), rnd).otherwise(x))
-        return F.when(chosen, F.struct(new.alias("m"), x.alias("l"))) \
-            .otherwise(F.struct(x.alias("m"), F.lit(NULL_LABEL).alias("l")))
-
-    return (df.withColumn("_decided", F.transform(drawn, decide))
+    @F.arrow_udf("m array<int>, l array<int>")
+    def decided(key: pa.Array, column: pa.Array) -> pa.Array:
+        ends = pa.array(np.concatenate([[0], np.cumsum(list_sizes(column))]).astype(np.int32))
+        values = mask_batch([k.encode() for k in key.to_pylist()], column, vocab_size, probability, n_special)
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, v, mask=column.is_null()) for v in values], ["m", "l"])
+
+    # The part of the digest's text that the ids of a row share.
+    shared = F.concat(F.concat_ws(":", F.lit(str(seed)), row_key), F.lit(":"))
+    return (df.withColumn("_decided", decided(shared, F.col(ids_col).cast("array<int>")))
             .withColumn("masked_ids", F.col("_decided")["m"])
             .withColumn("mlm_labels", F.col("_decided")["l"]).drop("_decided"))
 
@@ -53,8 +77,5 @@ def mask_view(df: DataFrame, id_cols: list[str], vocab: DataFrame, ids_col: str
     if predicted_col:
         shown["predicted"] = predicted_col
     out = df.select(*id_cols, *[F.slice(c, 2, F.greatest(F.size(c) - 2, F.lit(0))).alias(name) for name, c in shown.items()])
-    for name in shown:
-        keep = [c for c in out.columns if c != name]
-        out = (ids_to_tokens(out, [*keep, name], name, vocab)
-               .withColumn(name, tokens_to_text("tokens", skip_special_tokens=False)).drop("tokens"))
-    return out.select(*id_cols, *shown)
+    ids = out.select(*id_cols, *[F.col(name).alias(f"_{name}") for name in shown])
+    return with_texts(ids, {name: f"_{name}" for name in shown}, vocab, skip_special_tokens=False).select(*id_cols, *shown)
