@@ -36,7 +36,9 @@ def _vocab(spark, sf_dir, sents=None):
 
 
 def _ints(c):
-    return F.array_join(F.transform(c, lambda x: x.cast("string")), " ", "null")
+    # An int array as text is "[1, null, 2]", written without a step per element.
+    text = F.col(c).cast("array<int>").cast("string") if isinstance(c, str) else c.cast("array<int>").cast("string")
+    return F.replace(F.substring(text, F.lit(2), F.length(text) - 2), F.lit(", "), F.lit(" "))
 
 
 def _encoded(spark, sf_dir):
