@@ -358,3 +358,50 @@ def test_ascii_words_are_those_of_the_pattern(spark):
     texts_of = E.decode(E.word_pieces(df, ["id"], V.words("text"), vocab).select("id", F.flatten("pieces").alias("p")), ["id"], "p", vocab)
     named = E.ids_to_tokens(E.word_pieces(df, ["id"], V.words("text"), vocab).select("id", F.flatten("pieces").alias("p")), ["id"], "p", vocab)
     assert sorted(map(tuple, texts_of.collect())) == sorted(map(tuple, named.select("id", E.tokens_to_text("tokens")).collect()))
+
+
+def test_words_are_counted_per_batch(spark):
+    from collections import Counter
+    import re
+    from corpusmill.operators import vocab as V
+    texts = ["a b a, a", None, "", "été a —", "b"] * 4
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    wc = V.word_counts(df)
+    want = Counter(w for t in texts if t for w in re.findall(r"[,—]|[^ ,—]+", t))
+    assert dict(map(tuple, wc.collect())) == want
+    assert "Generate" not in wc._jdf.queryExecution().executedPlan().toString()     # no row per word
+
+
+def test_neighbours_are_counted_per_batch(spark):
+    from corpusmill.operators import predict as PR
+    df = spark.createDataFrame([([2, 7, 8, 7, 8, 7, 9, 3],), ([],), (None,), ([2],), ([2, 9, 3],), ([2, 7],)], "input_ids array<int>")
+    t = PR.next_token_table(df)
+    assert dict(map(tuple, t.collect())) == {2: 7, 7: 8, 8: 7, None: 7}
+    assert "Generate" not in t._jdf.queryExecution().executedPlan().toString()
+
+
+def test_masking_makes_no_expression_per_position(spark):
+    import hashlib
+    from pyspark.sql import functions as F
+    from corpusmill.operators import mask as M
+    df = spark.createDataFrame([(i, [2] + [5 + (i * j) % 20 for j in range(40)] + [3]) for i in range(30)] + [(99, None)],
+                               "id bigint, input_ids array<int>")
+    m = M.mlm_mask(df, F.col("id").cast("string"), vocab_size=25, probability=0.4, seed=3)
+    for r in m.collect():
+        if r.input_ids is None:
+            assert r.masked_ids is None and r.mlm_labels is None
+            continue
+        for j, x in enumerate(r.input_ids):
+            u = [int(hashlib.md5(f"3:{r.id}:{j}".encode()).hexdigest()[8 * n:8 * n + 8], 16) for n in range(3)]
+            hit = x >= 5 and u[0] < 0.4 * 2 ** 32
+            new = 4 if u[1] < 0.8 * 2 ** 32 else u[2] % 20 + 5 if u[1] < 0.9 * 2 ** 32 else x
+            assert (r.masked_ids[j], r.mlm_labels[j]) == ((new, x) if hit else (x, -100))
+    assert "lambda" not in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_id_lists_as_text(spark):
+    from corpusmill.plans.queries_tokens import _ints
+    df = spark.createDataFrame([(0, [1, None, -100]), (1, []), (2, None), (3, [7])], "k int, v array<int>")
+    c = _ints("v")
+    assert [r.t for r in df.orderBy("k").select(c.alias("t")).collect()] == ["1 null -100", "", None, "7"]
+    assert "transform" not in df.select(c)._jdf.queryExecution().executedPlan().toString()
