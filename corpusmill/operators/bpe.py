@@ -9,16 +9,19 @@ their pairs to ``pairs``.
 
 How a round finds its merges:
 
-* Working set.  The words that hold one of the best ``m`` pairs come to the driver, with
-  ``m`` as large as ``WORKING_SYMBOLS`` and ``LOOK`` allow.  Every occurrence of these pairs, and of
-  all pairs that merging them makes, is in these words, so their counts stay exact there;
-  any other pair ranks below pair ``m + 1`` and can only lose.  Merging goes on until the
-  best pair would rank below that one.
-* Where the best pair alone occurs in more words than that, the longest prefix of the
+* Working set.  Of every word, the stretches that hold one of the best ``m`` pairs are cut out, with one
+  symbol on either side, and equal ones are counted together: what comes to the driver grows with the
+  number of different stretches, not of words.  Every occurrence of these pairs, and of all pairs that
+  merging them makes, is in a stretch, so their counts stay exact there; any other pair ranks
+  below pair ``m + 1`` and can only lose.  Merging goes on until the best pair would rank below
+  that one, or would meet a symbol beyond its stretch.  ``m`` follows from ``WORKING_SYMBOLS`` and ``LOOK``.
+* Where the stretches of the best pair alone are more than that, the longest prefix of the
   ranking is taken whose pairs do not touch each other and outnumber every pair that
   the merges before them make (an upper bound from the neighbours of the pair, one aggregate).
   No word leaves the cluster then.
 
+Words of one symbol have no pairs and leave the table.
+
 Ranking: count descending, then left and right symbol.  A pair whose merged token
 exists already is never merged.
 """
@@ -40,10 +43,11 @@ from ..sources.staging import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CONT = "##"
-# Symbols of words at the driver in one round (a few MB), whatever the corpus.
+# Symbols of stretches at the driver in one round, whatever the corpus.
 WORKING_SYMBOLS = 1 << 19
-# Pairs looked at in one round.
+# Pairs looked at in one round: at most, and in the first one.
 LOOK = 16384
+FIRST = 32
 _SEP = "\x00"
 
 
@@ -69,10 +73,53 @@ def _keys(pairs) -> str:
     return ", ".join(sql_string(a + _SEP + b) for a, b in pairs)
 
 
-def _holds(pairs) -> Column:
-    """Whether a word of column ``syms`` holds one of the pairs."""
-    near = "arrays_zip(slice(syms, 1, size(syms) - 1), slice(syms, 2, size(syms) - 1))"
-    return F.expr(f"size(syms) > 1 AND exists({near}, z -> concat(z['0'], {sql_string(_SEP)}, z['1']) IN ({_keys(pairs)}))")
+def stretches(symbols: list, known) -> list:
+    """The parts of a word whose symbols are in a pair of ``known``, each with the symbol before and after it."""
+    out, start, n = [], None, len(symbols)
+    hit = [p in known for p in zip(symbols, symbols[1:])]
+    if True not in hit:
+        return out
+    for i in range(n + 1):
+        inside = i < n and (i < n - 1 and hit[i] or i > 0 and hit[i - 1])
+        if inside and start is None:
+            start = i
+        elif not inside and start is not None:
+            out.append(symbols[max(start - 1, 0):i + 1])
+            start = None
+    return out
+
+
+def _cut(words: DataFrame, known) -> DataFrame:
+    """(syms, n): the different stretches of all words and how often each occurs."""
+    known = words.sparkSession.sparkContext.broadcast(set(known))
+
+    def cut(batches):
+        for batch in batches:
+            parts, sums = {}, known.value
+            for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for part in stretches(s, sums):
+                    part = tuple(part)
+                    parts[part] = parts.get(part, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array([list(p) for p in parts], pa.list_(pa.string())),
+                                              pa.array(list(parts.values()), pa.int64())], ["syms", "n"])
+
+    return words.select("syms", "n").mapInArrow(cut, "syms array<string>, n bigint").groupBy("syms").agg(F.sum("n").alias("n"))
+
+
+def _rewritten(words: DataFrame, merges: list, touched: list) -> DataFrame:
+    """(old, syms, n): all words after ``merges``; ``old`` is NULL where nothing changed."""
+    shared = words.sparkSession.sparkContext.broadcast(({p: i for i, p in enumerate(merges)}, set(touched)))
+
+    def rewrite(batches):
+        rank, first = shared.value
+        kind = pa.list_(pa.string())
+        for batch in batches:
+            syms = batch.column(0).to_pylist()
+            hit = [any(p in first for p in zip(s, s[1:])) for s in syms]
+            yield pa.RecordBatch.from_arrays([pa.array([s if h else None for s, h in zip(syms, hit)], kind), pa.array(
+                [merge_word(s, rank) if h else s for s, h in zip(syms, hit)], kind), batch.column(1)], ["old", "syms", "n"])
+
+    return words.select("syms", "n").mapInArrow(rewrite, "old array<string>, syms array<string>, n bigint")
 
 
 def merge_word(symbols: list, rank: dict) -> list:
@@ -97,22 +144,14 @@ def _replace(symbols: list, pair: tuple, token: str) -> list:
     return out
 
 
-def _merger(merges: list):
-    rank = {p: i for i, p in enumerate(merges)}
-
-    @F.arrow_udf("array<string>")
-    def merged(column: pa.Array) -> pa.Array:
-        return pa.array([merge_word(s, rank) for s in column.to_pylist()], pa.list_(pa.string()))
-
-    return merged
-
-
 def merge_in_working_set(words: list, known: dict, floor: tuple | None, room: int, taken: set,
                          min_count: int) -> list:
-    """The next merges, from the words that hold the ``known`` pairs (pair -> count).
+    """The next merges, from the stretches (or whole words) that hold the ``known`` pairs (pair -> count).
 
-    Stops before the best pair would rank at or below ``floor`` (-count, left, right).
+    Stops before the best pair would rank at or below ``floor`` (-count, left, right), or
+    joins symbols that were not a known pair: one of them may be the end of a stretch.
     """
+    ends = {}                               # made token -> its first and last symbol as of the start
     count, where, out = dict(known), {p: set() for p in known}, []
     words = [list(s) for s, _ in words], [n for _, n in words]
     for i, s in enumerate(words[0]):
@@ -131,6 +170,10 @@ def merge_in_working_set(words: list, known: dict, floor: tuple | None, room: in
         token = merged_token(*p)
         if token in taken:
             continue
+        left, right = ends.get(p[0], (p[0], p[0])), ends.get(p[1], (p[1], p[1]))
+        if (left[1], right[0]) not in known:
+            break
+        ends[token] = (left[0], right[1])
         taken.add(token)
         out.append(p)
         changed = {}
@@ -191,11 +234,11 @@ def sequential_merges(words: DataFrame, room: int, taken: set, min_count: int =
     exist and is extended."""
     working = WORKING_SYMBOLS if working_symbols is None else working_symbols
     look = LOOK if look is None else look
-    words = stage(words.select("syms", "n"), "words")
+    words = stage(words.select("syms", "n").where(F.size("syms") > 1), "words")
     pairs = stage(count_pairs(words), "pairs")
-    out = []
+    out, m = [], min(FIRST, look)
     while len(out) < room:
-        ask = look
+        ask = m
         while True:
             top = (pairs.where(F.col("n") >= min_count).orderBy(F.desc("n"), "left", "right").limit(ask + 1).collect())
             ranked = [r for r in top if merged_token(r.left, r.right) not in taken]
@@ -204,32 +247,34 @@ def sequential_merges(words: DataFrame, room: int, taken: set, min_count: int =
             ask *= 4                        # nearly all of these can never be merged
         if not ranked:
             break
-        total, m = 0, 0
         # The last row seen is only a floor, unless these are all pairs.
-        for r in ranked if len(top) <= ask else ranked[:-1]:
-            total += r.held
-            if total > working:
+        usable = len(ranked) if len(top) <= ask else len(ranked) - 1
+        m = min(m, usable)
+        while m:
+            known = {(r.left, r.right): r.n for r in ranked[:m]}
+            held = stage(_cut(words, known), "stretches")
+            size = held.agg(F.sum(F.size("syms"))).first()[0] or 0
+            if size <= working:
                 break
-            m += 1
+            m //= 4
         if m:
-            known = {(r.left, r.right): r.n for r in ranked[:m]}
             floor = (-ranked[m].n, ranked[m].left, ranked[m].right) if m < len(ranked) else None
-            held = words.where(_holds(known)).select("syms", "n").collect()
-            merges = merge_in_working_set(held, known, floor, room - len(out), taken, min_count)
+            merges = merge_in_working_set([(r.syms, r.n) for r in held.collect()], known, floor, room - len(out), taken, min_count)
             touched = [p for p in merges if p in known]
+            # As many pairs as should fit the next time.
+            m = min(look, max(m, FIRST) * 4 if size * 8 <= working else m * 2 if size * 3 <= working else m)
         else:
             merges = touched = independent_prefix(words, [(r.n, r.left, r.right) for r in ranked[:256]], taken)[:room - len(out)]
             taken.update(merged_token(*p) for p in merges)
+            m = 1
         out += merges
         if len(out) >= room:
             break
         if merges:
-            hit = _holds(touched)
-            moved = words.where(hit).select(F.col("syms").alias("old"), _merger(merges)("syms").alias("syms"), "n")
-            rest = words.where(~hit).select(F.lit(None).cast("array<string>").alias("old"), "syms", "n")
-            words = stage(moved.unionByName(rest), "words")
+            words = stage(_rewritten(words, merges, touched), "words")
             moved = words.where(F.col("old").isNotNull())
             delta = count_pairs(moved, "old", -1).unionByName(count_pairs(moved))
             pairs = stage(pairs.unionByName(delta).groupBy("left", "right")
                           .agg(F.sum("n").alias("n"), F.sum("held").alias("held")).where(F.col("n") > 0), "pairs")
+            words = words.where(F.size("syms") > 1)
     return out

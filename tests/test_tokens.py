@@ -360,7 +360,7 @@ def test_ascii_words_are_those_of_the_pattern(spark):
     assert sorted(map(tuple, texts_of.collect())) == sorted(map(tuple, named.select("id", E.tokens_to_text("tokens")).collect()))
 
 
-def test_words_are_counted_per_batch(spark):
+def test_words_of_ascii_and_other_texts_are_counted(spark):
     from collections import Counter
     import re
     from corpusmill.operators import vocab as V
@@ -369,7 +369,11 @@ def test_words_are_counted_per_batch(spark):
     wc = V.word_counts(df)
     want = Counter(w for t in texts if t for w in re.findall(r"[,—]|[^ ,—]+", t))
     assert dict(map(tuple, wc.collect())) == want
-    assert "Generate" not in wc._jdf.queryExecution().executedPlan().toString()     # no row per word
+    from pyspark.sql import functions as F
+    from corpusmill.functions import patterns as P
+    every = spark.createDataFrame([("".join(chr(i) + chr(j) for j in range(128)),) for i in range(128)], "t string")
+    assert all(r.a == r.b for r in every.select(F.regexp_extract_all("t", F.lit(P.WORD), 0).alias("a"),
+                                                F.regexp_extract_all("t", F.lit(P.ASCII_WORD), 0).alias("b")).collect())
 
 
 def test_neighbours_are_counted_per_batch(spark):
@@ -405,3 +409,37 @@ def test_id_lists_as_text(spark):
     c = _ints("v")
     assert [r.t for r in df.orderBy("k").select(c.alias("t")).collect()] == ["1 null -100", "", None, "7"]
     assert "transform" not in df.select(c)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_come_to_the_driver_as_distinct_stretches(spark):
+    from corpusmill.operators import bpe
+    assert bpe.stretches(list("xabyz"), {("a", "b")}) == [list("xaby")]
+    assert bpe.stretches(list("abxcd"), {("a", "b"), ("c", "d")}) == [list("abx"), list("xcd")]
+    assert bpe.stretches(list("zabcdz"), {("a", "b"), ("c", "d")}) == [list("zabcdz")]      # one: both sides may change
+    assert bpe.stretches(["a"], {("a", "b")}) == bpe.stretches(list("ba"), {("a", "b")}) == []
+    # 900 words share one stretch: 4 symbols at the driver, not 900 words
+    words = spark.createDataFrame([([str(i), "p", "a", "b", "q", str(i)], 2) for i in range(900)], "syms array<string>, n bigint")
+    assert [(r.syms, r.n) for r in bpe._cut(words, {("a", "b")}).collect()] == [(list("pabq"), 1800)]
+
+
+def test_merges_from_stretches_equal_one_at_a_time(spark):
+    import random
+    from corpusmill.operators import bpe
+    rng = random.Random(5)
+    rows = {tuple(rng.choice("aabbcd") for _ in range(rng.randrange(1, 9))): rng.randrange(1, 30) for _ in range(300)}
+    state, want, taken = [(list(w), n) for w, n in rows.items()], [], set("abcd")
+    while len(want) < 60:
+        count = {}
+        for w, n in state:
+            for p in zip(w, w[1:]):
+                count[p] = count.get(p, 0) + n
+        left = sorted((-n, *p) for p, n in count.items() if n >= 2 and bpe.merged_token(*p) not in taken)
+        if not left:
+            break
+        p = left[0][1:]
+        want.append(p)
+        taken.add(bpe.merged_token(*p))
+        state = [(bpe._replace(w, p, bpe.merged_token(*p)), n) for w, n in state]
+    words = spark.createDataFrame([(list(w), n) for w, n in rows.items()], "syms array<string>, n bigint")
+    for working, look in ((1 << 19, 16384), (400, 6)):
+        assert bpe.sequential_merges(words, 60, set("abcd"), working_symbols=working, look=look) == want
