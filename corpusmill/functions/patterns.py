@@ -9,6 +9,8 @@ RE2's is ASCII) both spellings live next to each other.
 
 from __future__ import annotations
 
+import re
+
 from .rules import NAME_ROWS
 
 # ---------------------------------------------------------------------------
@@ -42,6 +44,14 @@ def abbreviation_pattern(abbreviations=ABBREVIATIONS) -> str:
     return r"(^|[ (])(" + "|".join(abbreviations) + r")\."
 
 
+def abbreviation_dot(abbreviations=ABBREVIATIONS) -> str | None:
+    """The period alone of the same places (Java: looks back from each period, which is
+    found faster than each possible start), or None where an abbreviation has no fixed length."""
+    if not all(re.fullmatch(r"(?:[A-Za-z0-9]|\[[A-Za-z0-9-]+\])+", a) for a in abbreviations):
+        return None
+    return r"\.(?<=(?:^|[ (])(?:" + "|".join(abbreviations) + r")\.)"
+
+
 # ---------------------------------------------------------------------------
 # Word rule for vocabulary and encoding
 # ---------------------------------------------------------------------------
@@ -49,6 +59,10 @@ def abbreviation_pattern(abbreviations=ABBREVIATIONS) -> str:
 # whitespace nor punctuation.
 PUNCT = r"!-/:-@\[-`{-~\p{P}"
 WORD = rf"[{PUNCT}]|[^{WS}{PUNCT}]+"
+# The same words of an ASCII text: single characters make a bit set in Java, ranges are tested one by one.
+_MARKS = "".join("\\" + chr(c) for a, b in (("!", "/"), (":", "@"), ("[", "`"), ("{", "~")) for c in range(ord(a), ord(b) + 1))
+_SPACES = "".join(rf"\x{c:02x}" for c in (*range(9, 14), *range(28, 33)))
+ASCII_WORD = rf"[^{_SPACES}{_MARKS}]++|[{_MARKS}]"
 
 # ---------------------------------------------------------------------------
 # Personal-data detectors

@@ -76,7 +76,11 @@ def extract_lines(text) -> Column:
 
 
 def _marked_split(line, abbreviations, dot: str) -> Column:
-    c = F.regexp_replace(line, P.abbreviation_pattern(abbreviations), "$1$2" + dot)
+    at_dot = P.abbreviation_dot(abbreviations)
+    if at_dot is not None:
+        c = F.regexp_replace(line, at_dot, dot)
+    else:
+        c = F.regexp_replace(line, P.abbreviation_pattern(abbreviations), "$1$2" + dot)
     return F.regexp_replace(c, P.SENT_END, "$1" + P.END_MARK + "$2")
 
 
@@ -97,7 +101,7 @@ def split_sentences(line, abbreviations=P.ABBREVIATIONS) -> Column:
         return x
 
     escaped = F.transform(F.split(_marked_split(safe, abbreviations, esc + "c"), P.END_MARK), restored)
-    return F.when(c.rlike(f"[{P.END_MARK}{P.ABBR_MARK}]"), escaped).otherwise(plain)
+    return F.when(c.contains(P.END_MARK) | c.contains(P.ABBR_MARK), escaped).otherwise(plain)
 
 
 def extract_sentences(text, use_transliteration: bool = False,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.arrays import explode_rows
-from ..functions.words import ascii_text, other_words, split_words
+from ..functions.words import ascii_text, is_ascii, other_words, split_words  # noqa: F401
 from .bpe import CONT, merged_token, sequential_merges
 
 # Special tokens and their ids (BERT order).
@@ -29,7 +29,8 @@ CHAR = "(?s)."
 def words(text) -> Column:
     """Pre-tokenization: punctuation characters and runs of other non-space."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(t, F.lit(P.WORD), 0)
+    return F.when(is_ascii(t), F.regexp_extract_all(t, F.lit(P.ASCII_WORD), 0)).otherwise(
+        F.regexp_extract_all(t, F.lit(P.WORD), 0))
 
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:

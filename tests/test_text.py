@@ -62,3 +62,14 @@ def test_marks_in_a_line_survive_sentence_splitting(spark):
     strip = str.maketrans("", "", "\x01\x02")
     assert [x.translate(strip) for x in marked] == plain and len(plain) == 4
     assert "".join(marked).replace(" ", "") == line.replace(" ", "")
+
+
+def test_abbreviations_found_from_their_period(spark):
+    from pyspark.sql import functions as F
+    from corpusmill.functions import patterns as P
+    texts = ["A. B. c. Dr. No. xNo. etc.", "(St. Mr.Mrs. vs. 1. -a. a.b. e.g. ", ".", "Z.", " .. A..", "\tA. (Dr.)."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    at_start, at_dot = P.abbreviation_pattern(), P.abbreviation_dot()
+    assert all(r.a == r.b for r in df.select(F.regexp_replace("t", at_start, "$1$2#").alias("a"),
+                                             F.regexp_replace("t", at_dot, "#").alias("b")).collect())
+    assert P.abbreviation_dot(("x+",)) is None
