@@ -10,6 +10,7 @@ RE2's is ASCII) both spellings live next to each other.
 from __future__ import annotations
 
 import re
+import string
 
 from .rules import NAME_ROWS
 
@@ -103,6 +104,27 @@ TAG_PRIORITY = {t: i for i, t in enumerate(
 NEEDS_CONTEXT = {"LICENSE_PLATE"}
 WITH_CONTEXT = {"KEY": r"<B>[A-Fa-f0-9]{16,31}<E>"}
 
+# The same mentions, spelled so that Java rejects most places of a text by one bit set (single characters
+# make one, ranges are tested one by one) before it looks around.  All of them are group 0 but PERSON.
+_UPPER, _LOWER, _DIGITS = string.ascii_uppercase, string.ascii_lowercase, string.digits
+_LOCAL = f"[{_UPPER}{_LOWER}{_DIGITS}._%+-]"
+_HEX = f"[ABCDEFabcdef{_DIGITS}]"
+JAVA_DETECTORS = {
+    # From the @ on; the run of ``JAVA_BEFORE`` in front of it, back to the match before, belongs to the mention.
+    "EMAIL": rf"(?!\G)@(?<={_LOCAL}@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}",
+    "IP_ADDRESS": rf"(?=[{_DIGITS}])" + DETECTORS["IP_ADDRESS"],
+    "PHONE": rf"(?=[+({_DIGITS}])" + DETECTORS["PHONE"],
+    "KEY": rf"{_HEX}(?<![A-Za-z0-9_]{_HEX}){_HEX}{{31,}}+<E>",
+    "ID": rf"[{_DIGITS}](?<![A-Za-z0-9_][0-9])[0-9]{{8,}}+<E>",
+    "USER": r"@(?<=(?:^|[ (])@)[A-Za-z0-9_]{2,}+",
+    "LICENSE_PLATE": rf"(?=[{_UPPER}])<B>[A-Z]{{1,3}}+[ -][0-9]{{1,4}}+<E>",
+    "PERSON": r"(?=[DMPSHF])" + DETECTORS["PERSON"],
+}
+JAVA_GROUP = {"PERSON": 2}
+JAVA_BEFORE = {"EMAIL": _LOCAL}
+# Tag -> pattern of its strong and weak mentions, and how long the strong ones are at least.
+JAVA_EITHER = {"KEY": (JAVA_DETECTORS["KEY"].replace("{31,}", "{15,}"), 32)}
+
 # Given names of the name-list detector (``Name Surname``): the first words of the packaged
 # table that hold in every language.
 GIVEN_NAMES = tuple(name for name, lang in NAME_ROWS if lang == "*")
@@ -115,7 +137,21 @@ def _spelled(p: str, dialect: str) -> str:
 
 
 def detector_pattern(tag: str, dialect: str = "java") -> str:
-    return _spelled(DETECTORS[tag], dialect)
+    return _spelled((JAVA_DETECTORS if dialect == "java" else DETECTORS)[tag], dialect)
+
+
+def detector_group(tag: str, dialect: str = "java") -> int:
+    """The group of ``detector_pattern`` that is the mention."""
+    return JAVA_GROUP.get(tag, 0) if dialect == "java" else 2 if tag in PREFIX_GROUP else 0
+
+
+def either_pattern(tag: str) -> tuple | None:
+    """(Java pattern, length): mentions with and without need of a context word in one pass, and from
+    which length on they need none."""
+    if tag not in JAVA_EITHER:
+        return None
+    pattern, strong = JAVA_EITHER[tag]
+    return _spelled(pattern, "java"), strong
 
 
 def weak_pattern(tag: str, dialect: str = "java") -> str:
@@ -123,4 +159,5 @@ def weak_pattern(tag: str, dialect: str = "java") -> str:
 
 
 def name_list_pattern(dialect: str = "java") -> str:
-    return _spelled("<B>((?:" + "|".join(GIVEN_NAMES) + r") [A-Z][a-z]+)<E>", dialect)
+    first = "".join(sorted({name[0] for name in GIVEN_NAMES}))
+    return _spelled((f"(?=[{first}])" if dialect == "java" else "") + "<B>((?:" + "|".join(GIVEN_NAMES) + r") [A-Z][a-z]+)<E>", dialect)

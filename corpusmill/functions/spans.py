@@ -24,40 +24,55 @@ def _col(c) -> Column:
 MARK = "\x00"
 
 
-def _two_pass_spans(t: str, pattern: str, tag: str, group: int) -> str:
+def _with_run(gap: str, mention: str, before: str | None) -> str:
+    """``mention`` with the characters of ``before`` that end the gap in front of it."""
+    if not before:
+        return mention
+    return f"concat(reverse(regexp_extract(reverse({gap}), {sql_string(f'^{before}*')}, 0)), {mention})"
+
+
+def _two_pass_spans(t: str, pattern: str, tag: str, group: int, before: str | None) -> str:
     """Matches from ``regexp_extract_all`` and gaps from ``split``, in one zip."""
     p = sql_string(pattern)
     items = (f"transform(arrays_zip(regexp_extract_all({t}, {p}, 0), regexp_extract_all({t}, {p}, {group}), split({t}, {p}, -1)), "
-             "z -> named_struct('m', z['0'], 'g', z['1'], 'gap', z['2']))")
+             f"z -> named_struct('m', z['0'], 'g', {_with_run("z['2']", "z['1']", before)}, 'gap', z['2']))")
     end = "(a.st + coalesce(length(x.gap) + length(x.m), 0))"
     span = f"named_struct('start', {end} - length(x.g), 'end', {end}, 'text', x.g, 'tag', {sql_string(tag)})"
     return scan_sql(items, "0L", end, f"if(x.m IS NULL, NULL, array({span}))", SPAN_TYPE)
 
 
-def _one_pass_spans(t: str, pattern: str, tag: str, group: int) -> str:
+def _one_pass_spans(t: str, pattern: str, tag: str, group: int, before: str | None) -> str:
     """One regex pass: mark each mention with ``\x00`` on both sides, split
     on the mark (a literal), and walk the pieces; odd pieces are mentions."""
     mark = sql_string(MARK)
     repl = f"{MARK}$0{MARK}" if not group else f"$1{MARK}${group}{MARK}"
-    parts = f"split(regexp_replace({t}, {sql_string(pattern)}, {sql_string(repl)}), {mark}, -1)"
-    span = f"named_struct('start', a.st.pos, 'end', a.st.pos + length(x), 'text', x, 'tag', {sql_string(tag)})"
-    return scan_sql(parts, "named_struct('pos', 0L, 'odd', false)",
-                    "named_struct('pos', a.st.pos + length(x), 'odd', NOT a.st.odd)",
-                    f"if(a.st.odd, array({span}), NULL)", SPAN_TYPE)
-
-
-def regex_spans(text, pattern: str, tag: str, group: int = 0) -> Column:
+    if before:
+        mention = f"transform(array({_with_run('a.st.gap', 'x', before)}), m -> "
+        span = f"{mention}named_struct('start', a.st.pos + length(x) - length(m), 'end', a.st.pos + length(x), 'text', m, 'tag', {sql_string(tag)}))"
+    else:
+        span = f"array(named_struct('start', a.st.pos, 'end', a.st.pos + length(x), 'text', x, 'tag', {sql_string(tag)}))"
+    gap = ("", "") if not before else (", 'gap', ''", ", 'gap', if(a.st.odd, '', x)")
+    walk = scan_sql(f"split(r, {mark}, -1)", f"named_struct('pos', 0L, 'odd', false{gap[0]})",
+                    f"named_struct('pos', a.st.pos + length(x), 'odd', NOT a.st.odd{gap[1]})",
+                    f"if(a.st.odd, {span}, NULL)", SPAN_TYPE)
+    # Most texts have no mention of a type and are not split.
+    return (f"transform(array(regexp_replace({t}, {sql_string(pattern)}, {sql_string(repl)})), "
+            f"r -> if(NOT contains(r, {mark}), cast(array() AS array<{SPAN_TYPE}>), {walk}))[0]")
+
+
+def regex_spans(text, pattern: str, tag: str, group: int = 0, before: str | None = None) -> Column:
     """array<struct<start,end,text,tag>> of the matches of ``pattern`` in the column
     ``text`` (its name, or ``F.col`` of it).
 
     With ``group > 0`` the match must be group 1 followed by group ``group``
     (a consumed prefix such as a leading space or an honorific) and the
-    mention is group ``group``.  Texts without ``\x00`` take one regex pass;
+    mention is group ``group``.  With ``before``, a class of characters, the run of them between
+    the match before and this one belongs to the mention.  Texts without ``\x00`` take one regex pass;
     the rare text that contains the marker takes the two-pass form.
     """
     t = f"`{text if isinstance(text, str) else text._jc.toString()}`"
-    return F.expr(f"CASE WHEN instr({t}, {sql_string(MARK)}) > 0 THEN {_two_pass_spans(t, pattern, tag, group)} "
-                  f"ELSE {_one_pass_spans(t, pattern, tag, group)} END")
+    return F.expr(f"CASE WHEN contains({t}, {sql_string(MARK)}) THEN {_two_pass_spans(t, pattern, tag, group, before)} "
+                  f"ELSE {_one_pass_spans(t, pattern, tag, group, before)} END")
 
 
 def context_of(text, span, window: int) -> Column:

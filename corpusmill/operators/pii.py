@@ -58,12 +58,15 @@ def has_context(text, span, lang, tag: str, window: int, rules: ContextRules = R
 def detect_type(text, lang, tag: str, context_window: int = 20, rules: ContextRules = RULES) -> Column:
     """F1a-g: spans of one regex type (context-filtered where required)."""
     t = _col(text)
-    group = 2 if tag in P.PREFIX_GROUP else 0
-    spans = SP.regex_spans(text, P.detector_pattern(tag, "java"), tag, group)
 
     def near(s):
         return has_context(t, s, lang, tag, context_window, rules)
 
+    if (either := P.either_pattern(tag)) is not None:       # both kinds in one pass
+        pattern, strong = either
+        return F.filter(SP.regex_spans(text, pattern, tag), lambda s: F.when(
+            s["end"] - s["start"] >= strong, True).otherwise(near(s)))
+    spans = SP.regex_spans(text, P.detector_pattern(tag, "java"), tag, P.detector_group(tag), P.JAVA_BEFORE.get(tag))
     if tag in P.NEEDS_CONTEXT:
         spans = F.filter(spans, near)
     if tag in P.WITH_CONTEXT:
@@ -101,7 +104,8 @@ def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
     if not parts:
         return _empty_spans()
     union = F.concat(*parts) if len(parts) > 1 else parts[0]
-    return SP.covering_spans(SP.sort_spans(union, P.TAG_PRIORITY), P.TAG_PRIORITY)
+    return let(union, lambda found: F.when(F.size(found) == 0, _empty_spans()).otherwise(
+        SP.covering_spans(SP.sort_spans(found, P.TAG_PRIORITY), P.TAG_PRIORITY)))
 
 
 def surrogate(tag, mention, seed: int = 0) -> Column:

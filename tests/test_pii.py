@@ -176,3 +176,55 @@ def test_people_keep_apart(spark):
     text = " and ".join(f"Dr. {a}{b} Smith" for a in ("Ann", "Bob", "Cec", "Dan") for b in ("a", "b", "c", "d", "e"))
     doc = pii.anonymize(spark.createDataFrame([(text,)], "text string"), "text", None).first().doc
     assert len({m.text for m in doc.ner}) >= 19 and len(doc.ner) == 20
+
+
+# Pieces that meet, overlap and continue each other.
+PIECES = ["a", "Z", "7", "4321", "@", ".", "-", " ", "(", ")", "+", "_", "%", "\x00", "\n", "é", "𝒳", "com", "ann@x.org", "b@c.de1d@e.fr", "@jo_d",
+          "10.0.0.25", "255.1", "256.", "(212) 555-0100", "212-555-0100", "+1 ", "deadbeef", "0123456789abcdef", "ABC 1234", "AB-12", "plate ",
+          "token ", "123456789", "Dr. ", "Mr Ana", " Silva", "Mary Ann", " Smith", "José Perez", "Jürgen Ott"]
+
+
+def test_java_spellings_find_the_same_mentions(spark):
+    """The fast spellings against the plain ones of ``DETECTORS``, on texts of random pieces."""
+    import random
+    from corpusmill.functions import patterns as P
+    from corpusmill.functions.spans import regex_spans
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "text string").repartition(8)
+
+    def plain(tag, pattern, group=0):
+        return regex_spans("text", P._spelled(pattern, "java"), tag, group)
+
+    lang, n = F.lit("en"), 0
+    for tag, pattern in P.DETECTORS.items():
+        want = plain(tag, pattern, 2 if tag in P.PREFIX_GROUP else 0)
+        def near(s):
+            return pii.has_context(F.col("text"), s, lang, tag, 20)
+        if tag in P.NEEDS_CONTEXT:
+            want = F.filter(want, near)
+        if tag in P.WITH_CONTEXT:
+            want = F.sort_array(F.concat(want, F.filter(plain(tag, P.WITH_CONTEXT[tag]), near)))
+        if tag in ("EMAIL", "USER"):
+            want = F.when(F.col("text").contains("@"), want).otherwise(F.array().cast(want_type()))
+        rows = df.select("text", want.alias("want"), pii.detect_type("text", lang, tag).alias("got")).collect()
+        for r in rows:
+            assert r.got == r.want, (tag, r.text)
+        n = max(n, sum(len(r.got or ()) for r in rows))
+        assert any(r.got for r in rows), tag
+    assert n > 500
+
+
+def want_type():
+    from corpusmill.functions.spans import SPAN_TYPE
+    return f"array<{SPAN_TYPE}>"
+
+
+def test_long_runs_are_read_once(spark):
+    """A run of 150,000 letters beside an address costs no step per pair of its letters."""
+    import time
+    df = spark.createDataFrame([("x" * 150_000 + " ann@x.org",)], "text string")
+    df.select(pii.detect_type("text", F.lit("en"), "EMAIL").alias("e")).first()
+    start = time.perf_counter()
+    spans = df.select(pii.detect_type("text", F.lit("en"), "EMAIL").alias("e")).first().e
+    assert [(s.start, s.text) for s in spans] == [(150_001, "ann@x.org")] and time.perf_counter() - start < 5
