@@ -29,10 +29,12 @@ from __future__ import annotations
 
 import copy
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +45,8 @@ MIN_CONTAINED = 3
 MAX_BROADCAST = 200_000
 # Bytes of window hashes that may go with a task when the windows themselves are too many.
 HASH_BYTES = 128 << 20
+# Bytes of text whose words are cut and looked up together.
+PART_BYTES = 2 << 20
 
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 # Unit words.
@@ -56,10 +60,14 @@ _WITH_UNIT = re.compile(r"([+-]?\d[\d.,:/]*)([a-z]+)$", re.IGNORECASE)
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 
 
+def ends_sentence(word: str) -> bool:
+    return not set(".!?").isdisjoint(word[len(word.rstrip(_EDGES)):])
+
+
 def template_token(word: str) -> tuple:
     """(literal or placeholder, slot value or None, may be a name, ends a sentence)."""
     core = word.strip(_EDGES)
-    ends = not set(".!?").isdisjoint(word[len(word.rstrip(_EDGES)):])
+    ends = ends_sentence(word)
     if not core:
         return (UNIT, word, False, ends) if word in ("%", "$") else (word, None, False, ends)
     if _NUMBER.match(core):
@@ -88,29 +96,77 @@ class _Coder(dict):
 
     def __init__(self):
         self.table = np.zeros((1024, 6), np.uint64)
+        # Of words not in the table yet: their literals, and whole rows where more is set.
+        self.literals, self.others = array("Q"), []
 
     def __missing__(self, word):
         text = word.decode("utf-8", "replace")
+        n = self[word] = len(self)
+        core = text.strip(_EDGES)
+        if core.isalpha() and (low := core.lower()) not in UNITS:
+            # Most words: no figure and no unit.  The same row as below.
+            literal = xxhash.xxh64_intdigest(low)
+            name = core[0].isupper() and core[1:] != core[1:].upper()
+            ends = len(core) < len(text) and ends_sentence(text)
+            self.literals.append(literal)
+            if name or ends:
+                self.others.append((n, (literal, 0, xxhash.xxh64_intdigest(core) | 1 if name else 0, ends, 0, 0)))
+            return n
         parts = with_unit(text)
         token, slot, name, ends = template_token(parts[0] if parts else text)
         if parts:
             ends = template_token(text)[3]
-        n = len(self)
-        if n == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        own = xxhash.xxh64_intdigest(text.strip(_EDGES)) | 1
-        self.table[n] = (xxhash.xxh64_intdigest(token), 0 if slot is None else xxhash.xxh64_intdigest(slot) | 1,
-                         own if name else 0, ends,
-                         xxhash.xxh64_intdigest(parts[1].lower()) | 1 if parts else 0,
-                         xxhash.xxh64_intdigest(text.strip(_EDGES).lower()) if token == UNIT else 0)
-        self[word] = n
+        literal = xxhash.xxh64_intdigest(token)
+        self.literals.append(literal)
+        self.others.append((n, (literal, 0 if slot is None else xxhash.xxh64_intdigest(slot) | 1,
+                                xxhash.xxh64_intdigest(core) | 1 if name else 0, ends,
+                                xxhash.xxh64_intdigest(parts[1].lower()) | 1 if parts else 0,
+                                xxhash.xxh64_intdigest(core.lower()) if token == UNIT else 0)))
         return n
 
     def rows(self, words: list) -> np.ndarray:
         if len(self) > self.LIMIT:
             self.clear()
+        known = len(self)
         index = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.table[index]  # only now: new words may have replaced the table
+        if len(self) > known:
+            self._fill(known)
+        return self.table[index]
+
+    def texts(self, column: pa.Array):
+        """The rows of the words of each text, null ones included.
+
+        Some megabytes of text are cut at a time ([\x20\x09-\x0D] in Arrow, as in
+        ``bytes.split``), and each different word in them is looked up once.
+        """
+        if not len(column):
+            return
+        column = column.cast(pa.large_string()).fill_null("")
+        upto = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False)) // PART_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(column)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            lists = pc.ascii_split_whitespace(column.slice(lo, hi - lo))
+            words = lists.flatten().dictionary_encode()
+            distinct = words.dictionary.cast(pa.large_binary()).to_pylist()
+            rows, index = self.rows(distinct), words.indices.to_numpy()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+            if b"" in distinct:             # white space at an end of a text
+                full = index != distinct.index(b"")
+                ends = np.concatenate([[0], np.cumsum(full)])[ends]
+                index = index[full]
+            yield from np.split(rows[index], ends[:-1])
+
+    def _fill(self, known: int):
+        """Put the new words into the table at once."""
+        n = len(self)
+        if n > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(n, len(self.table)), 6), np.uint64)])
+        self.table[known:n] = 0
+        self.table[known:n, 0] = self.literals
+        if self.others:
+            at, rows = zip(*self.others)
+            self.table[list(at)] = np.array(rows, np.uint64)
+        self.literals, self.others = array("Q"), []
 
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -131,11 +187,9 @@ class Encoded:
     their first word as a literal and, if capitalised, as a name.
     """
 
-    def __init__(self, text, coder: _Coder):
-        # bytes.split() splits at exactly [\x20\x09-\x0D].
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        t = coder.rows(words)
-        self.word = np.arange(len(words))  # the word that holds a token
+    def __init__(self, t: np.ndarray):
+        """``t``: rows of the words (``_Coder``), which may be written over."""
+        self.word = np.arange(len(t))  # the word that holds a token
         if t[:, 4].any():
             split = t[:, 4] != 0
             self.word = np.repeat(self.word, 1 + split)
@@ -236,8 +290,8 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         coder = _Coder()
         for batch in batches:
             out = []
-            for item, text in zip(*(c.to_pylist() for c in batch.columns)):
-                e = Encoded(text, coder)
+            for item, rows in zip(batch.column(0).to_pylist(), coder.texts(batch.column(1))):
+                e = Encoded(rows)
                 size = min(window, e.n)
                 for x in (e, e.lowered()) if e.name_slot.any() else (e,):
                     for h, i, as_name in zip(*x.hashes(size)):
@@ -297,8 +351,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     def run(batches):
         lookup, coder = _Lookup(shared.value), _Coder()
         for batch in batches:
-            out = [(doc, item, len(w), min(w), max(w.values())) for doc, text in zip(*(c.to_pylist() for c in batch.columns))
-                   for item, w in lookup.hits(Encoded(text, coder)).items()]
+            out = [(doc, item, len(w), min(w), max(w.values()))
+                   for doc, rows in zip(batch.column(0).to_pylist(), coder.texts(batch.column(1)))
+                   for item, w in lookup.hits(Encoded(rows)).items()]
             yield _batch(out, HITS)
 
     return src.mapInArrow(run, HITS_SCHEMA)
@@ -321,8 +376,8 @@ def _shuffled(src: DataFrame, wins: DataFrame) -> DataFrame:
         coder = _Coder()
         hashes = None if known is None else np.frombuffer(known.value, np.uint64)
         for batch in batches:
-            for row, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-                e = Encoded(text, coder)
+            for row, doc, rows in zip(*(c.to_pylist() for c in batch.columns[:2]), coder.texts(batch.column(2))):
+                e = Encoded(rows)
                 for s in sizes:
                     if s < MIN_CONTAINED and s != e.n:
                         continue

@@ -134,3 +134,47 @@ def test_units_only_beside_figures(spark):
     got = {r.doc_id: r.n_windows for r in decontam.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     # A unit that starts a window has no figure before it there and counts as a word.
     assert got[2] == 7 and got[0] == 6 and got.get(1, 0) < 6
+
+
+def test_rows_of_words_are_those_of_their_tokens(monkeypatch):
+    """The table against ``template_token`` word by word, also when the cache starts again;
+    words without figure or unit are not matched against patterns."""
+    import random
+    import xxhash
+    rng = random.Random(3)
+    pieces = ["a", "km", "Anna", "USA", "ß", "Ω", "𝐀b", "ǅx", "x1", "12", "5kg", "3rd", "-", "'", ".", "!", "\"", "%", "$", "é", "İ", ","]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 4))) for _ in range(4000)]
+
+    def digest(x):
+        return xxhash.xxh64_intdigest(x)
+
+    def want(text):
+        parts = decontam.with_unit(text)
+        token, slot, name, ends = decontam.template_token(parts[0] if parts else text)
+        core = text.strip(decontam._EDGES)
+        return [digest(token), 0 if slot is None else digest(slot) | 1, digest(core) | 1 if name else 0,
+                int(decontam.template_token(text)[3] if parts else ends), digest(parts[1].lower()) | 1 if parts else 0,
+                digest(core.lower()) if token == decontam.UNIT else 0]
+
+    monkeypatch.setattr(decontam._Coder, "LIMIT", 500)
+    coder = decontam._Coder()
+    for lo in range(0, len(texts), 100):
+        part = texts[lo:lo + 100]
+        assert coder.rows([t.encode() for t in part]).tolist() == [want(t) for t in part]
+    calls = []
+    monkeypatch.setattr(decontam, "template_token", lambda word: calls.append(word))
+    decontam._Coder().rows([f"{a}{b}{c}".encode() for a in "abcX" for b in "klm" for c in ("op", "pq,", "qr.")])
+    assert not calls
+
+
+def test_words_of_texts_are_cut_at_ascii_white_space(monkeypatch):
+    import pyarrow as pa
+    texts = ["", None, " ", "one", " a  b\t", "".join(f"w{chr(c)}" for c in range(1, 256)), "x\u2003y\u00a0z\x85 ä",
+             "\n\none two", "one " * 50, "end"]
+    for size in (1, 20, 1 << 20):
+        monkeypatch.setattr(decontam, "PART_BYTES", size)
+        coder = decontam._Coder()
+        got = list(coder.texts(pa.array(texts)))
+        assert len(got) == len(texts) and list(coder.texts(pa.array([], pa.string()))) == []
+        for t, rows in zip(texts, got):
+            assert rows.tolist() == coder.rows((t or "").encode().split()).tolist()
