@@ -273,7 +273,7 @@ class Block:
         x, y = self.sets[a], self.sets[b]
         at = np.minimum(np.searchsorted(y, x), len(y) - 1)
         if linked(int((y[at] == x).sum()), self.sizes[a], self.sizes[b]) and self.forest.join(a, b):
-            self.links.append((a, b))
+            self.links.append((min(a, b), max(a, b)))
 
     def link_neighbours(self) -> None:
         """Compares each set with the one before it in its shortest lists, and
@@ -365,7 +365,7 @@ class Block:
 
 
 def spanning_links(sets: list) -> list:
-    """Pairs of set numbers that span the components of the block's links."""
+    """Pairs of set numbers, the smaller first, that span the components of the block's links."""
     block = Block(sets)
     if len(block.first):
         block.link_neighbours()
