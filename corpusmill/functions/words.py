@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import sys
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -75,3 +77,40 @@ def split_words(text: pa.Array, others: pa.Array) -> tuple:
     first = np.cumsum(size) - size
     take = np.repeat(start - first, size) + np.arange(size.sum())
     return size, pa.concat_arrays([words, others.flatten().cast(pa.string())]).take(pa.array(take))
+
+
+# Bytes of text cut into words at once, and distinct words that a task holds before it hands them on.
+SLICE, HELD = 1 << 22, 1 << 18
+
+
+def slices(text: pa.Array, others: pa.Array) -> Iterator:
+    """The two columns in pieces of about ``SLICE`` bytes of text (a row stays whole)."""
+    size = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    size += 8 * pc.fill_null(pc.list_value_length(others), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size) // SLICE
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(text)]
+    for i, j in zip(cuts, cuts[1:]):
+        if j > i:
+            yield text.slice(i, j - i), others.slice(i, j - i)
+
+
+def count_words(batches) -> Iterator:
+    """(word, n) of batches of (ASCII text or NULL, words of other texts or NULL): equal words of a task are counted
+    together as long as they are few."""
+    def together(tables):
+        return pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+    held, rows, limit = [], 0, HELD
+    for batch in batches:
+        for text, others in slices(batch.column(0), batch.column(1)):
+            counts = split_words(text, others)[1].value_counts()
+            held.append(pa.table({"word": counts.field(0), "n": counts.field(1)}))
+            rows += len(counts)
+        if rows >= 2 * limit:
+            held = [together(held)]
+            rows = held[0].num_rows
+            if rows >= limit:
+                yield from held[0].to_batches()
+                held, rows = [], 0
+    if held:
+        yield from together(held).to_batches()

@@ -1,24 +1,19 @@
-"""Exact sequential merges of a subword vocabulary (K1), with delta counts.
-
-State lives in two tables that are rewritten by deltas: ``words`` (the symbols
-of each distinct word, its count) and ``pairs`` (how often each adjacent pair
-occurs, and how many symbols the words that hold it have).  A round takes a run of
-merges that is provably the one that merging one pair at a time would take, finds the
-words that hold one of them, rewrites these words only, and adds the difference of
-their pairs to ``pairs``.
-
-How a round finds its merges:
-
-* Working set.  Of every word, the stretches that hold one of the best ``m`` pairs are cut out, with one
-  symbol on either side, and equal ones are counted together: what comes to the driver grows with the
-  number of different stretches, not of words.  Every occurrence of these pairs, and of all pairs that
-  merging them makes, is in a stretch, so their counts stay exact there; any other pair ranks
-  below pair ``m + 1`` and can only lose.  Merging goes on until the best pair would rank below
-  that one, or would meet a symbol beyond its stretch.  ``m`` follows from ``WORKING_SYMBOLS`` and ``LOOK``.
-* Where the stretches of the best pair alone are more than that, the longest prefix of the
-  ranking is taken whose pairs do not touch each other and outnumber every pair that
-  the merges before them make (an upper bound from the neighbours of the pair, one aggregate).
-  No word leaves the cluster then.
+"""Exact sequential merges of a subword vocabulary (K1).
+
+State is one table: the symbols of each distinct word as int32 codes, and the count of the word.
+A round takes a run of merges that is provably the one that merging one pair at a time would take:
+
+* All pairs are counted, and a floor is chosen: the count that some ``m`` pairs reach.
+* Every word is cut wherever a pair counts less than the floor.  Equal pieces are counted together and come to the
+  driver, ``WORKING_SYMBOLS`` symbols at most; ``m`` follows from that.
+* There one pair after the other is merged (``merge_pieces``) until the best one counts less than the floor.  A pair that
+  merging makes occurs at most as often as the pair at its seam.  So a pair across a cut stays
+  below the floor for ever, and all others are counted in full in the pieces.
+* The words are rewritten with these merges, batch by batch.
+
+Where all symbols left fit, whole words come to the driver and the round is the last one.  Where even the
+pairs of the highest count are too many, the first of them in order are merged from the stretches
+around them (``stretches``, with the symbol on either side), or just the first one.
 
 Words of one symbol have no pairs and leave the table.
 
@@ -31,48 +26,448 @@ from __future__ import annotations
 import heapq
 import sys
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import sql_string
 from ..sources.staging import stage
 
 # The UDF travels with its code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CONT = "##"
-# Symbols of stretches at the driver in one round, whatever the corpus.
-WORKING_SYMBOLS = 1 << 19
+# Symbols of pieces at the driver in one round, whatever the corpus (about 70 bytes each there).
+WORKING_SYMBOLS = 1 << 22
 # Pairs looked at in one round: at most, and in the first one.
-LOOK = 16384
-FIRST = 32
-_SEP = "\x00"
+LOOK = 1 << 18
+FIRST = 64
+# Tied pairs merged from stretches in one round, and their symbols.
+TIED, TIED_SYMBOLS = 256, 1 << 19
+# Bytes of symbols that a task works on at once.
+CHUNK = 1 << 22
+# Code of a character inside a word, less that of the same character at its start.
+INNER = 0x110000
+# Longer words are merged one by one, in time that does not grow with the square of their length.
+LONG = 256
+_COUNTED, _NONE, _END, _GONE = "left int, right int, n bigint", 1 << 30, -1, -2
 
 
 def merged_token(left: str, right: str) -> str:
     return left + (right[len(CONT):] if right.startswith(CONT) else right)
 
 
-def _neighbours(syms: Column) -> Column:
-    """array<struct<left, right>> of a symbol array with two symbols or more."""
-    n = F.size(syms) - 1
-    return F.arrays_zip(F.slice(syms, F.lit(1), n).alias("left"), F.slice(syms, F.lit(2), n).alias("right"))
+# ----------------------------------------------------------------- words as codes
+def packed(codes: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """One binary of int32 codes per word."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(
+        np.ascontiguousarray(codes, np.int32))])
+
+
+def unpacked(column: pa.Array) -> tuple:
+    """(codes, number of codes per word) of a binary array."""
+    if not len(column):
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(data.tobytes(), np.int32), np.diff(ends) // 4
+
+
+def _chunks(batches):
+    """(codes, number of codes per word, count per word), some ``CHUNK`` bytes at a time."""
+    held, size = [], 0
+
+    def together():
+        table = pa.Table.from_batches(held).combine_chunks()
+        codes, sizes = unpacked(table.column(0).chunk(0))
+        return codes, sizes, table.column(1).to_numpy()
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(0).nbytes
+        if size >= CHUNK:
+            yield together()
+            held, size = [], 0
+    if held:
+        yield together()
+
+
+def coded_words(words: DataFrame) -> DataFrame:
+    """(syms, n) of (word, n): a character is coded by its code point, plus ``INNER`` inside the word."""
+    def code(batches):
+        for batch in batches:
+            column = batch.column(0)
+            sizes = pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+            codes = np.frombuffer("".join(column.to_pylist()).encode("utf-32-le"), np.int32) + np.int32(INNER)
+            codes[(np.cumsum(sizes) - sizes)[sizes > 0]] -= INNER
+            yield pa.RecordBatch.from_arrays([packed(codes, sizes), batch.column(1)], ["syms", "n"])
+
+    return words.select("word", "n").mapInArrow(code, "syms binary, n bigint")
+
+
+def coded_name(code: int) -> str:
+    return chr(code) if code < INNER else CONT + chr(code - INNER)
+
+
+def symbol_counts(words: DataFrame) -> DataFrame:
+    """(code, n): how often each symbol occurs."""
+    def count(batches):
+        for codes, sizes, n in _chunks(batches):
+            found, at = np.unique(codes, return_inverse=True)
+            total = np.zeros(len(found), np.int64)
+            np.add.at(total, at, np.repeat(n, sizes))
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total)], ["code", "n"])
+
+    return words.mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def _runs(keys: np.ndarray) -> tuple:
+    """(order, starts): a stable order of ``keys`` and where each value begins in it."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+
+def _pair_keys(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """left << 32 | right at each symbol but the last; -1 across words."""
+    keys = (codes[:-1].astype(np.int64) << 32) | codes[1:]
+    keys[np.cumsum(sizes)[:-1] - 1] = -1
+    return keys
+
+
+def coded_pairs(words: DataFrame) -> DataFrame:
+    """(left, right, n): how often each pair of adjacent codes occurs.  Words have two symbols at least."""
+    def count(batches):
+        for codes, sizes, n in _chunks(batches):
+            keys = _pair_keys(codes, sizes)
+            inside = keys >= 0
+            keys, n = keys[inside], np.repeat(n, sizes)[:-1][inside]
+            order, starts = _runs(keys)
+            found = keys[order[starts]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array((found >> 32).astype(np.int32)), pa.array((found & 0xFFFFFFFF).astype(np.int32)),
+                pa.array(np.add.reduceat(n[order], starts))], ["left", "right", "n"])
+
+    return words.mapInArrow(count, _COUNTED).groupBy("left", "right").agg(F.sum("n").alias("n"))
+
+
+def cut_words(words: DataFrame, known: np.ndarray) -> DataFrame:
+    """(syms, n): the different pieces of all words between pairs that are not in ``known`` (sorted keys), and
+    how often each occurs.  Pieces of one symbol are left out."""
+    shared = words.sparkSession.sparkContext.broadcast(known)
+
+    def cut(batches):
+        known = shared.value
+        for codes, sizes, n in _chunks(batches):
+            keys = _pair_keys(codes, sizes)
+            hit = np.zeros(len(codes) + 1, bool)            # whether a symbol holds on to the one before it
+            hit[1:-1] = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+            first = hit[1:] & ~hit[:-1]
+            inside = hit[1:] | hit[:-1]
+            kept = codes[inside]
+            if not len(kept):
+                continue
+            starts = np.flatnonzero(first[inside])
+            n = np.repeat(n, sizes)[inside][starts]
+            pieces = pa.table({"syms": packed(kept, np.diff(np.append(starts, len(kept)))), "n": n})
+            for batch in pieces.group_by("syms").aggregate([("n", "sum")]).select(["syms", "n_sum"]).rename_columns(
+                    ["syms", "n"]).to_batches():
+                yield batch
+
+    return words.mapInArrow(cut, "syms binary, n bigint").groupBy("syms").agg(F.sum("n").alias("n"))
+
+
+# ----------------------------------------------------------------- merges
+def merge_pieces(codes: np.ndarray, sizes: np.ndarray, n: np.ndarray, names: dict, first: int, floor: int, room: int,
+                 taken: set) -> list:
+    """The next merges (left, right) while the best pair counts ``floor`` at least; merge ``i`` makes code ``first + i``.
+
+    ``names`` (code -> symbol) and ``taken`` are extended.  The symbols are linked chains; places
+    of a pair are found once, when the later of its two symbols is made: from then on they only get fewer, so
+    its count is looked up again only when it is the highest.  Pairs made below the floor are never looked at.
+    """
+    # A symbol that ends every chain stands before the first, between two, and after the last.
+    sym = np.full(len(codes) + len(sizes) + 1, _END, np.int32)
+    at = np.arange(len(codes)) + np.repeat(np.arange(1, len(sizes) + 1), sizes)
+    sym[at] = codes
+    weight = np.zeros(len(sym), np.int64)
+    weight[at] = np.repeat(n, sizes)
+    after, before = np.arange(1, len(sym) + 1, dtype=np.int32), np.arange(-1, len(sym) - 1, dtype=np.int32)
+    del at
+    heap, places, out = [], {}, []
+
+    def add(symbols, where, make):
+        """Note the pairs ``make(symbol)`` at ``where``, those that count enough."""
+        if not len(symbols):
+            return
+        order, starts = _runs(symbols)
+        total = np.add.reduceat(weight[where[order]], starts)
+        much = np.flatnonzero(total >= floor)
+        if not len(much):
+            return
+        ends = np.append(starts[1:], len(order))
+        for s, i, j, t in zip(symbols[order[starts[much]]].tolist(), starts[much].tolist(), ends[much].tolist(), total[much].tolist()):
+            left, right = make(s)
+            places[left, right] = where[order[i:j]]
+            heapq.heappush(heap, (-t, names[left], names[right], left, right))
+
+    pairs = np.flatnonzero((sym[:-1] >= 0) & (sym[1:] >= 0)).astype(np.int32)
+    add((sym[pairs].astype(np.int64) << 32) | sym[pairs + 1], pairs, lambda key: (key >> 32, key & 0xFFFFFFFF))
+    del pairs
+    while heap and len(out) < room:
+        count, left_name, right_name, left, right = heapq.heappop(heap)
+        where = places.pop((left, right))
+        where = where[(sym[where] == left) & (sym[after[where]] == right)]
+        total = int(weight[where].sum())
+        if total != -count:
+            if total >= floor:
+                places[left, right] = where
+                heapq.heappush(heap, (-total, left_name, right_name, left, right))
+            continue
+        token = merged_token(left_name, right_name)
+        if token in taken:
+            continue
+        taken.add(token)
+        code = first + len(out)
+        names[code] = token
+        out.append((left, right))
+        if left == right:
+            where = where[_every_second(after[where[:-1]] == where[1:])]
+        gone = after[where]
+        follow = after[gone]
+        sym[where], sym[gone], after[where], before[follow] = code, _GONE, follow, where
+        follow, lead = sym[follow], before[where]
+        ahead = sym[lead]
+        use = follow >= 0
+        add(follow[use], where[use], lambda s: (code, s))
+        use = (ahead >= 0) & (ahead != code)
+        add(ahead[use], lead[use], lambda s: (s, code))
+    return out
+
+
+def _every_second(joined: np.ndarray) -> np.ndarray:
+    """Of places in order, where ``joined[i]`` says that place i + 1 overlaps place i: those that are merged from the left."""
+    i = np.arange(len(joined) + 1)
+    start = np.concatenate([[True], ~joined])
+    return (i - np.maximum.accumulate(np.where(start, i, 0))) % 2 == 0
+
+
+def merge_word(symbols: list, rank: dict, first: int) -> list:
+    """All merges of ``rank`` (pair -> order) applied to one word, in their order."""
+    symbols, after, before = list(symbols), list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
+    heap = [(rank[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in rank]
+    heapq.heapify(heap)
+    while heap:
+        r, i = heapq.heappop(heap)
+        j = after[i]
+        if symbols[i] is None or j >= len(symbols) or rank.get((symbols[i], symbols[j])) != r:
+            continue
+        k = after[i] = after[j]
+        symbols[i], symbols[j] = first + r, None
+        if k < len(symbols):
+            before[k] = i
+        for a, b in ((before[i], i), (i, k)):
+            if a >= 0 and b < len(symbols) and (symbols[a], symbols[b]) in rank:
+                heapq.heappush(heap, (rank[symbols[a], symbols[b]], a))
+    return [s for s in symbols if s is not None]
+
+
+def merge_words(codes: np.ndarray, sizes: np.ndarray, keys: np.ndarray, order: np.ndarray, first: int) -> tuple:
+    """(codes, sizes) after merges given as sorted pair ``keys`` and the ``order`` of each.
+
+    In every step each word has all places of its first merge replaced; a merge makes only pairs that come later.
+    """
+    def ranks(left, right):
+        wanted = (left.astype(np.int64) << 32) | right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, order[at], _NONE)
+
+    out, alive = codes.copy(), np.ones(len(codes), bool)
+    starts = np.cumsum(sizes) - sizes
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    rank = np.full(len(codes), _NONE, np.int32)
+    rank[:-1] = np.where(word[1:] == word[:-1], ranks(codes[:-1], codes[1:]), _NONE)
+    long = np.flatnonzero(sizes > LONG)
+    if len(long):
+        table = {(k >> 32, k & 0xFFFFFFFF): r for k, r in zip(keys.tolist(), order.tolist())}
+        for i in long.tolist():
+            at, end = starts[i], starts[i] + sizes[i]
+            new = merge_word(codes[at:end].tolist(), table, first)
+            out[at:at + len(new)] = new
+            alive[at + len(new):end] = False
+            rank[at:end] = _NONE
+    place = np.arange(len(codes), dtype=np.int64)
+    sym = codes.copy()
+    while len(sym):
+        begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        best, size = np.minimum.reduceat(rank, begin), np.diff(np.append(begin, len(word)))
+        left = best < _NONE
+        if not left.all():
+            keep = np.repeat(left, size)
+            sym, word, rank, place, best, size = sym[keep], word[keep], rank[keep], place[keep], best[left], size[left]
+            if not len(sym):
+                break
+        hit = np.flatnonzero(rank == np.repeat(best, size))
+        hit = hit[_every_second(hit[1:] == hit[:-1] + 1)]
+        sym[hit] = rank[hit] + first
+        out[place[hit]] = sym[hit]
+        alive[place[hit + 1]] = False
+        keep = np.ones(len(sym), bool)
+        keep[hit + 1] = False
+        sym, word, rank, place = sym[keep], word[keep], rank[keep], place[keep]
+        hit -= np.arange(len(hit))                      # where the tokens are among the symbols kept
+        rank[hit] = _NONE
+        for i in (hit - 1, hit):
+            i = i[(i >= 0) & (i + 1 < len(sym))]
+            rank[i] = np.where(word[i] == word[i + 1], ranks(sym[i], sym[i + 1]), _NONE)
+    return out[alive], np.add.reduceat(alive, starts, dtype=np.int64) if len(sizes) else sizes
+
+
+def rewritten(words: DataFrame, merges: list, first: int) -> DataFrame:
+    """The words after ``merges`` (left, right), those that have two symbols or more."""
+    pairs = np.array(merges, np.int64)
+    keys = (pairs[:, 0] << 32) | pairs[:, 1]
+    order = np.argsort(keys)
+    shared = words.sparkSession.sparkContext.broadcast((keys[order], order.astype(np.int32)))
+
+    def rewrite(batches):
+        for codes, sizes, n in _chunks(batches):
+            codes, sizes = merge_words(codes, sizes, *shared.value, first)
+            use = sizes > 1
+            yield pa.RecordBatch.from_arrays([packed(codes[np.repeat(use, sizes)], sizes[use]), pa.array(n[use])], ["syms", "n"])
+
+    return words.mapInArrow(rewrite, "syms binary, n bigint")
+
+
+def _symbols(words: DataFrame) -> int:
+    return (words.agg(F.sum(F.length("syms"))).first()[0] or 0) // 4
+
+
+def _levels(pairs: DataFrame) -> list:
+    """(count, pairs) from the highest count down; from 4096 up, counts within 1 % are one level with its lowest count."""
+    level = F.when(F.col("n") < 4096, F.col("n").cast("double")).otherwise(4096 + F.floor(F.log2(F.col("n") / 4096.0) * 64))
+    rows = pairs.groupBy(level.alias("level")).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("pairs")).collect()
+    return sorted(((r.n, r.pairs) for r in rows), reverse=True)
 
 
-def count_pairs(words: DataFrame, syms: str = "syms", sign: int = 1) -> DataFrame:
-    """(left, right, n, held): occurrences, and symbols of the words that hold the pair."""
-    rows = (words.where(F.size(syms) > 1)
-            .select("n", F.size(syms).cast("bigint").alias("size"), F.inline(_neighbours(F.col(syms)))))
-    return rows.groupBy("left", "right").agg((F.sum("n") * sign).alias("n"), (F.sum("size") * sign).alias("held"))
+def coded_merges(words: DataFrame, names: dict, room: int, taken: set, min_count: int = 2,
+                 working_symbols: int | None = None, look: int | None = None) -> list:
+    """The first ``room`` merges (left, right) of stored coded ``words``, exactly as merging one
+    pair at a time would choose them.  ``names`` (code -> symbol) and ``taken`` (tokens that exist) are extended."""
+    working = WORKING_SYMBOLS if working_symbols is None else working_symbols
+    look = LOOK if look is None else look
+    words = words.where(F.length("syms") > 4)
+    out, m, code = [], min(FIRST, look), max(names, default=0) + 1
+    while len(out) < room:
+        if _symbols(words) <= working:
+            merges = _merged_at_driver(words, names, code, min_count, room - len(out), taken)
+            return out + [(names[a], names[b]) for a, b in merges]
+        pairs = stage(coded_pairs(words).where(F.col("n") >= min_count), "pairs")
+        levels, merges = _levels(pairs), []
+        while levels and levels[0][1] <= look:
+            floor, found = levels[0]
+            for n, more in levels[1:]:
+                if found + more > m:
+                    break
+                floor, found = n, found + more
+            known = pairs.where(F.col("n") >= floor).select("left", "right").toArrow()
+            known = np.sort((known["left"].to_numpy().astype(np.int64) << 32) | known["right"].to_numpy())
+            pieces = stage(cut_words(words, known), "pieces")
+            size = _symbols(pieces)
+            if size <= working:
+                merges = _merged_at_driver(pieces, names, code, floor, room - len(out), taken)
+                # As many pairs as should fit the next time.
+                m = min(look, found * (8 if size * 2 <= working else 4))
+                break
+            if floor == levels[0][0]:
+                break
+            m = found // 4
+        if not merges:
+            merges = _merged_among_ties(words, pairs, names, code, room - len(out), taken, min_count, min(working, TIED_SYMBOLS), min(look, TIED))
+        if not merges:
+            break
+        out += [(names[a], names[b]) for a, b in merges]
+        if len(out) < room:
+            words = stage(rewritten(words, merges, code), "words")
+        code += len(merges)
+    return out
+
+
+def _merged_at_driver(pieces: DataFrame, names: dict, first: int, floor: int, room: int, taken: set) -> list:
+    table = pieces.select("syms", "n").toArrow().combine_chunks()
+    if not table.num_rows:
+        return []
+    codes, sizes = unpacked(table.column("syms").chunk(0))
+    n = table.column("n").to_numpy()
+    del table
+    return merge_pieces(codes, sizes, n, names, first, floor, room, taken)
+
+
+def _merged_among_ties(words: DataFrame, pairs: DataFrame, names: dict, first: int, room: int, taken: set, min_count: int,
+                       working: int, look: int) -> list:
+    """Merges of the first pairs by rank, from the stretches around them; where these are too many, the very first pair."""
+    shared = words.sparkSession.sparkContext.broadcast((names, taken))
+
+    def named(batches):
+        names, taken = shared.value
+        for batch in batches:
+            rows = [(names[a], names[b], n) for a, b, n in zip(*(c.to_pylist() for c in batch.columns))]
+            rows = [r for r in rows if merged_token(r[0], r[1]) not in taken]
+            yield pa.RecordBatch.from_pylist([{"left": a, "right": b, "n": n} for a, b, n in rows], pa.schema(
+                [("left", pa.string()), ("right", pa.string()), ("n", pa.int64())]))
 
+    def listed(batches):
+        for batch in batches:
+            codes, sizes = unpacked(batch.column(0))
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(codes)), batch.column(1)], ["syms", "n"])
+
+    top = (pairs.mapInArrow(named, "left string, right string, n bigint")
+           .orderBy(F.desc("n"), "left", "right").limit(look + 1).collect())
+    if not top:
+        return []
+    last = top[look] if len(top) > look else None            # only a floor, unless these are all pairs
+    known = {(r.left, r.right): r.n for r in top[:max(look, 1)]}
+    codes = {name: code for code, name in names.items()}
+    held = stage(_cut(words.mapInArrow(listed, "syms array<int>, n bigint"), {(codes[a], codes[b]) for a, b in known}), "stretches")
+    merges = [(top[0].left, top[0].right)]
+    if (held.agg(F.sum(F.size("syms"))).first()[0] or 0) <= working:
+        merges = merge_in_working_set([([names[s] for s in r.syms], r.n) for r in held.collect()], known, last and (
+            -last.n, last.left, last.right), room, set(taken), min_count)
+    out = []
+    for i, (a, b) in enumerate(merges):
+        out.append((codes[a], codes[b]))
+        token = merged_token(a, b)
+        names[first + i], codes[token] = token, first + i
+        taken.add(token)
+    return out
+
+
+def sequential_merges(words: DataFrame, room: int, taken: set, min_count: int = 2,
+                      working_symbols: int | None = None, look: int | None = None) -> list:
+    """``coded_merges`` of ``words`` (syms array<string>, n), whatever their symbols."""
+    found = sorted(r.s for r in words.select(F.explode("syms").alias("s")).distinct().collect())
+    codes = {s: i for i, s in enumerate(found)}
+    shared = words.sparkSession.sparkContext.broadcast(codes)
+
+    def code(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            symbols = lists.flatten().dictionary_encode()
+            at = np.array([shared.value[s] for s in symbols.dictionary.to_pylist()], np.int32)
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([packed(at[symbols.indices.to_numpy()], sizes), batch.column(1)], ["syms", "n"])
 
-def _keys(pairs) -> str:
-    """The pairs as a SQL list (parsed at once; Spark turns it into a hash set)."""
-    return ", ".join(sql_string(a + _SEP + b) for a, b in pairs)
+    coded = words.where(F.size("syms") > 1).select("syms", F.col("n").cast("bigint").alias("n")).mapInArrow(code, "syms binary, n bigint")
+    return coded_merges(stage(coded, "words"), dict(enumerate(found)), room, taken, min_count, working_symbols, look)
 
 
+# ----------------------------------------------------------------- ties
 def stretches(symbols: list, known) -> list:
     """The parts of a word whose symbols are in a pair of ``known``, each with the symbol before and after it."""
     out, start, n = [], None, len(symbols)
@@ -91,6 +486,8 @@ def stretches(symbols: list, known) -> list:
 
 def _cut(words: DataFrame, known) -> DataFrame:
     """(syms, n): the different stretches of all words and how often each occurs."""
+    kind = words.schema["syms"].dataType.elementType.simpleString()
+    symbol = pa.int32() if kind == "int" else pa.string()
     known = words.sparkSession.sparkContext.broadcast(set(known))
 
     def cut(batches):
@@ -100,36 +497,10 @@ def _cut(words: DataFrame, known) -> DataFrame:
                 for part in stretches(s, sums):
                     part = tuple(part)
                     parts[part] = parts.get(part, 0) + n
-            yield pa.RecordBatch.from_arrays([pa.array([list(p) for p in parts], pa.list_(pa.string())),
+            yield pa.RecordBatch.from_arrays([pa.array([list(p) for p in parts], pa.list_(symbol)),
                                               pa.array(list(parts.values()), pa.int64())], ["syms", "n"])
 
-    return words.select("syms", "n").mapInArrow(cut, "syms array<string>, n bigint").groupBy("syms").agg(F.sum("n").alias("n"))
-
-
-def _rewritten(words: DataFrame, merges: list, touched: list) -> DataFrame:
-    """(old, syms, n): all words after ``merges``; ``old`` is NULL where nothing changed."""
-    shared = words.sparkSession.sparkContext.broadcast(({p: i for i, p in enumerate(merges)}, set(touched)))
-
-    def rewrite(batches):
-        rank, first = shared.value
-        kind = pa.list_(pa.string())
-        for batch in batches:
-            syms = batch.column(0).to_pylist()
-            hit = [any(p in first for p in zip(s, s[1:])) for s in syms]
-            yield pa.RecordBatch.from_arrays([pa.array([s if h else None for s, h in zip(syms, hit)], kind), pa.array(
-                [merge_word(s, rank) if h else s for s, h in zip(syms, hit)], kind), batch.column(1)], ["old", "syms", "n"])
-
-    return words.select("syms", "n").mapInArrow(rewrite, "old array<string>, syms array<string>, n bigint")
-
-
-def merge_word(symbols: list, rank: dict) -> list:
-    """All merges of ``rank`` (pair -> order) applied to one word, in their order."""
-    while len(symbols) > 1:
-        best = min(zip(symbols, symbols[1:]), key=lambda p: rank.get(p, len(rank)))
-        if best not in rank:
-            break
-        symbols = _replace(symbols, best, merged_token(*best))
-    return symbols
+    return words.select("syms", "n").mapInArrow(cut, f"syms array<{kind}>, n bigint").groupBy("syms").agg(F.sum("n").alias("n"))
 
 
 def _replace(symbols: list, pair: tuple, token: str) -> list:
@@ -191,90 +562,3 @@ def merge_in_working_set(words: list, known: dict, floor: tuple | None, room: in
                 count[q] = count.get(q, 0) + d
                 heapq.heappush(heap, (-count[q], *q))
     return out
-
-
-def independent_prefix(words: DataFrame, ranked: list, taken: set) -> list:
-    """The longest prefix of ``ranked`` (n, left, right) whose merges do not affect
-    each other's counts and make no pair that would come before a later one of them."""
-    first, last, tokens, prefix = set(), set(), set(), []
-    for n, a, b in ranked:
-        token = merged_token(a, b)
-        if token in taken or token in tokens:
-            continue
-        if prefix and (a in last or b in first):
-            break
-        first.add(a)
-        last.add(b)
-        tokens.add(token)
-        prefix.append((n, a, b))
-    syms, size = F.col("syms"), F.size("syms")
-    none = F.array(F.lit(None).cast("string"))
-    z = F.arrays_zip(F.concat(none, F.slice(syms, F.lit(1), size - 2)).alias("before"),
-                     F.slice(syms, F.lit(1), size - 1).alias("left"), F.slice(syms, F.lit(2), size - 1).alias("right"),
-                     F.concat(F.slice(syms, F.lit(3), size - 2), none).alias("after"))
-    rows = words.where(size > 1).select("n", F.inline(z)).withColumn("key", F.concat("left", F.lit(_SEP), "right")).where(
-        F.expr(f"key IN ({_keys((a, b) for _, a, b in prefix)})"))
-    beside = F.explode(F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after")))
-    most = (rows.select("key", "n", beside.alias("beside")).where("beside IS NOT NULL")
-            .groupBy("key", "beside").agg(F.sum("n").alias("n")).groupBy("key").agg(F.max("n").alias("n")).collect())
-    most = {r["key"]: r["n"] for r in most}           # one row per pair of the prefix
-    out, made = [], 0
-    for n, a, b in prefix:
-        if out and n <= made:
-            break
-        out.append((a, b))
-        made = max(made, most.get(a + _SEP + b, 0))
-    return out
-
-
-def sequential_merges(words: DataFrame, room: int, taken: set, min_count: int = 2,
-                      working_symbols: int | None = None, look: int | None = None) -> list:
-    """The first ``room`` merges ``(left, right)`` of ``words`` (syms, n), exactly as
-    merging one pair at a time would choose them.  ``taken`` holds the tokens that
-    exist and is extended."""
-    working = WORKING_SYMBOLS if working_symbols is None else working_symbols
-    look = LOOK if look is None else look
-    words = stage(words.select("syms", "n").where(F.size("syms") > 1), "words")
-    pairs = stage(count_pairs(words), "pairs")
-    out, m = [], min(FIRST, look)
-    while len(out) < room:
-        ask = m
-        while True:
-            top = (pairs.where(F.col("n") >= min_count).orderBy(F.desc("n"), "left", "right").limit(ask + 1).collect())
-            ranked = [r for r in top if merged_token(r.left, r.right) not in taken]
-            if len(ranked) > 1 or len(top) <= ask:
-                break
-            ask *= 4                        # nearly all of these can never be merged
-        if not ranked:
-            break
-        # The last row seen is only a floor, unless these are all pairs.
-        usable = len(ranked) if len(top) <= ask else len(ranked) - 1
-        m = min(m, usable)
-        while m:
-            known = {(r.left, r.right): r.n for r in ranked[:m]}
-            held = stage(_cut(words, known), "stretches")
-            size = held.agg(F.sum(F.size("syms"))).first()[0] or 0
-            if size <= working:
-                break
-            m //= 4
-        if m:
-            floor = (-ranked[m].n, ranked[m].left, ranked[m].right) if m < len(ranked) else None
-            merges = merge_in_working_set([(r.syms, r.n) for r in held.collect()], known, floor, room - len(out), taken, min_count)
-            touched = [p for p in merges if p in known]
-            # As many pairs as should fit the next time.
-            m = min(look, max(m, FIRST) * 4 if size * 8 <= working else m * 2 if size * 3 <= working else m)
-        else:
-            merges = touched = independent_prefix(words, [(r.n, r.left, r.right) for r in ranked[:256]], taken)[:room - len(out)]
-            taken.update(merged_token(*p) for p in merges)
-            m = 1
-        out += merges
-        if len(out) >= room:
-            break
-        if merges:
-            words = stage(_rewritten(words, merges, touched), "words")
-            moved = words.where(F.col("old").isNotNull())
-            delta = count_pairs(moved, "old", -1).unionByName(count_pairs(moved))
-            pairs = stage(pairs.unionByName(delta).groupBy("left", "right")
-                          .agg(F.sum("n").alias("n"), F.sum("held").alias("held")).where(F.col("n") > 0), "pairs")
-            words = words.where(F.size("syms") > 1)
-    return out

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.arrays import explode_rows
-from ..functions.words import ascii_text, is_ascii, other_words, split_words  # noqa: F401
-from .bpe import CONT, merged_token, sequential_merges
+from ..functions.words import ascii_text, count_words, is_ascii, other_words, split_words  # noqa: F401
+from ..sources.staging import stage
+from .bpe import CONT, coded_merges, coded_name, coded_words, merged_token, symbol_counts
 
 # Special tokens and their ids (BERT order).
 SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
@@ -34,9 +35,11 @@ def words(text) -> Column:
 
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(word, n)`` over all rows (map-side combined)."""
-    return (explode_rows(df, [], words(text_col), "word")
-            .groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    """``(word, n)`` over all rows (counted per task first)."""
+    t = F.col(text_col)
+    return (df.select(ascii_text(t).alias("text"), other_words(t).alias("others"))
+            .mapInArrow(count_words, "word string, n bigint")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def initial_symbols(word) -> Column:
@@ -122,22 +125,27 @@ def train_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = 20000,
     from ..session import checkpoint_dir
     spark = df.sparkSession
     checkpoint_dir(spark)
-    wc = word_counts(df, text_col).withColumn("syms", initial_symbols("word")).select("syms", "n")
-    wc = wc.groupBy("syms").agg(F.sum("n").alias("n"))
     # Every core works in every round, whatever the partitions of the counts.
     par = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    wc = wc.repartition(par).checkpoint()
-    used = wc.select(F.explode("syms").alias("s"), "n").groupBy("s").agg(F.sum("n").alias("n")).collect()
+    wc = word_counts(df, text_col).repartition(par, "word")
+    if merges_per_round is None:
+        wc = stage(coded_words(wc), "words")
+        counts = symbol_counts(wc).collect()
+        names = {r.code: coded_name(r.code) for r in counts}
+        used = [(names[r.code], r.n) for r in counts]
+    else:
+        wc = wc.select(initial_symbols("word").alias("syms"), "n").checkpoint()
+        used = [tuple(r) for r in wc.select(F.explode("syms").alias("s"), "n").groupBy("s").agg(F.sum("n").alias("n")).collect()]
     # Where even the alphabet is too large, its most frequent characters stay.
     room = max(0, vocab_size - len(SPECIALS))
-    alphabet = sorted(r.s for r in sorted(used, key=lambda r: (-r.n, r.s))[:room])
+    alphabet = sorted(c for c, _ in sorted(used, key=lambda r: (-r[1], r[0]))[:room])
     # alphabet is bounded by the character set, not by the data size
     vocab = list(SPECIALS) + sorted(a for a in alphabet if not a.startswith(CONT)) \
         + sorted(a for a in alphabet if a.startswith(CONT))
     kinds = ["special"] * len(SPECIALS) + ["char"] * (len(vocab) - len(SPECIALS))
     taken = set(vocab)
     if merges_per_round is None:
-        merges = sequential_merges(wc, vocab_size - len(vocab), taken, min_pair_count)
+        merges = coded_merges(wc, names, vocab_size - len(vocab), taken, min_pair_count)
         vocab += [merged_token(a, b) for a, b in merges]
         kinds += ["merge"] * len(merges)
         return _vocab_table(spark, vocab, kinds)

@@ -24,10 +24,15 @@ TOP_WORDS = 500
 IDS = ["article_id", "sent_idx"]
 
 
+def _kept(spark, sf_dir):
+    """Kept sentences."""
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "source", "text")
+    return S.sentences(S.articles_from_documents(docs), 5, 200)
+
+
 def _sentences(spark, sf_dir):
     """Kept sentences, persisted: vocabulary and encoding both read them."""
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "source", "text")
-    return S.sentences(S.articles_from_documents(docs), 5, 200).persist(StorageLevel.MEMORY_AND_DISK)
+    return _kept(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _vocab(spark, sf_dir, sents=None):
@@ -70,7 +75,7 @@ def q_pair_counts(spark, sf_dir):
 
 @register("vocab")          # iterative; checked against exact BPE in tests
 def q_vocab(spark, sf_dir):
-    return V.train_vocab(_sentences(spark, sf_dir), "text", vocab_size=20000)
+    return V.train_vocab(_kept(spark, sf_dir), "text", vocab_size=20000)       # read once: not persisted
 
 
 @register("fixed_vocab", f"WITH {OT.sent_cte()},\n{OT.vocab_ctes(TOP_WORDS)}\nSELECT token, id FROM vocab")

@@ -443,3 +443,92 @@ def test_merges_from_stretches_equal_one_at_a_time(spark):
     words = spark.createDataFrame([(list(w), n) for w, n in rows.items()], "syms array<string>, n bigint")
     for working, look in ((1 << 19, 16384), (400, 6)):
         assert bpe.sequential_merges(words, 60, set("abcd"), working_symbols=working, look=look) == want
+
+
+def _one_at_a_time(rows: dict, room: int, taken: set) -> list:
+    from corpusmill.operators import bpe
+    state, out = [(list(w), n) for w, n in rows.items()], []
+    while len(out) < room:
+        count = {}
+        for w, n in state:
+            for p in zip(w, w[1:]):
+                count[p] = count.get(p, 0) + n
+        left = sorted((-n, *p) for p, n in count.items() if n >= 2 and bpe.merged_token(*p) not in taken)
+        if not left:
+            break
+        p = left[0][1:]
+        out.append(p)
+        taken.add(bpe.merged_token(*p))
+        state = [(bpe._replace(w, p, bpe.merged_token(*p)), n) for w, n in state]
+    return out
+
+
+def test_a_round_takes_all_merges_above_its_floor(spark, monkeypatch):
+    """The words are rewritten a few times, not once for each handful of merges, whether they fit the driver or not."""
+    import random
+    from corpusmill.operators import bpe
+    rng = random.Random(9)
+    rows = {tuple(rng.choice("aaabbcdefgh") for _ in range(rng.randrange(2, 14))): int(rng.paretovariate(0.8)) for _ in range(1500)}
+    want = _one_at_a_time(rows, 200, set("abcdefgh"))
+    words = spark.createDataFrame([(list(w), n) for w, n in rows.items()], "syms array<string>, n bigint")
+    labels, stage = [], bpe.stage
+    monkeypatch.setattr(bpe, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    assert bpe.sequential_merges(words, 200, set("abcdefgh")) == want
+    assert labels == ["words"]                          # all of them fit: no other round
+    labels.clear()
+    assert bpe.sequential_merges(words, 200, set("abcdefgh"), working_symbols=4000) == want
+    assert 2 <= labels.count("words") <= 6 and "stretches" not in labels
+
+
+def test_words_are_cut_where_pairs_are_rare(spark):
+    import numpy as np
+    from corpusmill.operators import bpe
+    wc = spark.createDataFrame([(f"{chr(200 + i)}pabq{chr(200 + i)}", 2) for i in range(900)] + [("ab", 5)], "word string, n bigint")
+    pair = (ord("a") + bpe.INNER << 32) + ord("b") + bpe.INNER
+    got = bpe.cut_words(bpe.coded_words(wc), np.array([pair])).collect()
+    assert [([bpe.coded_name(x) for x in np.frombuffer(r.syms, np.int32).tolist()], r.n) for r in got] == [(["##a", "##b"], 1800)]
+
+
+def test_merges_of_a_batch_equal_one_word_at_a_time():
+    import random
+    import numpy as np
+    from corpusmill.operators import bpe
+    rng = random.Random(2)
+    words = [[rng.choice((1, 1, 1, 2, 3)) for _ in range(n)] for n in (1, 2, 3, 700, 9, 256, 257, 1, 30, 5) * 4]
+    merges = [(1, 1), (2, 1), (10, 10), (3, 11), (12, 1), (10, 1), (12, 12), (1, 2)]
+    keys = np.array([a << 32 | b for a, b in merges])
+    order = np.argsort(keys)
+    codes, sizes = bpe.merge_words(np.array([x for w in words for x in w], np.int32), np.array([len(w) for w in words]),
+                                   keys[order], order.astype(np.int32), 10)
+    want = []
+    for w in words:
+        for i, p in enumerate(merges):
+            w = bpe._replace(w, p, 10 + i)
+        want.append(w)
+    ends = np.cumsum(sizes).tolist()
+    assert [codes[i:j].tolist() for i, j in zip([0, *ends], ends)] == want
+    # One word of 200,000 characters does not cost the square of its length.
+    import time
+    began = time.time()
+    codes, sizes = bpe.merge_words(np.tile(np.array([1, 2, 3, 1], np.int32), 50_000), np.array([200_000]), keys[order], order.astype(np.int32), 10)
+    assert time.time() - began < 20 and sizes.tolist() == [len(codes)]
+
+
+def test_words_counted_in_slices_and_parts(spark, monkeypatch):
+    import pyarrow as pa
+    from corpusmill.functions import words as W
+    texts = ["a b, c a", None, "é b a", "", "x" * 50 + " a"] * 40 + [f"w{i}" for i in range(300)]
+    want = Counter(w for t in texts if t for w in t.replace(",", " , ").split())
+    got = V.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert {r.word: r.n for r in got.collect()} == want
+    monkeypatch.setattr(W, "SLICE", 64)
+    monkeypatch.setattr(W, "HELD", 50)
+    ascii_only = [t if t is None or t.isascii() else None for t in texts]
+    other = [None if t is None or t.isascii() else t.split() for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(ascii_only, pa.string()), pa.array(other, pa.list_(pa.string()))], ["text", "others"])
+    total = Counter()
+    parts = list(W.count_words([batch, batch.slice(3, 7), batch.slice(0, 0)]))
+    for part in parts:
+        for w, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            total[w] += n
+    assert len(parts) > 1 and total == want + Counter(w for t in texts[3:10] if t for w in t.replace(",", " , ").split())
