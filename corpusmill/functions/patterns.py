@@ -125,6 +125,19 @@ JAVA_BEFORE = {"EMAIL": _LOCAL}
 # Tag -> pattern of its strong and weak mentions, and how long the strong ones are at least.
 JAVA_EITHER = {"KEY": (JAVA_DETECTORS["KEY"].replace("{31,}", "{15,}"), 32)}
 
+# What every mention of a tag holds, as parts of one quick search: a text without any of them has no mention.  Single
+# characters again, and the given names of ``GIVEN_NAMES`` with those of PERSON.
+_DIGIT, _CAPITAL = f"[{_DIGITS}]", f"[{_UPPER}]"
+HELD_BY = {
+    "IP_ADDRESS": rf"{_DIGIT}\.{_DIGIT}",
+    "PHONE": rf"{_DIGIT}{{3}}-{_DIGIT}{{4}}",
+    "ID": rf"{_DIGIT}{{9}}",
+    "LICENSE_PLATE": rf"{_CAPITAL}[ -]{_DIGIT}",
+    "PERSON": rf"(?:Dr|Mr|Mrs|Ms|Prof|Sr|Sra|Mme|Herr|Frau)\.? {_CAPITAL}[a-z]",
+}
+HELD_RUN = {"KEY": f"{_HEX}{{16}}"}
+HELD_TEXT = {"EMAIL": "@", "USER": "@"}
+
 # Given names of the name-list detector (``Name Surname``): the first words of the packaged
 # table that hold in every language.
 GIVEN_NAMES = tuple(name for name, lang in NAME_ROWS if lang == "*")
@@ -161,3 +174,12 @@ def weak_pattern(tag: str, dialect: str = "java") -> str:
 def name_list_pattern(dialect: str = "java") -> str:
     first = "".join(sorted({name[0] for name in GIVEN_NAMES}))
     return _spelled((f"(?=[{first}])" if dialect == "java" else "") + "<B>((?:" + "|".join(GIVEN_NAMES) + r") [A-Z][a-z]+)<E>", dialect)
+
+
+def held_pattern(tags) -> str | None:
+    """One Java pattern that is found in every text with a mention of ``tags``, but those of ``HELD_RUN`` and ``HELD_TEXT``."""
+    parts = [HELD_BY[tag] for tag in HELD_BY if tag in tags]
+    if "PERSON" in tags:
+        parts.append("(?:" + "|".join(GIVEN_NAMES) + rf") {_CAPITAL}[a-z]")
+    first = (_DIGITS if {"IP_ADDRESS", "PHONE", "ID"} & set(tags) else "") + _UPPER
+    return f"(?=[{first}])(?:" + "|".join(parts) + ")" if parts else None

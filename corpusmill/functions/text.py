@@ -91,7 +91,8 @@ def split_sentences(line, abbreviations=P.ABBREVIATIONS) -> Column:
     write them as escapes (mark 2 and a letter) first and get them back.
     """
     c = _col(line)
-    plain = F.split(F.translate(_marked_split(c, abbreviations, P.ABBR_MARK), P.ABBR_MARK, "."), P.END_MARK)
+    # A literal search: ``translate`` would look up every character.
+    plain = F.split(F.replace(_marked_split(c, abbreviations, P.ABBR_MARK), F.lit(P.ABBR_MARK), F.lit(".")), P.END_MARK)
     esc = P.ABBR_MARK
     safe = F.replace(F.replace(c, F.lit(esc), F.lit(esc + "b")), F.lit(P.END_MARK), F.lit(esc + "a"))
 

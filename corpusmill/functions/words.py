@@ -38,8 +38,12 @@ def ascii_text(text: Column) -> Column:
 
 
 def other_words(text: Column) -> Column:
-    """The words of a text that is not ASCII, else NULL."""
-    return F.when(~is_ascii(text), F.regexp_extract_all(text, F.lit(P.WORD), 0))
+    """The words of a text that is not ASCII, else none.
+
+    An empty array, not NULL: Arrow's list writer goes back over all NULL lists before each one, so
+    that a batch of them would cost the square of its rows.
+    """
+    return F.when(~is_ascii(text), F.regexp_extract_all(text, F.lit(P.WORD), 0)).otherwise(F.array().cast("array<string>"))
 
 
 def ascii_words(column: pa.Array) -> tuple:
@@ -69,9 +73,9 @@ def ascii_words(column: pa.Array) -> tuple:
 def split_words(text: pa.Array, others: pa.Array) -> tuple:
     """``ascii_words`` of a batch where rows with ``others`` (list<string>) have those words."""
     rows, words = ascii_words(text)
-    if others.null_count == len(others):
-        return rows, words
     more = pc.fill_null(pc.list_value_length(others), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not more.any():
+        return rows, words
     size = rows + more                          # one of the two is zero
     start = np.where(more > 0, len(words) + np.cumsum(more) - more, np.cumsum(rows) - rows)
     first = np.cumsum(size) - size

@@ -15,6 +15,7 @@ words are segmented as rows and joined back to their occurrences.
 from __future__ import annotations
 
 import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,12 @@ class WordPieces:
                 add(0, token, number)
             if token.startswith(CONT) and len(token) > len(CONT):
                 add(1, token[len(CONT):], number)
-        self._edges, self._ends, self._memo = edges, ends, {}
+        self._edges, self._ends = edges, ends
+        self._forget()
+
+    def _forget(self):
+        """Known words: word -> number; the pieces of all of them in a row, and where those of each number end."""
+        self._memo, self._known, self._stops = {}, array("i"), array("q", [0])
 
     def pieces(self, word: str) -> tuple:
         """Ids of the longest pieces from left to right; UNK where none fits."""
@@ -79,20 +85,19 @@ class WordPieces:
     def pieces_of(self, column: pa.Array) -> tuple:
         """(number of pieces per word, all pieces) of a string array; a NULL word has none."""
         coded = column.dictionary_encode()
-        memo = self._memo
-        found = []
-        for w in coded.dictionary.to_pylist():
-            p = memo.get(w)
-            if p is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                p = memo[w] = self.pieces(w)
-            found.append(p)
-        found.append(())
-        size = np.array([len(p) for p in found], np.int64)
-        flat = np.array([i for p in found for i in p], np.int32)
-        which = pc.fill_null(coded.indices, len(found) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        found = _strings(coded.dictionary)
+        if len(self._memo) + len(found) > MEMO_WORDS:
+            self._forget()
+        memo, known, stops = self._memo, self._known, self._stops
+        numbers = list(map(memo.get, found))
+        for i in [i for i, x in enumerate(numbers) if x is None]:
+            numbers[i] = memo[found[i]] = len(stops) - 1
+            known.extend(self.pieces(found[i]))
+            stops.append(len(known))
+        flat, ends, numbers = np.array(known, np.int32), np.array(stops, np.int64), np.array(numbers, np.int64)
+        start = np.append(ends[numbers], 0)
+        size = np.append(ends[numbers + 1] - ends[numbers], 0)          # the last is that of a NULL word
+        which = pc.fill_null(coded.indices, len(found)).to_numpy(zero_copy_only=False).astype(np.int64)
         size = size[which]
         inner = np.concatenate([[0], np.cumsum(size)])
         return size, flat[np.repeat(start[which] - inner[:-1], size) + np.arange(inner[-1])]
@@ -103,6 +108,19 @@ class WordPieces:
         return _lists(list_sizes(column), _lists(size, pa.array(flat)))
 
 
+def _strings(column: pa.Array) -> list:
+    """``to_pylist`` of strings without NULL; ASCII ones are decoded at once."""
+    if column.type != pa.string() or not len(column) or column.null_count:
+        return column.to_pylist()
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+    data = column.buffers()[2]
+    text = data[:ends[-1]].to_pybytes() if data is not None else b""
+    if not text.isascii():
+        return column.to_pylist()
+    text = text.decode("ascii")
+    return [text[i:j] for i, j in zip(ends, ends[1:])]
+
+
 def list_sizes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 

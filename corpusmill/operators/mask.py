@@ -9,9 +9,7 @@ labels are -100.
 
 from __future__ import annotations
 
-import hashlib
 import sys
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.digests import md5_of_numbered
 from .align import NULL_LABEL
 from .encode import list_sizes, with_texts
 from .vocab import MASK_ID, SPECIALS
@@ -30,19 +29,15 @@ SCALE = float(2 ** 32)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def mask_batch(keys: list, column: pa.Array, vocab_size: int, probability: float, n_special: int) -> tuple:
+def mask_batch(keys: pa.Array, column: pa.Array, vocab_size: int, probability: float, n_special: int) -> tuple:
     """Masked ids and labels (flat arrays) of a batch of id lists, by the digest of
     each position's text ``key`` + number."""
     rows = list_sizes(column)
     flat = column.flatten()
     ids = pc.fill_null(flat, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    may = ids >= n_special
-    at = np.flatnonzero(may)
-    numbers = [b"%d" % i for i in range(int(rows.max(initial=0)))]
-    texts = (k + i for k, n in zip(keys, rows.tolist()) for i in numbers[:n])
-    md5 = hashlib.md5
-    drawn = b"".join(md5(t).digest() for t in compress(texts, may.tolist()))
-    u = np.frombuffer(drawn, ">u4").reshape(-1, 4)
+    at = np.flatnonzero(ids >= n_special)
+    row = np.repeat(np.arange(len(rows)), rows)[at]
+    u = md5_of_numbered(keys, row, at - (np.cumsum(rows) - rows)[row])
     chosen = u[:, 0] < probability * SCALE
     at, u = at[chosen], u[chosen]
     old = ids[at]
@@ -59,7 +54,7 @@ def mlm_mask(df: DataFrame, row_key: Column, ids_col: str = "input_ids", vocab_s
     @F.arrow_udf("m array<int>, l array<int>")
     def decided(key: pa.Array, column: pa.Array) -> pa.Array:
         ends = pa.array(np.concatenate([[0], np.cumsum(list_sizes(column))]).astype(np.int32))
-        values = mask_batch([k.encode() for k in key.to_pylist()], column, vocab_size, probability, n_special)
+        values = mask_batch(key, column, vocab_size, probability, n_special)
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, v, mask=column.is_null()) for v in values], ["m", "l"])
 
     # The part of the digest's text that the ids of a row share.

@@ -81,6 +81,20 @@ def detect_person_names(text) -> Column:
     return SP.regex_spans(text, P.name_list_pattern("java"), "PERSON", 0)
 
 
+def may_hold(text, tags: Iterable[str]) -> Column:
+    """False only where the patterns of ``tags`` find nothing (NULL for a NULL text)."""
+    t, tags = _col(text), set(tags)
+    tests = [t.contains(x) for x in sorted({P.HELD_TEXT[tag] for tag in tags if tag in P.HELD_TEXT})]
+    tests += [t.rlike(p) for p in [P.held_pattern(tags), *(P.HELD_RUN[tag] for tag in sorted(tags) if tag in P.HELD_RUN)] if p]
+    known = set(P.HELD_TEXT) | set(P.HELD_BY) | set(P.HELD_RUN)
+    if not tests or any(tag in P.DETECTORS and tag not in known for tag in tags):
+        return F.lit(True)
+    out = tests[0]
+    for x in tests[1:]:
+        out = out | x
+    return out
+
+
 def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
            context_window: int = 20,
            extra_detectors: Iterable[Callable[[Column, Column], Column]] = (),
@@ -98,6 +112,8 @@ def detect(text, lang=None, tags: Iterable[str] | None = P.DEFAULT_TAGS,
     parts = [detect_type(text, lg, tag, context_window, rules) for tag in tags if tag in P.DETECTORS]
     if "PERSON" in tags:
         parts.append(detect_person_names(text))
+    if parts:                             # most texts have no mention and go through one quick search
+        parts = [F.when(~may_hold(text, tags), _empty_spans()).otherwise(F.concat(*parts) if len(parts) > 1 else parts[0])]
     parts += [d(_col(text), lg) for d in extra_detectors]
     if more_spans is not None:
         parts.append(_col(more_spans))
@@ -175,8 +191,9 @@ def replace_mentions(text, mentions, seed: int = 0) -> Column:
         return F.when(F.size(ps) == 0, F.struct(t.alias("text"), _empty_spans().alias("ner"))).otherwise(
             F.struct(new.alias("text"), ner.alias("ner")))
 
-    return let(F.struct(t.alias("t"), scan_array(ks, init, step, place).alias("ps")),
-               lambda v: rewritten(v["t"], v["ps"]))
+    # Most texts have no mention and are not folded.
+    return F.when(F.size(_col(mentions)) == 0, F.struct(t.alias("text"), _empty_spans().alias("ner"))).otherwise(
+        let(F.struct(t.alias("t"), scan_array(ks, init, step, place).alias("ps")), lambda v: rewritten(v["t"], v["ps"])))
 
 
 def anonymize_column(text, lang=None, context_window: int = 20, condition=True,

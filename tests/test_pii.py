@@ -228,3 +228,24 @@ def test_long_runs_are_read_once(spark):
     start = time.perf_counter()
     spans = df.select(pii.detect_type("text", F.lit("en"), "EMAIL").alias("e")).first().e
     assert [(s.start, s.text) for s in spans] == [(150_001, "ann@x.org")] and time.perf_counter() - start < 5
+
+
+def test_texts_without_any_part_of_a_mention_are_passed_by(spark):
+    """The quick search lets every mention through, and only it runs on the other texts."""
+    from pyspark.sql import functions as F
+    from corpusmill.functions import patterns as P
+    from corpusmill.operators import pii as PII
+    held = {"EMAIL": "a@b.de", "IP_ADDRESS": "1.2.3.4", "PHONE": "(555) 123-4567", "KEY": "a" * 32, "ID": "1" * 9, "USER": "@ab",
+            "LICENSE_PLATE": "plate XY 12", "PERSON": "Mme Ab"}
+    rows = [(tag, f"so {m} it") for tag, m in held.items()] + [("PERSON", f"{n} Xy") for n in P.GIVEN_NAMES] + [("KEY", "api key " + "f" * 16)]
+    plain = "Plain words, Capitals and 12 numbers - nothing else. Mr nobody; abcdef 2-3 A 1st."
+    df = spark.createDataFrame(rows, "tag string, text string")
+    assert set(held) == set(P.DETECTORS)
+    for tag in held:
+        mine = df.where(F.col("tag") == tag)
+        assert mine.where(PII.may_hold("text", [tag])).count() == mine.where(F.size(PII.detect("text", None, [tag])) > 0).count() == mine.count()
+    one = spark.createDataFrame([(plain[:-9],)], "text string")
+    assert not one.select(PII.may_hold("text", P.DEFAULT_TAGS)).first()[0]
+    null = spark.createDataFrame([(None,)], "text string")
+    assert null.select(PII.may_hold("text", P.DEFAULT_TAGS)).first()[0] is None
+    assert "CASE WHEN NOT" in one.select(PII.detect("text").alias("d"))._jdf.queryExecution().analyzed().toString()

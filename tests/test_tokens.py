@@ -532,3 +532,47 @@ def test_words_counted_in_slices_and_parts(spark, monkeypatch):
         for w, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             total[w] += n
     assert len(parts) > 1 and total == want + Counter(w for t in texts[3:10] if t for w in t.replace(",", " , ").split())
+
+
+def test_digests_of_numbered_texts():
+    import hashlib
+    import numpy as np
+    import pyarrow as pa
+    from corpusmill.functions.digests import md5_of_numbered
+    keys = ["0:1:2:", "", None, "é" * 9, *("x" * n for n in (48, 49, 50, 53, 54, 55, 56, 64, 200))]
+    row, number = np.repeat(np.arange(len(keys)), 12), np.tile(np.array([0, 1, 9, 10, 99, 100, 127, 999, 1000, 12345, 7, 8]), len(keys))
+    for column, numbers in ((pa.array(keys, pa.string()), number), (pa.array(["a", *keys], pa.string()).slice(1), number * 10 ** 9)):
+        got = md5_of_numbered(column, row, numbers)
+        want = [hashlib.md5(f"{keys[r] or ''}{n}".encode()).hexdigest() for r, n in zip(row.tolist(), numbers.tolist())]
+        assert ["".join(f"{x:08x}" for x in r) for r in got.tolist()] == want
+    assert md5_of_numbered(pa.array([], pa.string()), row[:0], number[:0]).shape == (0, 4)
+
+
+def test_masking_takes_no_hash_object_per_position(monkeypatch):
+    import hashlib
+    import pyarrow as pa
+    from corpusmill.operators import mask
+    calls, md5 = [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda *a: calls.append(a) or md5(*a))
+    column = pa.array([list(range(5, 60)), None, [1, 2], [None, 7]], pa.list_(pa.int32()))
+    keys = pa.array(["0:1:0:", "0:1:1:", "0:1:2:", "0:1:3:"])
+    masked, labels = mask.mask_batch(keys, column, 100, 1.0, 5)
+    assert not calls and labels.to_pylist() == [*range(5, 60), -100, -100, -100, 7] and masked[57].as_py() is None
+
+
+def test_ascii_texts_have_no_null_list_beside_them(spark):
+    """Arrow's writer goes over a run of NULL lists once for each of them."""
+    from corpusmill.functions.words import other_words
+    df = spark.createDataFrame([("ab c",), ("é b",), (None,)], "t string")
+    assert [r.o for r in df.select(other_words(F.col("t")).alias("o")).collect()] == [[], ["é", "b"], []]
+
+
+def test_pieces_of_a_batch_beyond_the_words_remembered(monkeypatch):
+    import pyarrow as pa
+    w = E.WordPieces(["[PAD]", "[UNK]", "ab", "##c", "é", "##é", "a"], [0, 1, 2, 3, 4, 5, 6])
+    for limit in (1 << 18, 1):
+        monkeypatch.setattr(E, "MEMO_WORDS", limit)
+        for words in (["ab", None, "abc", "zz", "éé", "", "ab"], ["abcc", "a", "ab"], [], [None]):
+            size, flat = w.pieces_of(pa.array(words, pa.string()))
+            want = [() if x is None else w.pieces(x) for x in words]
+            assert size.tolist() == [len(p) for p in want] and flat.tolist() == [i for p in want for i in p]
