@@ -84,7 +84,7 @@ def split_words(text: pa.Array, others: pa.Array) -> tuple:
 
 
 # Bytes of text cut into words at once, and distinct words that a task holds before it hands them on.
-SLICE, HELD = 1 << 22, 1 << 18
+SLICE, HELD = 1 << 21, 1 << 17
 
 
 def slices(text: pa.Array, others: pa.Array) -> Iterator:

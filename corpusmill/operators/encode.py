@@ -28,6 +28,8 @@ from .vocab import CLS_ID, CONT, PAD_ID, SEP_ID, SPECIALS, UNK_ID, ascii_text, o
 
 # Distinct words whose pieces a worker remembers; beyond it, it starts anew.
 MEMO_WORDS = 1 << 18
+# Vocabularies with longer tokens are always walked as a trie: there a word takes a step per character and piece.
+SHORT_TOKEN = 32
 _CODE_POINTS = 0x110000
 
 
@@ -51,6 +53,12 @@ class WordPieces:
                 node = nxt
             ends[node] = number
 
+        # Of short tokens the longest fit is found sooner by their texts: (those that start a word, the others).
+        first = {token: number for token, number in zip(tokens, ids) if token}
+        inner = {token[len(CONT):]: number for token, number in first.items() if token.startswith(CONT) and len(token) > len(CONT)}
+        self._longest = max(map(len, first), default=0)
+        self._short = (first, inner) if self._longest <= SHORT_TOKEN else None
+
         for token, number in zip(tokens, ids):
             if token:
                 add(0, token, number)
@@ -65,6 +73,8 @@ class WordPieces:
 
     def pieces(self, word: str) -> tuple:
         """Ids of the longest pieces from left to right; UNK where none fits."""
+        if self._short is not None:
+            return self._short_pieces(word)
         edges, ends = self._edges, self._ends
         out, at, n = [], 0, len(word)
         while at < n:
@@ -82,6 +92,20 @@ class WordPieces:
             at = stop
         return tuple(out) if out else (UNK_ID,)
 
+    def _short_pieces(self, word: str) -> tuple:
+        known, inner = self._short
+        out, at, n, longest = [], 0, len(word), self._longest
+        while at < n:
+            for stop in range(min(n, at + longest), at, -1):
+                number = known.get(word[at:stop])
+                if number is not None:
+                    break
+            else:
+                return (UNK_ID,)
+            out.append(number)
+            at, known = stop, inner
+        return tuple(out) if out else (UNK_ID,)
+
     def pieces_of(self, column: pa.Array) -> tuple:
         """(number of pieces per word, all pieces) of a string array; a NULL word has none."""
         coded = column.dictionary_encode()

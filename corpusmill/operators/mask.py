@@ -24,6 +24,7 @@ from .encode import list_sizes, with_texts
 from .vocab import MASK_ID, SPECIALS
 
 SCALE = float(2 ** 32)
+ROWS = 1024
 
 # The UDF travels with its code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,7 +55,10 @@ def mlm_mask(df: DataFrame, row_key: Column, ids_col: str = "input_ids", vocab_s
     @F.arrow_udf("m array<int>, l array<int>")
     def decided(key: pa.Array, column: pa.Array) -> pa.Array:
         ends = pa.array(np.concatenate([[0], np.cumsum(list_sizes(column))]).astype(np.int32))
-        values = mask_batch(key, column, vocab_size, probability, n_special)
+        # Some rows at a time: what one position takes is held for those only.
+        parts = [mask_batch(key.slice(i, ROWS), column.slice(i, ROWS), vocab_size, probability, n_special)
+                 for i in range(0, max(len(column), 1), ROWS)]
+        values = [pa.concat_arrays(v) for v in zip(*parts)]
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, v, mask=column.is_null()) for v in values], ["m", "l"])
 
     # The part of the digest's text that the ids of a row share.

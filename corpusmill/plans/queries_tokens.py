@@ -13,6 +13,7 @@ from ..operators import predict as PR
 from ..operators import sentences as S
 from ..operators import vocab as V
 from ..functions.arrays import explode_rows
+from ..sources.staging import stage
 from ..sources.tables import table, text_table
 from . import oracle_tokens as OT
 from .oracle_text import q
@@ -165,11 +166,14 @@ _MASKED = f"""list_transform(input_ids, lambda x, i: CASE WHEN {_CHOSEN} THEN
 _LABELS = f"list_transform(input_ids, lambda x, i: CASE WHEN {_CHOSEN} THEN x ELSE -100 END)"
 
 
+def _mask_rows(enc, vocab):
+    key = F.concat_ws(":", F.col("article_id").cast("string"), F.col("sent_idx").cast("string"))
+    return M.mlm_mask(enc, key, "input_ids", vocab.count(), 0.15, SEED)
+
+
 def _masked(spark, sf_dir):
     enc, vocab = _encoded(spark, sf_dir)
-    n_vocab = vocab.count()
-    key = F.concat_ws(":", F.col("article_id").cast("string"), F.col("sent_idx").cast("string"))
-    return M.mlm_mask(enc, key, "input_ids", n_vocab, 0.15, SEED), vocab
+    return _mask_rows(enc, vocab), vocab
 
 
 @register("mlm_mask", _ENC + f"""SELECT article_id, sent_idx, {OT.ints(_MASKED)} AS masked_ids,
@@ -214,8 +218,13 @@ SELECT mk.article_id, mk.sent_idx, n_masked, n_right,
 FROM mk JOIN mt ON mt.article_id = mk.article_id AND mt.sent_idx = mk.sent_idx""")
 def q_mask_predict(spark, sf_dir):
     """K15 with its prediction column: the most frequent follower of the token before."""
-    m, vocab = _masked(spark, sf_dir)
-    p = PR.predict_masked(m, PR.next_token_table(m), vocab.count())
+    # Sentences and ids are read twice each: stored, so that neither is made again or fills the executors' memory.  Masked
+    # rows are stored too: one task would run a Python worker for each of masking, guessing and naming at once.
+    sents = stage(_kept(spark, sf_dir), "sentences")
+    vocab = _vocab(spark, sf_dir, sents)
+    enc = stage(E.encode(sents, IDS, vocab, "text", MAX_LEN).select(*IDS, "input_ids"), "encoded")
+    m = stage(_mask_rows(enc, vocab).select(*IDS, "input_ids", "masked_ids", "mlm_labels"), "masked")
+    p = PR.predict_masked(m, PR.next_token_table(enc), vocab.count())
     z = F.arrays_zip(F.col("mlm_labels").alias("y"), F.col("predicted_ids").alias("g"))
     p = p.select("*", F.size(F.filter("mlm_labels", lambda y: y != M.NULL_LABEL)).cast("bigint").alias("n_masked"),
                  F.size(F.filter(z, lambda x: x["y"] == x["g"])).cast("bigint").alias("n_right"))

@@ -576,3 +576,28 @@ def test_pieces_of_a_batch_beyond_the_words_remembered(monkeypatch):
             size, flat = w.pieces_of(pa.array(words, pa.string()))
             want = [() if x is None else w.pieces(x) for x in words]
             assert size.tolist() == [len(p) for p in want] and flat.tolist() == [i for p in want for i in p]
+
+
+def test_short_tokens_by_text_equal_the_trie(monkeypatch):
+    import random
+    rng = random.Random(4)
+    tokens = list(dict.fromkeys(["[PAD]", "[UNK]", "", "a", "##a", "b", "##", "##b", *(rng.choice(("", "##")) + "".join(
+        rng.choice("abcé#") for _ in range(rng.randrange(1, 6))) for _ in range(60))]))
+    short = E.WordPieces(tokens, list(range(len(tokens))))
+    monkeypatch.setattr(E, "SHORT_TOKEN", 0)
+    trie = E.WordPieces(tokens, list(range(len(tokens))))
+    assert short._short and not trie._short
+    for _ in range(3000):
+        word = "".join(rng.choice("abcé#") for _ in range(rng.randrange(0, 12)))
+        assert short.pieces(word) == trie.pieces(word), word
+
+
+def test_predictions_encode_each_sentence_once(spark, monkeypatch):
+    from conftest import SF001
+    from corpusmill.plans import queries_tokens as Q
+    labels = []
+    monkeypatch.setattr(Q, "stage", lambda df, label, stage=Q.stage: labels.append(label) or stage(df, label))
+    df = Q.q_mask_predict(spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert labels == ["sentences", "encoded", "masked"] and "ids_of" not in plan and "regexp_extract_all" not in plan
+    assert df.count() > 0
